@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, sharding, url_filter
+from . import chat, decontam, packing, sharding, url_filter
+
+from .common import LOWER, UPPER
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +31,38 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("page_id", "host", "path", "rule", "verdict", "block_score")
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.find_contamination(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
+_WORDS = f"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+_DECONTAM_SQL = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT item_id, w, least(10, len(w)) AS k FROM (SELECT item_id, {_WORDS} AS w FROM benchmark) WHERE len(w) > 0),
+p AS (SELECT DISTINCT item_id, k, array_to_string(w[i:i + k - 1], ' ') AS phrase FROM (SELECT *, unnest(range(1, len(w) - k + 2)) AS i FROM b)),
+s AS (SELECT doc_id, k, i, array_to_string(w[i:i + k - 1], ' ') AS phrase FROM (
+  SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, (SELECT DISTINCT k FROM p) WHERE len(w) >= k)),
+m AS (SELECT doc_id, i, k, item_id FROM s JOIN p USING (k, phrase)),
+h AS (SELECT doc_id, count(DISTINCT j) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS j FROM m) GROUP BY doc_id),
+t AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item_id FROM m) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)"""
+
+
+def op8_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack_documents(_read(spark, sf_dir, "documents"))
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 CHAT_PROBE = "</s>[INST] ok [/INST]"
 
 
@@ -61,7 +95,6 @@ def _chat_sql() -> str:
     o = t["other"]
     other = len(o["open"] + o["name_end"] + o["close"])
     state = "'start'"
-    steps = " ".join(f"WHEN s = {q(s)} AND r = {q(r)} THEN {q(to)}" for (s, r), to in t["moves"].items())
     return f"""
     WITH RECURSIVE c AS (
       SELECT conv_id, CAST(turn AS BIGINT) AS turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -99,5 +132,5 @@ f AS (SELECT x.doc_id, x.n_bytes, x.h, min(k) AS depth FROM x JOIN n USING (k, n
 SELECT f.doc_id, f.n_bytes, substr(lpad(bin(f.h), 60, '0'), 1, CAST(f.depth AS INTEGER)) AS shard, f.depth, n.shard_bytes, n.shard_rows
 FROM f JOIN n ON n.k = f.depth AND n.node = f.h >> CAST(60 - f.depth AS INTEGER)"""
 
-QUERIES = {"op1_url_filter": op1_url_filter, "op5_chat_format": op5_chat_format, "op9_shard": op9_shard}
-SQL = {"op5_chat_format": _chat_sql(), "op9_shard": _SHARD_SQL}
+QUERIES = {"op1_url_filter": op1_url_filter, "op2_decontaminate": op2_decontaminate, "op5_chat_format": op5_chat_format, "op8_pack": op8_pack, "op9_shard": op9_shard}
+SQL = {"op2_decontaminate": _DECONTAM_SQL, "op5_chat_format": _chat_sql(), "op9_shard": _SHARD_SQL}
