@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, packing, sharding, url_filter
+from . import chat, decontam, packing, secrets, sharding, url_filter
 
 from .common import LOWER, UPPER
 
@@ -132,5 +132,15 @@ f AS (SELECT x.doc_id, x.n_bytes, x.h, min(k) AS depth FROM x JOIN n USING (k, n
 SELECT f.doc_id, f.n_bytes, substr(lpad(bin(f.h), 60, '0'), 1, CAST(f.depth AS INTEGER)) AS shard, f.depth, n.shard_bytes, n.shard_rows
 FROM f JOIN n ON n.k = f.depth AND n.node = f.h >> CAST(60 - f.depth AS INTEGER)"""
 
-QUERIES = {"op1_url_filter": op1_url_filter, "op2_decontaminate": op2_decontaminate, "op5_chat_format": op5_chat_format, "op8_pack": op8_pack, "op9_shard": op9_shard}
+
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.scan(docs, secrets.train_on(docs))
+    shown = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    base = F.filter("spans", lambda s: s["kind"] != "crf")
+    counts = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in ("assign", "access", "hex")]
+    return found.select("doc_id", *counts, F.sha2(shown(base), 256).alias("base_sha256"), shown(F.col("spans")).alias("spans"))
+
+
+QUERIES = {"op1_url_filter": op1_url_filter, "op2_decontaminate": op2_decontaminate, "op5_chat_format": op5_chat_format, "op8_pack": op8_pack, "op9_shard": op9_shard, "op10_secrets": op10_secrets}
 SQL = {"op2_decontaminate": _DECONTAM_SQL, "op5_chat_format": _chat_sql(), "op9_shard": _SHARD_SQL}
