@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, packing, secrets, sharding, url_filter
+from . import chat, decontam, ngram_join, packing, secrets, sharding, url_filter
 
 from .common import LOWER, UPPER
 
@@ -58,6 +58,26 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
 FROM d LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)"""
 
 
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_components(_read(spark, sf_dir, "documents"))
+
+
+_JOIN_SQL = f"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, hash(g) AS g FROM (SELECT doc_id, array_to_string(w[i:i + 4], ' ') AS g FROM (SELECT *, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM w WHERE len(w) > 0))),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+t AS (SELECT sum(g) AS sig, n, doc_id FROM s JOIN n USING (doc_id) GROUP BY doc_id, n),
+r AS (SELECT min(doc_id) AS rep, sig, n FROM t GROUP BY sig, n),
+u AS (SELECT s.* FROM s JOIN r ON r.rep = s.doc_id),
+l AS (SELECT a.doc_id AS a, b.doc_id AS b FROM u a JOIN u b ON a.g = b.g AND a.doc_id <> b.doc_id JOIN n x ON x.doc_id = a.doc_id JOIN n y ON y.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, x.n, y.n HAVING 100 * count(*) >= 75 * (x.n + y.n - count(*))),
+c AS (SELECT rep AS node, rep AS seen FROM r UNION SELECT c.node, l.b FROM c JOIN l ON l.a = c.seen),
+m AS (SELECT node, min(seen) AS component_id FROM c GROUP BY node)
+SELECT w.doc_id, coalesce(t.n, 0) AS n_shingles, coalesce(m.component_id, w.doc_id) AS component_id,
+  CAST(CASE WHEN t.n IS NULL THEN 1 ELSE count(*) OVER (PARTITION BY t.sig, t.n) END AS BIGINT) AS n_equal
+FROM w LEFT JOIN t ON t.doc_id = w.doc_id LEFT JOIN r ON r.sig = t.sig AND r.n = t.n LEFT JOIN m ON m.node = r.rep"""
+
+
 def op8_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack_documents(_read(spark, sf_dir, "documents"))
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
@@ -143,5 +163,5 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(shown(base), 256).alias("base_sha256"), shown(F.col("spans")).alias("spans"))
 
 
-QUERIES = {"op1_url_filter": op1_url_filter, "op2_decontaminate": op2_decontaminate, "op5_chat_format": op5_chat_format, "op8_pack": op8_pack, "op9_shard": op9_shard, "op10_secrets": op10_secrets}
-SQL = {"op2_decontaminate": _DECONTAM_SQL, "op5_chat_format": _chat_sql(), "op9_shard": _SHARD_SQL}
+QUERIES = {"op1_url_filter": op1_url_filter, "op2_decontaminate": op2_decontaminate, "op5_chat_format": op5_chat_format, "op7_ngram_join": op7_ngram_join, "op8_pack": op8_pack, "op9_shard": op9_shard, "op10_secrets": op10_secrets}
+SQL = {"op2_decontaminate": _DECONTAM_SQL, "op5_chat_format": _chat_sql(), "op7_ngram_join": _JOIN_SQL, "op9_shard": _SHARD_SQL}

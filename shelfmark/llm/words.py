@@ -20,7 +20,7 @@ ALNUM = np.array([0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 for b in r
 #: everything but space, tab, line feed, vertical tab, form feed and carriage return
 NON_SPACE = np.array([not (b == 0x20 or 0x09 <= b <= 0x0D) for b in range(256)])
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_POWERS = np.ones(64, dtype=np.uint64)
+_POWERS = np.zeros(0, dtype=np.uint64)
 CHUNK_BYTES = 1 << 20
 
 
