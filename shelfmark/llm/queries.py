@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, ngram_join, packing, secrets, sharding, url_filter
+from . import chat, decontam, ngram_join, packing, secrets, sharding, url_filter, warc
 
 from .common import LOWER, UPPER
 
@@ -83,6 +83,22 @@ def op8_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _read(spark, sf_dir, "pages")
+    manifest = warc.write_archives(pages, warc.archive_folder(pages))
+    kind = pages.schema["page_id"].dataType
+    return warc.read_archives(manifest).select(F.col("key").cast(kind).alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast(kind).alias("refers_to"))
+
+
+_WARC_SQL = """
+WITH p AS (SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages),
+d AS (SELECT *, min(page_id) OVER (PARTITION BY h) AS first,
+  array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    ((CAST('0x' || substr(h, CAST(i // 4 * 5 + 1 AS INTEGER), 5) AS BIGINT) >> CAST(15 - i % 4 * 5 AS INTEGER)) & 31) + 1, 1)), '') AS payload_digest FROM p)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to FROM d"""
+
+
 CHAT_PROBE = "</s>[INST] ok [/INST]"
 
 
@@ -163,5 +179,5 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(shown(base), 256).alias("base_sha256"), shown(F.col("spans")).alias("spans"))
 
 
-QUERIES = {"op1_url_filter": op1_url_filter, "op2_decontaminate": op2_decontaminate, "op5_chat_format": op5_chat_format, "op7_ngram_join": op7_ngram_join, "op8_pack": op8_pack, "op9_shard": op9_shard, "op10_secrets": op10_secrets}
-SQL = {"op2_decontaminate": _DECONTAM_SQL, "op5_chat_format": _chat_sql(), "op7_ngram_join": _JOIN_SQL, "op9_shard": _SHARD_SQL}
+QUERIES = {"op1_url_filter": op1_url_filter, "op2_decontaminate": op2_decontaminate, "op4_warc": op4_warc, "op5_chat_format": op5_chat_format, "op7_ngram_join": op7_ngram_join, "op8_pack": op8_pack, "op9_shard": op9_shard, "op10_secrets": op10_secrets}
+SQL = {"op2_decontaminate": _DECONTAM_SQL, "op4_warc": _WARC_SQL, "op5_chat_format": _chat_sql(), "op7_ngram_join": _JOIN_SQL, "op9_shard": _SHARD_SQL}
