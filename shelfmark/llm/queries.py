@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, ngram_join, packing, secrets, sharding, url_filter, warc
+from . import chat, decontam, ngram_join, packing, quality, secrets, sharding, url_filter, warc
 
 from .common import LOWER, UPPER
 
@@ -83,6 +83,16 @@ def op8_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """Documents labelled good; one that is labelled bad too is not trusted."""
+    return labels.groupBy("doc_id").agg(F.min("quality").alias("quality")).where("quality = 1").select("doc_id")
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality.classify(_read(spark, sf_dir, "documents"), trusted_ids(_read(spark, sf_dir, "labels")))
+    return out.select("doc_id", "lang", "n_symbols", "perplexity", "accepted")
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _read(spark, sf_dir, "pages")
     manifest = warc.write_archives(pages, warc.archive_folder(pages))
@@ -179,5 +189,5 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(shown(base), 256).alias("base_sha256"), shown(F.col("spans")).alias("spans"))
 
 
-QUERIES = {"op1_url_filter": op1_url_filter, "op2_decontaminate": op2_decontaminate, "op4_warc": op4_warc, "op5_chat_format": op5_chat_format, "op7_ngram_join": op7_ngram_join, "op8_pack": op8_pack, "op9_shard": op9_shard, "op10_secrets": op10_secrets}
+QUERIES = {"op1_url_filter": op1_url_filter, "op2_decontaminate": op2_decontaminate, "op3_quality": op3_quality, "op4_warc": op4_warc, "op5_chat_format": op5_chat_format, "op7_ngram_join": op7_ngram_join, "op8_pack": op8_pack, "op9_shard": op9_shard, "op10_secrets": op10_secrets}
 SQL = {"op2_decontaminate": _DECONTAM_SQL, "op4_warc": _WARC_SQL, "op5_chat_format": _chat_sql(), "op7_ngram_join": _JOIN_SQL, "op9_shard": _SHARD_SQL}
