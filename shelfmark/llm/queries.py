@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, ngram_join, packing, quality, secrets, sharding, url_filter, warc
+from . import chat, decontam, embedding_dedup, ngram_join, packing, quality, secrets, sharding, url_filter, warc
 
 from .common import LOWER, UPPER
 
@@ -58,6 +58,21 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
 FROM d LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)"""
 
 
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = embedding_dedup.near_duplicates(_read(spark, sf_dir, "embeddings"))
+    return out.select("vec_id", "n_links", "component_id", "kept")
+
+
+_EMBEDDING_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+g AS (SELECT * FROM v WHERE e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM g a JOIN g b ON a.vec_id <> b.vec_id WHERE list_cosine_similarity(a.e, b.e) >= 0.95),
+c AS (SELECT vec_id AS node, vec_id AS seen FROM v UNION SELECT c.node, l.b FROM c JOIN l ON l.a = c.seen),
+m AS (SELECT node, min(seen) AS component_id FROM c GROUP BY node),
+n AS (SELECT a, count(*) AS n_links FROM l GROUP BY a)
+SELECT v.vec_id, coalesce(n_links, 0) AS n_links, component_id, v.vec_id = component_id AS kept FROM v JOIN m ON m.node = v.vec_id LEFT JOIN n ON n.a = v.vec_id"""
+
+
 def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(_read(spark, sf_dir, "documents"))
 
@@ -189,5 +204,5 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(shown(base), 256).alias("base_sha256"), shown(F.col("spans")).alias("spans"))
 
 
-QUERIES = {"op1_url_filter": op1_url_filter, "op2_decontaminate": op2_decontaminate, "op3_quality": op3_quality, "op4_warc": op4_warc, "op5_chat_format": op5_chat_format, "op7_ngram_join": op7_ngram_join, "op8_pack": op8_pack, "op9_shard": op9_shard, "op10_secrets": op10_secrets}
-SQL = {"op2_decontaminate": _DECONTAM_SQL, "op4_warc": _WARC_SQL, "op5_chat_format": _chat_sql(), "op7_ngram_join": _JOIN_SQL, "op9_shard": _SHARD_SQL}
+QUERIES = {"op1_url_filter": op1_url_filter, "op2_decontaminate": op2_decontaminate, "op3_quality": op3_quality, "op4_warc": op4_warc, "op5_chat_format": op5_chat_format, "op6_embedding_dedup": op6_embedding_dedup, "op7_ngram_join": op7_ngram_join, "op8_pack": op8_pack, "op9_shard": op9_shard, "op10_secrets": op10_secrets}
+SQL = {"op2_decontaminate": _DECONTAM_SQL, "op4_warc": _WARC_SQL, "op5_chat_format": _chat_sql(), "op6_embedding_dedup": _EMBEDDING_SQL, "op7_ngram_join": _JOIN_SQL, "op9_shard": _SHARD_SQL}
