@@ -1,15 +1,72 @@
-"""Corpus pipeline (stages follow as their operators are added)."""
+"""A corpus pipeline: quality, near duplicates, contamination, secrets, packing.
+
+Each stage takes (spark, docs, sf_dir) with the columns of ``documents`` and returns the
+documents that it keeps, with the same columns; the last one returns packed pieces.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from shelfmark.llm import decontam, ngram_join, packing, quality, queries, secrets
+from shelfmark.llm.common import row_key, table
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.withColumn("__key", row_key(docs, "doc_id", "lang", "text"))
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose perplexity under the model of trusted text is unusual in their language go."""
+    trusted = queries.trusted_ids(spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    keyed = _keyed(docs)
+    good = quality.classify(keyed, trusted, keep=("__key",)).where("accepted").select("__key").distinct()
+    return keyed.join(good, "__key", "left_semi").select(docs.columns)
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group that links connect, the document with the smallest id stays; of equal rows, one."""
+    keyed = _keyed(docs)
+    named = keyed.withColumn("__id", F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "__key"))
+    groups = ngram_join.jaccard_components(named, doc_id="__id")
+    kept = groups.where("doc_id = component_id").select(F.col("component_id.__key").alias("__key")).distinct()
+    return keyed.join(kept, "__key", "left_semi").dropDuplicates(["__key"]).select(docs.columns)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a passage of a benchmark item go."""
+    keyed = _keyed(docs)
+    found = decontam.find_contamination(keyed, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), doc_id="__key")
+    bad = found.where("contaminated").select(F.col("doc_id").alias("__key")).distinct()
+    return keyed.join(bad, "__key", "left_anti").select(docs.columns)
+
+
+def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets in texts give way to a mark; ``n_chars`` follows."""
+    clean = secrets.redact(secrets.scan(docs, secrets.train_on(docs)))
+    return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents and their places in sequences."""
+    return packing.pack_documents(docs)
+
+
+STAGES = [
+    ("quality", quality_stage),
+    ("near_duplicates", near_duplicate_stage),
+    ("decontamination", decontamination_stage),
+    ("secrets", secret_stage),
+    ("packing", packing_stage),
+]
 
-STAGES: list = []
+#: The n-gram model, the trained field and the packing cannot be said in SQL.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    for name, stage in STAGES:
+        docs = table(stage(spark, docs, sf_dir), f"stage-{name}")
     return docs

@@ -62,3 +62,9 @@ def shuffle_partitions(spark: SparkSession) -> int:
 def text_column(docs: DataFrame, name: str):
     """A string column by its exact name, even where names hold dots; null stays null."""
     return docs[f"`{name}`"].cast("string")
+
+
+def row_key(df: DataFrame, *columns: str):
+    """A string that equal rows, and only they, share in ``columns``; nulls differ from all values."""
+    parts = [F.coalesce(F.concat(F.length(c).cast("string"), F.lit(":"), c), F.lit("-")) for c in (df[f"`{n}`"].cast("string") for n in columns)]
+    return F.sha2(F.concat(*parts), 256)

@@ -167,7 +167,7 @@ def document_sets(docs: DataFrame, doc_id: str, text: str, width: int = WIDTH, p
     rows = docs.select(F.monotonically_increasing_id().alias("row_id"), docs[f"`{doc_id}`"].alias("doc_id"), text_column(docs, text).alias("text"))
     chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, chars // BLOCK_CHARS)
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text", "row_id"), F.lit(blocks)).cast("int"))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
     id_type = rows.schema["doc_id"].dataType
     packed = rows.mapInArrow(_pack, f"block int, row_ids array<long>, doc_ids array<{id_type.simpleString()}>, sizes array<long>, texts binary")
     packed = packed.repartition("block")

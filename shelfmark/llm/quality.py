@@ -214,19 +214,20 @@ def thresholds(scored: DataFrame, quantiles: tuple[float, float] = QUANTILES) ->
     )
 
 
-def classify(docs: DataFrame, trusted_ids: DataFrame, *, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", order: int = ORDER, quantiles: tuple[float, float] = QUANTILES) -> DataFrame:
+def classify(docs: DataFrame, trusted_ids: DataFrame, *, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", order: int = ORDER, quantiles: tuple[float, float] = QUANTILES, keep: tuple[str, ...] = ()) -> DataFrame:
     """Per document: ``row_id, doc_id, lang, trusted, n_symbols, log_perplexity, perplexity, accepted``.
 
     ``trusted_ids`` has one column, the ids of trusted documents; repeated and null ids there do
     not count. Null and empty texts have no perplexity and are rejected. A language without
     held-out trusted documents, or null, is held to the bounds of all trusted text; without any
     every document with text is accepted. Repeated rows are judged alike, each in a row of
-    its own (``row_id``); an empty table stays empty. Only the named columns are read.
+    its own (``row_id``); an empty table stays empty. Only the named columns are read, and those of
+    ``keep``, which are returned too.
     """
-    rows = docs.select(F.monotonically_increasing_id().alias("row_id"), docs[f"`{doc_id}`"].alias("doc_id"), text_column(docs, lang).alias("lang"), text_column(docs, text).alias("text"))
+    rows = docs.select(F.monotonically_increasing_id().alias("row_id"), docs[f"`{doc_id}`"].alias("doc_id"), text_column(docs, lang).alias("lang"), text_column(docs, text).alias("text"), *keep)
     ids = checkpoint(trusted_ids.select(trusted_ids[trusted_ids.columns[0]].alias("doc_id")).dropna().distinct().withColumn("trusted", F.lit(True)))
     ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    rows = rows.join(ids, "doc_id", "left").withColumn("trusted", F.coalesce("trusted", F.lit(False))).select("row_id", "doc_id", "lang", "trusted", "text")
+    rows = rows.join(ids, "doc_id", "left").withColumn("trusted", F.coalesce("trusted", F.lit(False))).select("row_id", "doc_id", "lang", "trusted", "text", *keep)
     held_out = F.col("trusted") & (F.pmod(F.xxhash64("doc_id"), F.lit(HELD_OUT)) == 0)
     rows = rows.withColumn("held_out", held_out)
     scores = gram_scores(count_grams(rows.withColumn("trusted", F.expr("trusted and not held_out")), order), order)
@@ -238,5 +239,5 @@ def classify(docs: DataFrame, trusted_ids: DataFrame, *, doc_id: str = "doc_id",
     low, high = (F.coalesce(F.col(c), F.lit(rest[k] if rest else None).cast("double")) for k, c in enumerate(("low", "high")))
     inside = F.coalesce(F.col("log_perplexity").between(low, high), low.isNull())
     return scored.join(own, "lang", "left").select(
-        "row_id", "doc_id", "lang", "trusted", "n_symbols", "log_perplexity", F.exp("log_perplexity").alias("perplexity"), ((F.col("n_symbols") > 0) & inside).alias("accepted")
+        "row_id", "doc_id", "lang", "trusted", "n_symbols", "log_perplexity", F.exp("log_perplexity").alias("perplexity"), ((F.col("n_symbols") > 0) & inside).alias("accepted"), *keep
     )
