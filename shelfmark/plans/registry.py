@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-SQL: dict[str, str] = {}
+from shelfmark.plans.catalog import QUERIES, SQL
+
 FLAGSHIP = "daily_memory"
+
+__all__ = ["FLAGSHIP", "QUERIES", "SQL"]
