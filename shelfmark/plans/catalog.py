@@ -379,10 +379,10 @@ def link_entities(spark, sf_dir):
 
 
 _ENT = lambda t, n: f"""'ent::' || substr(sha256('{{"canonical_name":"' || {n} || '","entity_type":"' || {t} || '"}}'), 1, 20)"""
-_RELATIONS = f"""{_RECORDS}, edges AS (SELECT source_id, external_id, event_time_start, seq, 1 AS at, topics[1] AS s, 'topic' AS st, 'mentions' AS p, title AS o, 'topic' AS ot, 0.8 AS c, record_id FROM records
+_RELATIONS = f"""{_RECORDS}, edges AS (SELECT source_id, external_id, event_time_start, seq, 1 AS nth, topics[1] AS s, 'topic' AS st, 'mentions' AS p, title AS o, 'topic' AS ot, 0.8 AS c, record_id FROM records
     UNION ALL SELECT source_id, external_id, event_time_start, seq, 2, people[1], 'person', 'visited', place_name, 'place', 0.75, record_id FROM records
     UNION ALL SELECT source_id, external_id, event_time_start, seq, 3, people[1], 'person', 'used_app', apps[1], 'app', 0.75, record_id FROM records),
-  firsts AS (SELECT * FROM edges QUALIFY row_number() OVER (PARTITION BY source_id, s, p, o ORDER BY seq, at) = 1),
+  firsts AS (SELECT * FROM edges QUALIFY row_number() OVER (PARTITION BY source_id, s, p, o ORDER BY seq, nth) = 1),
   ends AS (SELECT *, {_ENT('st', 's')} AS si, {_ENT('ot', 'o')} AS oi FROM firsts),
   rel AS (SELECT 'rel::' || substr(sha256('{{"evidence":["' || record_id || '"],"object":"' || oi || '","predicate":"' || p || '","subject":"' || si || '"}}'), 1, 20) AS relation_id, source_id, si AS subject_entity_id, p AS predicate, oi AS object_entity_id, event_time_start AS time_start, record_id AS evidence, CAST(c AS DOUBLE) AS confidence FROM ends)"""
 
@@ -472,7 +472,7 @@ _FACTS = {"chatgpt_export": ("chatgpt", "m1", 0.95, 0.7, 0.9, 0.45, "chat", "cha
 
 def _parsed(spark, sf_dir, shape):
     resolved = rules.resolve_parser(chat_exports(read(spark, sf_dir, "conversations"), shape))
-    return exports.parse_sources(exports.build_sources(resolved.drop("text_preview"), PROJECT, INGESTED), INGESTED)
+    return exports.parse_sources(exports.build_sources(resolved.drop("text_preview"), PROJECT, INGESTED), INGESTED, [shape])
 
 
 def _chat_query(shape: str):
@@ -510,8 +510,10 @@ def _export(rows: DataFrame, name: str, content=None, raw=None) -> DataFrame:
     )
 
 
-def _records_of(sources: DataFrame) -> DataFrame:
-    out = exports.parse_sources(exports.build_sources(rules.resolve_parser(sources), PROJECT, INGESTED), INGESTED)
+def _records_of(sources: DataFrame, job: str, only: bool = False) -> DataFrame:
+    """``only``: the rule alone, where an earlier one would take such files too."""
+    known = [r for r in rules.RULES if r.name == job] if only else rules.RULES
+    out = exports.parse_sources(exports.build_sources(rules.resolve_parser(sources, known), PROJECT, INGESTED), INGESTED, [job])
     return out.select("file_id", "parser_name", "record_type", "subtype", "title", "summary", "event_time_start", "event_date", *_joined("people", "places", "apps", "topics"), "external_id", "url", "status", "confidence", "importance_score")
 
 
@@ -520,7 +522,7 @@ def _events_by_user(spark, sf_dir, item):
     return e.groupBy(F.col("user_id").alias("k")).agg(F.array_sort(F.collect_list(F.struct("event_id", item.alias("x")))).alias("i")).withColumn("i", F.transform("i", lambda v: v["x"]))
 
 
-_EV = "SELECT *, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS at FROM events"
+_EV = "SELECT *, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS began FROM events"
 _OUT = "event_time_start, substr(event_time_start, 1, 10) AS event_date, people, places, apps, topics, external_id, url, status, CAST(confidence AS DOUBLE) AS confidence, CAST(importance_score AS DOUBLE) AS importance_score"
 
 
@@ -530,37 +532,37 @@ def _item_sql(name: str, **c: str) -> str:
     return f"SELECT file_id, '{name}' AS parser_name, record_type, subtype, title, summary, {_OUT} FROM (SELECT '{name}-' || user_id AS file_id, {shown} FROM ({_EV}))"
 
 
-@query(_item_sql("google_play_installs", record_type="'app_install'", subtype="'store'", title="'Install ' || event_type", summary="event_type || ' on dev'", event_time_start="at", apps="event_type", topics="'install,google_play'", external_id="'p' || event_id", confidence="0.95", importance_score="0.7"))
+@query(_item_sql("google_play_installs", record_type="'app_install'", subtype="'store'", title="'Install ' || event_type", summary="event_type || ' on dev'", event_time_start="began", apps="event_type", topics="'install,google_play'", external_id="'p' || event_id", confidence="0.95", importance_score="0.7"))
 def parse_google_play_installs(spark, sf_dir):
     item = F.struct(F.col("event_type").alias("app_name"), F.concat(F.lit("p"), "event_id").alias("package_name"), F.col("at").alias("installed_at"), F.lit("dev").alias("device"), F.lit("store").alias("install_source"))
-    return _records_of(_export(_events_by_user(spark, sf_dir, item), "google_play_installs", F.struct(F.col("i").alias("installed_apps"))))
+    return _records_of(_export(_events_by_user(spark, sf_dir, item), "google_play_installs", F.struct(F.col("i").alias("installed_apps"))), "google_play_installs")
 
 
-@query(_item_sql("google_my_activity", record_type="'activity_event'", subtype="'Maps'", title="'Did ' || event_type", summary="props", event_time_start="at", apps="'Maps'", topics="event_type", external_id="'a' || event_id", url="'http://x/' || event_id", confidence="0.9", importance_score="0.55"))
+@query(_item_sql("google_my_activity", record_type="'activity_event'", subtype="'Maps'", title="'Did ' || event_type", summary="props", event_time_start="began", apps="'Maps'", topics="event_type", external_id="'a' || event_id", url="'http://x/' || event_id", confidence="0.9", importance_score="0.55"))
 def parse_google_my_activity(spark, sf_dir):
     item = F.struct(F.concat(F.lit("a"), "event_id").alias("id"), F.col("at").alias("time"), F.lit("Maps").alias("product"), F.col("event_type").alias("type"), F.concat(F.lit("Did "), "event_type").alias("title"), F.col("props").alias("description"), F.concat(F.lit("http://x/"), "event_id").alias("url"))
-    return _records_of(_export(_events_by_user(spark, sf_dir, item), "google_my_activity", F.struct(F.col("i").alias("activity"))))
+    return _records_of(_export(_events_by_user(spark, sf_dir, item), "google_my_activity", F.struct(F.col("i").alias("activity"))), "google_my_activity")
 
 
-@query(f"""SELECT DISTINCT 'google_timeline-' || user_id AS file_id, 'place_visit' AS record_type, 'Visited P' || event_id % 9 AS title, at AS event_time_start, 'P' || event_id % 9 AS place_name, CAST((event_id % 9 + 1) * 10000000 AS DOUBLE) / 1e7 AS geo_lat, CAST(NULL AS DOUBLE) AS geo_lon FROM ({_EV})""")
+@query(f"""SELECT DISTINCT 'google_timeline-' || user_id AS file_id, 'place_visit' AS record_type, 'Visited P' || event_id % 9 AS title, began AS event_time_start, 'P' || event_id % 9 AS place_name, CAST((event_id % 9 + 1) * 10000000 AS DOUBLE) / 1e7 AS geo_lat, CAST(NULL AS DOUBLE) AS geo_lon FROM ({_EV})""")
 def parse_google_timeline(spark, sf_dir):
     where = F.struct(F.concat(F.lit("P"), F.col("event_id") % 9).alias("name"), ((F.col("event_id") % 9 + 1) * 10000000).alias("latitudeE7"), F.lit(0).alias("longitudeE7"))
     item = F.struct(F.struct(where.alias("location"), F.struct(F.col("at").alias("startTimestamp")).alias("duration")).alias("placeVisit"))
     sources = _export(_events_by_user(spark, sf_dir, item), "google_timeline", F.struct(F.col("i").alias("timeline_objects")))
-    out = exports.parse_sources(exports.build_sources(rules.resolve_parser(sources), PROJECT, INGESTED), INGESTED)
+    out = exports.parse_sources(exports.build_sources(rules.resolve_parser(sources), PROJECT, INGESTED), INGESTED, ["google_timeline"])
     return out.select("file_id", "record_type", "title", "event_time_start", "place_name", "geo_lat", "geo_lon")
 
 
-@query(_item_sql("google_tasks", record_type="'task'", subtype="'todo'", title="event_type", summary="'n' || event_id", event_time_start="at", external_id="'t' || event_id", status="'done'"))
+@query(_item_sql("google_tasks", record_type="'task'", subtype="'todo'", title="event_type", summary="'n' || event_id", event_time_start="began", external_id="'t' || event_id", status="'done'"))
 def parse_google_tasks(spark, sf_dir):
     item = F.struct(F.concat(F.lit("t"), "event_id").alias("id"), F.col("event_type").alias("title"), F.concat(F.lit("n"), "event_id").alias("notes"), F.col("at").alias("updated"), F.lit("done").alias("status"))
-    return _records_of(_export(_events_by_user(spark, sf_dir, item), "google_tasks", F.struct(F.col("i").alias("items"))))
+    return _records_of(_export(_events_by_user(spark, sf_dir, item), "google_tasks", F.struct(F.col("i").alias("items"))), "google_tasks")
 
 
 @query("""SELECT 'google_contacts-' || c_nationkey AS file_id, 'Contact: ' || c_name AS title, c_name AS people, 'c' || c_custkey AS external_id FROM customer""")
 def parse_google_contacts(spark, sf_dir):
     c = read(spark, sf_dir, "customer").groupBy(F.col("c_nationkey").alias("k")).agg(F.collect_list(F.struct(F.concat(F.lit("c"), "c_custkey").alias("id"), F.col("c_name").alias("name"))).alias("contacts"))
-    return _records_of(_export(c, "google_contacts", F.struct("contacts"))).select("file_id", "title", "people", "external_id")
+    return _records_of(_export(c, "google_contacts", F.struct("contacts")), "google_contacts").select("file_id", "title", "people", "external_id")
 
 
 @query(f"""SELECT DISTINCT 'instagram_messages-' || user_id AS file_id, 'Instagram message from S' || event_id % 3 AS title, strftime(ts, '%Y-%m-%dT%H:%M:%S') || CASE WHEN event_id % 2 = 0 THEN 'Z' ELSE '.250000Z' END AS event_time_start FROM events""")
@@ -568,19 +570,19 @@ def parse_instagram_export(spark, sf_dir):
     ms = F.unix_millis(F.date_trunc("second", "ts")) + F.when(F.col("event_id") % 2 == 0, 0).otherwise(250)
     item = F.struct(F.concat(F.lit("S"), F.col("event_id") % 3).alias("sender_name"), F.col("event_type").alias("content"), ms.alias("timestamp_ms"))
     e = read(spark, sf_dir, "events").groupBy(F.col("user_id").alias("k")).agg(F.collect_list(item).alias("i"))
-    return _records_of(_export(e, "instagram_messages", F.struct(F.col("i").alias("messages"), F.array().cast("array<string>").alias("participants")))).select("file_id", "title", "event_time_start")
+    return _records_of(_export(e, "instagram_messages", F.struct(F.col("i").alias("messages"), F.array().cast("array<string>").alias("participants"))), "instagram_export", only=True).select("file_id", "title", "event_time_start")
 
 
-@query(f"""SELECT DISTINCT 'whatsapp-' || user_id AS file_id, 'S' || event_id % 3 || ': ' || event_type AS title, CASE WHEN user_id % 2 = 0 THEN at ELSE substr(at, 1, 17) || '00Z' END AS event_time_start, CAST(CASE WHEN user_id % 2 = 0 THEN 0.92 ELSE 0.9 END AS DOUBLE) AS confidence FROM ({_EV})
-  QUALIFY row_number() OVER (PARTITION BY user_id, event_type, event_id % 3, CASE WHEN user_id % 2 = 0 THEN at ELSE substr(at, 1, 17) END ORDER BY event_id) = 1""")
+@query(f"""SELECT DISTINCT 'whatsapp-' || user_id AS file_id, 'S' || event_id % 3 || ': ' || event_type AS title, CASE WHEN user_id % 2 = 0 THEN began ELSE substr(began, 1, 17) || '00Z' END AS event_time_start, CAST(CASE WHEN user_id % 2 = 0 THEN 0.92 ELSE 0.9 END AS DOUBLE) AS confidence FROM ({_EV})
+  QUALIFY row_number() OVER (PARTITION BY user_id, event_type, event_id % 3, CASE WHEN user_id % 2 = 0 THEN began ELSE substr(began, 1, 17) END ORDER BY event_id) = 1""")
 def parse_whatsapp_export(spark, sf_dir):
     eu, us = (F.date_format("ts", f) for f in ("'['dd.MM.yyyy, HH:mm:ss'] '", "M/d/yy, h:mm a' - '"))
     line = F.concat(F.when(F.col("user_id") % 2 == 0, eu).otherwise(us), F.lit("S"), F.col("event_id") % 3, F.lit(": "), "event_type")
     e = read(spark, sf_dir, "events").groupBy(F.col("user_id").alias("k")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("event_id", line.alias("x")))), lambda v: v["x"]), "\n").alias("raw"))
-    return _records_of(_export(e, "whatsapp", raw=F.col("raw"))).select("file_id", "title", "event_time_start", "confidence")
+    return _records_of(_export(e, "whatsapp", raw=F.col("raw")), "whatsapp_export").select("file_id", "title", "event_time_start", "confidence")
 
 
-@query(f"""SELECT 'telegram-' || user_id AS file_id, 'Message from S' || event_id % 3 || ' in Chat' AS title, at AS event_time_start, CASE WHEN event_id % 2 = 0 THEN event_type ELSE 'see ' || event_type END AS summary, CAST(event_id AS VARCHAR) AS external_id FROM ({_EV}) WHERE event_id % 5 <> 0""")
+@query(f"""SELECT 'telegram-' || user_id AS file_id, 'Message from S' || event_id % 3 || ' in Chat' AS title, began AS event_time_start, CASE WHEN event_id % 2 = 0 THEN event_type ELSE 'see ' || event_type END AS summary, CAST(event_id AS VARCHAR) AS external_id FROM ({_EV}) WHERE event_id % 5 <> 0""")
 def parse_telegram_export(spark, sf_dir):
     n = F.col("event_id")
     body = F.when(n % 2 == 0, F.to_json(F.array("event_type"))).otherwise(F.concat(F.lit('["see ",{"type":"bold","text":"'), "event_type", F.lit('"}]')))
@@ -588,22 +590,22 @@ def parse_telegram_export(spark, sf_dir):
     e = read(spark, sf_dir, "events").groupBy(F.col("user_id").alias("k")).agg(F.array_join(F.collect_list(message), ",").alias("m"))
     content = F.concat(F.lit('{"chats":{"list":[{"id":7,"name":"Chat","messages":['), "m", F.lit("]}]}}"))
     sources = _export(e.withColumn("content", content), "telegram", F.struct("k")).drop("content").join(e.select(F.concat(F.lit("telegram-"), "k").alias("file_id"), content.alias("content")), "file_id")
-    return _records_of(sources).select("file_id", "title", "event_time_start", "summary", "external_id")
+    return _records_of(sources, "telegram_export").select("file_id", "title", "event_time_start", "summary", "external_id")
 
 
-@query(f"""SELECT 'google_calendar-' || user_id AS file_id, event_type AS title, CASE event_id % 3 WHEN 0 THEN at WHEN 1 THEN substr(at, 1, 19) ELSE substr(at, 1, 10) END AS event_time_start, 'R' || event_id % 4 AS places, 'u' || event_id AS external_id, 'long note' AS summary FROM ({_EV})""")
+@query(f"""SELECT 'google_calendar-' || user_id AS file_id, event_type AS title, CASE event_id % 3 WHEN 0 THEN began WHEN 1 THEN substr(began, 1, 19) ELSE substr(began, 1, 10) END AS event_time_start, 'R' || event_id % 4 AS places, 'u' || event_id AS external_id, 'long note' AS summary FROM ({_EV})""")
 def parse_google_calendar(spark, sf_dir):
     n = F.col("event_id")
     start = F.when(n % 3 == 0, F.date_format("ts", "yyyyMMdd'T'HHmmss'Z'")).when(n % 3 == 1, F.date_format("ts", "yyyyMMdd'T'HHmmss")).otherwise(F.date_format("ts", "yyyyMMdd"))
     block = F.concat(F.lit("BEGIN:VEVENT\r\nDTSTART:"), start, F.lit("\r\nSUMMARY:"), "event_type", F.lit("\r\nDESCRIPTION:long \r\n note\r\nLOCATION:R"), n % 4, F.lit("\r\nUID:u"), n, F.lit("\r\nEND:VEVENT"))
     e = read(spark, sf_dir, "events").groupBy(F.col("user_id").alias("k")).agg(F.array_join(F.collect_list(block), "\r\n").alias("raw"))
-    return _records_of(_export(e, "google_calendar", raw=F.col("raw"))).select("file_id", "title", "event_time_start", "places", "external_id", F.regexp_replace("summary", " +", " ").alias("summary"))
+    return _records_of(_export(e, "google_calendar", raw=F.col("raw")), "google_calendar").select("file_id", "title", "event_time_start", "places", "external_id", F.regexp_replace("summary", " +", " ").alias("summary"))
 
 
-@query(_item_sql("generic_json_export", record_type="'note'", subtype="'item'", title="event_type", summary="'s'", event_time_start="at", topics="'x'", external_id="'g' || event_id", confidence="0.6", importance_score="0.4").replace("'generic_json_export-' || user_id", "'generic-' || user_id"))
+@query(_item_sql("generic_json_export", record_type="'note'", subtype="'item'", title="event_type", summary="'s'", event_time_start="began", topics="'x'", external_id="'g' || event_id", confidence="0.6", importance_score="0.4").replace("'generic_json_export-' || user_id", "'generic-' || user_id"))
 def parse_generic_json_export(spark, sf_dir):
     item = F.struct(F.concat(F.lit("g"), "event_id").alias("id"), F.lit("note").alias("record_type"), F.col("at").alias("timestamp"), F.col("event_type").alias("title"), F.lit("s").alias("summary"), F.array(F.lit("x")).alias("topics"))
-    return _records_of(_export(_events_by_user(spark, sf_dir, item), "generic", F.struct(F.col("i").alias("items"))))
+    return _records_of(_export(_events_by_user(spark, sf_dir, item), "generic", F.struct(F.col("i").alias("items"))), "generic_json_export")
 
 
 @query("""SELECT doc_id, ['gmail_export', 'signal_export', 'generic_csv_export', 'llm_html_export', 'google_keep', 'perplexity_export', 'generic_txt_export', 'google_play_installs'][doc_id % 8 + 1] AS parser_name FROM documents""")
@@ -653,6 +655,7 @@ def stream_inventory(spark, sf_dir):
     from shelfmark.streaming import inventory as stream
 
     root = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
-    schema = read(spark, sf_dir, "documents").schema
-    stream.stream_inventory(spark, f"{sf_dir}/documents.parquet", schema, root, f"{root}/checkpoint", max_files=1000, limit_mb=500, prepare=files_of)
+    changes = read(spark, sf_dir, "documents")
+    changes.write.parquet(f"{root}/changes")
+    stream.stream_inventory(spark, f"{root}/changes", changes.schema, root, f"{root}/checkpoint", max_files=1000, limit_mb=500, prepare=files_of)
     return stream.read_reports(spark, root).select("file_id", "status", "duplicate_of")

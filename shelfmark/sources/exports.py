@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from shelfmark.functions import ids
 from shelfmark.functions.ids import first_set, text
 from shelfmark.functions.text import CHAT_EU, CHAT_US, chat_time_eu, chat_time_us, e7_degrees, epoch_ms_iso, event_date, ics_field, ics_time, normalized_filename, rich_text, unfold_ics
+from shelfmark.operators.inventory import latest_by_key
 
 LISTS = ("people", "places", "apps", "devices", "accounts", "topics", "tags")
 NUMBERS = {"amount": None, "quantity": None, "geo_lat": None, "geo_lon": None, "confidence": 0.8, "importance_score": 0.5}
@@ -243,7 +244,7 @@ def calendar(content: Column, raw_text: Column) -> Column:
     blocks = F.transform(F.regexp_extract_all(text(raw_text), F.lit("(?is)BEGIN:VEVENT(.*?)END:VEVENT"), F.lit(1)), from_block)
     when = "struct<dateTime:string,date:string>"
     events = _items(content, "events", f"id:string,iCalUID:string,summary:string,description:string,location:string,start:{when},end:{when}", from_event)
-    return F.when(F.size(blocks) > 0, blocks).otherwise(events)
+    return _or_else(blocks, lambda: events)
 
 
 def tasks(content: Column) -> Column:
@@ -283,8 +284,7 @@ def whatsapp(raw_text: Column) -> Column:
 
         return F.transform(F.filter(lines, lambda x: x.rlike(pattern)), make)
 
-    eu = records(CHAT_EU, 7, chat_time_eu, 0.92)
-    return F.when(F.size(eu) > 0, eu).otherwise(records(CHAT_US, 7, chat_time_us, 0.9))
+    return _or_else(records(CHAT_EU, 7, chat_time_eu, 0.92), lambda: records(CHAT_US, 7, chat_time_us, 0.9))
 
 
 def telegram(content: Column) -> Column:
@@ -352,12 +352,11 @@ def build_sources(resolved: DataFrame, project: str, scanned_at: str) -> DataFra
     """
     content = F.coalesce("content", F.lit("{}"))
     whole = ids.content_hash(content)
-    stable = first_set("file_id", "checksum_sha256", whole)
-    key = F.concat_ws(":", F.lit(project), stable, "parser_name", "parser_version")
-    rows = resolved.withColumn("source_key", key)
     have = set(resolved.columns)
     given = lambda c, default="": text(c) if c in have else F.lit(default)
     flag = lambda c, default=False: F.coalesce(F.col(c), F.lit(default)) if c in have else F.lit(default)
+    stable = first_set(given("file_id"), given("checksum_sha256"), whole)
+    rows = resolved.withColumn("source_key", F.concat_ws(":", F.lit(project), stable, "parser_name", "parser_version"))
     return rows.select(
         F.lit(project).alias("project_id"), ids.source_id(F.lit(project), F.col("source_key")).alias("source_id"), "source_key", text("file_id").alias("file_id"),
         *[given(c).alias(c) for c in ("bundle_id", "parent_bundle_id")], "source_system", "source_service", F.lit("").alias("source_subservice"), "source_app", F.lit("export").alias("source_kind"), "source_format",
@@ -374,16 +373,23 @@ def build_sources(resolved: DataFrame, project: str, scanned_at: str) -> DataFra
     )
 
 
-def parse_sources(sources: DataFrame, ingested_at: str) -> DataFrame:
-    """The records of all sources of ``build_sources``, one row per ``record_id``, the last in order if several share one."""
+def _or_else(found: Column, other) -> Column:
+    """``found`` if it has elements, else ``other()``; ``found`` is worked out once."""
+    return F.flatten(F.transform(F.array(found), lambda x: F.when(F.size(x) > 0, x).otherwise(other())))
+
+
+def parse_sources(sources: DataFrame, ingested_at: str, jobs: list[str] | None = None) -> DataFrame:
+    """The records of all sources of ``build_sources``, one row per ``record_id``, the last in order if several share one.
+
+    ``jobs`` names those that can occur, if that is known, which makes for a smaller plan.
+    """
     found = None
-    for name, job in JOBS.items():
-        found = F.when(F.col("parser_name") == name, job(F.col("content"), F.col("raw_text"))) if found is None else found.when(F.col("parser_name") == name, job(F.col("content"), F.col("raw_text")))
-    records = F.when(F.size(found) > 0, found).otherwise(F.array(default_record(F.col("content"))))
+    for name in jobs or JOBS:
+        made = JOBS[name](F.col("content"), F.col("raw_text"))
+        found = F.when(F.col("parser_name") == name, made) if found is None else found.when(F.col("parser_name") == name, made)
+    records = _or_else(found, lambda: F.array(default_record(F.col("content"))))
     rows = sources.withColumn("__records", records).select(*[c for c in sources.columns if c not in RECORD_FIELDS], F.posexplode("__records").alias("pos", "r"))
-    out = build_records(rows, ingested_at)
-    first = out.groupBy("record_id").agg(F.max("pos").alias("pos"))
-    return out.join(first, ["record_id", "pos"], "left_semi")
+    return latest_by_key(build_records(rows, ingested_at), "record_id", "pos")
 
 
 def build_records(rows: DataFrame, ingested_at: str) -> DataFrame:

@@ -69,27 +69,23 @@ FALLBACK = "generic_txt_export"
 
 
 def _holds(rule: Rule) -> Column:
-    path, name = F.lower(text("source_path")), F.lower(text("original_filename"))
-    seen = F.concat_ws(" ", path, name, F.lower(text("text_preview")))
-    content = text("content")
-    keys = F.coalesce(F.json_object_keys(content), F.array().cast("array<string>"))
-    first = F.get_json_object(content, "$.conversations[0]")
-    first_keys = F.coalesce(F.json_object_keys(first), F.array().cast("array<string>"))
+    path, name, seen, keys, first_keys = (F.col(f"__{c}") for c in ("path", "name", "seen", "keys", "first_keys"))
     has, first_has = (lambda k: F.array_contains(keys, k)), (lambda k: F.array_contains(first_keys, k))
     any_in = lambda where, words: reduce(lambda a, b: a | b, [where.contains(w) for w in words])
+    place = F.concat_ws(" ", path, name)
     own = {
-        "chatgpt_export": any_in(F.concat_ws(" ", path, name), rule.tokens) | (first_has("turns") & ~first_has("chat_messages") & (first_has("model") | first_has("create_time"))),
-        "claude_export": any_in(name, rule.tokens) | first_has("chat_messages") | has("chat_messages") | F.get_json_object(content, "$[0].chat_messages").isNotNull(),
-        "gemini_chat_export": seen.contains("gemini") & (first_has("turns") | first_has("createTime")),
-        "perplexity_export": name.contains("perplexity"),
-        "google_tasks": name.contains("tasks"),
-        "google_contacts": name.contains("contacts"),
-        "instagram_export": any_in(name, rule.tokens) & (has("messages") | has("participants")),
-        "telegram_export": (name.contains("telegram") | path.contains("telegram")) & (has("chats") | has("about")),
-        "whatsapp_export": any_in(F.concat_ws(" ", path, name), rule.tokens) | text("text_preview").rlike("(?m)" + CHAT_EU) | text("text_preview").rlike("(?m)" + CHAT_US),
+        "chatgpt_export": lambda: any_in(place, rule.tokens) | (first_has("turns") & ~first_has("chat_messages") & (first_has("model") | first_has("create_time"))),
+        "claude_export": lambda: any_in(name, rule.tokens) | first_has("chat_messages") | has("chat_messages") | F.col("__listed"),
+        "gemini_chat_export": lambda: seen.contains("gemini") & (first_has("turns") | first_has("createTime")),
+        "perplexity_export": lambda: name.contains("perplexity"),
+        "google_tasks": lambda: name.contains("tasks"),
+        "google_contacts": lambda: name.contains("contacts"),
+        "instagram_export": lambda: any_in(name, rule.tokens) & (has("messages") | has("participants")),
+        "telegram_export": lambda: (name.contains("telegram") | path.contains("telegram")) & (has("chats") | has("about")),
+        "whatsapp_export": lambda: any_in(place, rule.tokens) | F.col("__chat_lines"),
     }.get(rule.name)
     if own is not None:
-        return own
+        return own()
     test = any_in(seen, rule.tokens)
     return test | reduce(lambda a, b: a & b, [has(k) for k in rule.keys]) if rule.keys else test
 
@@ -99,11 +95,23 @@ def resolve_parser(sources: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
 
     ``sources``: source_path, original_filename, text_preview, content (JSON or null).
     """
-    fields = ["name", "version", "system", "service", "app", "format", "record_type"]
-    as_struct = lambda r: F.struct(*[F.lit(getattr(r, f)).alias(f) for f in fields])
+    none = F.array().cast("array<string>")
+    rows = sources.withColumns({"__path": F.lower(text("source_path")), "__name": F.lower(text("original_filename")), "__content": text("content")})
+    rows = rows.withColumns(
+        {
+            "__seen": F.concat_ws(" ", "__path", "__name", F.lower(text("text_preview"))),
+            "__keys": F.coalesce(F.json_object_keys("__content"), none),
+            "__first_keys": F.coalesce(F.json_object_keys(F.get_json_object("__content", "$.conversations[0]")), none),
+            "__listed": F.get_json_object("__content", "$[0].chat_messages").isNotNull(),
+            "__chat_lines": text("text_preview").rlike("(?m)" + CHAT_EU) | text("text_preview").rlike("(?m)" + CHAT_US),
+        }
+    )
     pick = None
     for r in rules:
-        pick = F.when(_holds(r), as_struct(r)) if pick is None else pick.when(_holds(r), as_struct(r))
-    rows = sources.withColumn("__rule", pick.otherwise(as_struct(next(r for r in RULES if r.name == FALLBACK))))
-    names = ["parser_name", "parser_version", "source_system", "source_service", "source_app", "source_format", "default_record_type"]
-    return rows.withColumns({n: F.col(f"__rule.{f}") for n, f in zip(names, fields, strict=True)}).drop("__rule")
+        pick = F.when(_holds(r), r.name) if pick is None else pick.when(_holds(r), r.name)
+    rows = rows.withColumn("parser_name", pick.otherwise(FALLBACK))
+    known = {r.name: r for r in [*RULES, *rules]}
+    fields = {"parser_version": "version", "source_system": "system", "source_service": "service", "source_app": "app", "source_format": "format", "default_record_type": "record_type"}
+    table = F.create_map(*[F.lit(x) if isinstance(x, str) else F.struct(*[F.lit(getattr(x, f)).alias(c) for c, f in fields.items()]) for name, r in known.items() for x in (name, r)])
+    rows = rows.withColumn("__rule", F.element_at(table, F.col("parser_name")))
+    return rows.select(*sources.columns, "parser_name", *[F.col(f"__rule.{c}").alias(c) for c in fields])
