@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import decontam, ngram_join, packing, quality, queries, secrets
+from shelfmark.llm import decontam, ngram_join, packing, quality, secrets
 from shelfmark.llm.common import row_key, table
 
 
@@ -19,7 +19,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose perplexity under the model of trusted text is unusual in their language go."""
-    trusted = queries.trusted_ids(spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    trusted = quality.trusted_ids(spark.read.parquet(f"{sf_dir}/labels.parquet"))
     keyed = _keyed(docs)
     good = quality.classify(keyed, trusted, keep=("__key",)).where("accepted").select("__key").distinct()
     return keyed.join(good, "__key", "left_semi").select(docs.columns)

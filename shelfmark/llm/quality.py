@@ -30,8 +30,8 @@ SYMBOLS = 1 << SYMBOL_BITS
 SHARD_GRAMS = 2_000_000
 #: Up to so many trusted ids are held by every task.
 BROADCAST_IDS = 5_000_000
-#: Documents whose perplexity lies beyond these quantiles of trusted text in their language are rejected.
-QUANTILES = (0.002, 0.99)
+#: Documents whose perplexity lies beyond these quantiles of trusted text in their language are rejected; none is too low at 0.
+QUANTILES = (0.0, 0.99)
 #: One trusted document in so many is not trained on; the bounds are taken from these.
 HELD_OUT = 5
 _BINS = 1000  # bins per unit of log perplexity
@@ -200,7 +200,9 @@ def score_documents(rows: DataFrame, scores: DataFrame, order: int = ORDER, shar
 def thresholds(scored: DataFrame, quantiles: tuple[float, float] = QUANTILES) -> DataFrame:
     """(lang, low, high): bounds of log perplexity from held-out trusted documents, by language; lang null holds for all others.
 
-    Exact to 1/1000: perplexities are counted in bins, which any number of tasks can add up.
+    Exact to 1/1000: perplexities are counted in bins, which any number of tasks can add up. The
+    quantile of few documents lies too near their middle, so a bound moves out by its distance
+    from the median, divided by the number of documents expected beyond it (at most by that distance).
     """
     bins = scored.where("held_out and n_symbols > 0").select("lang", F.floor(F.col("log_perplexity") * _BINS).alias("bin"))
     counts = bins.groupBy("lang", "bin").agg(F.count("*").alias("n"))
@@ -208,9 +210,13 @@ def thresholds(scored: DataFrame, quantiles: tuple[float, float] = QUANTILES) ->
     w = Window.partitionBy("lang").orderBy("bin")
     run = counts.withColumns({"upto": F.sum("n").over(w), "of": F.sum("n").over(Window.partitionBy("lang"))})
     low, high = quantiles
-    return run.groupBy("lang").agg(
-        (F.max(F.when(F.col("upto") - F.col("n") <= low * F.col("of"), F.col("bin"))) / _BINS).alias("low"),
-        ((F.min(F.when(F.col("upto") >= high * F.col("of"), F.col("bin"))) + 1) / _BINS).alias("high"),
+    at = lambda q: F.min(F.when(F.col("upto") >= q * F.col("of"), F.col("bin")))
+    found = run.groupBy("lang").agg((at(low) / _BINS).alias("low"), ((at(high) + 1) / _BINS).alias("high"), (at(0.5) / _BINS).alias("mid"), F.max("of").alias("of"))
+    wide = lambda q: F.least(F.lit(1.0), 1 / (F.col("of") * q))
+    return found.select(
+        "lang",
+        (F.col("low") - (F.col("mid") - F.col("low")) * wide(low) if low > 0 else F.lit(float("-inf"))).alias("low"),
+        (F.col("high") + (F.col("high") - F.col("mid")) * wide(1 - high) if high < 1 else F.lit(float("inf"))).alias("high"),
     )
 
 
@@ -241,3 +247,8 @@ def classify(docs: DataFrame, trusted_ids: DataFrame, *, doc_id: str = "doc_id",
     return scored.join(own, "lang", "left").select(
         "row_id", "doc_id", "lang", "trusted", "n_symbols", "log_perplexity", F.exp("log_perplexity").alias("perplexity"), ((F.col("n_symbols") > 0) & inside).alias("accepted"), *keep
     )
+
+
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """Documents labelled good (doc_id, quality 0/1); one that is labelled bad too is not trusted."""
+    return labels.groupBy("doc_id").agg(F.min("quality").alias("quality")).where("quality = 1").select("doc_id")

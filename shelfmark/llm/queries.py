@@ -98,13 +98,8 @@ def op8_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
-def trusted_ids(labels: DataFrame) -> DataFrame:
-    """Documents labelled good; one that is labelled bad too is not trusted."""
-    return labels.groupBy("doc_id").agg(F.min("quality").alias("quality")).where("quality = 1").select("doc_id")
-
-
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = quality.classify(_read(spark, sf_dir, "documents"), trusted_ids(_read(spark, sf_dir, "labels")))
+    out = quality.classify(_read(spark, sf_dir, "documents"), quality.trusted_ids(_read(spark, sf_dir, "labels")))
     return out.select("doc_id", "lang", "n_symbols", "perplexity", "accepted")
 
 

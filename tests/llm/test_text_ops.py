@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from shelfmark.llm import decontam, ngram_join, quality, queries, secrets, words
+from shelfmark.llm import decontam, ngram_join, quality, secrets, words
 
 from .docs import LONG, awkward, empty
 
@@ -170,7 +170,7 @@ def test_quality_edges_and_separation(spark, sf):
     assert all(r["accepted"] == bool(r["n_symbols"]) for r in untrained)
     big = sf.replace("sf0.001", "sf0.01")
     docs, labels = spark.read.parquet(big + "/documents.parquet"), spark.read.parquet(big + "/labels.parquet")
-    out = quality.classify(docs, queries.trusted_ids(labels)).join(labels, "doc_id").groupBy("quality").agg(F.avg(F.col("accepted").cast("int")).alias("a")).collect()
+    out = quality.classify(docs, quality.trusted_ids(labels)).join(labels, "doc_id").groupBy("quality").agg(F.avg(F.col("accepted").cast("int")).alias("a")).collect()
     kept = {r["quality"]: r["a"] for r in out}
     assert kept[1] > 0.95 and kept[0] < 0.4
 
