@@ -30,6 +30,8 @@ from .words import NON_SPACE, chunks, hash_words, mix, text_bytes
 
 WIDTH, PERCENT = 5, 75
 BLOCK_CHARS = 4 << 20
+#: So many times more leaders in each next round: few rounds, and pairs in proportion to the rows left.
+LEADER_GROWTH = 32
 SHARDS = 512
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], dtype=np.uint64)
 
@@ -243,7 +245,7 @@ def link_components(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
             comp = checkpoint(old.unionByName(found.join(comp, "node", "left_anti")))
         rows = table(cur.join(leaders.select("token", "row_id"), ["token", "row_id"], "left_anti").drop("comp"), "prefixes")
         tables.append(rows)
-        leaders_per_bucket *= 8
+        leaders_per_bucket *= LEADER_GROWTH
     for t in tables:
         drop_table(t)
     return comp if comp is not None else sets.select(F.col("row_id").alias("node"), F.col("row_id").alias("component")).limit(0)
