@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from shelfmark.operators.inventory import latest_by_key
 
@@ -22,7 +22,7 @@ def read_index(spark: SparkSession, path: str, schema: StructType, key: str, ord
 
     Without an ``order`` column in the data, lines count in the order of files and lines.
     """
-    raw = spark.read.schema(schema.add(CORRUPT, StringType()) if CORRUPT not in schema.fieldNames() else schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).json(path)
+    raw = spark.read.schema(StructType([*[f for f in schema.fields if f.name != CORRUPT], StructField(CORRUPT, StringType())])).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).json(path)
     rows = raw.withColumn("__line", F.monotonically_increasing_id()).where(F.col(CORRUPT).isNull() & F.col(key).isNotNull() & (F.col(key).cast("string") != "")).drop(CORRUPT)
     by = order if order in raw.columns else "__line"
     return latest_by_key(rows, key, by, "__line").drop("__line")
