@@ -55,8 +55,10 @@ def lower_ascii(col):
     return F.translate(col, UPPER, LOWER)
 
 
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+def compact(df: DataFrame, rows: int, per: int = 100_000) -> DataFrame:
+    """Narrow rows in as many partitions as their number calls for, so that small frames of an
+    iteration do not run hundreds of empty tasks each time."""
+    return df.coalesce(max(1, -(-rows // per)))
 
 
 def text_column(docs: DataFrame, name: str):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpoint
+from .common import checkpoint, compact
 
 
 def connected_components(links: DataFrame) -> DataFrame:
@@ -17,24 +17,25 @@ def connected_components(links: DataFrame) -> DataFrame:
     the nodes. Nothing but counts comes to the driver.
     """
     links = checkpoint(links.select("a", "b").where("a <> b").distinct())
-    labels = None
-    while not links.isEmpty():
+    labels, n = None, links.count()
+    while n:
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        roots = checkpoint(both.groupBy(F.col("a").alias("node")).agg(F.least(F.first("a"), F.min("b")).alias("root")))
+        roots = checkpoint(compact(both.groupBy(F.col("a").alias("node")).agg(F.least(F.first("a"), F.min("b")).alias("root")), n))
         while True:
             up = roots.select(F.col("node").alias("root"), F.col("root").alias("up"))
-            step = checkpoint(roots.join(up, "root").select("node", F.col("up").alias("root"), (F.col("up") != F.col("root")).alias("moved")))
+            step = checkpoint(compact(roots.join(up, "root").select("node", F.col("up").alias("root"), (F.col("up") != F.col("root")).alias("moved")), n))
             roots = step.select("node", "root")
             if step.where("moved").isEmpty():
                 break
         if labels is None:
-            labels = roots.withColumnRenamed("root", "component")
+            labels, most = roots.withColumnRenamed("root", "component"), 2 * n
         else:
             on = roots.withColumnsRenamed({"node": "component", "root": "up"})
-            labels = checkpoint(labels.join(on, "component", "left").select("node", F.coalesce("up", "component").alias("component")))
+            labels = checkpoint(compact(labels.join(on, "component", "left").select("node", F.coalesce("up", "component").alias("component")), most))
         for end in ("a", "b"):
             links = links.join(roots.withColumnRenamed("node", end), end).drop(end).withColumnRenamed("root", end)
-        links = checkpoint(links.select("a", "b").where("a <> b").distinct())
+        links = checkpoint(compact(links.select("a", "b").where("a <> b").distinct(), n))
+        n = links.count()
     if labels is None:
         return links.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return labels

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import checkpoint, drop_table, table, text_column
+from .common import checkpoint, compact, drop_table, table, text_column
 from .components import connected_components
 from .words import NON_SPACE, chunks, hash_words, mix, text_bytes
 
@@ -209,15 +209,16 @@ def link_components(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     p = F.lit(percent)
     prefix = sets.select("row_id", "n", F.posexplode(F.slice("tokens", 1, F.col("n_prefix"))).alias("pos", "token"), "n_single")
     rows = table(prefix.select("token", "row_id", "n", (F.col("pos") + F.col("n_single")).alias("pos")), "prefixes")
-    tables, comp, seen, leaders_per_bucket = [rows], None, None, 1
+    tables, comp, seen, leaders_per_bucket, n = [rows], None, None, 1, rows.count()
     while True:
         cur = rows.withColumn("comp", F.col("row_id")) if comp is None else rows.join(comp.withColumnsRenamed({"node": "row_id", "component": "comp"}), "row_id", "left").withColumn("comp", F.coalesce("comp", "row_id"))
         mixed = cur.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("token")
-        cur = checkpoint(cur.join(mixed, "token"))
-        if cur.isEmpty():
+        cur = checkpoint(compact(cur.join(mixed, "token"), n))
+        n = cur.count()
+        if not n:
             break
         ranked = cur.withColumn("k", F.row_number().over(Window.partitionBy("token").orderBy("row_id", "pos")))
-        leaders = checkpoint(ranked.where(F.col("k") <= leaders_per_bucket).drop("k"))
+        leaders = checkpoint(compact(ranked.where(F.col("k") <= leaders_per_bucket).drop("k"), n))
         a, b = leaders.alias("a"), cur.alias("b")
         need = F.ceil(p * (F.col("a.n") + F.col("b.n")) / (p + 100))
         pairs = a.join(
@@ -227,11 +228,11 @@ def link_components(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
             & (F.least(F.col("a.n") - F.col("a.pos"), F.col("b.n") - F.col("b.pos")) >= need),
         )
         pairs = pairs.select(F.col("a.row_id").alias("a"), F.col("b.row_id").alias("b")).distinct()
-        pairs = checkpoint(pairs if seen is None else pairs.join(seen, ["a", "b"], "left_anti"))
+        pairs = checkpoint(compact(pairs if seen is None else pairs.join(seen, ["a", "b"], "left_anti"), n))
         seen = pairs if seen is None else seen.unionByName(pairs)
         full = pairs
-        for end, tokens, n in (("a", "x", "nx"), ("b", "y", "ny")):
-            full = full.join(sets.select(F.col("row_id").alias(end), F.col("tokens").alias(tokens), F.col("n").alias(n)), end)
+        for end, tokens, size in (("a", "x", "nx"), ("b", "y", "ny")):
+            full = full.join(sets.select(F.col("row_id").alias(end), F.col("tokens").alias(tokens), F.col("n").alias(size)), end)
         links = checkpoint(full.mapInArrow(_verify(percent), "a long, b long"))
         if comp is not None:  # links between the components found so far
             for end in ("a", "b"):
@@ -242,8 +243,8 @@ def link_components(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
         else:
             up = found.select(F.col("node").alias("component"), F.col("component").alias("up"))
             old = comp.join(up, "component", "left").select("node", F.coalesce("up", "component").alias("component"))
-            comp = checkpoint(old.unionByName(found.join(comp, "node", "left_anti")))
-        rows = table(cur.join(leaders.select("token", "row_id"), ["token", "row_id"], "left_anti").drop("comp"), "prefixes")
+            comp = checkpoint(compact(old.unionByName(found.join(comp, "node", "left_anti")), comp.count() + found.count()))
+        rows = table(compact(cur.join(leaders.select("token", "row_id"), ["token", "row_id"], "left_anti").drop("comp"), n), "prefixes")
         tables.append(rows)
         leaders_per_bucket *= LEADER_GROWTH
     for t in tables:

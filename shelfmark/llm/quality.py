@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import checkpoint, table, text_column
+from .common import checkpoint, compact, table, text_column
 
 ORDER = 5
 #: A symbol has 12 bits: code points below 3,072 are themselves (digits count as 0), the others share 1,024 symbols.
@@ -110,9 +110,10 @@ def gram_scores(counts: DataFrame, order: int = ORDER) -> DataFrame:
     counts of counts, and are 0 where there are none. The lowest order falls back on equal
     shares of all symbols, so that p is never 0.
     """
-    levels = {order: checkpoint(counts.where("c > 0"))}
+    n = counts.count()
+    levels = {order: checkpoint(compact(counts.where("c > 0"), n))}
     for k in range(order - 1, 0, -1):
-        levels[k] = checkpoint(levels[k + 1].groupBy(_suffix("gram", k).alias("gram")).agg(F.count("*").alias("c")))
+        levels[k] = checkpoint(compact(levels[k + 1].groupBy(_suffix("gram", k).alias("gram")).agg(F.count("*").alias("c")), n))
     stats = None
     for k, level in levels.items():
         one = level.agg(F.lit(k).alias("k"), *[F.count(F.when(F.col("c") == i, 1)).alias(f"n{i}") for i in (1, 2, 3, 4)])
@@ -125,7 +126,7 @@ def gram_scores(counts: DataFrame, order: int = ORDER) -> DataFrame:
         discounts[r["k"]] = [min(max(d, 0.0), float(i)) for i, d in enumerate(raw, 1)]
     needed = {order: counts.select("gram")}
     for k in range(order - 1, 0, -1):
-        needed[k] = checkpoint(needed[k + 1].select(_suffix("gram", k).alias("gram")).distinct())
+        needed[k] = checkpoint(compact(needed[k + 1].select(_suffix("gram", k).alias("gram")).distinct(), n))
     below = None
     for k in range(1, order + 1):
         d1, d2, d3 = discounts[k]
@@ -140,7 +141,7 @@ def gram_scores(counts: DataFrame, order: int = ORDER) -> DataFrame:
         else:
             got = got.withColumn("low", _suffix("gram", k - 1)).join(below, "low")
         p = F.when(F.col("total").isNull(), F.col("q")).otherwise((c - off) / F.col("total") + F.col("gamma") * F.col("q"))
-        got = checkpoint(got.select("gram", p.alias("q")))
+        got = checkpoint(compact(got.select("gram", p.alias("q")), n))
         below = got.withColumnRenamed("gram", "low")
     return got.select("gram", F.col("q").alias("p"))
 
