@@ -13,7 +13,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from shelfmark.operators.inventory import latest_by_key
 
-POINTER = "_CURRENT"
+POINTER = "CURRENT.txt"
 CORRUPT = "_corrupt_record"
 
 
