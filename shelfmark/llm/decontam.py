@@ -23,6 +23,7 @@ BLOCK_PHRASES = 100_000
 #: Up to so many terms the index can be restricted to a vocabulary that tasks hold (8 bytes each).
 VOCABULARY_TERMS = 1_000_000
 _STEP = 1 << 21  # candidates that are intersected at a time
+_SLICE_WORDS = 1 << 19  # words of the documents that are searched at a time
 _INDEX = "row_id long, doc_id {}, n_words long, terms array<long>, counts array<int>, positions array<int>"
 
 
@@ -163,7 +164,8 @@ _HITS = "row_id long, spans array<struct<start:int,end:int>>, items array<string
 def _hits(block, slop: int):
     def run(batches):
         b = block.value
-        for batch in batches:
+        for whole, i, j in ((w, i, j) for w in batches for i, j in chunks(np.cumsum(np.append(0, w.column("n_words").to_numpy())), _SLICE_WORDS)):
+            batch = whole.slice(i, j - i)
             n = batch.num_rows
             n_words = batch.column("n_words").to_numpy(zero_copy_only=False)
             flat = {c: batch.column(c).flatten().to_numpy(zero_copy_only=False) for c in ("terms", "counts", "positions")}
