@@ -5,8 +5,10 @@ in the order of the sides they lie on of random planes. Then each round joins th
 one another and keeps the best of each node's old and new neighbours. Rounds go on until
 they find no more pairs over the threshold; an audit against brute force on a bounded
 sample then decides whether a larger graph is needed. A node whose list is full of such
-pairs may have more: lists like that are enlarged to their whole component, which is
-compared exactly in blocks. All cosines are taken in double precision.
+pairs may have more: lists like that are enlarged to their whole component and to all other
+such components that a bound from centres and radii does not keep apart, which are
+compared exactly in blocks. Only lists that are full can lack a link for want of room, and a link
+lacks room at both its ends, so no other components need this. All cosines are taken in double precision.
 """
 
 from __future__ import annotations
@@ -130,18 +132,55 @@ def _local_join(kind: str, k: int):
     return run
 
 
+def _balls(kind: str):
+    def run(key, rows):
+        """Centre of the vectors of a part of a component, and the largest angle from it."""
+        x = _unit(rows.column("vec"), kind)
+        centre = x.mean(axis=0)
+        centre = centre / np.sqrt(centre @ centre) if (centre @ centre) > 1e-12 else x[0]
+        radius = float(np.arccos(np.clip(x @ centre, -1, 1)).max())
+        return pa.table({"component": [key[0].as_py()], "part": pa.array([key[1].as_py()], pa.int32()), "vec": pa.array([centre.astype("<f8").tobytes()], pa.binary()), "radius": [radius]})
+
+    return run
+
+
+def _near_balls(threshold: float):
+    def run(key, rows):
+        """Pairs of components that can hold a link, of one pair of groups of balls."""
+        i, j = key[0].as_py(), key[1].as_py()
+        group, component, radius = (rows.column(c).to_numpy() for c in ("group", "component", "radius"))
+        x = _unit(rows.column("vec"), "<f8")
+        a, b = np.flatnonzero(group == i), np.flatnonzero(group == j)
+        apart = np.arccos(np.clip(x[a] @ x[b].T, -1, 1)) - radius[a][:, None] - radius[b][None, :]
+        p, q = np.nonzero((apart <= math.acos(threshold) + 1e-6) & (component[a][:, None] < component[b][None, :]))
+        back_p, back_q = np.nonzero((apart <= math.acos(threshold) + 1e-6) & (component[a][:, None] > component[b][None, :]))
+        return pa.table({"a": np.concatenate([component[a][p], component[b][back_q]]), "b": np.concatenate([component[b][q], component[a][back_p]])})
+
+    return run
+
+
 def _compare_blocks(kind: str, threshold: float):
     def run(key, rows):
-        """Links of each node of one pair of blocks, weighted by copies; a block with itself counts each pair twice, as it should."""
+        """Links of each node of one pair of blocks, weighted by copies; a block with itself counts each pair twice, as it should.
+        Rows without a node are pairs of components with a link."""
         i, j = key[1].as_py(), key[2].as_py()
         block, node, n = rows.column("block").to_numpy(), rows.column("node").to_numpy(), rows.column("n").to_numpy()
         x = _unit(rows.column("vec"), kind)
         a, b = np.flatnonzero(block == i), np.flatnonzero(block == j)
         hit = x[a] @ x[b].T >= threshold
+        comps, at = np.unique(rows.column("component").to_numpy(), return_inverse=True)
+        joined = np.zeros((2, 0), np.int64)
+        if len(comps) > 1:
+            joined = np.array(np.divmod(np.unique((at[a][:, None] * len(comps) + at[b][None, :])[hit]), len(comps)))
+            joined = comps[joined[:, joined[0] != joined[1]]]
         if i == j:
             np.fill_diagonal(hit, False)
-            return pa.table({"node": node[a], "links": (hit @ n[b]).astype(np.int64)})
-        return pa.table({"node": np.concatenate([node[a], node[b]]), "links": np.concatenate([hit @ n[b], hit.T @ n[a]]).astype(np.int64)})
+            ids, links = node[a], hit @ n[b]
+        else:
+            ids, links = np.concatenate([node[a], node[b]]), np.concatenate([hit @ n[b], hit.T @ n[a]])
+        none = pa.nulls(joined.shape[1], pa.int64())
+        side = [pa.concat_arrays([pa.nulls(len(ids), pa.int64()), pa.array(c, pa.int64())]) for c in joined]
+        return pa.table({"node": pa.concat_arrays([pa.array(ids, pa.int64()), none]), "links": pa.concat_arrays([pa.array(links.astype(np.int64)), none]), "a": side[0], "b": side[1]})
 
     return run
 
@@ -183,6 +222,20 @@ class _Graph:
         near = self.edges.where(F.col("sim") >= self.threshold)
         return near.select(F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b")).distinct()
 
+    def reach(self, comp: DataFrame, dense: DataFrame) -> DataFrame:
+        """(component, reach) of dense components: those of one reach may hold links with each other, those of two cannot."""
+        dense = checkpoint(dense)
+        member = comp.join(dense, "component")
+        parts = member.groupBy("component").agg(F.ceil(F.count("*") / BLOCK_NODES).alias("parts"))
+        dealt = member.join(parts, "component").join(self.nodes, "node").select("component", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"), "vec")
+        balls = checkpoint(dealt.groupBy("component", "part").applyInArrow(_balls(self.kind), "component long, part int, vec binary, radius double"))
+        groups = max(1, math.ceil(balls.count() / BLOCK_NODES))
+        balls = balls.withColumn("group", F.pmod(F.xxhash64("component", "part"), F.lit(groups)).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+        balls = balls.select(F.least("group", "other").alias("i"), F.greatest("group", "other").alias("j"), "group", "component", "radius", "vec")
+        near = connected_components(balls.groupBy("i", "j").applyInArrow(_near_balls(self.threshold), "a long, b long"))
+        near = near.select(F.col("node").alias("component"), F.col("component").alias("reach"))
+        return checkpoint(dense.join(near, "component", "left").withColumn("reach", F.coalesce("reach", "component")))
+
     def true_links(self) -> DataFrame:
         """All links (q, node) of the AUDIT_NODES nodes whose hashes are smallest, by brute force."""
         sample = self.nodes.orderBy(F.xxhash64("node")).limit(AUDIT_NODES).select("node", "vec").toArrow()
@@ -201,7 +254,7 @@ class _Graph:
 
 
 def neighbours(nodes: DataFrame, dim: int, kind: str, threshold: float) -> tuple[DataFrame, DataFrame, DataFrame, float]:
-    """(links, component of each linked node, dense components, audited recall) of nodes (node, vec, n)."""
+    """(links, component of each linked node, dense components with their reach, audited recall) of nodes (node, vec, n)."""
     count = nodes.count()
     graph = _Graph(nodes, count, dim, kind, threshold)
     truth, k = checkpoint(graph.true_links()), NEIGHBOURS
@@ -217,13 +270,13 @@ def neighbours(nodes: DataFrame, dim: int, kind: str, threshold: float) -> tuple
         links = checkpoint(graph.links())
         comp = connected_components(links)
         full = graph.edges.groupBy("src").agg(F.count("*").alias("n"), F.min("sim").alias("worst")).where((F.col("n") >= k) & (F.col("worst") >= threshold))
-        dense = checkpoint(comp.join(full.select(F.col("src").alias("node")), "node").select("component").distinct())
-        # found: a link of the graph, or both ends in one component that is compared exactly
+        dense = graph.reach(comp, comp.join(full.select(F.col("src").alias("node")), "node").select("component").distinct())
+        # found: a link of the graph, or both ends among components that are compared exactly with each other
         ends = truth.withColumns({"a": F.least("q", "node"), "b": F.greatest("q", "node")})
         inside = comp.join(dense, "component")
         ends = ends.join(links.withColumn("linked", F.lit(True)), ["a", "b"], "left")
         for end in ("a", "b"):
-            ends = ends.join(inside.select(F.col("node").alias(end), F.col("component").alias(f"c{end}")), end, "left")
+            ends = ends.join(inside.select(F.col("node").alias(end), F.col("reach").alias(f"c{end}")), end, "left")
         found = F.coalesce(F.col("linked"), F.lit(False)) | F.coalesce(F.col("ca") == F.col("cb"), F.lit(False))
         recall = ends.groupBy("q").agg(F.avg(found.cast("double")).alias("share")).agg(F.avg("share")).first()[0]
         recall = 1.0 if recall is None else recall
@@ -258,12 +311,14 @@ def near_duplicates(vectors: DataFrame, *, vec_id: str = "vec_id", vector: str =
     weights = classes.select(F.col("node").alias("b"), "n")
     counts = both.join(weights, "b").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("links"))
     member = comp.join(dense, "component")
-    blocks = member.groupBy("component").agg(F.ceil(F.count("*") / BLOCK_NODES).alias("blocks"))
-    dealt = member.join(blocks, "component").join(nodes, "node").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    blocks = member.groupBy("reach").agg(F.ceil(F.count("*") / BLOCK_NODES).alias("blocks"))
+    dealt = member.join(blocks, "reach").join(nodes, "node").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     paired = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks").cast("int") - 1)))
-    paired = paired.select("component", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "n", "vec")
-    exact = paired.groupBy("component", "i", "j").applyInArrow(_compare_blocks(kind, threshold), "node long, links long")
-    counts = counts.unionByName(exact.groupBy("node").agg(F.sum("links").alias("links")))
+    paired = paired.select("reach", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "component", "node", "n", "vec")
+    exact = checkpoint(paired.groupBy("reach", "i", "j").applyInArrow(_compare_blocks(kind, threshold), "node long, links long, a long, b long"))
+    counts = counts.unionByName(exact.where("node is not null").groupBy("node").agg(F.sum("links").alias("links")))
+    joined = connected_components(exact.where("node is null").select("a", "b")).select(F.col("node").alias("component"), F.col("component").alias("joined"))
+    comp = comp.join(joined, "component", "left").select("node", F.coalesce("joined", "component").alias("component"))
 
     named = classes.join(comp, "node", "left").join(counts, "node", "left").withColumn("component", F.coalesce("component", "node"))
     ids = named.groupBy("component").agg(F.min("first_id").alias("component_id"))

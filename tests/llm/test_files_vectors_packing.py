@@ -104,6 +104,19 @@ def test_embedding_dedup_against_brute_force(spark):
     assert all(r["n_links"] == 0 for r in embedding_dedup.near_duplicates(df.where("vec_id >= 600")).collect())
 
 
+def test_tight_groups_are_joined_by_the_links_between_them(spark):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(5200, 32))
+    x[1::2] = x[::2] + rng.normal(scale=0.05, size=(2600, 32))  # pairs, so that the audit's average is good
+    near = x[0] + np.repeat(rng.normal(scale=0.17, size=(4, 32)), 24, axis=0)
+    x = np.concatenate([x[2:], near + rng.normal(scale=0.01, size=(96, 32))]).astype(np.float32)  # sub-groups of 24 that fill each other's lists
+    unit = x[-96:].astype(float) / np.linalg.norm(x[-96:].astype(float), axis=1, keepdims=True)
+    assert (unit @ unit.T >= 0.95).all()
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<float>")
+    got = embedding_dedup.near_duplicates(df).where(F.col("vec_id") >= len(x) - 96).collect()
+    assert {(r["n_links"], r["component_id"]) for r in got} == {(95, len(x) - 96)}
+
+
 def test_tokens_equal_the_named_tokenizer(spark):
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     tokenizer.encode_special_tokens = True
