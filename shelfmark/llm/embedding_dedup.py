@@ -3,8 +3,8 @@
 Equal vectors are one node. A first neighbour graph comes from short stretches of the nodes
 in the order of the sides they lie on of random planes. Then each round joins the neighbours of every node with
 one another and keeps the best of each node's old and new neighbours. Rounds go on until
-they find no more pairs over the threshold; an audit against brute force on a bounded
-sample then decides whether a larger graph is needed. A node whose list is full of such
+they find no more pairs over the threshold and hardly change a list; an audit against brute
+force, on a sample with enough true links, then decides whether a larger graph is needed. A node whose list is full of such
 pairs may have more: lists like that are enlarged to their whole component and to all other
 such components that a bound from centres and radii does not keep apart, which are
 compared exactly in blocks. Only lists that are full can lack a link for want of room, and a link
@@ -14,6 +14,7 @@ lacks room at both its ends, so no other components need this. All cosines are t
 from __future__ import annotations
 
 import math
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -26,9 +27,13 @@ from .components import connected_components
 
 THRESHOLD = 0.95
 #: Neighbours of a node; orders of a first graph; nodes of a stretch; rounds at most.
-NEIGHBOURS, ORDERS, STRETCH, ROUNDS = 8, 6, 64, 8
-#: The audit: sampled nodes, the share of a node's true links that must be found on average, graphs tried at most.
+NEIGHBOURS, ORDERS, STRETCH, ROUNDS = 8, 6, 64, 16
+#: More orders are taken, up to so many, until a pair at the threshold is split by all of them with this chance at most; rounds end when fewer of the entries change.
+SEED_MISS, SETTLED, ORDERS_MOST = 0.02, 0.01, 64
+#: The audit: nodes of a step, the share of a node's true links that must be found on average, graphs tried at most.
 AUDIT_NODES, AUDIT_RECALL, GRAPHS = 1024, 0.98, 4
+#: Steps are taken until so many true links are seen, or so many nodes.
+AUDIT_LINKS, AUDIT_MOST = 1000, 65_536
 #: Nodes of a block when a component is compared exactly; of a task when neighbours are joined.
 BLOCK_NODES, TASK_NODES = 512, 512
 _EDGES = "src long, dst long, sim double"
@@ -191,6 +196,15 @@ def _top(edges: DataFrame, k: int) -> DataFrame:
     return best.withColumn("k", F.row_number().over(w)).where(F.col("k") <= k).drop("k")
 
 
+class Audit(NamedTuple):
+    """Average share of true links found (none seen: None), true links seen, nodes looked at, whether these are all."""
+
+    recall: float | None
+    links: int
+    nodes: int
+    whole: bool
+
+
 class _Graph:
     """A neighbour graph over nodes (node, vec, n)."""
 
@@ -201,14 +215,16 @@ class _Graph:
     def seed(self, orders: int, k: int, seed: int) -> None:
         """So many planes that their cells hold about half a stretch each."""
         planes = max(1, math.ceil(math.log2(max(self.count, 1) * 2 / STRETCH)))
+        same = (1 - math.acos(min(1.0, max(-1.0, self.threshold))) / math.pi) ** planes  # a pair at the threshold in one cell
+        orders = max(orders, min(ORDERS_MOST, math.ceil(math.log(SEED_MISS) / math.log1p(-same)) if same < 1 else 1))
         normals = np.random.default_rng(seed).standard_normal((orders, planes + 1, self.dim))
         placed = self.nodes.select("node", "vec").mapInArrow(_project(normals, self.kind), "r int, bits long, key double, node long, vec binary")
         by = ("r", "bits", "key", "node")
         found = placed.repartitionByRange(*by).sortWithinPartitions(*by).mapInArrow(_stretches(self.kind, max(2, k // 2)), _EDGES)
         self.edges = checkpoint(_top(found if self.edges is None else found.unionByName(self.edges), k))
 
-    def refine(self, k: int) -> None:
-        """One round: neighbours of each node, in either direction, are joined with one another."""
+    def refine(self, k: int) -> bool:
+        """One round: neighbours of each node, in either direction, are joined with one another. Whether lists changed."""
         back = self.edges.select(F.col("dst").alias("v"), F.col("src").alias("u"), "sim")
         w = Window.partitionBy("v").orderBy(F.desc("sim"), "u")
         back = back.withColumn("k", F.row_number().over(w)).where(F.col("k") <= k).select("v", "u")
@@ -216,7 +232,10 @@ class _Graph:
         rows = around.join(self.nodes.select(F.col("node").alias("u"), "vec"), "u")
         tasks = max(1, self.count // TASK_NODES)
         found = rows.withColumn("g", F.pmod(F.xxhash64("v"), F.lit(tasks))).groupBy("g").applyInArrow(_local_join(self.kind, max(2, k // 3)), _EDGES)
-        self.edges = checkpoint(_top(found.unionByName(self.edges), k))
+        old = self.edges
+        self.edges = checkpoint(_top(found.unionByName(old), k))
+        changed = self.edges.join(old.select("src", "dst"), ["src", "dst"], "left_anti").count()
+        return changed > SETTLED * self.count * k
 
     def links(self) -> DataFrame:
         near = self.edges.where(F.col("sim") >= self.threshold)
@@ -236,9 +255,19 @@ class _Graph:
         near = near.select(F.col("node").alias("component"), F.col("component").alias("reach"))
         return checkpoint(dense.join(near, "component", "left").withColumn("reach", F.coalesce("reach", "component")))
 
-    def true_links(self) -> DataFrame:
-        """All links (q, node) of the AUDIT_NODES nodes whose hashes are smallest, by brute force."""
-        sample = self.nodes.orderBy(F.xxhash64("node")).limit(AUDIT_NODES).select("node", "vec").toArrow()
+    def true_links(self) -> tuple[DataFrame, Audit]:
+        """All links (q, node) of nodes chosen by their hashes, by brute force, until AUDIT_LINKS are seen; what was looked at."""
+        steps, step, seen, looked, found = max(1, self.count // AUDIT_NODES), 0, 0, 0, None
+        while step < steps and (step == 0 or (seen < AUDIT_LINKS and looked < AUDIT_MOST)):
+            upto = min(steps, step + max(1, min(step, 4)))  # a few thousand nodes at once
+            some = self.nodes.where(F.pmod(F.xxhash64("node"), F.lit(steps)).between(step, upto - 1))
+            sample = some.select("node", "vec").toArrow()
+            part = checkpoint(self._links_of(sample))
+            found = part if found is None else found.unionByName(part)
+            seen, looked, step = seen + part.count(), looked + sample.num_rows, upto
+        return found, Audit(None, seen, looked, step >= steps)
+
+    def _links_of(self, sample: pa.Table) -> DataFrame:
         ids, x = sample.column("node").to_numpy(), _unit(sample.column("vec"), self.kind)
         held, kind, threshold = self.nodes.sparkSession.sparkContext.broadcast((ids, x)), self.kind, self.threshold
 
@@ -246,27 +275,33 @@ class _Graph:
             ids, x = held.value
             for batch in batches:
                 node = batch.column("node").to_numpy()
-                i, j = np.nonzero(_unit(batch.column("vec"), kind) @ x.T >= threshold)
-                other = node[i] != ids[j]
-                yield pa.RecordBatch.from_arrays([pa.array(ids[j][other]), pa.array(node[i][other])], ["q", "node"])
+                y = _unit(batch.column("vec"), kind)
+                for s in range(0, len(ids), AUDIT_NODES):
+                    i, j = np.nonzero(y @ x[s : s + AUDIT_NODES].T >= threshold)
+                    other = node[i] != ids[s + j]
+                    yield pa.RecordBatch.from_arrays([pa.array(ids[s + j][other]), pa.array(node[i][other])], ["q", "node"])
 
         return self.nodes.select("node", "vec").mapInArrow(run, "q long, node long")
 
 
-def neighbours(nodes: DataFrame, dim: int, kind: str, threshold: float) -> tuple[DataFrame, DataFrame, DataFrame, float]:
-    """(links, component of each linked node, dense components with their reach, audited recall) of nodes (node, vec, n)."""
+def neighbours(nodes: DataFrame, dim: int, kind: str, threshold: float) -> tuple[DataFrame, DataFrame, DataFrame, Audit]:
+    """(links, component of each linked node, dense components with their reach, audit) of nodes (node, vec, n).
+
+    Where the audit saw few true links of a larger table, graphs are added until one brings no more links.
+    """
     count = nodes.count()
     graph = _Graph(nodes, count, dim, kind, threshold)
-    truth, k = checkpoint(graph.true_links()), NEIGHBOURS
+    (truth, audit), k, last = graph.true_links(), NEIGHBOURS, -1
     for attempt in range(GRAPHS):
         graph.seed(ORDERS, k, seed=attempt)
         before = graph.links().count()
         for _ in range(ROUNDS):
-            graph.refine(k)
+            changed = graph.refine(k)
             now = graph.links().count()
-            if now <= before:
+            if now <= before and not changed:
                 break
             before = now
+        now = max(now, before)
         links = checkpoint(graph.links())
         comp = connected_components(links)
         full = graph.edges.groupBy("src").agg(F.count("*").alias("n"), F.min("sim").alias("worst")).where((F.col("n") >= k) & (F.col("worst") >= threshold))
@@ -279,11 +314,14 @@ def neighbours(nodes: DataFrame, dim: int, kind: str, threshold: float) -> tuple
             ends = ends.join(inside.select(F.col("node").alias(end), F.col("reach").alias(f"c{end}")), end, "left")
         found = F.coalesce(F.col("linked"), F.lit(False)) | F.coalesce(F.col("ca") == F.col("cb"), F.lit(False))
         recall = ends.groupBy("q").agg(F.avg(found.cast("double")).alias("share")).agg(F.avg("share")).first()[0]
-        recall = 1.0 if recall is None else recall
-        if recall >= AUDIT_RECALL:
+        audit = audit._replace(recall=recall)
+        low = recall is not None and recall < AUDIT_RECALL
+        if not low and (audit.whole or audit.links >= AUDIT_LINKS or now <= last):
             break
-        k *= 2
-    return links, comp, dense, recall
+        last = now
+        if low:
+            k *= 2
+    return links, comp, dense, audit
 
 
 def near_duplicates(vectors: DataFrame, *, vec_id: str = "vec_id", vector: str = "embedding", threshold: float = THRESHOLD) -> DataFrame:
@@ -293,7 +331,8 @@ def near_duplicates(vectors: DataFrame, *, vec_id: str = "vec_id", vector: str =
     non-finite component link with nothing, nor do those whose length is not the table's most
     common one (of equally common ones, the smallest). Rows with equal vectors are linked with
     each other and share all links. Repeated ids are rows of their own; a null id never names
-    a component that has another id and is never kept. An empty table stays empty.
+    a component that has another id and is never kept. An empty table stays empty. Raises a
+    RuntimeError where the audit finds too few of the true links after all graphs.
     """
     kind = "<f8" if "double" in vectors.schema[vector].dataType.simpleString() else "<f4"
     raw = vectors.select(F.monotonically_increasing_id().alias("row_id"), vectors[f"`{vec_id}`"].alias("vec_id"), vectors[f"`{vector}`"].alias("vector"))
@@ -304,7 +343,9 @@ def near_duplicates(vectors: DataFrame, *, vec_id: str = "vec_id", vector: str =
     keyed = rows.withColumn("key", F.when(valid, F.md5("vec")))
     classes = checkpoint(keyed.where("key is not null").groupBy("key").agg(F.min("row_id").alias("node"), F.min("vec_id").alias("first_id"), F.count("*").alias("n")))
     nodes = table(rows.select(F.col("row_id").alias("node"), "vec").join(classes.select("node", "n"), "node"), "distinct-vectors")
-    links, comp, dense, _ = neighbours(nodes, size // int(kind[-1]), kind, threshold)
+    links, comp, dense, audit = neighbours(nodes, size // int(kind[-1]), kind, threshold)
+    if audit.recall is not None and audit.recall < AUDIT_RECALL:
+        raise RuntimeError(f"of the true links of {audit.nodes} nodes, {audit.links}, a share of only {audit.recall:.4f} was found; {AUDIT_RECALL} is needed")
 
     sparse = links.join(comp.withColumnRenamed("node", "a"), "a").join(dense, "component", "left_anti").select("a", "b")
     both = sparse.unionByName(sparse.select(F.col("b").alias("a"), F.col("a").alias("b")))

@@ -117,6 +117,20 @@ def test_tight_groups_are_joined_by_the_links_between_them(spark):
     assert {(r["n_links"], r["component_id"]) for r in got} == {(95, len(x) - 96)}
 
 
+def test_audit_needs_true_links_and_fails_aloud(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(3000, 16)).astype("<f4")
+    x[2999] = x[0] + 0.001  # one pair: a sample of a third of the nodes need not see it
+    nodes = spark.createDataFrame([(k, v.tobytes(), 1) for k, v in enumerate(x)], "node long, vec binary, n long")
+    links, _, _, audit = embedding_dedup.neighbours(nodes, 16, "<f4", 0.99)
+    assert audit == (1.0, 2, 3000, True) and [(r["a"], r["b"]) for r in links.collect()] == [(0, 2999)]
+    monkeypatch.setattr(embedding_dedup, "AUDIT_RECALL", 1.01)
+    monkeypatch.setattr(embedding_dedup, "GRAPHS", 1)
+    df = spark.createDataFrame([(0, x[0].tolist()), (1, x[2999].tolist())], "vec_id long, embedding array<float>")
+    with pytest.raises(RuntimeError, match="share of only 1.0000"):
+        embedding_dedup.near_duplicates(df)
+
+
 def test_tokens_equal_the_named_tokenizer(spark):
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     tokenizer.encode_special_tokens = True
