@@ -11,6 +11,10 @@
    group of copies grows with its size and not with its square, and no link between
    components is missed.
 5. A pair passes the suffix filter or is dropped, and is verified once.
+
+``jaccard_join`` gives all links besides: there each pair that the filters leave is verified, within
+components too. Copies stay one set with a weight, but a group of different near copies costs
+the square of its size, as its links are so many.
 """
 
 from __future__ import annotations
@@ -204,11 +208,39 @@ def _verify(percent: int):
     return run
 
 
+def _prefixes(sets: DataFrame) -> DataFrame:
+    prefix = sets.select("row_id", "n", F.posexplode(F.slice("tokens", 1, F.col("n_prefix"))).alias("pos", "token"), "n_single")
+    return table(prefix.select("token", "row_id", "n", (F.col("pos") + F.col("n_single")).alias("pos")), "prefixes")
+
+
+def _may_link(percent: int):
+    """The length and positional filters of rows a and b of one bucket, each pair once."""
+    need = F.ceil(F.lit(percent) * (F.col("a.n") + F.col("b.n")) / (percent + 100))
+    return (
+        (F.col("a.token") == F.col("b.token")) & (F.col("a.row_id") < F.col("b.row_id"))
+        & (100 * F.least("a.n", "b.n") >= percent * F.greatest("a.n", "b.n"))
+        & (F.least(F.col("a.n") - F.col("a.pos"), F.col("b.n") - F.col("b.pos")) >= need)
+    )
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    for end, tokens, size in (("a", "x", "nx"), ("b", "y", "ny")):
+        pairs = pairs.join(sets.select(F.col("row_id").alias(end), F.col("tokens").alias(tokens), F.col("n").alias(size)), end)
+    return checkpoint(pairs.mapInArrow(_verify(percent), "a long, b long"))
+
+
+def link_pairs(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """All links (a, b), a < b, over ``row_id`` of rows with distinct sets."""
+    rows = _prefixes(sets)
+    pairs = rows.alias("a").join(rows.alias("b"), _may_link(percent)).select(F.col("a.row_id").alias("a"), F.col("b.row_id").alias("b")).distinct()
+    links = _verified(pairs, sets, percent)
+    drop_table(rows)
+    return links
+
+
 def link_components(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(node, component) over ``row_id`` of rows with distinct sets: the exact components of the join's links."""
-    p = F.lit(percent)
-    prefix = sets.select("row_id", "n", F.posexplode(F.slice("tokens", 1, F.col("n_prefix"))).alias("pos", "token"), "n_single")
-    rows = table(prefix.select("token", "row_id", "n", (F.col("pos") + F.col("n_single")).alias("pos")), "prefixes")
+    rows = _prefixes(sets)
     tables, comp, seen, leaders_per_bucket, n = [rows], None, None, 1, rows.count()
     while True:
         cur = rows.withColumn("comp", F.col("row_id")) if comp is None else rows.join(comp.withColumnsRenamed({"node": "row_id", "component": "comp"}), "row_id", "left").withColumn("comp", F.coalesce("comp", "row_id"))
@@ -220,20 +252,11 @@ def link_components(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
         ranked = cur.withColumn("k", F.row_number().over(Window.partitionBy("token").orderBy("row_id", "pos")))
         leaders = checkpoint(compact(ranked.where(F.col("k") <= leaders_per_bucket).drop("k"), n))
         a, b = leaders.alias("a"), cur.alias("b")
-        need = F.ceil(p * (F.col("a.n") + F.col("b.n")) / (p + 100))
-        pairs = a.join(
-            b,
-            (F.col("a.token") == F.col("b.token")) & (F.col("a.row_id") < F.col("b.row_id")) & (F.col("a.comp") != F.col("b.comp"))
-            & (100 * F.least("a.n", "b.n") >= p * F.greatest("a.n", "b.n"))
-            & (F.least(F.col("a.n") - F.col("a.pos"), F.col("b.n") - F.col("b.pos")) >= need),
-        )
+        pairs = a.join(b, _may_link(percent) & (F.col("a.comp") != F.col("b.comp")))
         pairs = pairs.select(F.col("a.row_id").alias("a"), F.col("b.row_id").alias("b")).distinct()
         pairs = checkpoint(compact(pairs if seen is None else pairs.join(seen, ["a", "b"], "left_anti"), n))
         seen = pairs if seen is None else seen.unionByName(pairs)
-        full = pairs
-        for end, tokens, size in (("a", "x", "nx"), ("b", "y", "ny")):
-            full = full.join(sets.select(F.col("row_id").alias(end), F.col("tokens").alias(tokens), F.col("n").alias(size)), end)
-        links = checkpoint(full.mapInArrow(_verify(percent), "a long, b long"))
+        links = _verified(pairs, sets, percent)
         if comp is not None:  # links between the components found so far
             for end in ("a", "b"):
                 links = links.join(comp.withColumnsRenamed({"node": end, "component": "c"}), end, "left").withColumn(end, F.coalesce("c", end)).drop("c")
@@ -262,16 +285,45 @@ def jaccard_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "
     that has another id. An empty table stays empty. Only the two named columns are read.
     Shingles are compared by 64-bit hashes.
     """
+    sets, classes, reps = _distinct(docs, doc_id, text, width, percent)
+    comp = link_components(reps, percent)
+    drop_table(reps)
+    return _documents(sets, classes, comp)
+
+
+_SIG = ["sig1", "sig2", "n"]
+
+
+def _distinct(docs: DataFrame, doc_id: str, text: str, width: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The set of each document; classes of equal ones; of each class one set with a prefix."""
     sets = document_sets(docs, doc_id, text, width, percent)
-    sig = ["sig1", "sig2", "n"]
-    classes = sets.where("n > 0").groupBy(*sig).agg(F.min("row_id").alias("rep"), F.min("doc_id").alias("first_doc"), F.count("*").alias("n_equal"))
+    classes = sets.where("n > 0").groupBy(*_SIG).agg(F.min("row_id").alias("rep"), F.min("doc_id").alias("first_doc"), F.count("*").alias("n_equal"))
     classes = checkpoint(classes)
     reps = sets.where("n_prefix > 0").join(classes.select(F.col("rep").alias("row_id")), "row_id", "left_semi").select("row_id", "n", "n_single", "n_prefix", "tokens")
-    reps = table(reps, "distinct-sets")
-    comp = link_components(reps, percent)
-    drop_table(reps)
+    return sets, classes, table(reps, "distinct-sets")
+
+
+def _documents(sets: DataFrame, classes: DataFrame, comp: DataFrame) -> DataFrame:
     named = classes.join(comp.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     ids = named.groupBy("component").agg(F.min("first_doc").alias("component_id"))
-    named = checkpoint(named.join(ids, "component").select(*sig, "component_id", "n_equal"))
-    out = sets.select("doc_id", *sig).join(named, sig, "left")
+    named = checkpoint(named.join(ids, "component").select(*_SIG, "component_id", "n_equal"))
+    out = sets.select("doc_id", *_SIG).join(named, _SIG, "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), F.coalesce("n_equal", F.lit(1)).alias("n_equal"))
+
+
+def jaccard_join(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+    """(links, counts): the whole join, with equal sets collapsed.
+
+    ``links``: each pair of linked different sets once, as ``a, b`` (the smallest id of the documents
+    with either set) and ``n_a, n_b`` (documents with it). ``counts``, per document: ``doc_id, n_links``,
+    the other documents that it is linked with, those with the same set included.
+    """
+    sets, classes, reps = _distinct(docs, doc_id, text, width, percent)
+    found = link_pairs(reps, percent)
+    drop_table(reps)
+    side = lambda end: classes.select(F.col("rep").alias(f"rep_{end}"), F.col("first_doc").alias(end), F.col("n_equal").alias(f"n_{end}"))
+    links = checkpoint(found.withColumnsRenamed({"a": "rep_a", "b": "rep_b"}).join(side("a"), "rep_a").join(side("b"), "rep_b"))
+    ends = links.select(F.col("rep_a").alias("rep"), F.col("n_b").alias("n_other")).unionAll(links.select("rep_b", "n_a"))
+    others = classes.join(ends.groupBy("rep").agg(F.sum("n_other").alias("n_other")), "rep", "left").select(*_SIG, (F.coalesce("n_other", F.lit(0)) + F.col("n_equal") - 1).alias("n_links"))
+    counts = sets.select("doc_id", *_SIG).join(others, _SIG, "left").select("doc_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    return links.select("a", "b", "n_a", "n_b"), counts

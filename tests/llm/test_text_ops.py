@@ -114,6 +114,26 @@ def test_ngram_join_against_brute_force(spark):
     assert ngram_join.jaccard_components(empty(spark)).count() == 0
 
 
+def test_whole_ngram_join_within_classes(spark):
+    rng = np.random.default_rng(6)
+    rows, text = [], [f"w{k}" for k in range(60)]
+    for k in range(30):  # a chain of near copies, some of them copied
+        rows += [(k * 3 + c, " ".join(text)) for c in range(1 + k % 3)]
+        text[int(rng.integers(60))] = f"x{k}"
+    rows += [(200, None), (201, ""), (202, "two words"), (203, "TWO  words")]
+    sets = [{" ".join(w[i : i + 5]) for i in range(max(len(w) - 4, 1))} if (w := (t or "").lower().split()) else set() for _, t in rows]
+    near = {(a, b) for a, b in itertools.permutations(range(len(rows)), 2) if sets[a] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])}
+    links, counts = ngram_join.jaccard_join(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r["doc_id"]: r["n_links"] for r in counts.collect()} == {i: sum(a == k for a, _ in near) for k, (i, _) in enumerate(rows)}
+    first = {frozenset(s): min(i for (i, _), t in zip(rows, sets, strict=True) if t == s) for s in sets}
+    weight = Counter(map(frozenset, sets))
+    name = lambda k: (first[frozenset(sets[k])], weight[frozenset(sets[k])])
+    want = {tuple(sorted([name(a), name(b)])) for a, b in near if sets[a] != sets[b]}
+    got = links.collect()
+    assert len(got) == len(want) > 29 and {tuple(sorted([(r["a"], r["n_a"]), (r["b"], r["n_b"])])) for r in got} == want
+    assert [x.count() for x in ngram_join.jaccard_join(empty(spark))] == [0, 0]
+
+
 def _kneser_ney(trusted, order):
     """Probability function of the same model, by dictionaries."""
     pad = [0] * (order - 1)
