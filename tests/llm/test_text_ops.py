@@ -226,6 +226,19 @@ def test_viterbi_and_training():
     assert not secrets.train_crf(["nothing here"]).tag(secrets.tokenize(["a b c"])).any()
 
 
+def test_the_field_adds_what_lies_beyond_a_pattern():
+    class Field:
+        def tag(self, tokens):
+            on = (tokens.start >= 10) & (tokens.end <= 31)
+            return np.where(on, np.where(np.cumsum(on) == 1, secrets.B, secrets.I), secrets.O)
+
+    (spans,) = secrets.all_spans(['password="abcdefgh$restofsecret" and words'], Field())
+    assert spans[0] == ("assign", 0, 18) and spans[1:] == [("crf", 18, 31)]
+    whole = type("Whole", (), {"tag": lambda self, t: np.where(np.arange(len(t.start)) == 0, secrets.B, secrets.I)})()
+    (spans,) = secrets.all_spans(["zz-" + "0123456789abcdef" * 2 + "-yy"], whole)
+    assert spans == [("crf", 0, 3), ("hex", 3, 35), ("crf", 35, 38)]
+
+
 def test_secret_scan_edges(spark):
     docs = awkward(spark).unionByName(spark.createDataFrame([(50, f"日本 token = \"{'ab1' * 14}\" 😀 {LONG}", "en", "s", 1, "x", 1, "r", 7, None, "h")], awkward(spark).schema))
     model = secrets.train_on(docs)
