@@ -1,55 +1,51 @@
 """Quality classifier: an interpolated modified Kneser-Ney model over character n-grams.
 
-The counts of all trusted text, and the n-grams of all documents, are gathered by key. The
-probability of each n-gram that occurs anywhere is worked out by joins, from the shortest
-order to the longest. The result is cut into shards of bounded size; each shard is joined
-with all documents where they lie, and a document's partial sums give its perplexity. No
-text is shuffled. Documents beyond their language's quantile of trusted text are rejected.
+1. Documents are stored in compressed blocks of bounded size.
+2. Each block tells its distinct n-grams, numbered, and how often trusted texts hold each.
+   Sums by n-gram are the counts of all trusted text.
+3. The probability of every n-gram told is worked out by joins with the counts, from the
+   shortest order to the longest.
+4. The told n-grams are joined with the probabilities, shard by shard of their hash, and come
+   back to their blocks by number; a block adds up what its documents hold.
+
+Only n-grams and compressed blocks are shuffled, texts are read twice whatever the size of
+the model, and the driver sees counts of counts. Documents beyond their language's quantiles
+of held-out trusted text are rejected.
 
 Characters, not words: a document's word n-grams are nearly all different, so that joining
-them would move several times the input.
+them would move several times the input. All code points are told apart; digits count as 0.
 """
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .common import checkpoint, compact, table, text_column
+from .common import checkpoint, compact, drop_table, table, text_column
 
 ORDER = 5
-#: A symbol has 12 bits: code points below 3,072 are themselves (digits count as 0), the others share 1,024 symbols.
-SYMBOL_BITS, PLAIN = 12, 3072
-SYMBOLS = 1 << SYMBOL_BITS
-#: N-grams of one model shard (16 bytes each).
-SHARD_GRAMS = 2_000_000
+#: The lowest order falls back on equal shares of all code points.
+SYMBOLS = 0x110000
+#: Characters of a block: what one task holds of the texts, and how far n-grams are told once only.
+BLOCK_CHARS = 16 << 20
 #: Up to so many trusted ids are held by every task.
 BROADCAST_IDS = 5_000_000
-#: Documents whose perplexity lies beyond these quantiles of trusted text in their language are rejected; none is too low at 0.
-QUANTILES = (0.0, 0.99)
+#: Documents whose perplexity lies beyond these quantiles of held-out trusted text in their language are rejected,
+QUANTILES = (0.01, 0.98)
+#: and by more than this in log perplexity, so that one like the trusted text at the bound stays.
+MARGIN = 0.15
+#: A language with fewer held-out trusted documents is held to the bounds of all of them.
+LEAST_HELD_OUT = 50
 #: One trusted document in so many is not trained on; the bounds are taken from these.
 HELD_OUT = 5
 _BINS = 1000  # bins per unit of log perplexity
 _CHUNK = 1 << 20
-
-
-def text_grams(texts: list[str], order: int = ORDER) -> tuple[np.ndarray, np.ndarray]:
-    """(key of the n-gram that ends at each character, text of each); texts begin with empty symbols."""
-    sizes = np.array([len(t) for t in texts], dtype=np.int64)
-    cp = np.frombuffer("".join(texts).encode("utf-32-le"), dtype=np.uint32).astype(np.int64)
-    symbol = np.where(cp < PLAIN, np.maximum(cp, 1), PLAIN + (((cp * 2654435761) & 0xFFFFFFFF) >> 22))
-    symbol[(cp >= 48) & (cp < 58)] = 48
-    text = np.repeat(np.arange(len(texts)), sizes)
-    place = np.arange(len(cp)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    key = symbol.copy()
-    for back in range(1, order):
-        key[back:] |= np.where(place[back:] >= back, symbol[: len(symbol) - back], 0) << (SYMBOL_BITS * back)
-    return key, text
+_EMIT = 1 << 16
 
 
 def _pieces(texts: list[str]):
@@ -62,6 +58,121 @@ def _pieces(texts: list[str]):
         i = min(j, len(texts))
 
 
+def _symbols(texts: list[str]) -> np.ndarray:
+    cp = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64)
+    cp[(cp >= 48) & (cp < 58)] = 48
+    return np.maximum(cp, 1)
+
+
+class BlockGrams:
+    """The n-grams that end at each character of a block's texts; texts begin with empty symbols.
+
+    Symbols that the block holds are numbered, so that an n-gram is one integer. Where there are too
+    many different ones for that (blocks of Chinese, say), n-grams are numbered within each piece instead.
+    """
+
+    def __init__(self, texts: list[str], order: int = ORDER):
+        self.texts, self.order = texts, order
+        seen = np.zeros(SYMBOLS, dtype=bool)
+        for i, j in _pieces(texts):
+            seen[_symbols(texts[i:j])] = True
+        self.alphabet = np.concatenate([[0], np.flatnonzero(seen)])
+        self.number = np.cumsum(seen)  # of each symbol; 0 is the empty one
+        self.bits = max(1, (len(self.alphabet) - 1).bit_length())
+        self.whole = self.bits * order <= 63
+
+    def _windows(self, i: int, j: int) -> tuple[np.ndarray, np.ndarray]:
+        """(numbers of the symbols of the n-gram at each character, text of each)."""
+        texts = self.texts[i:j]
+        sizes = np.array([len(t) for t in texts], dtype=np.int64)
+        symbol = self.number[_symbols(texts)]
+        place = np.arange(len(symbol)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        grams = np.zeros((self.order, len(symbol)), dtype=np.int64)
+        grams[-1] = symbol
+        for back in range(1, self.order):
+            grams[-1 - back, back:] = np.where(place[back:] >= back, symbol[: len(symbol) - back], 0)
+        return grams, np.repeat(np.arange(i, j), sizes)
+
+    def pieces(self):
+        """(key of the n-gram at each character, text of each, n-grams by key or None) of each piece."""
+        for i, j in _pieces(self.texts):
+            grams, text = self._windows(i, j)
+            key, width = grams[0].copy(), self.bits
+            for row in grams[1:]:
+                if width + self.bits > 63:
+                    key = np.unique(key, return_inverse=True)[1]
+                    width = max(1, int(key.max(initial=0)).bit_length())
+                key = (key << self.bits) | row
+                width += self.bits
+            if self.whole:
+                yield key, text, None
+            else:
+                _, first, key = np.unique(key, return_index=True, return_inverse=True)
+                yield key, text, grams[:, first]
+
+    def spelled(self, keys: np.ndarray) -> np.ndarray:
+        """The strings of keys (of ``pieces`` without n-grams of their own)."""
+        return self._strings(np.stack([(keys >> (self.bits * k)) & ((1 << self.bits) - 1) for k in range(self.order - 1, -1, -1)]))
+
+    def _strings(self, grams: np.ndarray) -> np.ndarray:
+        return np.ascontiguousarray(self.alphabet[grams].T.astype("<u4")).view(f"<U{self.order}").ravel()
+
+    def told(self, trusted: np.ndarray):
+        """(n-grams, how often trusted texts hold each) in the order of their numbers in the block."""
+        if not self.whole:
+            for key, text, grams in self.pieces():
+                yield self._strings(grams), np.bincount(key[trusted[text]], minlength=grams.shape[1])
+            return
+        parts, held = [], 0
+        for key, text, _ in self.pieces():
+            mine = trusted[text]
+            other = np.unique(key)
+            counts = np.zeros(len(other), np.int64)
+            if mine.any():
+                seen, n = np.unique(key[mine], return_counts=True)
+                counts[np.searchsorted(other, seen)] = n
+            parts.append((other, counts))
+            held += len(other)
+            if held > 1 << 22:
+                parts = [_merge(parts)]
+                held = len(parts[0][0])
+        keys, counts = _merge(parts)
+        for a in range(0, len(keys), _EMIT):
+            yield self.spelled(keys[a : a + _EMIT]), counts[a : a + _EMIT]
+
+    def sums(self, logs: np.ndarray) -> np.ndarray:
+        """Per text the sum of ``logs``, which has one number for each n-gram of ``told``."""
+        total = np.zeros(len(self.texts))
+        keys, base = None, 0
+        if self.whole:
+            keys = np.unique(np.concatenate([np.zeros(0, np.int64), *(np.unique(key) for key, _, _ in self.pieces())]))
+            find = _finder(keys)
+        for key, text, grams in self.pieces():
+            if grams is None:
+                at = find(key)
+            else:
+                at, base = key + base, base + grams.shape[1]
+            total += np.bincount(text, logs[at], len(total))
+        return total
+
+
+def _finder(keys: np.ndarray):
+    """Where a key stands among sorted ``keys`` that hold it: most are found where their hash says."""
+    bits = max(4, int(len(keys)).bit_length() + 1)
+    factor, down = np.int64(-7046029254386353131), np.int64(64 - bits)
+    spread = lambda k: ((k * factor) >> down) & np.int64((1 << bits) - 1)
+    first = np.zeros(1 << bits, dtype=np.int32)
+    first[spread(keys)] = np.arange(len(keys))
+
+    def find(key: np.ndarray) -> np.ndarray:
+        at = first[spread(key)]
+        miss = np.flatnonzero(keys[at] != key)
+        at[miss] = np.searchsorted(keys, key[miss])
+        return at
+
+    return find
+
+
 def _merge(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     keys = np.concatenate([np.zeros(0, np.int64), *(k for k, _ in parts)])
     counts = np.concatenate([np.zeros(0, np.int64), *(c for _, c in parts)])
@@ -71,40 +182,68 @@ def _merge(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
     return keys[head], np.add.reduceat(counts, head) if len(head) else counts
 
 
-def _count(order: int):
+def store_blocks(rows: DataFrame) -> DataFrame:
+    """Write ``rows`` (text, trusted, info) as blocks: (block, infos, trusted, sizes, texts), the texts compressed."""
+    info = rows.schema["info"].dataType
+    schema = T.StructType([T.StructField("infos", T.ArrayType(info)), T.StructField("trusted", T.ArrayType(T.BooleanType())), T.StructField("sizes", T.ArrayType(T.LongType())), T.StructField("texts", T.BinaryType())])
+
     def run(batches):
-        parts, held = [], 0
+        squeeze = zstandard.ZstdCompressor(level=3).compress
+        held, chars = [], 0
+
+        def block(parts):
+            texts = [(t or "").encode("utf-8", "surrogatepass") for p in parts for t in p.column("text").to_pylist()]
+            whole = pa.Table.from_batches(parts).select(["info", "trusted"]).combine_chunks()
+            at = pa.array([0, len(texts)], pa.int32())
+            flat = [whole.column(c).chunk(0) for c in ("info", "trusted")]
+            lists = [pa.ListArray.from_arrays(at, x) for x in (*flat, pa.array([len(t) for t in texts], pa.int64()))]
+            return pa.RecordBatch.from_arrays([*lists, pa.array([squeeze(b"".join(texts))], pa.binary())], ["infos", "trusted", "sizes", "texts"])
+
         for batch in batches:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            trusted = batch.column("trusted").to_numpy(zero_copy_only=False).astype(bool)
-            for i, j in _pieces(texts):
-                key, text = text_grams(texts[i:j], order)
-                seen, counts = np.unique(key[trusted[i:j][text]], return_counts=True)
-                other = np.unique(key)
-                parts += [(seen, counts), (other, np.zeros(len(other), np.int64))]
-                held += len(seen) + len(other)
-                if held > 1 << 22:
-                    parts = [_merge(parts)]
-                    held = len(parts[0][0])
-        keys, counts = _merge(parts)
-        for a in range(0, len(keys), 1 << 18):
-            yield pa.RecordBatch.from_arrays([pa.array(keys[a : a + (1 << 18)]), pa.array(counts[a : a + (1 << 18)])], ["gram", "c"])
+            sizes = np.cumsum(batch.column("n_symbols").to_numpy())
+            a = 0
+            while a < batch.num_rows:
+                b = max(a + 1, int(np.searchsorted(sizes, (sizes[a - 1] if a else 0) + BLOCK_CHARS - chars, "right")))
+                held.append(batch.slice(a, b - a))
+                chars += int(sizes[b - 1] - (sizes[a - 1] if a else 0))
+                a = b
+                if chars >= BLOCK_CHARS or b < batch.num_rows:
+                    yield block(held)
+                    held, chars = [], 0
+        if held:
+            yield block(held)
 
-    return run
+    made = rows.withColumn("n_symbols", F.coalesce(F.length("text"), F.lit(0)).cast("long")).mapInArrow(run, schema)
+    return table(made.withColumn("block", F.monotonically_increasing_id()), "text-blocks")
 
 
-def count_grams(rows: DataFrame, order: int = ORDER) -> DataFrame:
-    """(gram, c): every n-gram of ``rows`` (text, trusted), and how often it occurs in trusted ones."""
-    told = rows.select("text", "trusted").mapInArrow(_count(order), "gram long, c long")
-    return table(told.groupBy("gram").agg(F.sum("c").alias("c")), "gram-counts")
+def _texts(sizes, packed: bytes) -> list[str]:
+    sizes = np.asarray(sizes, dtype=np.int64)
+    data = zstandard.ZstdDecompressor().decompress(packed, max_output_size=int(sizes.sum()) + 1)
+    ends = np.cumsum(sizes)
+    return [data[e - n : e].decode("utf-8", "surrogatepass") for n, e in zip(sizes.tolist(), ends.tolist(), strict=True)]
 
 
-def _suffix(gram: str, order: int):
-    return F.col(gram).bitwiseAND(F.lit((1 << (SYMBOL_BITS * order)) - 1))
+def tell_grams(blocks: DataFrame, order: int = ORDER) -> DataFrame:
+    """(block, place, gram, c): every n-gram of each block, its number there, and how often it occurs in trusted texts."""
+
+    def run(batches):
+        for batch in batches:
+            for k in range(batch.num_rows):
+                grams = BlockGrams(_texts(batch.column("sizes")[k].values.to_numpy(), batch.column("texts")[k].as_py()), order)
+                trusted = batch.column("trusted")[k].values.to_numpy(zero_copy_only=False).astype(bool)
+                place = 0
+                for strings, counts in grams.told(trusted):
+                    n = len(strings)
+                    arrays = [pa.array(np.full(n, batch.column("block")[k].as_py())), pa.array(np.arange(place, place + n), pa.int32()), pa.array(strings.tolist(), pa.string()), pa.array(counts, pa.int64())]
+                    yield pa.RecordBatch.from_arrays(arrays, ["block", "place", "gram", "c"])
+                    place += n
+
+    return table(blocks.select("block", "trusted", "sizes", "texts").mapInArrow(run, "block long, place int, gram string, c long"), "told-grams")
 
 
 def gram_scores(counts: DataFrame, order: int = ORDER) -> DataFrame:
-    """(gram, p): the smoothed probability of the last symbol of each n-gram after the others.
+    """(gram, p) of ``counts`` (gram, c): the smoothed probability of the last symbol of each n-gram after the others.
 
     Lower orders count distinct left neighbours. The discounts of each order come from its
     counts of counts, and are 0 where there are none. The lowest order falls back on equal
@@ -113,7 +252,7 @@ def gram_scores(counts: DataFrame, order: int = ORDER) -> DataFrame:
     n = counts.count()
     levels = {order: checkpoint(compact(counts.where("c > 0"), n))}
     for k in range(order - 1, 0, -1):
-        levels[k] = checkpoint(compact(levels[k + 1].groupBy(_suffix("gram", k).alias("gram")).agg(F.count("*").alias("c")), n))
+        levels[k] = checkpoint(compact(levels[k + 1].groupBy(F.expr(f"substring(gram, 2, {k})").alias("gram")).agg(F.count("*").alias("c")), n))
     stats = None
     for k, level in levels.items():
         one = level.agg(F.lit(k).alias("k"), *[F.count(F.when(F.col("c") == i, 1)).alias(f"n{i}") for i in (1, 2, 3, 4)])
@@ -126,127 +265,96 @@ def gram_scores(counts: DataFrame, order: int = ORDER) -> DataFrame:
         discounts[r["k"]] = [min(max(d, 0.0), float(i)) for i, d in enumerate(raw, 1)]
     needed = {order: counts.select("gram")}
     for k in range(order - 1, 0, -1):
-        needed[k] = checkpoint(compact(needed[k + 1].select(_suffix("gram", k).alias("gram")).distinct(), n))
+        needed[k] = checkpoint(compact(needed[k + 1].select(F.expr(f"substring(gram, 2, {k})").alias("gram")).distinct(), n))
     below = None
     for k in range(1, order + 1):
         d1, d2, d3 = discounts[k]
         c = F.coalesce(F.col("c"), F.lit(0))
         off = F.when(c == 0, 0.0).when(c == 1, d1).when(c == 2, d2).otherwise(d3)
-        ctx = levels[k].groupBy(F.shiftright("gram", SYMBOL_BITS).alias("ctx")).agg(
+        before = F.expr(f"substring(gram, 1, {k - 1})")
+        ctx = levels[k].groupBy(before.alias("ctx")).agg(
             F.sum("c").alias("total"), (F.sum(F.when(F.col("c") == 1, d1).when(F.col("c") == 2, d2).otherwise(d3)) / F.sum("c")).alias("gamma")
         )
-        got = needed[k].join(levels[k], "gram", "left").withColumn("ctx", F.shiftright("gram", SYMBOL_BITS)).join(ctx, "ctx", "left")
+        got = needed[k].join(levels[k], "gram", "left").withColumn("ctx", before).join(ctx, "ctx", "left")
         if below is None:
             got = got.withColumn("q", F.lit(1.0 / SYMBOLS))
         else:
-            got = got.withColumn("low", _suffix("gram", k - 1)).join(below, "low")
+            got = got.withColumn("low", F.expr(f"substring(gram, 2, {k - 1})")).join(below, "low")
         p = F.when(F.col("total").isNull(), F.col("q")).otherwise((c - off) / F.col("total") + F.col("gamma") * F.col("q"))
         got = checkpoint(compact(got.select("gram", p.alias("q")), n))
         below = got.withColumnRenamed("gram", "low")
     return got.select("gram", F.col("q").alias("p"))
 
 
-def _sum(shard, order: int):
-    def run(batches):
-        keys, logs = shard.value
-        slots = 1 << max(4, math.ceil(math.log2(max(len(keys), 1))) + 1)
-        spread = lambda k: ((k * np.int64(-7046029254386353131)) >> np.int64(64 - int(math.log2(slots)))) & np.int64(slots - 1)
-        first = np.zeros(slots, dtype=np.int32)  # a place to look first; most n-grams are found there
-        with np.errstate(over="ignore"):
-            first[spread(keys)] = np.arange(len(keys))
-        for batch in batches:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            total = np.zeros(len(texts))
-            for i, j in _pieces(texts):
-                key, text = text_grams(texts[i:j], order)
-                with np.errstate(over="ignore"):
-                    at = first[spread(key)]
-                miss = np.flatnonzero(keys[at] != key)
-                if len(miss):
-                    at[miss] = np.minimum(np.searchsorted(keys, key[miss]), len(keys) - 1)
-                    gone = miss[keys[at[miss]] != key[miss]]
-                    found = logs[at]
-                    found[gone] = 0.0  # in another shard
-                else:
-                    found = logs[at]
-                total[i:j] = np.bincount(text, found, j - i)
-            names = [n for n in batch.schema.names if n != "text"]
-            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array([len(t) for t in texts], pa.int64()), pa.array(total)], [*names, "n_symbols", "log_p"])
-
-    return run
-
-
-def score_documents(rows: DataFrame, scores: DataFrame, order: int = ORDER, shard_grams: int = SHARD_GRAMS) -> DataFrame:
-    """Add ``n_symbols`` and ``log_p`` to ``rows`` (row_id, text, ...), and drop the text.
-
-    Every shard has at most about ``shard_grams`` n-grams and goes over all documents once.
-    """
-    spark = rows.sparkSession
-    shards = max(1, -(-scores.count() // shard_grams))
-    keep = [f for f in rows.schema if f.name != "text"]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in keep) + ", n_symbols long, log_p double"
-    parts = None
-    for k in range(shards):
-        part = scores.where(F.pmod(F.xxhash64("gram"), F.lit(shards)) == k).select("gram", F.ln("p").alias("log_p")).toArrow()
-        keys, logs = part.column("gram").to_numpy(), part.column("log_p").to_numpy()
-        order_by = np.argsort(keys)
-        held = (keys[order_by], logs[order_by]) if len(keys) else (np.full(1, -1, np.int64), np.zeros(1))
-        done = rows.mapInArrow(_sum(spark.sparkContext.broadcast(held), order), schema)
-        parts = done if parts is None else parts.unionByName(done)
-    if shards > 1:
-        parts = parts.groupBy("row_id").agg(*[F.first(f.name).alias(f.name) for f in keep if f.name != "row_id"], F.first("n_symbols").alias("n_symbols"), F.sum("log_p").alias("log_p"))
-    return parts
-
-
-def thresholds(scored: DataFrame, quantiles: tuple[float, float] = QUANTILES) -> DataFrame:
+def score_documents(blocks: DataFrame, told: DataFrame, scores: DataFrame, order: int = ORDER) -> DataFrame:
+    """``info, text, n_symbols, log_p`` of every document of the blocks, by a join of the told n-grams with their scores."""
+    found = told.select("block", "place", "gram").join(scores.select("gram", F.ln("p").cast("float").alias("log_p")), "gram").select("block", "place", "log_p")
+    info = blocks.schema["infos"].dataType.elementType
+    schema = T.StructType([T.StructField("info", info), T.StructField("text", T.StringType()), T.StructField("n_symbols", T.LongType()), T.StructField("log_p", T.DoubleType())])
+
+    def run(rows, answers):
+        texts = _texts(rows.column("sizes")[0].values.to_numpy(), rows.column("texts")[0].as_py())
+        logs = np.empty(answers.num_rows)
+        logs[answers.column("place").to_numpy()] = answers.column("log_p").to_numpy()
+        total = BlockGrams(texts, order).sums(logs)
+        infos = rows.column("infos").combine_chunks().flatten()
+        return pa.table({"info": infos, "text": pa.array(texts, pa.string()), "n_symbols": pa.array([len(t) for t in texts], pa.int64()), "log_p": pa.array(total)})
+
+    whole = blocks.select("block", "infos", "sizes", "texts")
+    return whole.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(run, schema)
+
+
+def thresholds(scored: DataFrame, quantiles: tuple[float, float] = QUANTILES, margin: float = MARGIN) -> DataFrame:
     """(lang, low, high): bounds of log perplexity from held-out trusted documents, by language; lang null holds for all others.
 
-    Exact to 1/1000: perplexities are counted in bins, which any number of tasks can add up. The
-    quantile of few documents lies too near their middle, so a bound moves out by its distance
-    from the median, divided by the number of documents expected beyond it (at most by that distance).
+    Exact to 1/1000: perplexities are counted in bins, which any number of tasks can add up.
     """
     bins = scored.where("held_out and n_symbols > 0").select("lang", F.floor(F.col("log_perplexity") * _BINS).alias("bin"))
     counts = bins.groupBy("lang", "bin").agg(F.count("*").alias("n"))
     counts = checkpoint(counts.where("lang is not null").unionAll(counts.groupBy("bin").agg(F.sum("n").alias("n")).select(F.lit(None).cast("string").alias("lang"), "bin", "n")))
     w = Window.partitionBy("lang").orderBy("bin")
     run = counts.withColumns({"upto": F.sum("n").over(w), "of": F.sum("n").over(Window.partitionBy("lang"))})
-    low, high = quantiles
     at = lambda q: F.min(F.when(F.col("upto") >= q * F.col("of"), F.col("bin")))
-    found = run.groupBy("lang").agg((at(low) / _BINS).alias("low"), ((at(high) + 1) / _BINS).alias("high"), (at(0.5) / _BINS).alias("mid"), F.max("of").alias("of"))
-    wide = lambda q: F.least(F.lit(1.0), 1 / (F.col("of") * q))
-    return found.select(
-        "lang",
-        (F.col("low") - (F.col("mid") - F.col("low")) * wide(low) if low > 0 else F.lit(float("-inf"))).alias("low"),
-        (F.col("high") + (F.col("high") - F.col("mid")) * wide(1 - high) if high < 1 else F.lit(float("inf"))).alias("high"),
-    )
+    found = run.groupBy("lang").agg((at(quantiles[0]) / _BINS - margin).alias("low"), ((at(quantiles[1]) + 1) / _BINS + margin).alias("high"), F.max("of").alias("of"))
+    return found.where((F.col("of") >= LEAST_HELD_OUT) | F.col("lang").isNull()).select("lang", "low", "high")
 
 
-def classify(docs: DataFrame, trusted_ids: DataFrame, *, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", order: int = ORDER, quantiles: tuple[float, float] = QUANTILES, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Per document: ``row_id, doc_id, lang, trusted, n_symbols, log_perplexity, perplexity, accepted``.
+def classify(
+    docs: DataFrame, trusted_ids: DataFrame, *, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", order: int = ORDER,
+    quantiles: tuple[float, float] = QUANTILES, margin: float = MARGIN, keep: tuple[str, ...] = (), with_text: bool = False,
+) -> DataFrame:
+    """Per document: ``doc_id, lang, trusted, held_out, n_symbols, log_perplexity, perplexity, accepted``.
 
     ``trusted_ids`` has one column, the ids of trusted documents; repeated and null ids there do
-    not count. Null and empty texts have no perplexity and are rejected. A language without
-    held-out trusted documents, or null, is held to the bounds of all trusted text; without any
-    every document with text is accepted. Repeated rows are judged alike, each in a row of
-    its own (``row_id``); an empty table stays empty. Only the named columns are read, and those of
-    ``keep``, which are returned too.
+    not count. Null and empty texts have no perplexity and are rejected. A language with fewer than
+    LEAST_HELD_OUT held-out trusted documents, or null, is held to the bounds of all trusted text;
+    without any every document with text is accepted. Repeated rows are judged alike, each in a row
+    of its own; very long texts are read whole, each in one task; an empty table stays empty. Only the
+    named columns are read, and those of ``keep``, which come back in a struct ``kept`` (so any name
+    will do); ``with_text`` returns the ``text`` too, a null one as empty.
     """
-    rows = docs.select(F.monotonically_increasing_id().alias("row_id"), docs[f"`{doc_id}`"].alias("doc_id"), text_column(docs, lang).alias("lang"), text_column(docs, text).alias("text"), *keep)
+    kept = F.struct(*[docs[f"`{c}`"].alias(c) for c in keep]) if keep else F.lit(None).cast("string")
+    rows = docs.select(docs[f"`{doc_id}`"].alias("doc_id"), text_column(docs, lang).alias("lang"), text_column(docs, text).alias("text"), kept.alias("kept"))
     ids = checkpoint(trusted_ids.select(trusted_ids[trusted_ids.columns[0]].alias("doc_id")).dropna().distinct().withColumn("trusted", F.lit(True)))
     ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    rows = rows.join(ids, "doc_id", "left").withColumn("trusted", F.coalesce("trusted", F.lit(False))).select("row_id", "doc_id", "lang", "trusted", "text", *keep)
-    held_out = F.col("trusted") & (F.pmod(F.xxhash64("doc_id"), F.lit(HELD_OUT)) == 0)
-    rows = rows.withColumn("held_out", held_out)
-    scores = gram_scores(count_grams(rows.withColumn("trusted", F.expr("trusted and not held_out")), order), order)
-    scored = score_documents(rows, scores, order)
+    rows = rows.join(ids, "doc_id", "left").withColumn("trusted", F.coalesce("trusted", F.lit(False)))
+    rows = rows.withColumn("held_out", F.col("trusted") & (F.pmod(F.xxhash64("doc_id"), F.lit(HELD_OUT)) == 0))
+    blocks = store_blocks(rows.select("text", F.expr("trusted and not held_out").alias("trusted"), F.struct("doc_id", "lang", "trusted", "held_out", "kept").alias("info")))
+    told = tell_grams(blocks, order)
+    counts = table(told.groupBy("gram").agg(F.sum("c").alias("c")), "gram-counts")
+    scored = score_documents(blocks, told, gram_scores(counts, order), order)
+    scored = scored.select("info.*", *["text"] * with_text, "n_symbols", "log_p")
     scored = table(scored.withColumn("log_perplexity", F.when(F.col("n_symbols") > 0, -F.col("log_p") / F.col("n_symbols"))), "perplexity")
-    bounds = thresholds(scored, quantiles)
-    own = F.broadcast(bounds.where("lang is not null")) if bounds.count() <= 10_000 else bounds.where("lang is not null")
+    for t in (blocks, told, counts):
+        drop_table(t)
+    bounds = checkpoint(thresholds(scored, quantiles, margin))
+    own = bounds.where("lang is not null")
+    own = F.broadcast(own) if bounds.count() <= 10_000 else own
     rest = bounds.where("lang is null").select(F.col("low").alias("low0"), F.col("high").alias("high0")).first()
     low, high = (F.coalesce(F.col(c), F.lit(rest[k] if rest else None).cast("double")) for k, c in enumerate(("low", "high")))
     inside = F.coalesce(F.col("log_perplexity").between(low, high), low.isNull())
     return scored.join(own, "lang", "left").select(
-        "row_id", "doc_id", "lang", "trusted", "n_symbols", "log_perplexity", F.exp("log_perplexity").alias("perplexity"), ((F.col("n_symbols") > 0) & inside).alias("accepted"), *keep
+        "doc_id", "lang", "trusted", "held_out", "n_symbols", "log_perplexity", F.exp("log_perplexity").alias("perplexity"), ((F.col("n_symbols") > 0) & inside).alias("accepted"), *["text"] * with_text, *["kept"] * bool(keep)
     )
 
 
