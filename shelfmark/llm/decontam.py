@@ -218,12 +218,14 @@ def search(index: DataFrame, wanted: DataFrame, slop: int = 0, block_phrases: in
         terms = part.select(F.explode("phrase").alias("term")).distinct()
         seen = frequency.join(terms, "term", "left_semi").toArrow().to_pydict()
         block = spark.sparkContext.broadcast(_Block(got["phrase"], got["item_id"], dict(zip(seen["term"], seen["count"], strict=True))))
-        found = index.select("row_id", "n_words", "terms", "counts", "positions").mapInArrow(_hits(block, slop), _HITS)
+        # stored at once, so that neither the driver nor a task holds more than one block
+        found = table(index.select("row_id", "n_words", "terms", "counts", "positions").mapInArrow(_hits(block, slop), _HITS), "hits")
+        block.destroy()
         hits = found if hits is None else hits.unionByName(found)
     rows = index.select("row_id", "doc_id", "n_words")
     if hits is None:
         hits = spark.createDataFrame([], _HITS)
-    merged = checkpoint(hits).groupBy("row_id").agg(*[F.flatten(F.collect_list(c)).alias(c) for c in ("spans", "items", "near_items")])
+    merged = hits.groupBy("row_id").agg(*[F.flatten(F.collect_list(c)).alias(c) for c in ("spans", "items", "near_items")])
     out = rows.join(merged, "row_id", "left")
     strings = F.array().cast("array<string>")
     return out.select(

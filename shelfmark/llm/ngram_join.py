@@ -11,10 +11,12 @@
    group of copies grows with its size and not with its square, and no link between
    components is missed.
 5. A pair passes the suffix filter or is dropped, and is verified once.
+6. All links lie within components. Each component's different sets are dealt into blocks, small
+   components together, and each pair of blocks counts all links between them, so that every
+   document has its number of links. A set goes to as many tasks as its component has blocks.
 
-``jaccard_join`` gives all links besides: there each pair that the filters leave is verified, within
-components too. Copies stay one set with a weight, but a group of different near copies costs
-the square of its size, as its links are so many.
+``jaccard_join`` lists the links themselves: there each pair that the filters leave is verified, so
+that a group of different near copies costs the square of its size, as its links are so many.
 """
 
 from __future__ import annotations
@@ -37,6 +39,8 @@ BLOCK_CHARS = 4 << 20
 #: So many times more leaders in each next round: few rounds, and pairs in proportion to the rows left.
 LEADER_GROWTH = 32
 SHARDS = 512
+#: Different sets of one component in a block when its links are counted; shingles in more pairs of a block than this are counted by a product.
+LINK_BLOCK, _COMMON = 2048, 40_000
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], dtype=np.uint64)
 
 
@@ -173,7 +177,7 @@ def document_sets(docs: DataFrame, doc_id: str, text: str, width: int = WIDTH, p
     rows = docs.select(F.monotonically_increasing_id().alias("row_id"), docs[f"`{doc_id}`"].alias("doc_id"), text_column(docs, text).alias("text"))
     chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, chars // BLOCK_CHARS)
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("row_id"), F.lit(blocks)).cast("int"))
     id_type = rows.schema["doc_id"].dataType
     packed = rows.mapInArrow(_pack, f"block int, row_ids array<long>, doc_ids array<{id_type.simpleString()}>, sizes array<long>, texts binary")
     packed = packed.repartition("block")
@@ -275,20 +279,89 @@ def link_components(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     return comp if comp is not None else sets.select(F.col("row_id").alias("node"), F.col("row_id").alias("component")).limit(0)
 
 
+def _overlaps(x: tuple[np.ndarray, np.ndarray, int], y: tuple[np.ndarray, np.ndarray, int]) -> np.ndarray:
+    """Sizes of the intersections of the sets of two blocks, each given as its tokens, the row of each, and its rows."""
+    (tx, rx, nx), (ty, ry, ny) = ((t[o], r[o], n) for t, r, n in (x, y) for o in [np.argsort(t, kind="stable")])
+    both = np.intersect1d(tx, ty)
+    ax, ay = np.searchsorted(tx, both), np.searchsorted(ty, both)
+    cx, cy = np.searchsorted(tx, both, "right") - ax, np.searchsorted(ty, both, "right") - ay
+    out = np.zeros(nx * ny, dtype=np.int64)
+    many = cx * cy > _COMMON
+    common = np.flatnonzero(many)
+    for s in range(0, len(common), 256):
+        mx, my = np.zeros((nx, 256), np.float32), np.zeros((ny, 256), np.float32)
+        for k, t in enumerate(common[s : s + 256].tolist()):
+            mx[rx[ax[t] : ax[t] + cx[t]], k] = 1
+            my[ry[ay[t] : ay[t] + cy[t]], k] = 1
+        out += (mx @ my.T).ravel().astype(np.int64)
+    ax, ay, cx, cy = ax[~many], ay[~many], cx[~many], cy[~many]
+    ends = np.cumsum(cx * cy)
+    a = 0
+    while a < len(ends):
+        b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + (1 << 21), "right")))
+        per = cx[a:b] * cy[a:b]
+        k = np.repeat(np.arange(a, b), per)
+        within = np.arange(len(k)) - np.repeat(np.cumsum(per) - per, per)
+        i, j = rx[ax[k] + within // cy[k]], ry[ay[k] + within % cy[k]]
+        out += np.bincount(i * ny + j, minlength=nx * ny)
+        a = b
+    return out.reshape(nx, ny)
+
+
+def _count_links(percent: int):
+    def run(key, rows):
+        """(row_id, links) of one pair of blocks; other rows of a block count with their copies."""
+        i, j = key[1].as_py(), key[2].as_py()
+        part, ids, n, copies = (rows.column(c).to_numpy() for c in ("part", "row_id", "n", "copies"))
+        lists = rows.column("tokens").combine_chunks()
+        values, at = lists.values.to_numpy(), lists.offsets.to_numpy()
+        block = lambda some: (np.concatenate([np.zeros(0, np.int64), *(values[at[k] : at[k + 1]] for k in some.tolist())]), np.repeat(np.arange(len(some)), at[some + 1] - at[some]), len(some))
+        a, b = np.flatnonzero(part == i), np.flatnonzero(part == j)
+        both = _overlaps(block(a), block(b))
+        linked = (100 * both >= percent * (n[a][:, None] + n[b][None, :] - both)) & (both > 0)
+        if i == j:
+            np.fill_diagonal(linked, False)
+            out, links = ids[a], linked @ copies[b]
+        else:
+            out, links = np.concatenate([ids[a], ids[b]]), np.concatenate([linked @ copies[b], copies[a] @ linked])
+        return pa.table({"row_id": pa.array(out, pa.int64()), "links": pa.array(links, pa.int64())})
+
+    return run
+
+
+def link_counts(sets: DataFrame, copies: DataFrame, comp: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(rep, n_other): with how many documents of other sets each set is linked. ``copies``: (rep, n_equal); ``comp``: (node, component)."""
+    sizes = checkpoint(comp.groupBy("component").agg(F.count("*").alias("size")))
+    total = sizes.agg(F.sum("size")).first()[0] or 0
+    small = F.col("size") <= LINK_BLOCK
+    shared = max(1, math.ceil(total / LINK_BLOCK) * 2)
+    parts = F.ceil(F.col("size") / LINK_BLOCK).cast("int")
+    member = comp.join(sizes, "component").select(
+        F.col("node").alias("row_id"), F.when(small, F.pmod(F.xxhash64("component"), F.lit(shared))).otherwise(-1 - F.col("component")).alias("task"),
+        F.when(small, 0).otherwise(F.pmod(F.xxhash64("node"), parts)).cast("int").alias("part"), F.when(small, 1).otherwise(parts).alias("parts"),
+    )
+    rows = member.join(copies.select(F.col("rep").alias("row_id"), F.col("n_equal").alias("copies")), "row_id").join(sets.select("row_id", "n", "tokens"), "row_id")
+    paired = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    paired = paired.select("task", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "row_id", "n", "copies", "tokens")
+    counted = paired.groupBy("task", "i", "j").applyInArrow(_count_links(percent), "row_id long, links long")
+    return checkpoint(counted.groupBy(F.col("row_id").alias("rep")).agg(F.sum("links").alias("n_other")))
+
+
 def jaccard_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """Per document: ``doc_id, n_shingles, component_id`` (the smallest id reachable by links), ``n_equal``.
+    """Per document: ``doc_id, n_shingles, component_id`` (the smallest id reachable by links), ``n_equal``, ``n_links``.
 
     Words are split at white space, A-Z lower-cased. A text of fewer than ``width`` words is one
     shingle; null, empty and blank texts have none, link with nothing and are their own component.
     Repeated rows are documents of their own, with the same set and so linked; ``n_equal`` counts
-    documents with the same set. A null id is a document like others but never names a component
+    documents with the same set, ``n_links`` all other documents that this one is linked with. A null id is a document like others but never names a component
     that has another id. An empty table stays empty. Only the two named columns are read.
     Shingles are compared by 64-bit hashes.
     """
     sets, classes, reps = _distinct(docs, doc_id, text, width, percent)
-    comp = link_components(reps, percent)
+    comp = checkpoint(link_components(reps, percent))
+    others = link_counts(reps, classes, comp, percent)
     drop_table(reps)
-    return _documents(sets, classes, comp)
+    return _documents(sets, classes, comp, others)
 
 
 _SIG = ["sig1", "sig2", "n"]
@@ -303,12 +376,13 @@ def _distinct(docs: DataFrame, doc_id: str, text: str, width: int, percent: int)
     return sets, classes, table(reps, "distinct-sets")
 
 
-def _documents(sets: DataFrame, classes: DataFrame, comp: DataFrame) -> DataFrame:
+def _documents(sets: DataFrame, classes: DataFrame, comp: DataFrame, others: DataFrame) -> DataFrame:
     named = classes.join(comp.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    named = named.join(others, "rep", "left").withColumn("n_links", F.coalesce("n_other", F.lit(0)) + F.col("n_equal") - 1)
     ids = named.groupBy("component").agg(F.min("first_doc").alias("component_id"))
-    named = checkpoint(named.join(ids, "component").select(*_SIG, "component_id", "n_equal"))
+    named = checkpoint(named.join(ids, "component").select(*_SIG, "component_id", "n_equal", "n_links"))
     out = sets.select("doc_id", *_SIG).join(named, _SIG, "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), F.coalesce("n_equal", F.lit(1)).alias("n_equal"))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), F.coalesce("n_equal", F.lit(1)).alias("n_equal"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
 
 
 def jaccard_join(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:

@@ -3,7 +3,11 @@
 Every sequence has three capacities: tokens, pieces (documents) and attention cost (the sum
 of squared piece lengths). A piece goes to the open sequence that it fits under all three
 and that scores best, by the weighted norm of what would be left or by the weighted dot
-product of piece and residual. Pieces are packed in groups of bounded size, longest first.
+product of piece and residual. A capacity weighs as much as the pieces ask of it on average, if no
+weights are given. Pieces are packed in groups of bounded size, longest first.
+
+Where tokens alone are limited, as in the registered query, the other two capacities follow from
+that limit: they take part in the choice of a sequence but never close one.
 """
 
 from __future__ import annotations
@@ -81,9 +85,11 @@ def tokenize(docs: DataFrame, doc_id: str, text: str, *, piece_tokens: int = MAX
     return rows.mapInArrow(pieces, schema)
 
 
-def best_fit(lengths: np.ndarray, capacity: np.ndarray, weights: np.ndarray, rule: str = "norm") -> tuple[np.ndarray, np.ndarray]:
+def best_fit(lengths: np.ndarray, capacity: np.ndarray, weights: np.ndarray | None = None, rule: str = "norm") -> tuple[np.ndarray, np.ndarray]:
     """(bin, offset) of each piece; pieces are placed from the longest to the shortest."""
     size = np.stack([lengths, np.ones_like(lengths), lengths**2], axis=1).astype(np.float64)
+    if weights is None:
+        weights = (size / capacity).mean(axis=0) if len(lengths) else np.ones(3)
     left = np.empty((max(len(lengths), 1), 3))
     ids = np.empty(len(left), dtype=np.int64)  # which bins are still open
     n_open = n_bins = 0
@@ -115,7 +121,7 @@ def best_fit(lengths: np.ndarray, capacity: np.ndarray, weights: np.ndarray, rul
 
 def pack(
     pieces: DataFrame, *, max_tokens: int = MAX_TOKENS, max_pieces: int | None = None, max_attention: int | None = None,
-    weights: tuple[float, float, float] = (1.0, 1e-6, 1e-6), rule: str = "norm", group_pieces: int = GROUP_PIECES,
+    weights: tuple[float, float, float] | None = None, rule: str = "norm", group_pieces: int = GROUP_PIECES,
 ) -> DataFrame:
     """Add ``sequence_id`` and ``offset`` to pieces (any columns, ``length`` among them).
 
@@ -130,7 +136,7 @@ def pack(
     small = F.col("length") < max_tokens
     n = items.where(small).count()
     groups = max(1, math.ceil(n / group_pieces))
-    w = np.array(weights)
+    w = np.array(weights) if weights is not None else None
 
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("__item")

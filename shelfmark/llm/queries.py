@@ -87,10 +87,12 @@ u AS (SELECT s.* FROM s JOIN r ON r.rep = s.doc_id),
 l AS (SELECT a.doc_id AS a, b.doc_id AS b FROM u a JOIN u b ON a.g = b.g AND a.doc_id <> b.doc_id JOIN n x ON x.doc_id = a.doc_id JOIN n y ON y.doc_id = b.doc_id
   GROUP BY a.doc_id, b.doc_id, x.n, y.n HAVING 100 * count(*) >= 75 * (x.n + y.n - count(*))),
 c AS (SELECT rep AS node, rep AS seen FROM r UNION SELECT c.node, l.b FROM c JOIN l ON l.a = c.seen),
-m AS (SELECT node, min(seen) AS component_id FROM c GROUP BY node)
+m AS (SELECT node, min(seen) AS component_id FROM c GROUP BY node),
+q AS (SELECT sig, n, min(doc_id) AS rep, count(*) AS n_equal FROM t GROUP BY sig, n),
+o AS (SELECT l.a AS rep, sum(q.n_equal) AS n_other FROM l JOIN q ON q.rep = l.b GROUP BY l.a)
 SELECT w.doc_id, coalesce(t.n, 0) AS n_shingles, coalesce(m.component_id, w.doc_id) AS component_id,
-  CAST(CASE WHEN t.n IS NULL THEN 1 ELSE count(*) OVER (PARTITION BY t.sig, t.n) END AS BIGINT) AS n_equal
-FROM w LEFT JOIN t ON t.doc_id = w.doc_id LEFT JOIN r ON r.sig = t.sig AND r.n = t.n LEFT JOIN m ON m.node = r.rep"""
+  CAST(coalesce(q.n_equal, 1) AS BIGINT) AS n_equal, CAST(coalesce(o.n_other, 0) + coalesce(q.n_equal, 1) - 1 AS BIGINT) AS n_links
+FROM w LEFT JOIN t ON t.doc_id = w.doc_id LEFT JOIN r ON r.sig = t.sig AND r.n = t.n LEFT JOIN m ON m.node = r.rep LEFT JOIN q ON q.rep = r.rep LEFT JOIN o ON o.rep = r.rep"""
 
 
 def op8_pack(spark: SparkSession, sf_dir: str) -> DataFrame:

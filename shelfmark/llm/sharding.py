@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from .common import checkpoint
 
 HASH_BITS = 60
+ADDED = ("shard", "depth", "shard_bytes", "shard_rows", "oversize")
 #: A directory of at most so many prefixes is joined by broadcast (about 32 bytes a row).
 BROADCAST_PREFIXES = 200_000
 
@@ -54,19 +55,25 @@ def _levels(hashed: DataFrame, limit: int, bits: int, first: int) -> DataFrame:
     return hist.select("prefix").join(found, "prefix", "left")
 
 
-def shard(docs: DataFrame, key: str, size: Column, limit: int, *, _salted: bool = False) -> DataFrame:
-    """Add ``shard`` (the bucket's bits), ``depth``, ``shard_bytes`` and ``shard_rows``.
+def shard(docs: DataFrame, key: str, size: Column, limit: int) -> DataFrame:
+    """Add ``shard`` (the bucket's bits), ``depth``, ``shard_bytes``, ``shard_rows`` and ``oversize``. Assigns shards; writing
+    them is ``partitionBy`` or ``repartition`` by ``shard``.
 
     * A null key is the empty key; a null ``size`` counts as 0; an empty table stays empty.
     * Rows with one key share all bits. If such a bucket is over the limit, its rows are
       split once more by the bits of a number given to each row: ``shard`` is then
       ``bits+bits``, and ``depth`` counts both.
     * A single row over the limit is a shard of its own, flagged by ``oversize``.
-    * Columns of ``docs`` that have the names added here are replaced.
+    * Columns of ``docs`` that have the names added here are replaced, all others stay.
     """
-    added = ("shard", "depth", "shard_bytes", "shard_rows", "oversize")
-    rows = docs.withColumns({"__h": hash_bits(docs[f"`{key}`"]), "__bytes": F.coalesce(size.cast("long"), F.lit(0))})
-    rows = rows.drop(*added)
+    own = [f"`{c}`" for c in docs.columns if c not in ADDED]
+    # the caller's columns go through as one, so that none of them meets a work column
+    rows = docs.select(F.struct(*own).alias("__own"), hash_bits(docs[f"`{key}`"]).alias("__h"), F.coalesce(size.cast("long"), F.lit(0)).alias("__bytes"))
+    return _split(rows, limit).select("__own.*", *ADDED)
+
+
+def _split(rows: DataFrame, limit: int, salted: bool = False) -> DataFrame:
+    """``shard`` of rows (__own, __h, __bytes)."""
     hashed = rows.select("__h", "__bytes")
     total = hashed.agg(F.sum("__bytes").alias("b")).first()["b"] or 0
     bits = min(HASH_BITS, max(1, math.ceil(math.log2(max(1, total / limit))) + 3))
@@ -89,19 +96,14 @@ def shard(docs: DataFrame, key: str, size: Column, limit: int, *, _salted: bool
         {"shard": text, "depth": F.col("leaf.depth"), "shard_bytes": F.col("leaf.shard_bytes"), "shard_rows": F.col("leaf.shard_rows"), "oversize": F.expr(f"leaf.shard_bytes > {int(limit)}"), "__over": over}
     ).drop("leaf")
     plain = kept.where(~F.col("__over")).drop("__h", "__bytes", "__over")
-    crowded = level_has_crowd(kept)
-    if _salted or not crowded:
-        return plain
-    many = checkpoint(kept.where("__over").withColumn("__row", F.concat_ws(":", "__h", F.monotonically_increasing_id().cast("string"))).drop("__over"))
-    outer = many.withColumnsRenamed({"shard": "__shard"}).drop("depth", "shard_bytes", "shard_rows", "oversize", "__h")
-    again = shard(outer.withColumnRenamed("__bytes", "__size"), "__row", F.col("__size"), limit, _salted=True)
-    again = again.withColumns({"shard": F.concat_ws("+", "__shard", "shard"), "depth": F.length("__shard") + F.col("depth")})
+    if salted or kept.where("__over").limit(1).isEmpty():
+        return kept.drop("__over") if salted else plain
+    many = checkpoint(kept.where("__over").select("__own", "__h", "__bytes", F.col("shard").alias("__shard"), F.monotonically_increasing_id().alias("__k")))
+    outer = many.select(F.struct("__own", "__shard").alias("__own"), hash_bits(F.concat_ws(":", "__h", "__k")).alias("__h"), "__bytes")
+    again = _split(outer, limit, salted=True)
+    again = again.select("__own.*", F.col("shard").alias("__more"), "depth", "__bytes")
+    again = again.select("__own", F.concat_ws("+", "__shard", "__more").alias("shard"), (F.length("__shard") + F.col("depth")).alias("depth"), "__bytes")
     # the salted bits are shared by all crowded keys, so a shard's sums are taken anew
-    sums = again.groupBy("shard").agg(F.sum("__size").alias("shard_bytes"), F.count("*").alias("shard_rows"))
-    again = again.drop("shard_bytes", "shard_rows", "oversize").join(sums, "shard")
-    again = again.withColumn("oversize", F.col("shard_bytes") > limit).drop("__row", "__size", "__shard")
-    return plain.unionByName(again)
-
-
-def level_has_crowd(kept: DataFrame) -> bool:
-    return not kept.where("__over").limit(1).isEmpty()
+    sums = again.groupBy("shard").agg(F.sum("__bytes").alias("shard_bytes"), F.count("*").alias("shard_rows"))
+    again = again.join(sums, "shard").withColumn("oversize", F.col("shard_bytes") > limit)
+    return plain.unionByName(again.select(plain.columns))

@@ -94,12 +94,14 @@ class UrlModel:
 
     def score(self, df: DataFrame, url: Column) -> DataFrame:
         """Add ``block_score`` in 0..1; the prior where there is no tree."""
-        keep = df.columns
+        df = df.drop("block_score")
         if self.trees is None:
             return df.withColumn("block_score", F.lit(float(self.prior)))
-        full = _with_stats(lexical_features(df, url), self.stats, self.prior, own=False)
+        # the caller's columns go through as one, so that none of them meets a work column
+        rows = df.select(F.struct(*[f"`{c}`" for c in df.columns]).alias("__row"), url.alias("__url"))
+        full = _with_stats(lexical_features(rows, F.col("__url")), self.stats, self.prior, own=False)
         scored = self.trees.transform(VectorAssembler(inputCols=LEXICAL + SUFFIX, outputCol="f_vector").transform(full))
-        return scored.withColumn("block_score", vector_to_array("probability")[1]).select(*[f"`{c}`" for c in keep], "block_score")
+        return scored.select("__row.*", vector_to_array("probability")[1].alias("block_score"))
 
 
 def train_url_model(labelled: DataFrame, *, max_rows: int = MAX_TRAIN_ROWS, rounds: int = 20, depth: int = 4) -> UrlModel:
@@ -128,7 +130,7 @@ def filter_urls(df: DataFrame, model: UrlModel, rules: Sequence[tuple[str, str,
 
     The longest fitting rule decides, else the model: ``block`` from ``threshold`` up. A null
     URL, or one without ``://``, has an empty host and path; repeated rows get equal verdicts;
-    an empty table stays empty. Columns of ``df`` with the names added here are replaced.
+    an empty table stays empty. Columns of ``df`` with the five names added here are replaced, all others stay.
     """
     df = df.drop(*[c for c in ("host", "path", "rule", "block_score", "verdict") if c in df.columns])
     col = df[f"`{url}`"].cast("string")

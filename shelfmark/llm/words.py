@@ -1,8 +1,9 @@
 """Word hashes of whole Arrow text columns, computed with numpy over their UTF-8 bytes.
 
 A word is a maximal run of word bytes; A-Z count as a-z. Bytes from 0x80 up are word bytes
-in both tables, so characters are never split. A word's hash has 64 bits; equal hashes are
-taken for equal words (one chance in 10**19 per pair of different words).
+in both tables, so characters are never split. A word's hash has 64 bits: the sum of random
+numbers, one for each pair of a byte and its place, so that no rule of the text's can make two
+words agree. Equal hashes are taken for equal words (one chance in 10**19 per pair of different ones).
 """
 
 from __future__ import annotations
@@ -19,8 +20,10 @@ LOWER[65:91] += 32
 ALNUM = np.array([0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 for b in range(256)])
 #: everything but space, tab, line feed, vertical tab, form feed and carriage return
 NON_SPACE = np.array([not (b == 0x20 or 0x09 <= b <= 0x0D) for b in range(256)])
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-_POWERS = np.zeros(0, dtype=np.uint64)
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+#: A number for each byte at each of 64 places; later places take these and are mixed with the turn.
+_PLACES = 64
+_NUMBERS = np.random.default_rng(20).integers(0, 1 << 64, size=_PLACES * 256, dtype=np.uint64)
 CHUNK_BYTES = 1 << 20
 
 
@@ -31,13 +34,6 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def _powers(n: int) -> np.ndarray:
-    global _POWERS
-    if len(_POWERS) < n:
-        _POWERS = np.cumprod(np.concatenate([[np.uint64(1)], np.full(2 * n, _BASE, dtype=np.uint64)]), dtype=np.uint64)
-    return _POWERS
-
-
 def text_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all texts and the offsets of each; null is empty."""
     if isinstance(column, pa.ChunkedArray):
@@ -72,6 +68,9 @@ def hash_words(data: np.ndarray, offsets: np.ndarray, table: np.ndarray) -> tupl
     idx = np.flatnonzero(first[at])
     sizes = np.diff(np.append(idx, len(at)))
     pos = np.arange(len(at)) - np.repeat(idx, sizes)
-    values = (low[at].astype(np.uint64) + np.uint64(1)) * _powers(int(sizes.max()) + 1)[pos]
+    values = _NUMBERS[((pos % _PLACES) << 8) | low[at]]
+    far = np.flatnonzero(pos >= _PLACES)
+    if len(far):
+        values[far] = mix(values[far] ^ ((pos[far] // _PLACES).astype(np.uint64) * _ODD))
     h = np.add.reduceat(values, idx)
     return mix(h ^ (sizes.astype(np.uint64) << np.uint64(48))), np.searchsorted(starts, offsets)

@@ -1,5 +1,6 @@
 """Decontamination, n-gram join, quality model, secrets."""
 
+import functools
 import hashlib
 import itertools
 import math
@@ -11,7 +12,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from shelfmark.llm import decontam, ngram_join, quality, secrets, words
+from shelfmark.llm import decontam, ngram_join, quality, queries, secrets, words
 
 from .docs import LONG, awkward, empty
 
@@ -150,19 +151,21 @@ def _kneser_ney(trusted, order):
         raw = [1 - 2 * y * n[2] / n[1] if n[1] else 0, 2 - 3 * y * n[3] / n[2] if n[2] else 0, 3 - 4 * y * n[4] / n[3] if n[3] else 0]
         return [min(max(d, 0), i) for i, d in enumerate(raw, 1)]
     d = {k: discount(k) for k in counts}
-    ctx = {k: defaultdict(list) for k in counts}
+    off = lambda k, c: d[k][min(c, 3) - 1]
+    ctx = {k: defaultdict(lambda: [0, 0.0]) for k in counts}
     for k in counts:
         for g, c in counts[k].items():
-            ctx[k][g[:-1]].append(c)
+            ctx[k][g[:-1]][0] += c
+            ctx[k][g[:-1]][1] += off(k, c)
     def p(g):
         k = len(g)
         low = p(g[1:]) if k > 1 else 1 / quality.SYMBOLS
         seen = ctx[k].get(g[:-1])
         if not seen:
             return low
-        off = lambda c: d[k][min(c, 3) - 1]
         c = counts[k].get(g, 0)
-        return ((c - off(c)) if c else 0) / sum(seen) + sum(map(off, seen)) / sum(seen) * low
+        return ((c - off(k, c)) if c else 0) / seen[0] + seen[1] / seen[0] * low
+    p = functools.cache(p)
     return lambda t: sum(math.log(p(g)) for g in grams(t))
 
 
@@ -246,16 +249,38 @@ def test_viterbi_and_training():
         score = lambda y: model.begin[y[0]] + sum(e[i, k] for i, k in zip(at, y, strict=True)) + sum(model.move[a, b] for a, b in itertools.pairwise(y))
         best = max(itertools.product(range(3), repeat=len(at)), key=score)
         assert math.isclose(score(tuple(got[at])), score(best), rel_tol=1e-5)
-    lines = [f"some plain words go here and there {k}\nthen token = \"{hashlib.sha1(str(k).encode()).hexdigest()}\" and more words" for k in range(60)]
-    trained = secrets.train_crf(lines)
-    hits = 0
-    for k in range(100, 130):  # values of another shape under another word
-        value = hashlib.md5(str(k).encode()).hexdigest()[:20].upper()
-        (spans,) = secrets.all_spans([f"a passphrase: {value} and words"], trained)
-        hits += any(kind == "crf" and value in f"a passphrase: {value} and words"[a:b] for kind, a, b in spans)
-    assert hits >= 24
-    assert secrets.all_spans(["only plain words here, nothing else at all"], trained) == [[]]
-    assert not secrets.train_crf(["nothing here"]).tag(secrets.tokenize(["a b c"])).any()
+    assert not secrets.train_crf([]).tag(secrets.tokenize(["a b c"])).any()
+
+
+def test_held_out_precision_and_recall(spark, sf):
+    texts = [r["text"] for r in spark.read.parquet(sf.replace("sf0.001", "sf0.01") + "/documents.parquet").where("length(text) between 1 and 20000").orderBy("doc_id").select("text").collect()]
+    model = secrets.train_crf(texts[:500])
+    rest = [line for t in texts[500:] for line in t.split("\n") if line.strip()]
+    planted = secrets.planted_lines(rest, 1500, secrets.secret_phrase, 99)  # other documents, other values
+    hits = false = 0
+    for (_, ((a, b, _, _),)), got in zip(planted, secrets.all_spans([t for t, _ in planted], model), strict=True):
+        hits += sum(max(0, min(e, b) - max(s, a)) for _, s, e in got) >= 0.8 * (b - a)
+        false += sum(e <= a or s >= b for _, s, e in got)
+    plain = [t for t, _ in secrets.planted_lines(rest, 1500, secrets.lookalike, 98)] + texts[500:]
+    false += sum(kind == "crf" for spans in secrets.all_spans(plain, model) for kind, _, _ in spans)
+    assert hits / 1500 > 0.93 and hits / (hits + false) > 0.97
+    rng, forms = np.random.default_rng(5), ["set MY_SVC_CRED to {} please", "smtp://mailer:{}@relay:25/x", "<cred>{}</cred>", "run --with {} now", "| {} |"]  # forms that training has not
+    told = [(forms[k % 5], secrets._draw(rng, secrets._ALNUM, 16, 40)) for k in range(500)]
+    new = sum(any(kind == "crf" and s <= form.index("{") and e >= form.index("{") + len(v) for kind, s, e in spans) for (form, v), spans in zip(told, secrets.all_spans([f.format(v) for f, v in told], model), strict=True))
+    assert new / 500 > 0.6
+
+
+def test_scan_query_against_brute_force(spark, sf):
+    got = {r["doc_id"]: r for r in queries.op10_secrets(spark, sf).collect()}
+    docs = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(sf + "/documents.parquet").collect()}
+    assert got.keys() == docs.keys()
+    for i, text in docs.items():
+        base = secrets.base_spans(text)
+        told = ",".join(f"{kind}:{a}:{b}" for a, b, kind, _ in base)
+        count = Counter(kind for _, _, kind, _ in base)
+        assert (got[i]["n_assign"], got[i]["n_access"], got[i]["n_hex"]) == tuple(count[k] for k in ("assign", "access", "hex"))
+        assert got[i]["base_sha256"] == hashlib.sha256(told.encode()).hexdigest()
+        assert [s for s in got[i]["spans"].split(",") if s and not s.startswith("crf")] == (told.split(",") if told else [])
 
 
 def test_the_field_adds_what_lies_beyond_a_pattern():
@@ -278,6 +303,6 @@ def test_secret_scan_edges(spark):
     r = next(v for k, v in out.items() if k[0] == 50)
     assert [s["kind"] for s in r["spans"]][:1] == ["assign"] and r["text"][r["spans"][0]["start"] : r["spans"][0]["end"]].startswith("token = ")
     assert all(not v["spans"] for k, v in out.items() if not k[1]) and r["shard"] == 1
-    clean = {x["doc_id"]: x["text"] for x in secrets.redact(secrets.scan(docs, model)).collect()}
+    clean = {x["doc_id"]: x["text"] for x in secrets.redact(docs, model).collect()}
     assert "ab1ab1" not in clean[50] and "[SECRET]" in clean[50] and clean[3] is None and clean[50].endswith("end")
     assert secrets.scan(empty(spark), model).count() == 0
