@@ -1,6 +1,7 @@
 """Quality classifier: an interpolated modified Kneser-Ney model over character n-grams.
 
-1. Documents are stored in compressed blocks of bounded size.
+1. Documents are stored in compressed blocks of bounded size, bucketed by block, so that they are
+   never shuffled.
 2. Each block tells its distinct n-grams, numbered, and how often trusted texts hold each.
    Sums by n-gram are the counts of all trusted text.
 3. The probability of every n-gram told is worked out by joins with the counts, from the
@@ -8,8 +9,8 @@
 4. The told n-grams are joined with the probabilities, shard by shard of their hash, and come
    back to their blocks by number; a block adds up what its documents hold.
 
-Only n-grams and compressed blocks are shuffled, texts are read twice whatever the size of
-the model, and the driver sees counts of counts. Documents beyond their language's quantiles
+Only n-grams are shuffled, texts are read twice whatever the size of the model, and the driver
+sees counts of counts. Documents beyond their language's quantiles
 of held-out trusted text are rejected.
 
 Characters, not words: a document's word n-grams are nearly all different, so that joining
@@ -18,6 +19,8 @@ them would move several times the input. All code points are told apart; digits
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 import zstandard
@@ -26,13 +29,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .common import checkpoint, compact, drop_table, table, text_column
+from .common import checkpoint, compact, drop_table, shared_dir, table, text_column
 
 ORDER = 5
 #: The lowest order falls back on equal shares of all code points.
 SYMBOLS = 0x110000
-#: Characters of a block: what one task holds of the texts, and how far n-grams are told once only.
-BLOCK_CHARS = 16 << 20
+#: Characters and documents of a block, in which n-grams are told once. A task holds it compressed, and one piece of it as it is.
+BLOCK_CHARS, BLOCK_DOCS = 48 << 20, 100_000
 #: Up to so many trusted ids are held by every task.
 BROADCAST_IDS = 5_000_000
 #: Documents whose perplexity lies beyond these quantiles of held-out trusted text in their language are rejected,
@@ -43,21 +46,13 @@ MARGIN = 0.15
 LEAST_HELD_OUT = 50
 #: One trusted document in so many is not trained on; the bounds are taken from these.
 HELD_OUT = 5
+#: Spark allows so many buckets of a table.
+MOST_BUCKETS = 100_000
 _BINS = 1000  # bins per unit of log perplexity
-_CHUNK = 1 << 20
+_CHUNK = 1 << 18  # characters of a piece
 _EMIT = 1 << 16
 
 
-def _pieces(texts: list[str]):
-    """Ranges of texts of about _CHUNK characters."""
-    at = np.cumsum([0, *map(len, texts)])
-    i = 0
-    while i < len(texts):
-        j = max(i + 1, int(np.searchsorted(at, at[i] + _CHUNK, "right")) - 1)
-        yield i, min(j, len(texts))
-        i = min(j, len(texts))
-
-
 def _symbols(texts: list[str]) -> np.ndarray:
     cp = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64)
     cp[(cp >= 48) & (cp < 58)] = 48
@@ -71,44 +66,40 @@ class BlockGrams:
     many different ones for that (blocks of Chinese, say), n-grams are numbered within each piece instead.
     """
 
-    def __init__(self, texts: list[str], order: int = ORDER):
-        self.texts, self.order = texts, order
+    def __init__(self, parts: list[tuple[np.ndarray, bytes]], order: int = ORDER):
+        """``parts``: (bytes of each text, compressed texts) of each piece."""
+        self.parts, self.order = parts, order
         seen = np.zeros(SYMBOLS, dtype=bool)
-        for i, j in _pieces(texts):
-            seen[_symbols(texts[i:j])] = True
+        for part in parts:
+            seen[_symbols(_texts(*part))] = True
         self.alphabet = np.concatenate([[0], np.flatnonzero(seen)])
-        self.number = np.cumsum(seen)  # of each symbol; 0 is the empty one
+        self.number = np.cumsum(seen, dtype=np.int32)  # of each symbol; 0 is the empty one
         self.bits = max(1, (len(self.alphabet) - 1).bit_length())
         self.whole = self.bits * order <= 63
 
-    def _windows(self, i: int, j: int) -> tuple[np.ndarray, np.ndarray]:
-        """(numbers of the symbols of the n-gram at each character, text of each)."""
-        texts = self.texts[i:j]
-        sizes = np.array([len(t) for t in texts], dtype=np.int64)
-        symbol = self.number[_symbols(texts)]
-        place = np.arange(len(symbol)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        grams = np.zeros((self.order, len(symbol)), dtype=np.int64)
-        grams[-1] = symbol
-        for back in range(1, self.order):
-            grams[-1 - back, back:] = np.where(place[back:] >= back, symbol[: len(symbol) - back], 0)
-        return grams, np.repeat(np.arange(i, j), sizes)
-
     def pieces(self):
-        """(key of the n-gram at each character, text of each, n-grams by key or None) of each piece."""
-        for i, j in _pieces(self.texts):
-            grams, text = self._windows(i, j)
-            key, width = grams[0].copy(), self.bits
-            for row in grams[1:]:
+        """(key of the n-gram at each character, text of each, n-grams by key or None) of each piece; texts count on over pieces."""
+        begun = 0
+        for part in self.parts:
+            texts = _texts(*part)
+            sizes = np.array([len(t) for t in texts], dtype=np.int64)
+            symbol = self.number[_symbols(texts)].astype(np.int64)
+            place = np.arange(len(symbol)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            back = lambda k: np.concatenate([np.zeros(min(k, len(symbol)), np.int64), np.where(place[k:] >= k, symbol[: max(len(symbol) - k, 0)], 0)])  # noqa: E731, B023
+            key, width = back(self.order - 1), self.bits
+            for k in range(self.order - 2, -1, -1):
                 if width + self.bits > 63:
                     key = np.unique(key, return_inverse=True)[1]
                     width = max(1, int(key.max(initial=0)).bit_length())
-                key = (key << self.bits) | row
+                key = (key << self.bits) | back(k)
                 width += self.bits
+            text = np.repeat(np.arange(begun, begun + len(texts)), sizes)
+            begun += len(texts)
             if self.whole:
                 yield key, text, None
             else:
                 _, first, key = np.unique(key, return_index=True, return_inverse=True)
-                yield key, text, grams[:, first]
+                yield key, text, np.stack([back(k)[first] for k in range(self.order - 1, -1, -1)])
 
     def spelled(self, keys: np.ndarray) -> np.ndarray:
         """The strings of keys (of ``pieces`` without n-grams of their own)."""
@@ -133,7 +124,7 @@ class BlockGrams:
                 counts[np.searchsorted(other, seen)] = n
             parts.append((other, counts))
             held += len(other)
-            if held > 1 << 22:
+            if held > 1 << 20 and held > 4 * len(parts[0][0]):
                 parts = [_merge(parts)]
                 held = len(parts[0][0])
         keys, counts = _merge(parts)
@@ -142,10 +133,15 @@ class BlockGrams:
 
     def sums(self, logs: np.ndarray) -> np.ndarray:
         """Per text the sum of ``logs``, which has one number for each n-gram of ``told``."""
-        total = np.zeros(len(self.texts))
-        keys, base = None, 0
+        total = np.zeros(sum(len(sizes) for sizes, _ in self.parts))
+        base = 0
         if self.whole:
-            keys = np.unique(np.concatenate([np.zeros(0, np.int64), *(np.unique(key) for key, _, _ in self.pieces())]))
+            keys = np.zeros(0, np.int64)
+            for key, _, _ in self.pieces():
+                new = np.unique(key)
+                at = np.minimum(np.searchsorted(keys, new), max(len(keys) - 1, 0))
+                new = new[keys[at] != new] if len(keys) else new
+                keys = np.sort(np.concatenate([keys, new])) if len(new) else keys
             find = _finder(keys)
         for key, text, grams in self.pieces():
             if grams is None:
@@ -183,54 +179,77 @@ def _merge(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
 
 
 def store_blocks(rows: DataFrame) -> DataFrame:
-    """Write ``rows`` (text, trusted, info) as blocks: (block, infos, trusted, sizes, texts), the texts compressed."""
+    """Write ``rows`` (text, trusted, info) as blocks: (block, infos, trusted, sizes, ends, texts). Texts are compressed
+    by pieces; a piece ends before the document of the number that ``ends`` has. Drop it with ``drop_blocks``."""
     info = rows.schema["info"].dataType
-    schema = T.StructType([T.StructField("infos", T.ArrayType(info)), T.StructField("trusted", T.ArrayType(T.BooleanType())), T.StructField("sizes", T.ArrayType(T.LongType())), T.StructField("texts", T.BinaryType())])
+    kinds = [("infos", info), ("trusted", T.BooleanType()), ("sizes", T.LongType()), ("ends", T.IntegerType()), ("texts", T.BinaryType())]
+    schema = T.StructType([T.StructField(name, T.ArrayType(kind)) for name, kind in kinds])
 
     def run(batches):
         squeeze = zstandard.ZstdCompressor(level=3).compress
-        held, chars = [], 0
+        held, sizes, ends, texts, chars = [], [], [], [], 0
 
-        def block(parts):
-            texts = [(t or "").encode("utf-8", "surrogatepass") for p in parts for t in p.column("text").to_pylist()]
-            whole = pa.Table.from_batches(parts).select(["info", "trusted"]).combine_chunks()
-            at = pa.array([0, len(texts)], pa.int32())
-            flat = [whole.column(c).chunk(0) for c in ("info", "trusted")]
-            lists = [pa.ListArray.from_arrays(at, x) for x in (*flat, pa.array([len(t) for t in texts], pa.int64()))]
-            return pa.RecordBatch.from_arrays([*lists, pa.array([squeeze(b"".join(texts))], pa.binary())], ["infos", "trusted", "sizes", "texts"])
+        def block():
+            whole = pa.Table.from_batches(held).combine_chunks()
+            columns = [*(whole.column(c).chunk(0) for c in ("info", "trusted")), pa.array(sizes, pa.int64()), pa.array(ends, pa.int32()), pa.array(texts, pa.binary())]
+            return pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array([0, len(c)], pa.int32()), c) for c in columns], schema.names)
 
         for batch in batches:
-            sizes = np.cumsum(batch.column("n_symbols").to_numpy())
+            column, length = batch.column("text"), np.cumsum(batch.column("n_symbols").to_numpy())
             a = 0
             while a < batch.num_rows:
-                b = max(a + 1, int(np.searchsorted(sizes, (sizes[a - 1] if a else 0) + BLOCK_CHARS - chars, "right")))
-                held.append(batch.slice(a, b - a))
-                chars += int(sizes[b - 1] - (sizes[a - 1] if a else 0))
+                b = max(a + 1, int(np.searchsorted(length, (length[a - 1] if a else 0) + _CHUNK, "right")))
+                b = min(b, a + BLOCK_DOCS - len(sizes))
+                raw = [(t or "").encode("utf-8", "surrogatepass") for t in column.slice(a, b - a).to_pylist()]
+                held.append(batch.slice(a, b - a).select(["info", "trusted"]))
+                sizes += map(len, raw)
+                ends.append(len(sizes))
+                texts.append(squeeze(b"".join(raw)))
+                chars += int(length[b - 1] - (length[a - 1] if a else 0))
                 a = b
-                if chars >= BLOCK_CHARS or b < batch.num_rows:
-                    yield block(held)
-                    held, chars = [], 0
+                if chars >= BLOCK_CHARS or len(sizes) >= BLOCK_DOCS:
+                    yield block()
+                    held, sizes, ends, texts, chars = [], [], [], [], 0
         if held:
-            yield block(held)
+            yield block()
+
+    spark = rows.sparkSession
+    rows = rows.withColumn("n_symbols", F.coalesce(F.length("text"), F.lit(0)).cast("long"))
+    chars = rows.agg(F.sum("n_symbols")).first()[0] or 0
+    buckets = min(MOST_BUCKETS, 8 + 2 * (chars // BLOCK_CHARS))
+    name = f"text_blocks_{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}"
+    made = rows.mapInArrow(run, schema).withColumn("block", F.monotonically_increasing_id())
+    made.write.format("parquet").option("path", path).bucketBy(buckets, "block").saveAsTable(name)
+    out = spark.table(name)
+    out.table_name, out.table_path = name, path
+    return out
+
 
-    made = rows.withColumn("n_symbols", F.coalesce(F.length("text"), F.lit(0)).cast("long")).mapInArrow(run, schema)
-    return table(made.withColumn("block", F.monotonically_increasing_id()), "text-blocks")
+def drop_blocks(blocks: DataFrame) -> None:
+    blocks.sparkSession.sql(f"DROP TABLE {blocks.table_name}")
+    drop_table(blocks)
 
 
-def _texts(sizes, packed: bytes) -> list[str]:
-    sizes = np.asarray(sizes, dtype=np.int64)
+def _texts(sizes: np.ndarray, packed: bytes) -> list[str]:
     data = zstandard.ZstdDecompressor().decompress(packed, max_output_size=int(sizes.sum()) + 1)
     ends = np.cumsum(sizes)
     return [data[e - n : e].decode("utf-8", "surrogatepass") for n, e in zip(sizes.tolist(), ends.tolist(), strict=True)]
 
 
+def _parts(row) -> list[tuple[np.ndarray, bytes]]:
+    """The pieces of one block (sizes, ends, texts)."""
+    sizes, ends = (row[c].values.to_numpy() for c in ("sizes", "ends"))
+    return [(sizes[a:b], texts.as_py()) for a, b, texts in zip([0, *ends[:-1].tolist()], ends.tolist(), row["texts"].values, strict=True)]
+
+
 def tell_grams(blocks: DataFrame, order: int = ORDER) -> DataFrame:
     """(block, place, gram, c): every n-gram of each block, its number there, and how often it occurs in trusted texts."""
 
     def run(batches):
         for batch in batches:
             for k in range(batch.num_rows):
-                grams = BlockGrams(_texts(batch.column("sizes")[k].values.to_numpy(), batch.column("texts")[k].as_py()), order)
+                grams = BlockGrams(_parts({c: batch.column(c)[k] for c in ("sizes", "ends", "texts")}), order)
                 trusted = batch.column("trusted")[k].values.to_numpy(zero_copy_only=False).astype(bool)
                 place = 0
                 for strings, counts in grams.told(trusted):
@@ -239,7 +258,7 @@ def tell_grams(blocks: DataFrame, order: int = ORDER) -> DataFrame:
                     yield pa.RecordBatch.from_arrays(arrays, ["block", "place", "gram", "c"])
                     place += n
 
-    return table(blocks.select("block", "trusted", "sizes", "texts").mapInArrow(run, "block long, place int, gram string, c long"), "told-grams")
+    return table(blocks.select("block", "trusted", "sizes", "ends", "texts").mapInArrow(run, "block long, place int, gram string, c long"), "told-grams")
 
 
 def gram_scores(counts: DataFrame, order: int = ORDER) -> DataFrame:
@@ -250,12 +269,14 @@ def gram_scores(counts: DataFrame, order: int = ORDER) -> DataFrame:
     shares of all symbols, so that p is never 0.
     """
     n = counts.count()
-    levels = {order: checkpoint(compact(counts.where("c > 0"), n))}
+    # n-grams that are only looked up have the count 0 at every order
+    levels = {order: counts}
     for k in range(order - 1, 0, -1):
-        levels[k] = checkpoint(compact(levels[k + 1].groupBy(F.expr(f"substring(gram, 2, {k})").alias("gram")).agg(F.count("*").alias("c")), n))
+        shorter = levels[k + 1].groupBy(F.expr(f"substring(gram, 2, {k})").alias("gram")).agg(F.count_if(F.col("c") > 0).alias("c"))
+        levels[k] = table(compact(shorter, n), f"grams-{k}")
     stats = None
     for k, level in levels.items():
-        one = level.agg(F.lit(k).alias("k"), *[F.count(F.when(F.col("c") == i, 1)).alias(f"n{i}") for i in (1, 2, 3, 4)])
+        one = level.agg(F.lit(k).alias("k"), *[F.count_if(F.col("c") == i).alias(f"n{i}") for i in (1, 2, 3, 4)])
         stats = one if stats is None else stats.unionAll(one)
     discounts = {}
     for r in stats.collect():
@@ -263,44 +284,52 @@ def gram_scores(counts: DataFrame, order: int = ORDER) -> DataFrame:
         y = n1 / (n1 + 2 * n2) if n1 else 0.0
         raw = [1 - 2 * y * n2 / n1 if n1 else 0.0, 2 - 3 * y * n3 / n2 if n2 else 0.0, 3 - 4 * y * n4 / n3 if n3 else 0.0]
         discounts[r["k"]] = [min(max(d, 0.0), float(i)) for i, d in enumerate(raw, 1)]
-    needed = {order: counts.select("gram")}
-    for k in range(order - 1, 0, -1):
-        needed[k] = checkpoint(compact(needed[k + 1].select(F.expr(f"substring(gram, 2, {k})").alias("gram")).distinct(), n))
     below = None
     for k in range(1, order + 1):
         d1, d2, d3 = discounts[k]
-        c = F.coalesce(F.col("c"), F.lit(0))
+        c = F.col("c")
         off = F.when(c == 0, 0.0).when(c == 1, d1).when(c == 2, d2).otherwise(d3)
         before = F.expr(f"substring(gram, 1, {k - 1})")
-        ctx = levels[k].groupBy(before.alias("ctx")).agg(
-            F.sum("c").alias("total"), (F.sum(F.when(F.col("c") == 1, d1).when(F.col("c") == 2, d2).otherwise(d3)) / F.sum("c")).alias("gamma")
-        )
-        got = needed[k].join(levels[k], "gram", "left").withColumn("ctx", before).join(ctx, "ctx", "left")
+        ctx = levels[k].where("c > 0").groupBy(before.alias("ctx")).agg(F.sum("c").alias("total"), (F.sum(off) / F.sum("c")).alias("gamma"))
+        got = levels[k].withColumn("ctx", before).join(ctx, "ctx", "left")
         if below is None:
             got = got.withColumn("q", F.lit(1.0 / SYMBOLS))
         else:
-            got = got.withColumn("low", F.expr(f"substring(gram, 2, {k - 1})")).join(below, "low")
+            got = got.withColumn("low", F.expr(f"substring(gram, 2, {k - 1})")).join(below.withColumnRenamed("gram", "low"), "low")
         p = F.when(F.col("total").isNull(), F.col("q")).otherwise((c - off) / F.col("total") + F.col("gamma") * F.col("q"))
-        got = checkpoint(compact(got.select("gram", p.alias("q")), n))
-        below = got.withColumnRenamed("gram", "low")
-    return got.select("gram", F.col("q").alias("p"))
-
-
-def score_documents(blocks: DataFrame, told: DataFrame, scores: DataFrame, order: int = ORDER) -> DataFrame:
-    """``info, text, n_symbols, log_p`` of every document of the blocks, by a join of the told n-grams with their scores."""
+        got = table(compact(got.select("gram", p.alias("q")), n), f"scores-{k}")
+        for done in (below, levels[k] if k < order else None):
+            if done is not None:
+                drop_table(done)
+        below = got
+    out = below.withColumnRenamed("q", "p")
+    out.table_path = below.table_path
+    return out
+
+
+def score_documents(blocks: DataFrame, told: DataFrame, scores: DataFrame, order: int = ORDER, with_text: bool = False) -> DataFrame:
+    """``info, text, n_symbols, log_p`` of every document of the blocks, by a join of the told n-grams with their scores.
+    Without ``with_text`` the texts are null."""
     found = told.select("block", "place", "gram").join(scores.select("gram", F.ln("p").cast("float").alias("log_p")), "gram").select("block", "place", "log_p")
     info = blocks.schema["infos"].dataType.elementType
     schema = T.StructType([T.StructField("info", info), T.StructField("text", T.StringType()), T.StructField("n_symbols", T.LongType()), T.StructField("log_p", T.DoubleType())])
 
     def run(rows, answers):
-        texts = _texts(rows.column("sizes")[0].values.to_numpy(), rows.column("texts")[0].as_py())
+        parts = _parts({c: rows.column(c)[0] for c in ("sizes", "ends", "texts")})
         logs = np.empty(answers.num_rows)
         logs[answers.column("place").to_numpy()] = answers.column("log_p").to_numpy()
-        total = BlockGrams(texts, order).sums(logs)
+        total = BlockGrams(parts, order).sums(logs)
         infos = rows.column("infos").combine_chunks().flatten()
-        return pa.table({"info": infos, "text": pa.array(texts, pa.string()), "n_symbols": pa.array([len(t) for t in texts], pa.int64()), "log_p": pa.array(total)})
-
-    whole = blocks.select("block", "infos", "sizes", "texts")
+        texts, chars = [], []
+        for part in parts:
+            own = _texts(*part)
+            chars += map(len, own)
+            if with_text:
+                texts.append(pa.array(own, pa.string()))
+        told = pa.chunked_array(texts, pa.string()) if with_text else pa.nulls(len(chars), pa.string())
+        return pa.table({"info": infos, "text": told, "n_symbols": pa.array(chars, pa.int64()), "log_p": pa.array(total)})
+
+    whole = blocks.select("block", "infos", "sizes", "ends", "texts")
     return whole.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(run, schema)
 
 
@@ -342,10 +371,13 @@ def classify(
     blocks = store_blocks(rows.select("text", F.expr("trusted and not held_out").alias("trusted"), F.struct("doc_id", "lang", "trusted", "held_out", "kept").alias("info")))
     told = tell_grams(blocks, order)
     counts = table(told.groupBy("gram").agg(F.sum("c").alias("c")), "gram-counts")
-    scored = score_documents(blocks, told, gram_scores(counts, order), order)
+    scores = gram_scores(counts, order)
+    drop_table(counts)
+    scored = score_documents(blocks, told, scores, order, with_text)
     scored = scored.select("info.*", *["text"] * with_text, "n_symbols", "log_p")
     scored = table(scored.withColumn("log_perplexity", F.when(F.col("n_symbols") > 0, -F.col("log_p") / F.col("n_symbols"))), "perplexity")
-    for t in (blocks, told, counts):
+    drop_blocks(blocks)
+    for t in (told, scores):
         drop_table(t)
     bounds = checkpoint(thresholds(scored, quantiles, margin))
     own = bounds.where("lang is not null")

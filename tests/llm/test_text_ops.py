@@ -174,9 +174,11 @@ def _blocks(spark, docs, trusted):
     return quality.store_blocks(rows.select("text", "trusted", F.struct("doc_id").alias("info")))
 
 
-@pytest.mark.parametrize("chars", [16 << 20, 3000])
-def test_quality_model_against_brute_force(spark, sf, monkeypatch, chars):
+@pytest.mark.parametrize(("chars", "rows"), [(16 << 20, 100_000), (30_000, 5)])
+def test_quality_model_against_brute_force(spark, sf, monkeypatch, chars, rows):
     monkeypatch.setattr(quality, "BLOCK_CHARS", chars)
+    monkeypatch.setattr(quality, "BLOCK_DOCS", rows)
+    monkeypatch.setattr(quality, "_CHUNK", min(chars, 1 << 18) // 10)
     docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(sf + "/documents.parquet").limit(40).collect()]
     docs += [(900, "".join(map(chr, range(0x4E00, 0x9000)))), (901, "日本語の文 \U0001f600 a" * 40), (902, ""), (903, "\x00\x00a")]  # more symbols than numbers of 63 bits hold
     trusted = {i for i, _ in docs[::2]}
