@@ -115,12 +115,20 @@ def record_edges(records: DataFrame) -> DataFrame:
     return rows.select("source_id", "parser_name", "external_id", "event_time_start", "event_time_end", F.struct("pos", "at").alias("place"), "e.*").where("subject <> '' and object <> ''")
 
 
-def source_relations(records: DataFrame) -> DataFrame:
+def known_edges(edges: DataFrame, child: DataFrame) -> DataFrame:
+    """Edges without those of topics and chat senders that are no entity of their source; ``child``: ``entity_sources``."""
+    names = child.select("source_id", F.col("canonical_name").alias("subject")).distinct()
+    told = F.col("predicate").isin("mentions", "sent_message")
+    return edges.where(~told).unionByName(edges.where(told).join(names, ["source_id", "subject"], "left_semi").select(edges.columns))
+
+
+def source_relations(records: DataFrame, child: DataFrame | None = None) -> DataFrame:
     """Relations of each source: the first edge of each (subject, predicate, object), with its evidence.
 
     Evidence are the source's records with the edge's external id; chat messages keep one edge each.
+    With ``child``, a topic or chat sender must be an entity of the source there.
     """
-    edges = record_edges(records)
+    edges = record_edges(records) if child is None else known_edges(record_edges(records), child)
     chat = F.when(F.col("parser_name") == "whatsapp_export", F.col("external_id")).otherwise("")
     key = ["source_id", "subject", "predicate", "object"]
     first = edges.groupBy(*key, chat.alias("message")).agg(F.min_by(F.struct("subject_type", "object_type", "external_id", "event_time_start", "event_time_end", "confidence"), "place").alias("r")).select(*key, "r.*")

@@ -204,6 +204,7 @@ def in_scope(folders: DataFrame, target: str) -> DataFrame:
         below = folders.join(frontier.select(F.col("folder_id").alias("parent_id")), "parent_id", "left_semi").select("folder_id").distinct()
         frontier = below.join(found, "folder_id", "left_anti").checkpoint()
         if frontier.isEmpty():
+            folders.unpersist()
             return found
         found = found.unionByName(frontier)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from shelfmark.plans import feeds  # noqa: F401  registers its queries too
 from shelfmark.plans.catalog import QUERIES, SQL
 
 FLAGSHIP = "daily_memory"

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.functions import ids
 from shelfmark.functions.ids import first_set, text
-from shelfmark.functions.text import CHAT_EU, CHAT_US, chat_time_eu, chat_time_us, e7_degrees, epoch_ms_iso, event_date, ics_field, ics_time, normalized_filename, rich_text, unfold_ics
+from shelfmark.functions.text import CHAT_EU, CHAT_SENDER, CHAT_US, chat_time_eu, chat_time_us, e7_degrees, epoch_ms_iso, event_date, ics_field, ics_time, normalized_filename, rich_text, unfold_ics
 from shelfmark.operators.inventory import latest_by_key
 
 LISTS = ("people", "places", "apps", "devices", "accounts", "topics", "tags")
@@ -284,7 +284,7 @@ def whatsapp(raw_text: Column) -> Column:
 
         return F.transform(F.filter(lines, lambda x: x.rlike(pattern)), make)
 
-    return _or_else(records(CHAT_EU, 7, chat_time_eu, 0.92), lambda: records(CHAT_US, 7, chat_time_us, 0.9))
+    return _or_else(records(CHAT_EU, CHAT_SENDER, chat_time_eu, 0.92), lambda: records(CHAT_US, CHAT_SENDER, chat_time_us, 0.9))
 
 
 def telegram(content: Column) -> Column:

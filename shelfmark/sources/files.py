@@ -103,6 +103,12 @@ def expand_archives(files: DataFrame, member_limit: int = MEMBER_LIMIT) -> DataF
     return rows.mapInArrow(_members(member_limit), schema)
 
 
+def with_members(parents: DataFrame, member_limit: int = MEMBER_LIMIT) -> DataFrame:
+    """(file_id, path, content) of archives and of their readable members, for ``ingest_exports``."""
+    members = expand_archives(parents, member_limit).where("problem is null").withColumn("path", F.col("source_path"))
+    return members.select("file_id", "path", "content").unionByName(parents.select("file_id", "path", "content"))
+
+
 def source_flags(sources: DataFrame) -> DataFrame:
     """Add what a source contains, from its OCR type, sensitivity and amount, its path and its media type."""
     return sources.withColumns(

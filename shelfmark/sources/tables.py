@@ -1,19 +1,22 @@
 """Reading and publishing the library's own tables, as versions behind a pointer.
 
-A version is a directory that is written once; a small pointer file names the current one.
-Readers see the old version until the pointer changes, and a job that is run again writes its
-own version over. All file access goes through Spark's file systems.
+A version is a directory that is written once; small numbered pointer files name versions, and the
+one of the largest number the current version. Readers see the old version until the next pointer is
+there, and a job that is run again writes its own version over. All file access goes through Spark's file systems.
 """
 
 from __future__ import annotations
 
+import re
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from shelfmark.operators.inventory import latest_by_key
 
-POINTER = "CURRENT.txt"
+POINTER = "CURRENT-{}.txt"
 CORRUPT = "_corrupt_record"
 
 
@@ -34,24 +37,43 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm.org.apache.hadoop.fs.Path
 
 
+def _pointers(spark: SparkSession, root: str, name: str) -> list[tuple[int, object]]:
+    """(number, file) of the pointers, the newest last. A pointer is written under another name and then renamed, so it is whole."""
+    fs, folder, _ = _fs(spark, f"{root}/{name}")
+    found = fs.listStatus(folder) if fs.exists(folder) else []
+    told = [(re.fullmatch(POINTER.format(r"(\d+)"), f.getPath().getName()), f.getPath()) for f in found]
+    return sorted((int(m[1]), p) for m, p in told if m) if told else []
+
+
 def current_version(spark: SparkSession, root: str, name: str) -> str | None:
-    fs, p, _ = _fs(spark, f"{root}/{name}/{POINTER}")
-    return spark.read.text(f"{root}/{name}/{POINTER}").first()[0] if fs.exists(p) else None
+    for number, _ in reversed(_pointers(spark, root, name)):
+        return spark.read.text(f"{root}/{name}/{POINTER.format(f'{number:09d}')}").first()[0]
+    return None
+
+
+def point_to(spark: SparkSession, root: str, name: str, version: str) -> None:
+    """Make a version the current one by a new pointer of the next number; the older ones but the last go.
+
+    At every moment some pointer is there, the one before until the new one's rename is done, so that a
+    reader, or a run that follows one which stopped half-way, never finds the table empty.
+    """
+    old = _pointers(spark, root, name)
+    number = old[-1][0] + 1 if old else 0
+    fs, fresh, path = _fs(spark, f"{root}/{name}/_pointer-{uuid.uuid4().hex}")
+    out = fs.create(fresh, True)
+    out.write(bytearray(version.encode()))
+    out.close()
+    if not fs.rename(fresh, path(f"{root}/{name}/{POINTER.format(f'{number:09d}')}")):
+        raise RuntimeError(f"{name} was published by another run at the same time")
+    for _, p in old[:-1]:
+        fs.delete(p, False)
 
 
 def publish(df: DataFrame, root: str, name: str, version: str, fmt: str = "parquet", partition_by: list[str] | None = None) -> str:
     """Write a version, then point to it. Publishing a version again replaces what an interrupted run left of it."""
-    spark = df.sparkSession
     writer = df.write.mode("overwrite").format(fmt)
     (writer.partitionBy(*partition_by) if partition_by else writer).save(f"{root}/{name}/v={version}")
-    fs, pointer, path = _fs(spark, f"{root}/{name}/{POINTER}")
-    fresh = path(f"{root}/{name}/{POINTER}.new")
-    out = fs.create(fresh, True)
-    out.write(bytearray(version.encode()))
-    out.close()
-    if fs.exists(pointer):
-        fs.delete(pointer, False)
-    fs.rename(fresh, pointer)
+    point_to(df.sparkSession, root, name, version)
     return f"{root}/{name}/v={version}"
 
 

@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from shelfmark.operators import inventory
+from shelfmark.functions.ids import is_set
+from shelfmark.operators import inventory, rollups
 from shelfmark.sources import tables
 
 KNOWN_SCHEMA = "seq long, file_id string, name string, parent_ids_sorted string, md5 string, size long, modified_time string, sha256 string"
@@ -59,3 +60,32 @@ def read_reports(spark: SparkSession, root: str) -> DataFrame:
 def stream_daily_counts(events: DataFrame, delay: str = "1 day") -> DataFrame:
     """Counts by day and type of a stream of (ts, event_type, value), late rows up to ``delay`` included."""
     return events.withWatermark("ts", delay).groupBy(F.window("ts", "1 day"), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total"))
+
+
+def stream_daily(spark: SparkSession, source: str, schema: StructType, root: str, checkpoint: str, as_of: str, max_files: int = 1):
+    """Keep daily rollups of all records that are there, in micro-batches, and stop. Only days that a batch touches are rebuilt.
+
+    Records go to ``root/records`` by batch, the rollups to a version of ``root/days`` each. A batch that
+    is run again writes both once more, so nothing counts twice.
+    """
+
+    def one(batch: DataFrame, number: int) -> None:
+        session = batch.sparkSession
+        batch.write.mode("overwrite").parquet(f"{root}/records/batch={number}")
+        records = session.read.schema(schema).option("basePath", f"{root}/records").parquet(*[f"{root}/records/batch={k}" for k in range(number + 1)]).select(batch.columns)
+        touched = session.read.schema(schema).parquet(f"{root}/records/batch={number}").where(is_set("event_date")).select("event_date")
+        if number:
+            days = rollups.refresh_days(session.read.parquet(f"{root}/days/v={_version(number - 1)}"), records, touched, as_of)
+        else:
+            days = rollups.daily_memory(records, as_of)
+        tables.publish(days, root, "days", _version(number))
+
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(source)
+    query = stream.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return query
+
+
+def read_daily(spark: SparkSession, root: str) -> DataFrame:
+    version = tables.current_version(spark, root, "days")
+    return spark.read.parquet(f"{root}/days/v={version}")
