@@ -43,9 +43,11 @@ def llm_view(base: DataFrame) -> DataFrame:
     return base.where(F.col("record_type").startswith("llm_"))
 
 
-def fulltext_view(records: DataFrame, max_chars: int = FULLTEXT_CHARS) -> DataFrame:
-    """Lower-cased text of records that have at least 20 characters; ``max_chars`` is the view's own contract."""
-    cut = F.substring(first_set("normalized_text", "raw_text"), 1, max_chars)
+def fulltext_view(records: DataFrame, max_chars: int | None = FULLTEXT_CHARS) -> DataFrame:
+    """Lower-cased text of records that have at least 20 characters; ``max_chars`` is the view's own contract, None is
+    the whole text, as an index needs it."""
+    whole = first_set("normalized_text", "raw_text")
+    cut = whole if max_chars is None else F.substring(whole, 1, max_chars)
     return records.withColumn("__t", cut).where(F.length("__t") >= FULLTEXT_LEAST).select(
         F.concat(F.lit("ft::"), "record_id").alias("search_id"), "record_id", text("source_id").alias("source_id"), text("event_date").alias("primary_date"), text("record_type").alias("record_type"), F.lower("__t").alias("searchable_text"), text("title").alias("title"), text("source_app").alias("source_app")
     )

@@ -277,22 +277,24 @@ def weekly_memory(spark, sf_dir):
     return w.select("week", *_joined("days_covered"), "day_count", "total_records", "total_importance", *_joined("top_people", "top_apps", "weekly_highlights"))
 
 
-@query(f"""WITH {_RECORDS}, d AS (SELECT DISTINCT event_date FROM records WHERE seq % 2 = 1) SELECT DISTINCT event_date FROM records WHERE event_date NOT IN (SELECT event_date FROM records WHERE event_date <> '2024-01-10')""")
+@query(f"""WITH {_RECORDS} SELECT DISTINCT event_date FROM records WHERE day(CAST(event_date AS DATE)) % 3 = 0""")
 def stale_days(spark, sf_dir):
+    """Days of every third date lose all of their records."""
     r = _records(spark, sf_dir)
-    return lifecycle.stale_partitions(r, r.where("event_date <> '2024-01-10'"), "event_date")
+    return lifecycle.stale_partitions(r, r.where(F.day(F.to_date("event_date")) % 3 != 0), "event_date")
 
 
 _VIEW = "'search::' || record_id AS search_id, event_date AS primary_date, compact_title, record_type, source_service, array_to_string(people, ',') AS related_people, array_to_string(topics, ',') AS related_topics, importance_score, url AS deep_link_hint"
 
 
 def _view(spark, sf_dir, name):
-    base = views.base_view(_records(spark, sf_dir))
+    records = _records(spark, sf_dir)
+    base = views.base_view(graph.link_entities(records, graph.entity_sources(records)) if name == "by_entity" else records)
     out = views.sorted_view(base, name) if name in views.SORT_KEYS else views.llm_view(base) if name == "llm" else base
     return out.select("search_id", "primary_date", "compact_title", "record_type", "source_service", *_joined("related_people", "related_topics"), "importance_score", "deep_link_hint", *(["sort_key"] if name in views.SORT_KEYS else []))
 
 
-for _name, _key in (("by_date", ", event_date AS sort_key"), ("by_service", ", source_service AS sort_key"), ("by_topic", ", array_to_string(topics, '|') AS sort_key"), ("by_entity", ", 'ÿ' AS sort_key"), ("all", "")):
+for _name, _key in (("by_date", ", event_date AS sort_key"), ("by_service", ", source_service AS sort_key"), ("by_topic", ", array_to_string(topics, '|') AS sort_key"), ("all", "")):
     query(f"WITH {_RECORDS} SELECT {_VIEW}{_key} FROM records", f"search_view_{_name}")(lambda spark, sf_dir, n=_name: _view(spark, sf_dir, n))
 query(f"WITH {_RECORDS} SELECT {_VIEW} FROM records WHERE starts_with(record_type, 'llm_')", "search_view_llm")(lambda spark, sf_dir: _view(spark, sf_dir, "llm"))
 
@@ -314,10 +316,10 @@ def search_fulltext(spark, sf_dir):
     return views.search_fulltext(views.fulltext_view(_documents_as_records(spark, sf_dir)), ["The", "and"]).select("record_id")
 
 
-@query(f"""WITH {_TEXTS}, w AS (SELECT record_id, unnest(regexp_extract_all(lower(t), '[\\p{{L}}\\p{{N}}]+')) AS term FROM texts)
+@query(f"""WITH {_TEXTS.replace('substr(text, 1, 2000)', 'text')}, w AS (SELECT record_id, unnest(regexp_extract_all(lower(t), '[\\p{{L}}\\p{{N}}]+')) AS term FROM texts)
   SELECT record_id, count(*) AS score FROM w WHERE term IN ('the', 'of') GROUP BY record_id HAVING count(DISTINCT term) = 2""")
 def inverted_index_lookup(spark, sf_dir):
-    return views.lookup(views.inverted_index(views.fulltext_view(_documents_as_records(spark, sf_dir))), ["the", "of"])
+    return views.lookup(views.inverted_index(views.fulltext_view(_documents_as_records(spark, sf_dir), max_chars=None)), ["the", "of"])
 
 
 # --- statistics
@@ -360,6 +362,9 @@ _MENTIONS = f"""{_RECORDS}, mentions AS (SELECT source_id, seq, e.t AS entity_ty
     FROM mentions JOIN src USING (source_id) GROUP BY source_id, entity_type, canonical_name)"""
 
 
+query(f"WITH {_MENTIONS}, first AS (SELECT source_id, min(entity_id) AS sort_key FROM child GROUP BY 1) SELECT {_VIEW}, sort_key FROM records JOIN first USING (source_id)", "search_view_by_entity")(lambda spark, sf_dir: _view(spark, sf_dir, "by_entity"))
+
+
 @query(f"WITH {_MENTIONS} SELECT entity_id, source_id, entity_type, canonical_name, mentions, first_seen, last_seen, records FROM child")
 def entity_sources(spark, sf_dir):
     return graph.entity_sources(_records(spark, sf_dir)).select("entity_id", "source_id", "entity_type", "canonical_name", "mentions", "first_seen", "last_seen", "records")

@@ -2,6 +2,7 @@ import io
 import json
 import zipfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from shelfmark.operators import graph, rollups, stats, views
@@ -132,3 +133,33 @@ def test_views(spark):
 def test_every_query_has_sql_and_the_flagship_runs(spark, sf):
     assert set(registry.SQL) == set(registry.QUERIES)
     assert registry.QUERIES[registry.FLAGSHIP](spark, sf).count() > 0
+
+
+def test_publishing_leaves_no_gap(spark, tmp_path, monkeypatch):
+    root, rows = f"file://{tmp_path}", spark.range(3)
+    read = lambda: tables.read_published(spark, root, "t", rows.schema).count()
+    assert read() == 0 and tables.current_version(spark, root, "t") is None
+    tables.publish(rows, root, "t", "1")
+    for version, at in (("2", "write"), ("3", "pointer")):  # a run that stops before, or while, it points to its version
+        def stop(*_):
+            raise RuntimeError("stopped")
+
+        with monkeypatch.context() as m:
+            if at == "write":
+                m.setattr(tables, "point_to", stop)
+            else:
+                m.setattr(tables.uuid, "uuid4", stop)
+            with pytest.raises(RuntimeError, match="stopped"):
+                tables.publish(spark.range(7), root, "t", version)
+        assert read() == 3 and tables.current_version(spark, root, "t") == "1"
+    (tmp_path / "t" / "_pointer-half").write_text("9")  # what such a run may leave is no pointer
+    for k in range(4):
+        tables.publish(spark.range(k + 4), root, "t", f"v{k}")
+        assert read() == k + 4
+    assert len(list((tmp_path / "t").glob("CURRENT-*.txt"))) == 2
+
+
+def test_topics_and_senders_must_be_known(spark):
+    edges = spark.createDataFrame([("s", "a", "mentions"), ("s", "b", "mentions"), ("s", "c", "sent_message"), ("s", "d", "visited")], "source_id string, subject string, predicate string")
+    child = spark.createDataFrame([("s", "a"), ("s", "a"), ("t", "b"), ("s", "c")], "source_id string, canonical_name string")
+    assert sorted(r["subject"] for r in graph.known_edges(edges, child).collect()) == ["a", "c", "d"]
