@@ -132,6 +132,16 @@ def test_audit_needs_true_links_and_fails_aloud(spark, monkeypatch):
         embedding_dedup.near_duplicates(df)
 
 
+def test_tokens_of_a_whole_table_equal_the_named_tokenizer(spark, sf):
+    docs = spark.read.parquet(sf.replace("sf0.001", "sf0.1") + "/documents.parquet")
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    tokenizer.encode_special_tokens = True
+    own = {(r["doc_id"], r["length"], r["ids_crc32"]) for r in packing.tokenize(docs, "doc_id", "text", piece_tokens=1 << 30).collect()}
+    rows = docs.select("doc_id", "text").collect()
+    named = tokenizer.encode_batch([r["text"] or "" for r in rows], add_special_tokens=False)
+    assert own == {(r["doc_id"], len(e.ids) + 1, zlib.crc32(np.array([*e.ids, 0], "<u4").tobytes())) for r, e in zip(rows, named, strict=True)}
+
+
 def test_tokens_equal_the_named_tokenizer(spark):
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     tokenizer.encode_special_tokens = True
@@ -165,6 +175,62 @@ def test_packing_keeps_every_capacity(spark, sf, pieces, attention, rule):
     assert packing.pack_documents(empty(spark)).count() == 0
 
 
+def _fewest(lengths, capacity):
+    """The least number of bins, by trying all ways."""
+    def go(k, bins):
+        nonlocal best
+        if len(bins) >= best:
+            return
+        if k == len(order):
+            best = len(bins)
+            return
+        v = order[k]
+        for b in {tuple(x) for x in bins}:
+            if b[0] + v <= capacity[0] and b[1] + 1 <= capacity[1] and b[2] + v * v <= capacity[2]:
+                rest = list(bins)
+                rest.remove(b)
+                go(k + 1, [*rest, (b[0] + v, b[1] + 1, b[2] + v * v)])
+        go(k + 1, [*bins, (v, 1, v * v)])
+
+    order, best = sorted(lengths, reverse=True), len(lengths) + 1
+    go(0, [])
+    return best
+
+
+@pytest.mark.parametrize("capacity", [(100, 100, 10_000), (100, 3, 10_000), (100, 100, 4000)])
+@pytest.mark.parametrize("rule", ["norm", "dot"])
+def test_best_fit_against_all_ways(capacity, rule):
+    rng = np.random.default_rng(2)
+    extra = 0
+    for _ in range(25):
+        lengths = rng.integers(5, 60, 9)
+        bins, offsets = packing.best_fit(lengths, np.array(capacity, float), None, rule)
+        for b in set(bins.tolist()):
+            mine = lengths[bins == b]
+            assert mine.sum() <= capacity[0] and len(mine) <= capacity[1] and (mine**2).sum() <= capacity[2]
+            assert sorted(offsets[bins == b].tolist()) == [0, *np.cumsum(mine[np.argsort(offsets[bins == b])])[:-1].tolist()]
+        more = len(set(bins.tolist())) - _fewest(lengths.tolist(), capacity)
+        assert 0 <= more <= 1  # placing one piece after the other is no search
+        extra += more
+    assert extra <= (5 if capacity == (100, 100, 10_000) else 12)  # of 25 problems
+
+
+def test_pack_query_gives_whole_documents_and_few_sequences(spark, sf):
+    rows = queries.op8_pack(spark, sf).toPandas()
+    texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(sf + "/documents.parquet").collect()}
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    tokenizer.encode_special_tokens = True
+    assert set(rows.doc_id) == set(texts)
+    for doc, mine in rows.groupby("doc_id"):
+        ids = np.array([*tokenizer.encode(texts[doc], add_special_tokens=False).ids, 0], "<u4")
+        mine = mine.sort_values("piece")
+        assert mine.start.tolist() == np.cumsum([0, *mine.length])[:-1].tolist() and mine.length.sum() == len(ids) and (mine.length[1:] == 2048).all()
+        assert mine.ids_crc32.tolist() == [zlib.crc32(ids[a : a + n].tobytes()) for a, n in zip(mine.start, mine.length, strict=True)]
+    for _, mine in rows.sort_values("offset").groupby("sequence_id"):
+        assert mine.offset.tolist() == np.cumsum([0, *mine.length])[:-1].tolist() and mine.length.sum() <= 2048
+    assert rows.sequence_id.nunique() <= -(-rows.length.sum() // 2048) * 1.02 + 1
+
+
 def test_pipeline_stages_on_awkward_and_planted_rows(spark, sf):
     base = spark.read.parquet(sf + "/documents.parquet")
     bench = [r["text"] for r in spark.read.parquet(sf + "/benchmark.parquet").limit(3).collect()]
@@ -186,6 +252,11 @@ def test_pipeline_stages_on_awkward_and_planted_rows(spark, sf):
     none = docs.limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, none, sf).count() == 0
+    other = rows.drop("n_chars").withColumns({c: F.lit(c) for c in ("spans", "kept", "accepted", "block", "place", "row_id", "component_id", "piece", "offset", "key", "node")})
+    for _, stage in corpus_pipeline.STAGES[:-1]:  # work columns' names, and no n_chars
+        out = stage(spark, other, sf)
+        assert out.columns == other.columns and out.where("kept <> 'kept' or spans <> 'spans' or node <> 'node'").count() == 0 and out.count() > 0
+    assert corpus_pipeline.STAGES[-1][1](spark, other, sf).select("doc_id").distinct().count() == 6
     out = corpus_pipeline.run(spark, sf)
     assert 0 < out.select("doc_id").distinct().count() < base.count()
     assert shared_dir(spark) and set(queries.QUERIES) >= {f"op{n}_{x}" for n, x in ((1, "url_filter"), (8, "pack"))}

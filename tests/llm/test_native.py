@@ -92,3 +92,22 @@ def test_sharding_of_a_hot_key_and_nulls(spark):
     assert max(per.values()) <= 100 and all(per[r["shard"]] == r["shard_bytes"] for r in out)
     assert sharding.shard(empty(spark), "doc_id", F.octet_length("text"), 10).count() == 0
     assert math.isclose(sum(per.values()), 9000)
+
+
+WORK = [*url_filter.LEXICAL, *url_filter.SUFFIX, "suffix1", "suffix2", "f_url", "f_host", "f_path", "f_vector", "probability", "rawPrediction", "prediction", "prefix", "leaf", "hist", "node", "b", "c", "lo", "hi", "shard_bytes", "label"]
+
+
+def test_work_columns_meet_no_column_of_the_caller(spark):
+    urls = [(k, f"http://{'bad-' * (k % 2)}h{k % 7}.example.com/p{k}?x={k}", float(k % 2)) for k in range(60)]
+    train = spark.createDataFrame(urls, "k long, url string, label double")
+    model = url_filter.train_url_model(train)
+    assert model.trees is not None
+    clash = train.select("k", "url", *[F.concat(F.lit(c), "k").alias(c) for c in WORK])
+    plain = {r["k"]: (r["verdict"], r["block_score"]) for r in url_filter.filter_urls(train.select("k", "url"), model, queries.URL_RULES).collect()}
+    got = url_filter.filter_urls(clash, model, queries.URL_RULES).collect()
+    assert len(got) == 60 and all((r["verdict"], r["block_score"]) == plain[r["k"]] and all(r[c] == f"{c}{r['k']}" for c in WORK) for r in got)
+    own = [c for c in WORK if c not in sharding.ADDED]
+    for key, limit in (("k", 100), ("same", 300)):  # split by bits of keys, and by rows of one key
+        rows = clash.withColumn("same", F.lit(1))
+        told = sharding.shard(rows, key, F.lit(20), limit).collect()
+        assert len(told) == 60 and all(r[c] == f"{c}{r['k']}" for r in told for c in own) and max(r["shard_bytes"] for r in told) <= limit

@@ -37,6 +37,19 @@ def test_word_hashes_tell_words_apart():
     assert [list(words.chunks(np.array([0, 5, 5, 900, 901]), 10))] == [[(0, 2), (2, 3), (3, 4)]] or list(words.chunks(np.array([0, 5, 5, 900, 901]), 10))[-1][1] == 4
 
 
+def test_words_made_to_collide_have_different_hashes():
+    def morse(n, flip):  # words whose polynomials agree modulo a power of two
+        return "".join("ab"[(bin(k).count("1") + flip) % 2] for k in range(n))
+
+    texts = [morse(n, flip) for n in (1024, 2048, 4096) for flip in (0, 1)]
+    for kind in (words.ALNUM, words.NON_SPACE):
+        h, _ = words.hash_words(*words.text_bytes(pa.array(texts)), kind)
+        assert len(set(h.tolist())) == 6
+    long = ["x" * n for n in range(1, 300)] + ["x" * 64 * k + "y" + "x" * 200 for k in range(5)]
+    h, _ = words.hash_words(*words.text_bytes(pa.array(long)), words.ALNUM)
+    assert len(set(h.tolist())) == len(long)
+
+
 def _contaminated(docs, items, width):
     windows = defaultdict(set)
     for i, t in items:
@@ -95,10 +108,14 @@ def _jaccard(docs, width=5, percent=75):
     for k, (i, _) in enumerate(docs):
         comp[find(k)].append(i)
     first = {c: min((i for i in v if i is not None), default=None) for c, v in comp.items()}
-    return sorted([(i, len(sets[k]), first[find(k)]) for k, (i, _) in enumerate(docs)], key=repr)
+    near = [sum(b != a and bool(sets[a]) and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]) for b in range(len(docs))) for a in range(len(docs))]
+    return sorted([(i, len(sets[k]), first[find(k)], near[k]) for k, (i, _) in enumerate(docs)], key=repr)
 
 
-def test_ngram_join_against_brute_force(spark):
+@pytest.mark.parametrize(("block", "common"), [(2048, 40_000), (16, 20)])
+def test_ngram_join_against_brute_force(spark, monkeypatch, block, common):
+    monkeypatch.setattr(ngram_join, "LINK_BLOCK", block)
+    monkeypatch.setattr(ngram_join, "_COMMON", common)
     rng = np.random.default_rng(3)
     pool = [f"w{k}" for k in range(400)]
     rows = [(r["doc_id"], r["text"]) for r in awkward(spark).collect()]
@@ -112,7 +129,7 @@ def test_ngram_join_against_brute_force(spark):
     rows += [(900 + k, line + f" {k}") for k in range(40)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = ngram_join.jaccard_components(docs).collect()
-    assert sorted([(r["doc_id"], r["n_shingles"], r["component_id"]) for r in got], key=repr) == _jaccard(rows)
+    assert sorted([(r["doc_id"], r["n_shingles"], r["component_id"], r["n_links"]) for r in got], key=repr) == _jaccard(rows)
     assert ngram_join.jaccard_components(empty(spark)).count() == 0
 
 
