@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.functions.ids import is_set
+from shelfmark.functions.session import shared_dir
 
 from .inventory import REMOVALS
 
@@ -44,15 +45,17 @@ def purge(indices: dict[str, DataFrame], exclusions: DataFrame, cascade_bundles:
 
     Sources and records go by file; an entity or relation goes when it had sources and all of
     them are purged. The test explodes the source lists, so that no list of purged sources has
-    to fit anywhere.
+    to fit anywhere. Entities and relations are stored first, as they are read twice.
     """
+    shared_dir(exclusions.sparkSession)
     files = purged_files(indices["sources"], exclusions, cascade_bundles)
     gone = indices["sources"].join(files, "file_id", "left_semi").select("source_id").distinct()
     out = {k: indices[k].join(files, "file_id", "left_anti") for k in ("sources", "records")}
     for name, key in (("entities", "entity_id"), ("relations", "relation_id")):
-        per = indices[name].select(key, F.explode("source_ids").alias("source_id")).join(gone.withColumn("__gone", F.lit(True)), "source_id", "left")
+        held = indices[name].checkpoint()
+        per = held.select(key, F.explode("source_ids").alias("source_id")).join(gone.withColumn("__gone", F.lit(True)), "source_id", "left")
         dead = per.groupBy(key).agg(F.count(F.when(F.col("__gone").isNull(), 1)).alias("alive")).where("alive = 0").select(key)
-        out[name] = indices[name].join(dead, key, "left_anti")
+        out[name] = held.join(dead, key, "left_anti")
     return out
 
 

@@ -32,9 +32,11 @@ def top_titles(records: DataFrame, n: int = TOP_TITLES) -> DataFrame:
     return ranked.groupBy("event_date").agg(F.transform(F.array_sort(F.collect_list(F.struct("k", "t"))), lambda x: x["t"]).alias("key_events"))
 
 
-def _names(records: DataFrame, column: str, name: str) -> DataFrame:
-    flat = records.select("event_date", F.explode(column).alias("x")) if records.schema[column].dataType.typeName() == "array" else records.select("event_date", F.col(column).alias("x"))
-    return flat.groupBy("event_date").agg(F.array_sort(F.collect_set("x")).alias(name))
+def _names(records: DataFrame, column: str) -> Column:
+    """The distinct names of a group, sorted; equal lists of names are met once."""
+    if records.schema[column].dataType.typeName() != "array":
+        return F.array_sort(F.collect_set(column))
+    return F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.array_compact(column)))))
 
 
 def daily_memory(records: DataFrame, as_of: str) -> DataFrame:
@@ -49,9 +51,8 @@ def daily_memory(records: DataFrame, as_of: str) -> DataFrame:
         F.transform(F.array_sort(F.collect_list(F.when(is_set("url"), F.struct("seq", "url")))), lambda x: x["url"]).alias("media_refs"),
         in_order(F.lit(True)).alias("record_ids"),
         F.round(F.sum(_decimal(F.col("importance_score"), 0.0)), 3).cast("double").alias("importance_score"),
+        *[_names(rows, column).alias(name) for column, name in (("people", "people"), ("places", "places"), ("apps", "apps"), ("source_id", "source_ids"))],
     )
-    for column, name in (("people", "people"), ("places", "places"), ("apps", "apps"), ("source_id", "source_ids")):
-        main = main.join(_names(rows, column, name), "event_date", "left")
     main = main.join(top_titles(rows), "event_date", "left")
     empty = F.array().cast("array<string>")
     day = F.col("event_date")
