@@ -52,13 +52,13 @@ def test_rule_order_is_data(spark):
 def test_graph_of_two_sources(spark):
     make = lambda f: spark.createDataFrame([(f, f"in/{f}.json", f"{f}.json", json.dumps({"items": [{"id": "1", "title": "T", "people": ["Ann", "Bob", "Cyd"], "apps": ["App"], "topics": ["Top"], "timestamp": day} for day in days]}), "", "") for f, days in [(f, ["2024-01-02", "2024-01-01"])]], SOURCE)
     rows = make("export1").unionByName(make("export2"))
-    records = exports.parse_sources(exports.build_sources(rules.resolve_parser(rows), "p", "now"), "now")
-    child = graph.entity_sources(records)
+    records = exports.parse_sources(exports.build_sources(rules.resolve_parser(rows), "p", "now"), "now").cache()
+    child = graph.entity_sources(records).cache()
     merged = {r["canonical_name"]: r for r in graph.merge_entities(child).collect()}
     assert len(merged["ann"]["source_ids"]) == 2 and merged["ann"]["mentions"] == 4 and (merged["ann"]["first_seen"], merged["ann"]["last_seen"]) == ("2024-01-01", "2024-01-02")
     again = {r["canonical_name"]: r["mentions"] for r in graph.merge_entities(child, child).collect()}
     assert again["ann"] == 4  # running twice changes nothing
-    rel = graph.source_relations(records)
+    rel = graph.source_relations(records).cache()
     assert rel.groupBy("source_id", "predicate").count().where("predicate = 'communicated_with'").first()["count"] == 3
     ends = graph.merge_entities(child).select(F.col("entity_id").alias("subject_entity_id"))
     assert rel.join(ends, "subject_entity_id", "left_anti").count() == 0
