@@ -18,6 +18,8 @@ from shelfmark.functions.text import joined_parents
 
 REMOVALS = ("DELETED", "TRASHED", "REMOVED_OR_NO_ACCESS", "MOVED_OUT_OF_SCOPE")
 SIZE_SENTINEL = "HASH_SKIPPED_SIZE"
+#: A content with more files than this is hot; there are at most as many as this number goes into the rows.
+HOT_COPIES = 1_000_000
 FOLDER_MIME = "application/vnd.google-apps.folder"
 NATIVE_PREFIX = "application/vnd.google-apps."
 
@@ -134,25 +136,31 @@ def suggest_names(files: DataFrame, project: str) -> DataFrame:
 
 
 def primaries(rows: DataFrame) -> DataFrame:
-    """(sha256, primary): the first file of each content; unhashed rows have none."""
+    """(sha256, primary, copies): the first file of each content, and how many there are; unhashed rows have none."""
     real = rows.where(is_set("sha256") & (F.col("sha256") != SIZE_SENTINEL))
-    return real.groupBy("sha256").agg(F.min(F.struct("seq", "file_id")).alias("m")).select("sha256", F.col("m.file_id").alias("primary"))
+    return real.groupBy("sha256").agg(F.min(F.struct("seq", "file_id")).alias("m"), F.count("*").alias("copies")).select("sha256", F.col("m.file_id").alias("primary"), "copies")
 
 
 def dedupe_by_hash(files: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """Add ``status`` and ``duplicate_of`` to hashed files.
 
     A content's primary is the known file with the smallest seq that still has it (rows of this
-    batch override older known rows), else the first file of this batch.
+    batch override older known rows), else the first file of this batch. Contents with more than
+    HOT_COPIES files, of which there are few by that bound, are joined by broadcast, so that
+    their copies stay where they are.
     """
     own = primaries(files).withColumnRenamed("primary", "batch_primary")
     if known is None:
-        first = own.withColumnRenamed("batch_primary", "first")
+        first = own.select("sha256", F.col("batch_primary").alias("first"), F.lit(False).alias("was_known"), "copies")
     else:
         current = known.join(files.select("file_id", F.col("sha256").alias("now")), "file_id", "left").where("now is null or now = sha256")
-        first = own.join(primaries(current), "sha256", "left").select("sha256", F.coalesce("primary", "batch_primary").alias("first"), F.col("primary").isNotNull().alias("was_known"))
-    rows = files.join(first, "sha256", "left")
-    resumed = F.col("was_known") if known is not None else F.lit(False)
+        first = own.join(primaries(current).drop("copies"), "sha256", "left").select("sha256", F.coalesce("primary", "batch_primary").alias("first"), F.col("primary").isNotNull().alias("was_known"), own["copies"])
+    hot, cold = first.where(F.col("copies") > HOT_COPIES), first.where(F.col("copies") <= HOT_COPIES)
+    rows = files.join(F.broadcast(hot.select("sha256", F.struct("first", "was_known").alias("__hot"))), "sha256", "left")
+    rows = rows.withColumn("__key", F.when(F.col("__hot").isNull() & is_set("sha256"), F.col("sha256")).otherwise(F.concat(F.lit("~"), "file_id")))
+    rows = rows.join(cold.select(F.col("sha256").alias("__key"), F.struct("first", "was_known").alias("__cold")), "__key", "left")
+    rows = rows.withColumn("__first", F.coalesce("__hot", "__cold")).withColumns({"first": F.col("__first.first"), "was_known": F.coalesce("__first.was_known", F.lit(False))})
+    resumed = F.col("was_known")
     status = (
         F.when(~is_set("sha256"), "HASH_ERROR")
         .when(F.col("sha256") == SIZE_SENTINEL, "SKIPPED_SIZE")
@@ -160,7 +168,7 @@ def dedupe_by_hash(files: DataFrame, known: DataFrame | None = None) -> DataFram
         .when(F.col("first") == F.col("file_id"), "ORIGINAL")
         .otherwise("DUPLICATE")
     )
-    return rows.withColumn("status", status).withColumn("duplicate_of", F.when(F.col("status") == "DUPLICATE", F.col("first")).otherwise("")).drop("first", "was_known")
+    return rows.withColumn("status", status).withColumn("duplicate_of", F.when(F.col("status") == "DUPLICATE", F.col("first")).otherwise("")).select(*dict.fromkeys([*files.columns, "status", "duplicate_of"]))
 
 
 def duplicate_groups(report: DataFrame, existing: DataFrame | None = None) -> DataFrame:

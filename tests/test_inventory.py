@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from shelfmark.operators import inventory, lifecycle, sorting
@@ -40,7 +41,9 @@ def test_size_guard_and_unchanged_content(spark):
     assert route(parents=["z"], mime_type="application/vnd.google-apps.document")["status"] is None
 
 
-def test_three_files_of_one_hash_one_known(spark):
+@pytest.mark.parametrize("hot", [1_000_000, 1])
+def test_three_files_of_one_hash_one_known(spark, monkeypatch, hot):
+    monkeypatch.setattr(inventory, "HOT_COPIES", hot)
     rows = files(spark, file_id="a", seq=5, sha256="h").unionByName(files(spark, file_id="b", seq=3, sha256="h")).unionByName(files(spark, file_id="c", seq=4, sha256="")).unionByName(files(spark, file_id="k", seq=9, sha256="h"))
     got = {r["file_id"]: (r["status"], r["duplicate_of"]) for r in inventory.dedupe_by_hash(rows, known(spark, file_id="k", seq=9, sha256="h")).collect()}
     assert got == {"a": ("DUPLICATE", "k"), "b": ("DUPLICATE", "k"), "c": ("HASH_ERROR", ""), "k": ("ORIGINAL_RESUMED", "")}
