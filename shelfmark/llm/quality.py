@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .common import checkpoint, compact, drop_table, shared_dir, table, text_column
+from .common import checkpoint, compact, drop_table, give_back_memory, shared_dir, table, text_column
 
 ORDER = 5
 #: The lowest order falls back on equal shares of all code points.
@@ -50,7 +50,7 @@ HELD_OUT = 5
 MOST_BUCKETS = 100_000
 _BINS = 1000  # bins per unit of log perplexity
 _CHUNK = 1 << 18  # characters of a piece
-_EMIT = 1 << 16
+_EMIT, _HELD = 1 << 16, 1 << 19  # n-grams that are sent, and that are gathered before they are merged
 
 
 def _symbols(texts: list[str]) -> np.ndarray:
@@ -124,9 +124,9 @@ class BlockGrams:
                 counts[np.searchsorted(other, seen)] = n
             parts.append((other, counts))
             held += len(other)
-            if held > 1 << 20 and held > 4 * len(parts[0][0]):
+            if held > _HELD:
                 parts = [_merge(parts)]
-                held = len(parts[0][0])
+                held = 0
         keys, counts = _merge(parts)
         for a in range(0, len(keys), _EMIT):
             yield self.spelled(keys[a : a + _EMIT]), counts[a : a + _EMIT]
@@ -257,6 +257,8 @@ def tell_grams(blocks: DataFrame, order: int = ORDER) -> DataFrame:
                     arrays = [pa.array(np.full(n, batch.column("block")[k].as_py())), pa.array(np.arange(place, place + n), pa.int32()), pa.array(strings.tolist(), pa.string()), pa.array(counts, pa.int64())]
                     yield pa.RecordBatch.from_arrays(arrays, ["block", "place", "gram", "c"])
                     place += n
+                del grams, trusted
+                give_back_memory()
 
     return table(blocks.select("block", "trusted", "sizes", "ends", "texts").mapInArrow(run, "block long, place int, gram string, c long"), "told-grams")
 
@@ -326,6 +328,8 @@ def score_documents(blocks: DataFrame, told: DataFrame, scores: DataFrame, order
             chars += map(len, own)
             if with_text:
                 texts.append(pa.array(own, pa.string()))
+        del logs
+        give_back_memory()
         told = pa.chunked_array(texts, pa.string()) if with_text else pa.nulls(len(chars), pa.string())
         return pa.table({"info": infos, "text": told, "n_symbols": pa.array(chars, pa.int64()), "log_p": pa.array(total)})
 
