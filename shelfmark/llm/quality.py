@@ -220,7 +220,8 @@ def store_blocks(rows: DataFrame) -> DataFrame:
     name = f"text_blocks_{uuid.uuid4().hex}"
     path = f"{shared_dir(spark)}/{name}"
     made = rows.mapInArrow(run, schema).withColumn("block", F.monotonically_increasing_id())
-    made.write.format("parquet").option("path", path).bucketBy(buckets, "block").saveAsTable(name)
+    # the texts are compressed already; a codec would take memory of the size of a block outside the heap, for each block
+    made.write.format("parquet").option("compression", "uncompressed").option("path", path).bucketBy(buckets, "block").saveAsTable(name)
     out = spark.table(name)
     out.table_name, out.table_path = name, path
     return out
