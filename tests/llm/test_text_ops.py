@@ -310,6 +310,15 @@ def test_the_field_adds_what_lies_beyond_a_pattern():
 
     (spans,) = secrets.all_spans(['password="abcdefgh$restofsecret" and words'], Field())
     assert spans[0] == ("assign", 0, 18) and spans[1:] == [("crf", 18, 31)]
+
+    class Ends:
+        def tag(self, tokens):
+            return np.where(np.append(np.diff(tokens.line) > 0, True), secrets.B, secrets.O)
+
+    lines = ["é plain", "token=abcdefgh tail", "é words", "ü secret=abcdefgh password=abcdefgh $endofit", "more"]  # found by their matches alone
+    (spans,) = secrets.all_spans(["\n".join(lines)], Ends())
+    text = "\n".join(lines)
+    assert [text[a:b] for kind, a, b in spans if kind == "crf"] == ["tail", "endofit"]
     whole = type("Whole", (), {"tag": lambda self, t: np.where(np.arange(len(t.start)) == 0, secrets.B, secrets.I)})()
     (spans,) = secrets.all_spans(["zz-" + "0123456789abcdef" * 2 + "-yy"], whole)
     assert spans == [("crf", 0, 3), ("hex", 3, 35), ("crf", 35, 38)]
