@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, embedding_dedup, ngram_join, packing, quality, secrets, sharding, url_filter, warc
+from . import chat, decontam, divergence, embedding_dedup, ngram_join, packing, quality, secrets, sharding, topk, url_filter, warc, whitening
 
 from .common import LOWER, UPPER
 
@@ -201,5 +201,44 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(shown(base), 256).alias("base_sha256"), shown(F.col("spans")).alias("spans"))
 
 
-QUERIES = {"op1_url_filter": op1_url_filter, "op2_decontaminate": op2_decontaminate, "op3_quality": op3_quality, "op4_warc": op4_warc, "op5_chat_format": op5_chat_format, "op6_embedding_dedup": op6_embedding_dedup, "op7_ngram_join": op7_ngram_join, "op8_pack": op8_pack, "op9_shard": op9_shard, "op10_secrets": op10_secrets}
-SQL = {"op2_decontaminate": _DECONTAM_SQL, "op4_warc": _WARC_SQL, "op5_chat_format": _chat_sql(), "op6_embedding_dedup": _EMBEDDING_SQL, "op7_ngram_join": _JOIN_SQL, "op9_shard": _SHARD_SQL}
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_read(spark, sf_dir, "documents"))
+
+
+_DIVERGENCE_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+c AS (SELECT lang, source, item, count(*) AS n, count(DISTINCT r) AS docs FROM (SELECT r, lang, source, unnest(w) AS item FROM d) GROUP BY ALL),
+k AS (SELECT lang, item, sum(n) AS total FROM c GROUP BY lang, item HAVING sum(docs) >= 30),
+f AS (SELECT lang, source, item, n FROM c SEMI JOIN k USING (lang, item)),
+v AS (SELECT lang, count(*) AS terms, sum(total) AS lang_size FROM k GROUP BY lang),
+g AS (SELECT lang, source, coalesce(sum(n), 0) AS size FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN f USING (lang, source) GROUP BY lang, source),
+p AS (SELECT lang, source, item, coalesce(n, 0) AS n, 1 + (1000000000::HUGEINT * (coalesce(n, 0) + 5)::HUGEINT) // (size + 5 * terms)::HUGEINT AS p,
+    1 + (1000000000::HUGEINT * (total + 5)::HUGEINT) // (lang_size + 5 * terms)::HUGEINT AS q
+  FROM g JOIN v USING (lang) JOIN k USING (lang) LEFT JOIN f USING (lang, source, item)),
+s AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.item = b.item AND a.source <> b.source GROUP BY ALL),
+o AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+  UNION ALL SELECT lang, source, 'term', item, CAST(p - q AS BIGINT) FROM p WHERE n > 0 AND p > q),
+x AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM o)
+SELECT * FROM x WHERE part = 'pair' OR rank <= 50"""
+
+
+def op12_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = topk.build_index(_read(spark, sf_dir, "embeddings"))
+    return topk.search(index, lambda i: i % 20 == 0)
+
+
+_TOPK_SQL = """
+WITH v AS (SELECT row_number() OVER () AS r, vec_id, list_transform(CAST(embedding AS DOUBLE[]), lambda x: CAST(floor(64 * x) AS BIGINT)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(CAST(embedding AS DOUBLE[]), lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.r, a.vec_id AS query_id, b.vec_id, CAST(list_inner_product(CAST(a.e AS DOUBLE[]), CAST(b.e AS DOUBLE[])) AS BIGINT) AS score FROM v a JOIN v b ON a.r <> b.r WHERE a.vec_id % 20 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s QUALIFY rank <= 20"""
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_read(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {"op1_url_filter": op1_url_filter, "op2_decontaminate": op2_decontaminate, "op3_quality": op3_quality, "op4_warc": op4_warc, "op5_chat_format": op5_chat_format, "op6_embedding_dedup": op6_embedding_dedup, "op7_ngram_join": op7_ngram_join, "op8_pack": op8_pack, "op9_shard": op9_shard, "op10_secrets": op10_secrets, "op11_divergence": op11_divergence, "op12_topk": op12_topk, "op13_whitening": op13_whitening}
+SQL = {"op2_decontaminate": _DECONTAM_SQL, "op4_warc": _WARC_SQL, "op5_chat_format": _chat_sql(), "op6_embedding_dedup": _EMBEDDING_SQL, "op7_ngram_join": _JOIN_SQL, "op9_shard": _SHARD_SQL, "op11_divergence": _DIVERGENCE_SQL, "op12_topk": _TOPK_SQL}
