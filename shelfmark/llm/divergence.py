@@ -45,24 +45,42 @@ def _words(text: bytes) -> Iterator[list[bytes]]:
 
 
 def _run_rows(held: dict, shards: int) -> Iterator[pa.RecordBatch]:
-    """What is held as one run a shard: entries (language, term, source, count, documents) sorted by bytes."""
-    entries = defaultdict(list)
-    for (lang, source), (counts, docs) in held.items():
-        seed = crc32(lang)
-        for term, n in counts.items():
-            entries[crc32(term, seed) % shards].append((lang, term, source, n, docs[term]))
-    for shard, run in entries.items():
-        run.sort()
-        groups = sorted({(e[0], e[2]) for e in run})
-        code = {g: i for i, g in enumerate(groups)}
+    """What is held as one run a shard: keys (language, term) sorted by bytes, each with its documents, and with its count by source."""
+    names = sorted({source for _, source in held})
+    code = {source: i for i, source in enumerate(names)}
+    by_lang = defaultdict(list)
+    for (lang, source), pair in held.items():
+        by_lang[lang].append((code[source], *pair))
+    langs, terms, lang_of, shard_of, entries, base = sorted(by_lang), [], [], [], [], 0
+    for k, lang in enumerate(langs):
+        own = sorted(set().union(*(counts for _, counts, _ in by_lang[lang])))
+        rank, seed = dict(zip(own, range(base, base + len(own)), strict=True)), crc32(lang)
+        for source, counts, docs in by_lang[lang]:
+            size = len(counts)
+            entries.append((np.fromiter(map(rank.__getitem__, counts), np.int64, size), np.full(size, source, np.int32), np.fromiter(counts.values(), np.int64, size), np.fromiter(map(docs.__getitem__, counts), np.int64, size)))
+        terms += own
+        lang_of.append(np.full(len(own), k, np.int32))
+        shard_of += [crc32(t, seed) % shards for t in own]
+        base += len(own)
+    if not terms:
+        return
+    key, source, n, docs = (np.concatenate(c) for c in zip(*entries, strict=True))
+    lang_of, shard_of = np.concatenate(lang_of), np.array(shard_of)
+    order = np.lexsort((source, key, shard_of[key]))
+    key, source, n, docs = key[order], source[order], n[order], docs[order]
+    heads = np.flatnonzero(np.diff(key, prepend=-1))
+    keys, key_docs, ends = key[heads], np.add.reduceat(docs, heads), np.append(heads[1:], len(key))
+    cuts = np.append(np.flatnonzero(np.diff(shard_of[keys], prepend=-1)), len(keys))
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        first, last = heads[a], ends[b - 1]
         # terms hold no line feed
-        cols = [pa.array([shard], pa.int32()), pa.array([[g[0] for g in groups]], pa.list_(pa.binary())), pa.array([[g[1] for g in groups]], pa.list_(pa.binary())), pa.array([b"\n".join(e[1] for e in run)])]
-        cols += [pa.array([np.array(v, kind).tobytes()]) for v, kind in (([code[e[0], e[2]] for e in run], np.int32), ([e[3] for e in run], np.int64), ([e[4] for e in run], np.int64))]
+        cols = [pa.array([shard_of[keys[a]]], pa.int32()), pa.array([langs], pa.list_(pa.binary())), pa.array([names], pa.list_(pa.binary())), pa.array([b"\n".join([terms[k] for k in keys[a:b]])])]
+        cols += [pa.array([v.tobytes()]) for v in (lang_of[keys[a:b]], key_docs[a:b], (ends[a:b] - first).astype(np.int32), source[first:last], n[first:last])]
         yield pa.RecordBatch.from_arrays(cols, _RUN)
 
 
-_RUN = ["shard", "langs", "sources", "terms", "groups", "counts", "docs"]
-_RUN_SCHEMA = "shard int, langs array<binary>, sources array<binary>, terms binary, groups binary, counts binary, docs binary"
+_RUN = ["shard", "langs", "names", "terms", "lang_of", "docs", "ends", "sources", "counts"]
+_RUN_SCHEMA = "shard int, langs array<binary>, names array<binary>, terms binary, lang_of binary, docs binary, ends binary, sources binary, counts binary"
 
 
 def _index(shards: int):
@@ -90,23 +108,39 @@ def _index(shards: int):
     return run
 
 
-def _entries(run: dict) -> Iterator[tuple]:
-    groups, counts, docs = (np.frombuffer(run[c], k).tolist() for c, k in (("groups", np.int32), ("counts", np.int64), ("docs", np.int64)))
-    for term, g, n, d in zip(run["terms"].split(b"\n"), groups, counts, docs, strict=True):
-        yield run["langs"][g], term, run["sources"][g], n, d
+class _Run:
+    """A run as its merge reads it: keys in order, and what belongs to the one with a number."""
+
+    def __init__(self, row: dict, number: int):
+        self.row, self.number = row, number
+        self.docs, self.counts = np.frombuffer(row["docs"], np.int64), np.frombuffer(row["counts"], np.int64)
+        self.ends, self.sources = np.frombuffer(row["ends"], np.int32), np.frombuffer(row["sources"], np.int32)
+
+    def keys(self) -> Iterator[tuple]:
+        langs = self.row["langs"]
+        for k, (lang, term, docs) in enumerate(zip(np.frombuffer(self.row["lang_of"], np.int32).tolist(), self.row["terms"].split(b"\n"), self.docs.tolist(), strict=True)):
+            yield langs[lang], term, docs, self.number, k
+
+    def by_source(self, k: int) -> Iterator[tuple[bytes, int]]:
+        for i in range(self.ends[k - 1] if k else 0, self.ends[k]):
+            yield self.row["names"][self.sources[i]], int(self.counts[i])
 
 
 def _merge(least: int):
     def run(rows: pa.Table) -> pa.Table:
         out = [[] for _ in _FREQUENCY]
-        merged = heapq.merge(*(_entries({c: rows.column(c)[i].as_py() for c in _RUN}) for i in range(len(rows))))
-        for (lang, term), entries in groupby(merged, key=itemgetter(0, 1)):
-            by_source = [(source, sum(x) , sum(d)) for source, x, d in ((s, *zip(*[(e[3], e[4]) for e in own], strict=True)) for s, own in groupby(entries, key=itemgetter(2)))]
-            if term and sum(d for _, _, d in by_source) < least:
+        runs = [_Run({c: rows.column(c)[i].as_py() for c in _RUN}, i) for i in range(len(rows))]
+        for (lang, term), same in groupby(heapq.merge(*(r.keys() for r in runs)), key=itemgetter(0, 1)):
+            same = list(same)
+            if term and sum(s[2] for s in same) < least:
                 continue
-            total = sum(n for _, n, _ in by_source)
-            for k, (source, n, _) in enumerate(by_source):
-                for col, v in zip(out, (lang, term, source, n, total, int(k == 0 and term != b"")), strict=True):
+            by_source = Counter()
+            for _, _, _, number, k in same:
+                for source, n in runs[number].by_source(k):
+                    by_source[source] += n
+            total = sum(by_source.values())
+            for k, source in enumerate(sorted(by_source)):
+                for col, v in zip(out, (lang, term, source, by_source[source], total, int(k == 0 and term != b"")), strict=True):
                     col.append(v)
         shard = pa.array([rows.column("shard")[0].as_py()] * len(out[0]), pa.int32())
         strings = [pa.array(c, pa.binary()).cast(pa.string()) for c in out[:3]]
