@@ -155,6 +155,8 @@ def dedupe_by_hash(files: DataFrame, known: DataFrame | None = None) -> DataFram
     else:
         current = known.join(files.select("file_id", F.col("sha256").alias("now")), "file_id", "left").where("now is null or now = sha256")
         first = own.join(primaries(current).drop("copies"), "sha256", "left").select("sha256", F.coalesce("primary", "batch_primary").alias("first"), F.col("primary").isNotNull().alias("was_known"), own["copies"])
+    shared_dir(files.sparkSession)
+    first = first.checkpoint()  # a row for each content, read for the hot and for the others
     hot, cold = first.where(F.col("copies") > HOT_COPIES), first.where(F.col("copies") <= HOT_COPIES)
     rows = files.join(F.broadcast(hot.select("sha256", F.struct("first", "was_known").alias("__hot"))), "sha256", "left")
     rows = rows.withColumn("__key", F.when(F.col("__hot").isNull() & is_set("sha256"), F.col("sha256")).otherwise(F.concat(F.lit("~"), "file_id")))
@@ -186,11 +188,22 @@ def known_rows(report: DataFrame) -> DataFrame:
     return report.select("seq", "file_id", "name", joined_parents(F.col("parents")).alias("parent_ids_sorted"), "md5", "size", "modified_time", "sha256")
 
 
+KEPT = ("ORIGINAL", "ORIGINAL_RESUMED", "SKIPPED_SIZE", "UNCHANGED_CONTENT")
+
+
+def known_changes(report: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What a run changes in the known files: (rows that are new or replace their file's, file_ids that go).
+
+    Originals, resumed and skipped files are new rows, files with unchanged content have their metadata
+    refreshed, removed files go; duplicates and failed hashes change nothing.
+    """
+    return known_rows(report.where(F.col("status").isin(*KEPT))), report.where(F.col("status").isin(*REMOVALS)).select("file_id")
+
+
 def update_known(known: DataFrame, report: DataFrame) -> DataFrame:
-    """The known files after a run: originals, resumed and skipped files are new rows, files with
-    unchanged content have their metadata refreshed, removed files go, all others stay."""
-    fresh = known_rows(report.where(F.col("status").isin("ORIGINAL", "ORIGINAL_RESUMED", "SKIPPED_SIZE", "UNCHANGED_CONTENT")))
-    touched = report.where(F.col("status").isin("ORIGINAL", "ORIGINAL_RESUMED", "SKIPPED_SIZE", "UNCHANGED_CONTENT", *REMOVALS)).select("file_id")
+    """The known files after a run, as ``known_changes`` has it; all others stay."""
+    fresh, _ = known_changes(report)
+    touched = report.where(F.col("status").isin(*KEPT, *REMOVALS)).select("file_id")
     return known.join(touched, "file_id", "left_anti").unionByName(fresh.select(known.columns))
 
 

@@ -106,13 +106,24 @@ def source_flags(spark, sf_dir):
     return files.source_flags(_seen(spark, sf_dir)).select("file_id", "contains_pii", "contains_messages", "contains_geo", "contains_financial", "contains_media_refs")
 
 
-@query(f"""WITH {_REPORTED}, {_OCR}, s AS (SELECT r.*, o.file_id AS o, o.doc_type, o.date, o.summary, o.people, o.organizations FROM reported r LEFT JOIN ocr o USING (file_id))
-  SELECT file_id, name AS title, coalesce(nullif(summary, ''), 'n' || seq % 5) AS summary, coalesce(date, '2024-02-01T00:00:00Z') AS event_time_start, substr(coalesce(date, '2024-02-01T00:00:00Z'), 1, 10) AS event_date,
-    coalesce(CASE WHEN people[1] = people[2] THEN people[1] ELSE array_to_string(people, ',') END, '') AS people,
-    concat_ws(',', CASE WHEN seq % 3 > 0 THEN 'r' || seq % 3 END, organizations[1]) AS apps, coalesce(doc_type, '') AS topics, CASE WHEN seq % 2 = 0 THEN 0.75 ELSE 0.5 END AS importance_score, 'http://x/' || seq AS url,
-    CASE WHEN starts_with(mime_type, 'text/') THEN 'text' WHEN contains(mime_type, 'json') THEN 'json' ELSE 'unknown' END AS canonical_format FROM s""")
+@query(f"""WITH {_REPORTED}, {_OCR}, s AS (SELECT r.*, o.file_id AS o, o.doc_type, o.date, o.summary, o.people, o.organizations, CASE WHEN seq % 4 = 0 THEN 'Own ' || seq END AS own_title, CASE WHEN seq % 5 = 0 THEN '' END AS own_summary,
+    CASE WHEN seq % 6 = 0 THEN '2020-01-01' END AS own_date, CASE WHEN seq % 3 = 0 THEN ['P9', 'P1', 'P9'] END AS own_people, CASE WHEN seq % 10 = 0 THEN ['own app'] END AS own_apps, CASE WHEN seq % 7 = 0 THEN ['own topic'] END AS own_topics,
+    CASE WHEN seq % 4 = 1 THEN 0.9 WHEN seq % 4 = 2 THEN 0.4 END AS own_score, CASE WHEN seq % 8 = 0 THEN 'http://own/' END AS own_url, coalesce(nullif(date, ''), '2024-02-01T00:00:00Z') AS start FROM reported r LEFT JOIN ocr o USING (file_id)),
+  a AS (SELECT *, coalesce(own_apps, CASE WHEN seq % 3 > 0 THEN ['r' || seq % 3] ELSE [] END) AS apps FROM s),
+  distinct_once AS (SELECT *, CASE WHEN people IS NOT NULL THEN list_concat(coalesce(own_people, []), people) END AS p2, CASE WHEN organizations IS NOT NULL THEN list_concat(apps, organizations) END AS a2 FROM a)
+  SELECT file_id, coalesce(own_title, name) AS title, coalesce(own_summary, nullif(summary, ''), 'n' || seq % 5) AS summary, coalesce(own_date, start) AS event_time_start, substr(start, 1, 10) AS event_date,
+    array_to_string(CASE WHEN p2 IS NULL THEN coalesce(own_people, []) ELSE list_filter(p2, lambda x, i: list_position(p2, x) = i) END, ',') AS people,
+    array_to_string(CASE WHEN a2 IS NULL THEN apps ELSE list_filter(a2, lambda x, i: list_position(a2, x) = i) END, ',') AS apps,
+    array_to_string(coalesce(own_topics, CASE WHEN trim(coalesce(doc_type, '')) <> '' THEN [trim(doc_type)] ELSE [] END), ',') AS topics,
+    CAST(CASE WHEN seq % 2 = 0 THEN least(1.0, coalesce(own_score, 0.5) + 0.25) ELSE coalesce(own_score, 0.5) END AS DOUBLE) AS importance_score, coalesce(own_url, 'http://x/' || seq) AS url,
+    CASE WHEN starts_with(mime_type, 'text/') THEN 'text' WHEN contains(mime_type, 'json') THEN 'json' ELSE 'unknown' END AS canonical_format FROM distinct_once""")
 def enrich_sources(spark, sf_dir):
-    out = files.enrich_sources(_seen(spark, sf_dir).withColumn("importance_score", F.lit(0.5)))
+    """Contents with fields of their own here and there; the report and the OCR result fill in the rest."""
+    n = F.col("seq")
+    listed = lambda *xs: F.array(*map(F.lit, xs))
+    content = F.struct(F.when(n % 4 == 0, F.concat(F.lit("Own "), n)).alias("title"), F.when(n % 5 == 0, "").alias("summary"), F.when(n % 6 == 0, "2020-01-01").alias("event_time_start"), F.lit(None).cast("string").alias("event_date"), F.when(n % 10 == 0, listed("own app")).alias("apps"),
+        F.when(n % 7 == 0, listed("own topic")).alias("topics"), F.when(n % 3 == 0, listed("P9", "P1", "P9")).alias("people"), F.when(n % 4 == 1, 0.9).when(n % 4 == 2, 0.4).alias("importance_score"), F.when(n % 8 == 0, "http://own/").alias("url"))
+    out = files.enrich_sources(_seen(spark, sf_dir).withColumn("content", content))
     return out.select("file_id", "title", "summary", "event_time_start", "event_date", *[F.array_join(c, ",").alias(c) for c in ("people", "apps", "topics")], "importance_score", "url", "canonical_format")
 
 
@@ -298,19 +309,20 @@ def scan_files(spark, sf_dir):
 def _export_files(spark, sf_dir) -> DataFrame:
     """Conversations' turns as files: objects, arrays, broken JSON and other kinds of text, some of them binary by name."""
     c, t = F.col("conv_id"), F.col("turn")
-    ext = F.element_at(F.array(*map(F.lit, [".json", ".json", ".txt", ".JSON", ".bin", ".zip"])), ((c + t) % 6 + 1).cast("int"))
+    ext = F.element_at(F.array(*map(F.lit, [".json", ".json", ".txt", ".JSON", ".7z", ".zip"])), ((c + t) % 6 + 1).cast("int"))
+    place = F.element_at(F.array(*map(F.lit, ["in/../Takeout/./c", "My Exports/c", "other/c"])), (c % 3 + 1).cast("int"))
     body = F.when((c + t) % 6 == 0, F.to_json(F.struct("role", "text"))).when((c + t) % 6 == 1, F.concat(F.lit("[1, "), F.to_json(F.struct("role")), F.lit("]"))).when((c + t) % 6 == 3, "{broken").otherwise(F.col("text"))
-    return read(spark, sf_dir, "conversations").select(F.concat(F.lit("in/../Takeout/./c"), c, F.lit("-"), t, ext).alias("path"), F.encode(F.coalesce(body, F.lit("")), "UTF-8").alias("content"))
+    return read(spark, sf_dir, "conversations").select(F.concat(place, c, F.lit("-"), t, ext).alias("path"), F.encode(F.coalesce(body, F.lit("")), "UTF-8").alias("content"))
 
 
-@query("""WITH f AS (SELECT *, (conv_id + turn) % 6 AS k, 'c' || conv_id || '-' || turn || ['.json', '.json', '.txt', '.JSON', '.bin', '.zip'][(conv_id + turn) % 6 + 1] AS n FROM conversations)
-  SELECT 'Takeout/' || n AS source_path, lower(regexp_extract(n, '\\.[^.]*$')) AS ext, ['application/json', 'application/json', 'text/plain', 'application/json', 'application/octet-stream', 'application/octet-stream'][k + 1] AS mime,
-    ['json', 'json', 'text', 'json', 'binary', 'binary'][k + 1] AS canonical_format, k = 5 AS is_archive, true AS is_bundle, CASE WHEN k = 0 THEN 'role,text' ELSE '' END AS preview_keys, k IN (0, 1) AS is_content,
+@query("""WITH f AS (SELECT *, (conv_id + turn) % 6 AS k, 'c' || conv_id || '-' || turn || ['.json', '.json', '.txt', '.JSON', '.7z', '.zip'][(conv_id + turn) % 6 + 1] AS n FROM conversations)
+  SELECT ['Takeout/', 'My Exports/', 'other/'][conv_id % 3 + 1] || n AS source_path, lower(regexp_extract(n, '\\.[^.]*$')) AS ext, ['application/json', 'application/json', 'text/plain', 'application/json', 'application/octet-stream', 'application/octet-stream'][k + 1] AS mime,
+    ['json', 'json', 'text', 'json', 'binary', 'binary'][k + 1] AS canonical_format, k = 5 AS is_archive, conv_id % 3 < 2 OR k = 5 AS is_bundle, conv_id % 3 < 2 OR k = 5 AS is_export, CASE WHEN k = 0 THEN 'role,text' ELSE '' END AS preview_keys, k IN (0, 1) AS is_content,
     CASE WHEN k = 2 THEN length(coalesce(text, '')) WHEN k = 3 THEN 7 WHEN k > 3 THEN 0 ELSE -1 END AS raw_chars, CASE WHEN k = 2 THEN md5(substr(coalesce(text, ''), 1, 1000)) ELSE '' END AS preview_md5 FROM f""")
 def ingest_exports(spark, sf_dir):
     out = files.ingest_exports(_export_files(spark, sf_dir))
     own = F.col("content").startswith('{"role"') | F.col("content").startswith("[1, ")
-    return out.select("source_path", "ext", "mime", "canonical_format", "is_archive", "is_bundle", F.array_join("preview_keys", ",").alias("preview_keys"), own.alias("is_content"),
+    return out.select("source_path", "ext", "mime", "canonical_format", "is_archive", "is_bundle", "is_export", F.array_join("preview_keys", ",").alias("preview_keys"), own.alias("is_content"),
         F.when(~own, F.length("raw_text").cast("long")).otherwise(-1).alias("raw_chars"), F.when(F.col("ext") == ".txt", F.md5("text_preview")).otherwise("").alias("preview_md5"))
 
 

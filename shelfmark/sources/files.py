@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
-import io
-import posixpath
 import zipfile
 
 import pyarrow as pa
@@ -14,10 +11,10 @@ from pyspark.sql import functions as F
 from shelfmark.functions.ids import first_set, is_set, text
 from shelfmark.functions.text import PARSEABLE, canonical_format, clean_path, extension, parseable_mime
 from shelfmark.operators.inventory import REMOVALS
+from shelfmark.sources.archives import MEMBER_LIMIT, broken_archive, in_batches, member_rows
 
-MEMBER_LIMIT = 50 << 20
-#: Extensions of archives and of exports that come as one file.
-BUNDLES = (".zip", ".tar", ".gz", ".7z")
+#: Extensions of archives.
+ARCHIVES = (".zip", ".tar", ".gz")
 SUMMARY_CHARS, PREVIEW_CHARS, PREVIEW_KEYS = 200, 1000, 15
 
 
@@ -51,42 +48,26 @@ def ingest_exports(files: DataFrame, max_chars: int | None = None) -> DataFrame:
             "mime": first_set(parseable_mime(F.col("ext")), F.lit("application/octet-stream")),
             "preview_keys": F.slice(keys, 1, PREVIEW_KEYS),
             "text_preview": F.substring("raw_text", 1, PREVIEW_CHARS),
-            "is_archive": F.col("ext").isin(*BUNDLES),
-            "is_bundle": F.col("ext").isin(*BUNDLES) | F.lower("source_path").contains("takeout"),
-            "is_export": F.lit(True),
+            "is_archive": F.col("ext").isin(*ARCHIVES),
+            "is_bundle": F.col("ext").isin(*ARCHIVES) | F.lower("source_path").contains("takeout") | F.lower("source_path").contains("export"),
+            "canonical_format": canonical_format(first_set(parseable_mime(F.col("ext")), F.lit("application/octet-stream")), with_binary=True),
         }
-    ).withColumn("canonical_format", canonical_format(F.col("mime"), with_binary=True))
+    ).withColumn("is_export", F.col("is_bundle"))  # a path that names an export is a bundle's too
 
 
 def _members(member_limit: int):
-    fields = ["file_id", "bundle_id", "source_path", "original_filename", "checksum_sha256", "content", "status", "problem"]
-
-    def one(parent: dict):
-        """(member row) of one archive; what is broken is reported and does not stop the rest."""
+    def one(file_id, checksum, content, status):
         try:
-            archive = zipfile.ZipFile(io.BytesIO(parent["content"]))
+            with zipfile.ZipFile(pa.BufferReader(content)) as archive:
+                yield from member_rows(archive, file_id, checksum, status, member_limit)
         except zipfile.BadZipFile as e:
-            yield (parent["file_id"], parent["file_id"], "", "", None, None, parent["status"], str(e))
-            return
-        for info in archive.infolist():
-            path = posixpath.normpath("/" + info.filename.replace("\\", "/")).lstrip("/")
-            ext = posixpath.splitext(path)[1].lower()
-            if info.is_dir() or info.file_size > member_limit or ext not in PARSEABLE:
-                continue
-            own = parent["file_id"] + "_" + hashlib.sha256(((parent["checksum_sha256"] or parent["file_id"]) + path).encode()).hexdigest()
-            try:
-                data = archive.read(info)
-            except Exception as e:  # noqa: BLE001  any member can be broken in its own way
-                yield (own, parent["file_id"], path, posixpath.basename(path), None, None, parent["status"], f"{type(e).__name__}: {e}")
-                continue
-            yield (own, parent["file_id"], path, posixpath.basename(path), hashlib.sha256(data).hexdigest(), data, parent["status"], None)
+            yield broken_archive(file_id, status, e)
 
     def run(batches):
-        types = [pa.string(), pa.string(), pa.string(), pa.string(), pa.string(), pa.binary(), pa.string(), pa.string()]
         for batch in batches:
-            for parent in batch.to_pylist():
-                for row in one(parent):
-                    yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types, strict=True)], fields)
+            ids, sums, contents, states = (batch.column(c) for c in ("file_id", "checksum_sha256", "content", "status"))
+            for i in range(len(batch)):  # the content is read where it lies in the batch
+                yield from in_batches(one(ids[i].as_py(), sums[i].as_py(), contents[i].as_buffer() or pa.py_buffer(b""), states[i].as_py()))
 
     return run
 
@@ -96,11 +77,12 @@ def expand_archives(files: DataFrame, member_limit: int = MEMBER_LIMIT) -> DataF
 
     Directories, members over the limit and unknown extensions are skipped; a member inherits
     its archive's status and has an identity of its own; a broken one has a ``problem`` and no
-    content. Members are dealt out anew afterwards, as archives differ widely in size.
+    content. Members are dealt out anew afterwards, as archives differ widely in size. Archives
+    that do not fit into a row are read by the source ``zip_members``.
     """
     rows = files.select("file_id", "checksum_sha256", "content", "status")
     schema = "file_id string, bundle_id string, source_path string, original_filename string, checksum_sha256 string, content binary, status string, problem string"
-    return rows.mapInArrow(_members(member_limit), schema)
+    return rows.mapInArrow(_members(member_limit), schema).hint("rebalance")
 
 
 def with_members(parents: DataFrame, member_limit: int = MEMBER_LIMIT) -> DataFrame:
@@ -122,23 +104,35 @@ def source_flags(sources: DataFrame) -> DataFrame:
     )
 
 
+CONTENT_DEFAULTS = "title string, summary string, event_time_start string, event_date string, apps array<string>, topics array<string>, people array<string>, importance_score double, url string"
+
+
 def enrich_sources(sources: DataFrame) -> DataFrame:
-    """Fill title, summary, date, topics, people, apps, importance and url from the report and the OCR result."""
-    arr = lambda c: F.coalesce(F.col(c), F.array().cast("array<string>"))
+    """Complete a source's content with what the report and the OCR result say of it.
+
+    ``sources``: name, notes, run_utc, folder_rule, starred, web_link, mime_type, a nullable struct ``ocr``, and a struct
+    ``content`` of the fields of CONTENT_DEFAULTS, null where the content has none. What the content says stays,
+    empty values too: title, summary, date, topics and url are filled in only where it has none. OCR people
+    and organizations follow the content's own people and apps, each once; a starred file counts for 0.25 more, 1 at most.
+    """
+    own = lambda c: F.col("content")[c]
+    none = F.array().cast("array<string>")
     start = first_set("ocr.date", "run_utc")
     topic = F.trim(text("ocr.doc_type"))
-    apps = F.when(is_set("folder_rule"), F.array("folder_rule")).otherwise(F.array().cast("array<string>"))
+    apps = F.coalesce(own("apps"), F.when(is_set("folder_rule"), F.array("folder_rule")))
+    follow = lambda c, more: F.when(F.size(F.coalesce(F.col(more), none)) > 0, F.array_distinct(F.concat(F.coalesce(c, none), F.col(more)))).otherwise(F.coalesce(c, none))
+    score = F.coalesce(own("importance_score"), F.lit(0.5))
     return sources.withColumns(
         {
-            "title": F.col("name"),
-            "summary": first_set("ocr.summary", "notes"),
-            "event_time_start": start,
-            "event_date": F.substring(start, 1, 10),
-            "people": F.array_distinct(arr("ocr.people")),
-            "apps": F.array_distinct(F.concat(apps, arr("ocr.organizations"))),
-            "topics": F.when(topic != "", F.array(topic)).otherwise(F.array().cast("array<string>")),
-            "importance_score": F.when(F.col("starred"), 0.75).otherwise(0.5),
-            "url": text("web_link"),
+            "title": F.coalesce(own("title"), F.col("name")),
+            "summary": F.coalesce(own("summary"), first_set("ocr.summary", "notes")),
+            "event_time_start": F.coalesce(own("event_time_start"), start),
+            "event_date": F.coalesce(own("event_date"), F.substring(start, 1, 10)),
+            "people": follow(own("people"), "ocr.people"),
+            "apps": follow(apps, "ocr.organizations"),
+            "topics": F.coalesce(own("topics"), F.when(topic != "", F.array(topic)), none),
+            "importance_score": F.when(F.col("starred"), F.least(F.lit(1.0), score + 0.25)).otherwise(score),
+            "url": F.coalesce(own("url"), text("web_link")),
             "canonical_format": canonical_format(text("mime_type"), with_binary=True),
         }
     )

@@ -1,7 +1,8 @@
 """The inventory as a stream: micro-batches of changes against the known files, which grow with each.
 
-State is the known-files table, one version per batch, and not operator state: a batch that is
-run again after a failure reads the version before it and writes its own version once more.
+State is not operator state but a section of a snapshot store: each batch commits the rows that it
+changes, with its own number, as one version. A batch that is run again after a failure finds its number
+there, or does its work once more from the version before.
 """
 
 from __future__ import annotations
@@ -13,13 +14,18 @@ from pyspark.sql.types import StructType
 from shelfmark.functions.ids import is_set
 from shelfmark.operators import inventory, rollups
 from shelfmark.sources import tables
+from shelfmark.sources.snapshots import BUCKETS, Change, SnapshotStore
 
 KNOWN_SCHEMA = "seq long, file_id string, name string, parent_ids_sorted string, md5 string, size long, modified_time string, sha256 string"
+STREAM, KNOWN = "inventory", "known"
 
 
-def process_batch(files: DataFrame, known: DataFrame, limit_mb: int = 500) -> DataFrame:
-    """The report of one batch: change types, routes, hashes of ``text`` where content counts, duplicates."""
-    routed = inventory.route_for_hashing(inventory.classify_changes(files, known), limit_mb)
+def process_batch(files: DataFrame, known: DataFrame, limit_mb: int = 500, known_files: DataFrame | None = None) -> DataFrame:
+    """The report of one batch: change types, routes, hashes of ``text`` where content counts, duplicates.
+
+    ``known_files``: those of the known rows that can belong to the batch's files, if the caller can tell.
+    """
+    routed = inventory.route_for_hashing(inventory.classify_changes(files, known if known_files is None else known_files), limit_mb)
     settled = routed.where("status is not null").withColumn("duplicate_of", F.lit(""))
     hashed = routed.where("status is null").withColumn("sha256", F.sha2(F.encode(F.coalesce("text", F.lit("")), "UTF-8"), 256)).drop("status")
     done = inventory.dedupe_by_hash(hashed, known)
@@ -30,27 +36,57 @@ def _version(batch: int) -> str:
     return f"{batch:012d}"
 
 
-def stream_inventory(spark: SparkSession, source: str, schema: StructType, root: str, checkpoint: str, fmt: str = "parquet", max_files: int = 1, limit_mb: int = 500, prepare=None):
-    """Process all changes that are there, in micro-batches, and stop. Reports go to ``root/report``, known files to ``root/known``.
+def run_inventory(changes: DataFrame, root: str, checkpoint: str, limit_mb: int = 500, prepare=None, buckets: int = BUCKETS, keep: int = 2, available_now: bool = True):
+    """Process all changes that a stream has, in micro-batches, and stop. Reports go to ``root/report``, known files to the store ``root/known``.
 
-    ``prepare`` makes file rows of what is read. Starting it again goes on after the last batch
-    that was finished.
+    ``prepare`` makes file rows of what is read. Starting it again goes on after the last batch that was
+    committed. What a batch writes are its report and the known rows that it changes; the known files of other buckets than its
+    files' are read for their hashes only. Sources that cannot say how much is there are drained by ``available_now=False``.
     """
-    known_schema = spark.createDataFrame([], KNOWN_SCHEMA).schema
 
     def one(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
-        before = session.read.schema(known_schema).parquet(f"{root}/known/v={_version(number - 1)}") if number else session.createDataFrame([], known_schema)
-        report = process_batch(prepare(batch) if prepare else batch, before, limit_mb).withColumn("batch", F.lit(number))
+        store = SnapshotStore(session, f"{root}/known")
+        before = store.snapshot()
+        if before.applied(STREAM) >= number:
+            return  # committed, and then the stream stopped before it could note so
+        rows = prepare(batch) if prepare else batch
+        known = before.read(KNOWN, KNOWN_SCHEMA)
+        own = before.read(KNOWN, buckets=before.buckets_of(KNOWN, rows)) if KNOWN in before.sections else None
         path = f"{root}/report/batch={number}"
-        report.drop("batch", "text").write.mode("overwrite").parquet(path)
-        written = session.read.parquet(path)
-        tables.publish(inventory.update_known(before, written), root, "known", _version(number))
+        process_batch(rows, known, limit_mb, own).drop("text").write.mode("overwrite").parquet(path)
+        fresh, gone = inventory.known_changes(session.read.parquet(path))
+        change = Change(before)
+        if KNOWN in before.sections:
+            change.upsert(KNOWN, fresh.select(known.columns), gone)
+        else:
+            change.put(KNOWN, fresh.select(known.columns), "file_id", buckets)
+        change.mark(STREAM, number)
+        change.commit()
+        if number % 16 == 15:
+            store.vacuum(keep)
+
+    writer = changes.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint)
+    if available_now:
+        query = writer.trigger(availableNow=True).start()
+        query.awaitTermination()
+    else:
+        query = writer.start()
+        try:
+            query.processAllAvailable()
+        finally:
+            query.stop()
+    return query
+
 
+def stream_inventory(spark: SparkSession, source: str, schema: StructType, root: str, checkpoint: str, fmt: str = "parquet", max_files: int = 1, limit_mb: int = 500, prepare=None):
+    """``run_inventory`` over the files of a folder, ``max_files`` of them in a batch."""
     stream = spark.readStream.schema(schema).format(fmt).option("maxFilesPerTrigger", max_files).load(source)
-    query = stream.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    query.awaitTermination()
-    return query
+    return run_inventory(stream, root, checkpoint, limit_mb, prepare)
+
+
+def read_known(spark: SparkSession, root: str) -> DataFrame:
+    return SnapshotStore(spark, f"{root}/known").snapshot().read(KNOWN, KNOWN_SCHEMA)
 
 
 def read_reports(spark: SparkSession, root: str) -> DataFrame:
