@@ -212,22 +212,69 @@ def compact_index(index: DataFrame, key: str, order: str, threshold: int = 50_00
     return latest_by_key(index, key, order) if index.count() >= threshold else index
 
 
+def _to_tops(pointers: DataFrame, joined: str | None = None) -> DataFrame:
+    """Follow pointers (folder_id, up) to their ends, by steps that double: (folder_id, up, open).
+
+    ``up`` ends at an id that has no pointer of its own; what is still ``open`` after all ends are found lies on a cycle or
+    below one. Rounds grow with the logarithm of the longest path. ``joined``: a text column that is put together along the way.
+    """
+    shared_dir(pointers.sparkSession)
+    more = [joined] if joined else []
+    done, live, was = None, pointers.withColumn("open", F.lit(True)).checkpoint(), -1
+    n = live.count()
+    while n and n != was:
+        reached = live if done is None else live.unionByName(done)
+        ahead = reached.select(F.col("folder_id").alias("up"), F.col("up").alias("__up"), F.col("open").alias("__open"), *[F.col(c).alias(f"__{c}") for c in more])
+        step = live.join(ahead, "up", "left").select(
+            "folder_id", F.coalesce("__up", "up").alias("up"), F.coalesce("__open", F.lit(False)).alias("open"),
+            *[F.when(F.col(f"__{c}").isNull(), F.col(c)).otherwise(F.concat(F.col(f"__{c}"), F.lit("/"), F.col(c))).alias(c) for c in more],
+        ).checkpoint()
+        ended = step.where("not open")
+        done = ended if done is None else done.unionByName(ended)
+        live, was = step.where("open"), n
+        n = live.count()
+    return live if done is None else done.unionByName(live)
+
+
 def in_scope(folders: DataFrame, target: str) -> DataFrame:
     """(folder_id) of the target and all folders below it; ``folders``: (folder_id, parent_id), may be cyclic.
 
-    Level by level over folders only, each folder once, until a level adds none.
+    Folders with one parent point to it, and pointers are followed by doubling steps to the target, a root or a folder with
+    several parents; those few are then gone through level by level.
     """
     shared_dir(folders.sparkSession)
+    edges = folders.select("folder_id", "parent_id").where("folder_id is not null and parent_id is not null").distinct()
+    per = edges.where(F.col("folder_id") != target).groupBy("folder_id").agg(F.min("parent_id").alias("up"), F.count("*").alias("n")).checkpoint()
+    tops = _to_tops(per.where("n = 1").select("folder_id", "up")).where("not open").select("folder_id", F.col("up").alias("top"))
     found = folders.sparkSession.createDataFrame([(target,)], "folder_id string")
-    frontier = found
-    folders = folders.select("folder_id", "parent_id").distinct().persist()
+    below = tops.where(F.col("top") == target).select("folder_id")
+    many = per.where("n > 1").select("folder_id")
+    if many.isEmpty():
+        return found.unionByName(below)
+    ends = edges.join(many, "folder_id", "left_semi").join(tops.select(F.col("folder_id").alias("parent_id"), "top"), "parent_id", "left")
+    ends = ends.select("folder_id", F.coalesce("top", "parent_id").alias("top")).distinct().checkpoint()
+    frontier, reached = found, found
     while True:
-        below = folders.join(frontier.select(F.col("folder_id").alias("parent_id")), "parent_id", "left_semi").select("folder_id").distinct()
-        frontier = below.join(found, "folder_id", "left_anti").checkpoint()
+        frontier = ends.join(frontier.select(F.col("folder_id").alias("top")), "top", "left_semi").select("folder_id").distinct().join(reached, "folder_id", "left_anti").checkpoint()
         if frontier.isEmpty():
-            folders.unpersist()
-            return found
-        found = found.unionByName(frontier)
+            break
+        reached = reached.unionByName(frontier)
+    return reached.unionByName(tops.join(reached.select(F.col("folder_id").alias("top")), "top", "left_semi").select("folder_id"))
+
+
+def folder_paths(folders: DataFrame) -> DataFrame:
+    """(folder_id, root_id, path) of folders (folder_id, parent_id, name): the names from the topmost known folder down, joined by slashes.
+
+    A folder without a known parent is a root, and of several parents the smallest id counts. Folders on a cycle, and below one, have
+    a null path and root; repeated rows count once.
+    """
+    one = folders.where("folder_id is not null").groupBy("folder_id").agg(F.min("parent_id").alias("parent_id"), F.min_by(text("name"), F.struct("parent_id", "name")).alias("path"))
+    known = one.select(F.col("folder_id").alias("parent_id"), F.lit(True).alias("__known"))
+    one = one.join(known, "parent_id", "left").checkpoint()
+    roots = one.where("__known is null").select("folder_id", F.col("folder_id").alias("root_id"), "path")
+    led = _to_tops(one.where("__known").select("folder_id", F.col("parent_id").alias("up"), "path"), "path")
+    led = led.join(roots.select(F.col("root_id").alias("up"), F.col("path").alias("__first")), "up", "left")
+    return roots.unionByName(led.select("folder_id", F.when(~F.col("open"), F.col("up")).alias("root_id"), F.when(~F.col("open"), F.concat("__first", F.lit("/"), "path")).alias("path")))
 
 
 def flag_scope(files: DataFrame, folders: DataFrame, target: str) -> DataFrame:

@@ -662,5 +662,5 @@ def stream_inventory(spark, sf_dir):
     root = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
     changes = read(spark, sf_dir, "documents")
     changes.write.parquet(f"{root}/changes")
-    stream.stream_inventory(spark, f"{root}/changes", changes.schema, root, f"{root}/checkpoint", max_files=1000, limit_mb=500, prepare=files_of)
+    stream.stream_inventory(spark, f"{root}/changes", changes.schema, root, f"{root}/checkpoint", max_files=1000, limit_mb=500, prepare=files_of, buckets=4)
     return stream.read_reports(spark, root).select("file_id", "status", "duplicate_of")

@@ -379,7 +379,7 @@ def stream_daily(spark, sf_dir):
     """Daily rollups kept up to date by micro-batches of records; equal to one rollup of all."""
     root = _folder(spark, "stream-daily")
     rows = event_records(read(spark, sf_dir, "events"))
-    stream.stream_daily(spark, _in_steps(rows, root, "seq"), rows.schema, root, f"{root}/checkpoint", AS_OF)
+    stream.stream_daily(spark, _in_steps(rows, root, "seq"), rows.schema, root, f"{root}/checkpoint", AS_OF, buckets=4)
     return _shown_daily(stream.read_daily(spark, root))
 
 
@@ -392,7 +392,7 @@ def stream_inventory_in_steps(spark, sf_dir):
     plain = lambda df: files_of(df).withColumns({c: F.lit(False) for c in ("removed", "explicitly_deleted", "trashed", "scope_exit")}).withColumn("size", F.lit(1).cast("long"))
     source = _in_steps(docs, root, "doc_id")
     for _ in range(2):  # the second start finds nothing new
-        stream.stream_inventory(spark, source, docs.schema, root, f"{root}/checkpoint", max_files=1, prepare=plain)
+        stream.stream_inventory(spark, source, docs.schema, root, f"{root}/checkpoint", max_files=1, prepare=plain, buckets=4)
     return stream.read_reports(spark, root).select("file_id", F.col("batch").cast("long").alias("batch"), "status", "duplicate_of")
 
 

@@ -12,9 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.functions.session import shared_dir
-from shelfmark.operators import graph, rollups, views
+from shelfmark.operators import graph, inventory, rollups, textindex, views
 from shelfmark.plans.bindings import AS_OF, FILES, event_records, files_of, read
-from shelfmark.plans.catalog import _DAILY, _MENTIONS, _RELATIONS, query
+from shelfmark.plans.catalog import _DAILY, _MENTIONS, _RELATIONS, SQL, query
 from shelfmark.sources import archives, feeds
 from shelfmark.sources.snapshots import SnapshotStore
 from shelfmark.streaming import inventory as stream
@@ -117,7 +117,7 @@ def stream_known_deltas(spark, sf_dir):
 
     for _ in range(2):
         try:
-            stream.stream_inventory(spark, source, schema, root, f"{root}/checkpoint", max_files=1, limit_mb=1 << 20, prepare=prepare)
+            stream.stream_inventory(spark, source, schema, root, f"{root}/checkpoint", max_files=1, limit_mb=1 << 20, prepare=prepare, buckets=4)
         except Exception as e:
             if len(batches) != 6:
                 raise e
@@ -242,3 +242,61 @@ def zip_archives(spark, sf_dir):
     archives.register(spark)
     out = spark.read.format("zip_archives").load(root)
     return out.select(F.regexp_extract("bundle_id", "[^/]*$", 0).alias("archive"), "n_members", F.array_join("archive_files", ",").alias("first_names"), F.md5("raw_text").alias("text_md5"), F.col("problem").isNotNull().alias("broken"))
+
+
+# --- a stored text index
+
+_INDEXED = """t AS (SELECT 'd' || doc_id AS record_id, CASE WHEN doc_id % 10 = 0 THEN 'the of replaced ' || coalesce(text, '') ELSE coalesce(text, '') END AS t FROM documents),
+  w AS (SELECT record_id, regexp_extract_all(lower(t), '[\\p{L}\\p{N}]+') AS w FROM t)"""
+
+
+def _text_index(spark, sf_dir) -> textindex.TextIndex:
+    """Documents in three segments; the last brings every tenth one once more, with another text."""
+    d = F.col("doc_id")
+    docs = read(spark, sf_dir, "documents").select(d, F.concat(F.lit("d"), d).alias("record_id"), F.col("text").alias("searchable_text"))
+    index = textindex.TextIndex(spark, _folder(spark, "textindex"), buckets=8)
+    for part in (docs.where(d % 2 == 0), docs.where(d % 2 == 1), docs.where(d % 10 == 0).withColumn("searchable_text", F.concat(F.lit("the of replaced "), F.coalesce("searchable_text", F.lit(""))))):
+        index.add(part.select("record_id", "searchable_text"))
+    return index
+
+
+@query(f"""WITH {_INDEXED}, n AS (SELECT count(*) AS n, avg(len(w)) AS mean FROM w), h AS (SELECT record_id, len(w) AS length, len(list_filter(w, lambda x: x = 'the')) AS a, len(list_filter(w, lambda x: x = 'of')) AS b FROM w),
+  f AS (SELECT count(*) FILTER (a > 0) AS fa, count(*) FILTER (b > 0) AS fb FROM h)
+  SELECT record_id, round(ln(1 + (n - fb + 0.5) / (fb + 0.5)) * b * 2.2 / (b + 1.2 * (0.25 + 0.75 * length / mean)) + ln(1 + (n - fa + 0.5) / (fa + 0.5)) * a * 2.2 / (a + 1.2 * (0.25 + 0.75 * length / mean)), 6) AS score FROM h, f, n WHERE a > 0 AND b > 0""")
+def text_index_search(spark, sf_dir):
+    """Records that hold both words, scored, from an index of three segments."""
+    return _text_index(spark, sf_dir).search(["The", "of"])
+
+
+@query(f"""WITH {_INDEXED}, p AS (SELECT record_id, len(list_filter(range(1, len(w)), lambda i: w[i] = 'of' AND w[i + 1] = 'the')) AS n FROM w) SELECT record_id, n FROM p WHERE n > 0""")
+def text_index_phrase(spark, sf_dir):
+    return _text_index(spark, sf_dir).phrase("of the")
+
+
+# --- folder trees
+
+
+@query(f"""WITH RECURSIVE f AS (SELECT 'd' || p_partkey AS folder_id, 'd' || CASE WHEN p_partkey % 400 = 0 THEN p_partkey ELSE p_partkey - 1 END AS parent_id, p_partkey AS k FROM part),
+  r AS (SELECT folder_id, k, folder_id AS root_id, p_path AS path FROM (SELECT f.*, 'n' || f.k AS p_path FROM f LEFT JOIN f u ON u.folder_id = f.parent_id WHERE u.folder_id IS NULL)
+    UNION ALL SELECT f.folder_id, f.k, r.root_id, r.path || '/n' || f.k FROM f JOIN r ON f.parent_id = r.folder_id WHERE f.parent_id <> f.folder_id)
+  SELECT f.folder_id, r.root_id, md5(r.path) AS path_md5 FROM f LEFT JOIN r USING (folder_id)""")
+def folder_paths(spark, sf_dir):
+    """Chains of 400 folders: one has a root, the others begin at a folder that is its own parent, which is a cycle."""
+    p = F.col("p_partkey")
+    rows = read(spark, sf_dir, "part").select(F.concat(F.lit("d"), p).alias("folder_id"), F.concat(F.lit("d"), F.when(p % 400 == 0, p).otherwise(p - 1)).alias("parent_id"), F.concat(F.lit("n"), p).alias("name"))
+    return inventory.folder_paths(rows).select("folder_id", "root_id", F.md5("path").alias("path_md5"))
+
+
+# --- weeks kept up to date
+
+
+@query(SQL["weekly_memory"])
+def stream_weekly(spark, sf_dir):
+    """Weekly rollups kept up to date by micro-batches of records; equal to one rollup of all."""
+    root = _folder(spark, "stream-weekly")
+    rows = event_records(read(spark, sf_dir, "events"))
+    for k in range(3):
+        rows.where(F.pmod("seq", F.lit(3)) == k).coalesce(1).write.mode("append").parquet(f"{root}/changes")
+    stream.stream_daily(spark, f"{root}/changes", rows.schema, root, f"{root}/checkpoint", AS_OF, buckets=4)
+    w = stream.read_weekly(spark, root)
+    return w.select("week", *[F.array_join(c, ",").alias(c) for c in ("days_covered",)], "day_count", "total_records", "total_importance", *[F.array_join(c, ",").alias(c) for c in ("top_people", "top_apps", "weekly_highlights")])

@@ -25,8 +25,8 @@ NAME = "MANIFEST-{}.json"
 BUCKETS = 64
 #: Up to so many changed keys go to every task of a reader; more are joined by a shuffle.
 BROADCAST_KEYS = 500_000
-#: A bucket whose changes weigh this share of its base, or lie in so many files, is written anew.
-COMPACT_SHARE, COMPACT_FILES = 0.5, 16
+#: A bucket whose changes weigh this share of its base and so many bytes, or lie in so many files, is written anew.
+COMPACT_SHARE, COMPACT_BYTES, COMPACT_FILES = 0.5, 4 << 20, 16
 _BUCKET, _GONE, _ORDER = "__bucket", "__gone", "__commit"
 
 
@@ -191,7 +191,7 @@ class Change:
         for b, new in files.items():
             held.setdefault(b, []).extend(new)
         weigh = lambda fs, delta: sum(f[1] for f in fs if f[2] == delta)
-        full = {int(b) for b, fs in held.items() if weigh(fs, 1) and (weigh(fs, 1) >= COMPACT_SHARE * weigh(fs, 0) or sum(f[2] for f in fs) >= COMPACT_FILES)}
+        full = {int(b) for b, fs in held.items() if weigh(fs, 1) and (weigh(fs, 1) >= max(COMPACT_BYTES, COMPACT_SHARE * weigh(fs, 0)) or sum(f[2] for f in fs) >= COMPACT_FILES)}
         self.compact(section, full)
 
     def rewrite(self, section: str, rows: DataFrame | None = None, gone: DataFrame | None = None) -> set[int]:

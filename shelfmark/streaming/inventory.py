@@ -7,13 +7,15 @@ there, or does its work once more from the version before.
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from shelfmark.functions.ids import is_set
+from shelfmark.functions.text import is_day, iso_week
 from shelfmark.operators import inventory, rollups
-from shelfmark.sources import tables
 from shelfmark.sources.snapshots import BUCKETS, Change, SnapshotStore
 
 KNOWN_SCHEMA = "seq long, file_id string, name string, parent_ids_sorted string, md5 string, size long, modified_time string, sha256 string"
@@ -32,10 +34,6 @@ def process_batch(files: DataFrame, known: DataFrame, limit_mb: int = 500, known
     return done.unionByName(settled.select(done.columns))
 
 
-def _version(batch: int) -> str:
-    return f"{batch:012d}"
-
-
 def run_inventory(changes: DataFrame, root: str, checkpoint: str, limit_mb: int = 500, prepare=None, buckets: int = BUCKETS, keep: int = 2, available_now: bool = True):
     """Process all changes that a stream has, in micro-batches, and stop. Reports go to ``root/report``, known files to the store ``root/known``.
 
@@ -79,10 +77,10 @@ def run_inventory(changes: DataFrame, root: str, checkpoint: str, limit_mb: int
     return query
 
 
-def stream_inventory(spark: SparkSession, source: str, schema: StructType, root: str, checkpoint: str, fmt: str = "parquet", max_files: int = 1, limit_mb: int = 500, prepare=None):
+def stream_inventory(spark: SparkSession, source: str, schema: StructType, root: str, checkpoint: str, fmt: str = "parquet", max_files: int = 1, limit_mb: int = 500, prepare=None, buckets: int = BUCKETS):
     """``run_inventory`` over the files of a folder, ``max_files`` of them in a batch."""
     stream = spark.readStream.schema(schema).format(fmt).option("maxFilesPerTrigger", max_files).load(source)
-    return run_inventory(stream, root, checkpoint, limit_mb, prepare)
+    return run_inventory(stream, root, checkpoint, limit_mb, prepare, buckets)
 
 
 def read_known(spark: SparkSession, root: str) -> DataFrame:
@@ -98,23 +96,45 @@ def stream_daily_counts(events: DataFrame, delay: str = "1 day") -> DataFrame:
     return events.withWatermark("ts", delay).groupBy(F.window("ts", "1 day"), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total"))
 
 
-def stream_daily(spark: SparkSession, source: str, schema: StructType, root: str, checkpoint: str, as_of: str, max_files: int = 1):
-    """Keep daily rollups of all records that are there, in micro-batches, and stop. Only days that a batch touches are rebuilt.
+DAYS, WEEKS, ROLLED = "days", "weeks", "records"
+
 
-    Records go to ``root/records`` by batch, the rollups to a version of ``root/days`` each. A batch that
-    is run again writes both once more, so nothing counts twice.
+def _dates_of(weeks: list[str]) -> list[str]:
+    """The days of ISO weeks like 2024-W05."""
+    return [date.fromisocalendar(int(w[:4]), int(w[6:]), d).isoformat() for w in weeks for d in range(1, 8)]
+
+
+def stream_daily(spark: SparkSession, source: str, schema: StructType, root: str, checkpoint: str, as_of: str, max_files: int = 1, buckets: int = BUCKETS):
+    """Keep daily and weekly rollups of all records that are there, in micro-batches, and stop.
+
+    Records lie in ``root/records`` by day and batch; rollups are sections of the store ``root/rollups``. A batch reads
+    the records of the days that it touches and the days of their weeks, and writes its records and the rows of these
+    days and weeks; days and weeks come to one version together. A batch that is run again writes its records
+    over and commits once, so nothing counts twice. A batch's days are told to the driver: as many as it has folders.
     """
 
     def one(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
-        batch.write.mode("overwrite").parquet(f"{root}/records/batch={number}")
-        records = session.read.schema(schema).option("basePath", f"{root}/records").parquet(*[f"{root}/records/batch={k}" for k in range(number + 1)]).select(batch.columns)
-        touched = session.read.schema(schema).parquet(f"{root}/records/batch={number}").where(is_set("event_date")).select("event_date")
-        if number:
-            days = rollups.refresh_days(session.read.parquet(f"{root}/days/v={_version(number - 1)}"), records, touched, as_of)
-        else:
-            days = rollups.daily_memory(records, as_of)
-        tables.publish(days, root, "days", _version(number))
+        store = SnapshotStore(session, f"{root}/rollups")
+        before = store.snapshot()
+        if before.applied(ROLLED) >= number:
+            return
+        dated = batch.where(is_set("event_date")).withColumns({"__day": F.col("event_date"), "__batch": F.lit(number)})
+        dated.repartition("__day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("__day", "__batch").parquet(f"{root}/records")
+        touched = [r[0] for r in dated.select("__day").distinct().collect()]
+        change = Change(before)
+        if touched:
+            kept = StructType(batch.schema.fields).add("__day", "string").add("__batch", "long")
+            records = session.read.schema(kept).parquet(f"{root}/records").where(F.col("__day").isin(touched) & (F.col("__batch") <= number)).select(batch.columns)
+            _upsert(change, DAYS, rollups.daily_memory(records, as_of), "date", buckets)
+            days = change.after.read(DAYS, buckets=change.after.buckets_of(DAYS, session.createDataFrame([(d,) for d in touched], "date string")))
+            weeks = [r[0] for r in days.where(F.col("date").isin(touched) & is_day(F.col("date"))).select(iso_week(F.col("date"))).distinct().collect()]
+            if weeks:
+                dates = _dates_of(weeks)
+                whole = change.after.read(DAYS, buckets=change.after.buckets_of(DAYS, session.createDataFrame([(d,) for d in dates], "date string")))
+                _upsert(change, WEEKS, rollups.weekly_memory(whole.where(F.col("date").isin(dates))), "week", buckets)
+        change.mark(ROLLED, number)
+        change.commit()
 
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(source)
     query = stream.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
@@ -122,6 +142,16 @@ def stream_daily(spark: SparkSession, source: str, schema: StructType, root: str
     return query
 
 
+def _upsert(change: Change, section: str, rows: DataFrame, key: str, buckets: int) -> None:
+    if section in change.after.sections:
+        change.upsert(section, rows)
+    else:
+        change.put(section, rows, key, buckets)
+
+
 def read_daily(spark: SparkSession, root: str) -> DataFrame:
-    version = tables.current_version(spark, root, "days")
-    return spark.read.parquet(f"{root}/days/v={version}")
+    return SnapshotStore(spark, f"{root}/rollups").snapshot().read(DAYS)
+
+
+def read_weekly(spark: SparkSession, root: str) -> DataFrame:
+    return SnapshotStore(spark, f"{root}/rollups").snapshot().read(WEEKS)
