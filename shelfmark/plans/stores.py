@@ -12,9 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.functions.session import shared_dir
-from shelfmark.operators import graph, inventory, rollups, textindex, views
+from shelfmark.operators import graph, inventory, rollups, segments, textindex, views
 from shelfmark.plans.bindings import AS_OF, FILES, event_records, files_of, read
-from shelfmark.plans.catalog import _DAILY, _MENTIONS, _RELATIONS, SQL, query
+from shelfmark.plans.catalog import _DAILY, _DEDUPED, _MENTIONS, _RECORDS, _RELATIONS, SQL, _deduped, query
 from shelfmark.sources import archives, feeds
 from shelfmark.sources.snapshots import SnapshotStore
 from shelfmark.streaming import inventory as stream
@@ -300,3 +300,58 @@ def stream_weekly(spark, sf_dir):
     stream.stream_daily(spark, f"{root}/changes", rows.schema, root, f"{root}/checkpoint", AS_OF, buckets=4)
     w = stream.read_weekly(spark, root)
     return w.select("week", *[F.array_join(c, ",").alias(c) for c in ("days_covered",)], "day_count", "total_records", "total_importance", *[F.array_join(c, ",").alias(c) for c in ("top_people", "top_apps", "weekly_highlights")])
+
+
+# --- long lists as segments
+
+_CUT = "SELECT *, (row_number() OVER (PARTITION BY {keys} ORDER BY {order}) - 1) AS r FROM {rows}"
+_FAMILY = " UNION ALL ".join(f"SELECT event_date AS date, '{name}' AS list, seq, record_id AS value FROM records WHERE contains(record_type, '{word}')" for name, word in rollups.FAMILIES.items())
+_NAMED = " UNION ".join(f"SELECT event_date AS date, '{c}' AS list, 0 AS seq, unnest({c}) AS value FROM records" for c in ("people", "places", "apps"))
+
+
+@query(f"""WITH {_RECORDS}, l AS ({_FAMILY} UNION ALL SELECT event_date, 'llm_activity', seq, record_id FROM records WHERE starts_with(record_type, 'llm_') UNION ALL SELECT event_date, 'record_ids', seq, record_id FROM records
+    UNION ALL SELECT event_date, 'media_refs', seq, url FROM records WHERE url <> '' UNION ALL ({_NAMED} UNION SELECT event_date, 'source_ids', 0, source_id FROM records)),
+  c AS ({_CUT.format(keys='date, list', order='seq, value', rows='l')})
+  SELECT date, list, r // 25 AS segment, min(r) AS first, count(*) AS n, md5(string_agg(value, ',' ORDER BY r)) AS values_md5 FROM c GROUP BY ALL""")
+def daily_segments(spark, sf_dir):
+    out = segments.daily_segments(event_records(read(spark, sf_dir, "events")), size=25)
+    return out.select("date", "list", "segment", "first", F.size("values").cast("long").alias("n"), F.md5(F.array_join("values", ",")).alias("values_md5"))
+
+
+@query(f"""WITH {_MENTIONS}, c AS ({_CUT.format(keys='entity_id', order='source_id', rows='(SELECT DISTINCT entity_id, source_id FROM child)')})
+  SELECT entity_id, r // 10 AS segment, min(r) AS first, string_agg(source_id, ',' ORDER BY r) AS source_ids FROM c GROUP BY ALL""")
+def entity_segments(spark, sf_dir):
+    out = segments.entity_segments(graph.entity_sources(event_records(read(spark, sf_dir, "events"))), size=10)
+    return out.select("entity_id", "segment", "first", F.array_join("values", ",").alias("source_ids"))
+
+
+@query(f"""WITH {_DEDUPED}, c AS ({_CUT.format(keys='sha', order='file_id', rows="(SELECT * FROM deduped WHERE status = 'DUPLICATE')")})
+  SELECT sha AS sha256, primary_id AS original_file_id, r // 3 AS segment, min(r) AS first, string_agg(file_id, ',' ORDER BY r) AS file_ids FROM c GROUP BY ALL""")
+def duplicate_segments(spark, sf_dir):
+    out = segments.duplicate_segments(_deduped(spark, sf_dir), size=3)
+    return out.select("sha256", "original_file_id", "segment", "first", F.array_join("values", ",").alias("file_ids"))
+
+
+# --- a stream whose state goes
+
+
+@query("""WITH e AS (SELECT *, event_id % 5 > 0 AS early FROM events), w AS (SELECT max(ts) FILTER (early AND day(ts) <= 20) - INTERVAL 1 DAY AS first_mark, max(ts) - INTERVAL 1 DAY AS last_mark FROM e),
+  k AS (SELECT e.*, early OR ts > first_mark AS taken, ts <= first_mark AS old, last_mark FROM e, w)
+  SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS day, event_type, count(*) AS n, sum(value) AS total FROM k WHERE taken AND date_trunc('day', ts) + INTERVAL 1 DAY <= last_mark GROUP BY ALL
+  UNION ALL SELECT 'late', '', count(*) FILTER (old AND NOT early) + count(*) FILTER (old AND early AND day(ts) % 7 = 0), 0 FROM k""")
+def stream_expiring_counts(spark, sf_dir):
+    """Events in order of time; then, all at once, a fifth of them that comes late, and repetitions of some that have come before.
+
+    A batch's rows are held against the watermark that the batch before it was run with.
+    """
+    root = _folder(spark, "stream-expiring")
+    events = read(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "event_type", F.col("value").cast("decimal(18,6)").alias("value"))
+    early = events.where("event_id % 5 > 0")
+    for part in (early.where("day(ts) <= 10"), early.where("day(ts) between 11 and 20"), early.where("day(ts) > 20"), events.where("event_id % 5 = 0").unionByName(early.where("day(ts) % 7 = 0"))):
+        part.coalesce(1).write.mode("append").parquet(f"{root}/events")
+    rows = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/events")
+    counts = stream.stream_expiring_counts(rows).select(F.date_format("window.start", "yyyy-MM-dd").alias("day"), "event_type", "n", F.col("total").cast("double").alias("total"))
+    running = counts.writeStream.format("parquet").option("path", f"{root}/counts").option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
+    running.awaitTermination()
+    late = spark.range(1).select(F.lit("late").alias("day"), F.lit("").alias("event_type"), F.lit(stream.late_rows(running)).cast("long").alias("n"), F.lit(0.0).alias("total"))
+    return spark.read.schema("day string, event_type string, n long, total double").parquet(f"{root}/counts").unionByName(late)

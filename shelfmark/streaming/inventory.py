@@ -96,6 +96,21 @@ def stream_daily_counts(events: DataFrame, delay: str = "1 day") -> DataFrame:
     return events.withWatermark("ts", delay).groupBy(F.window("ts", "1 day"), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total"))
 
 
+def stream_expiring_counts(events: DataFrame, delay: str = "1 day") -> DataFrame:
+    """Counts by day and type of a stream of (event_id, ts, event_type, value), each event once, for the append mode.
+
+    A day comes out once the stream is ``delay`` past its end, and its state goes then; an event's repetitions are left out as
+    long as they come within ``delay``. Rows that are later than that are dropped: ``late_rows`` tells how many.
+    """
+    once = events.withWatermark("ts", delay).dropDuplicatesWithinWatermark(["event_id"])
+    return once.groupBy(F.window("ts", "1 day"), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total"))
+
+
+def late_rows(query) -> int:
+    """Rows that a query's operators have dropped as too late, over the progress that it still knows."""
+    return sum(o["numRowsDroppedByWatermark"] for p in query.recentProgress for o in p["stateOperators"])
+
+
 DAYS, WEEKS, ROLLED = "days", "weeks", "records"
 
 
