@@ -41,14 +41,23 @@ FILES = f"""SELECT doc_id AS seq, 'f' || doc_id AS file_id, CASE WHEN doc_id % 9
   CASE WHEN doc_id % 40 = 0 THEN 'INBOX_TRASH' ELSE '' END AS lane, '/d' || doc_id % 50 || '/code' AS path, text FROM documents"""
 
 
+def hashed_files(documents: DataFrame) -> DataFrame:
+    """The files with their content's hash instead of the content."""
+    return files_of(documents).withColumn("sha256", F.sha2("text", 256)).drop("text")
+
+
 def known_of(documents: DataFrame) -> DataFrame:
-    """An earlier state: some files were not there yet, others had another place, name, content or time."""
+    return known_from(hashed_files(documents))
+
+
+def known_from(files: DataFrame) -> DataFrame:
+    """An earlier state of hashed files: some were not there yet, others had another place, name, content or time."""
     d = F.col("seq")
-    files = files_of(documents).where(d % 10 != 3)
+    files = files.where(d % 10 != 3)
     return files.select(
         "seq", "file_id", F.when(d % 11 == 0, F.concat(F.lit("old "), "name")).otherwise(F.col("name")).alias("name"), F.when(d % 7 == 0, "d99").otherwise(F.get("parents", F.lit(0))).alias("parent_ids_sorted"),
         F.when(d % 13 == 0, F.concat(F.lit("x"), "md5")).otherwise(F.col("md5")).alias("md5"), F.when(d % 17 == 0, F.col("size") + 1).otherwise(F.col("size")).alias("size"), F.when(d % 19 == 0, "2023-01-01T00:00:00Z").otherwise(F.col("modified_time")).alias("modified_time"),
-        F.sha2("text", 256).alias("sha256"),
+        "sha256",
     )
 
 

@@ -11,7 +11,7 @@ from shelfmark.functions import ids
 from shelfmark.functions import text as T
 from shelfmark.functions.session import shared_dir
 from shelfmark.operators import graph, inventory, lifecycle, rollups, sorting, stats, views
-from shelfmark.plans.bindings import AS_OF, FILES, INGESTED, KNOWN, PROJECT, RECORDS, chat_exports, event_records, files_of, known_of, read
+from shelfmark.plans.bindings import AS_OF, FILES, INGESTED, KNOWN, PROJECT, RECORDS, chat_exports, event_records, files_of, hashed_files, known_from, known_of, read
 from shelfmark.sources import exports, rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,10 +79,15 @@ _DEDUPED = f"""{_FILES}, hashed AS (SELECT *, sha256(text) AS sha FROM files),
     FROM hashed h JOIN own USING (sha) LEFT JOIN old USING (sha))"""
 
 
+def _stored(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """(hashed files, known files): the documents are read and hashed once."""
+    shared_dir(spark)
+    files = hashed_files(read(spark, sf_dir, "documents")).checkpoint()
+    return files, known_from(files)
+
+
 def _deduped(spark, sf_dir):
-    docs = read(spark, sf_dir, "documents")
-    files = files_of(docs).withColumn("sha256", F.sha2("text", 256)).drop("text")
-    return inventory.dedupe_by_hash(files, known_of(docs))
+    return inventory.dedupe_by_hash(*_stored(spark, sf_dir))
 
 
 @query(f"WITH {_DEDUPED} SELECT file_id, sha AS sha256, status, CASE WHEN status = 'DUPLICATE' THEN primary_id ELSE '' END AS duplicate_of FROM deduped")
@@ -98,7 +103,8 @@ def duplicate_groups(spark, sf_dir):
 @query(f"""WITH {_DEDUPED} SELECT seq, file_id, name, parents[1] AS parent_ids_sorted, md5, size, modified_time, sha AS sha256 FROM deduped WHERE status <> 'DUPLICATE'
   UNION ALL SELECT k.seq, k.file_id, k.name, k.parent_ids_sorted, k.md5, k.size, k.modified_time, k.sha256 FROM known k JOIN deduped d USING (file_id) WHERE d.status = 'DUPLICATE'""")
 def update_known(spark, sf_dir):
-    return inventory.update_known(known_of(read(spark, sf_dir, "documents")), _deduped(spark, sf_dir))
+    files, known = _stored(spark, sf_dir)
+    return inventory.update_known(known, inventory.dedupe_by_hash(files, known).checkpoint())
 
 
 @query("SELECT o_custkey, arg_max(o_orderkey, struct_pack(a := o_orderdate, b := o_orderkey)) AS o_orderkey, max(o_orderdate) AS o_orderdate FROM orders GROUP BY o_custkey")
@@ -134,8 +140,15 @@ def display_paths(spark, sf_dir):
     return inventory.display_paths(files_of(read(spark, sf_dir, "documents")).drop("path"), registry).select("file_id", "path")
 
 
+def _reported_with_known(spark, sf_dir):
+    files, known = _stored(spark, sf_dir)
+    kinds = inventory.classify_changes(files, known).select("file_id", "change_type")
+    report = inventory.dedupe_by_hash(files, known).join(kinds, "file_id").withColumn("run_id", F.concat(F.lit("run"), F.col("seq") % 3))
+    return report, known
+
+
 def _reported(spark, sf_dir):
-    return _deduped(spark, sf_dir).join(_classified(spark, sf_dir).select("file_id", "change_type"), "file_id").withColumn("run_id", F.concat(F.lit("run"), F.col("seq") % 3))
+    return _reported_with_known(spark, sf_dir)[0]
 
 
 _REPORTED = f"{_CLASSIFIED}, {_DEDUPED.removeprefix(_FILES + ', ')}, reported AS (SELECT d.*, c.change_type, 'run' || d.seq % 3 AS run_id FROM deduped d JOIN classified c USING (file_id))"
@@ -186,9 +199,10 @@ def _registry(spark):
 
 
 def _suggested(spark, sf_dir):
-    report = _reported(spark, sf_dir)
+    report, known = _reported_with_known(spark, sf_dir)
+    report = report.checkpoint()
     done = report.where("seq % 20 = 19").select("run_id", "file_id")
-    return sorting.sort_suggestions(report, known_of(read(spark, sf_dir, "documents")), _hints(spark, sf_dir), _registry(spark), done, sorting.default_rules(_MARKERS))
+    return sorting.sort_suggestions(report, known, _hints(spark, sf_dir), _registry(spark), done, sorting.default_rules(_MARKERS))
 
 
 @query(f"WITH {_SORTED} SELECT file_id, folder_rule, suggested_target_folder, suggested_target_folder_id, target_path, action_mode, target_error FROM suggested")
@@ -613,12 +627,29 @@ def parse_generic_json_export(spark, sf_dir):
     return _records_of(_export(_events_by_user(spark, sf_dir, item), "generic", F.struct(F.col("i").alias("items"))), "generic_json_export")
 
 
-@query("""SELECT doc_id, ['gmail_export', 'signal_export', 'generic_csv_export', 'llm_html_export', 'google_keep', 'perplexity_export', 'generic_txt_export', 'google_play_installs'][doc_id % 8 + 1] AS parser_name FROM documents""")
+#: (path, name, preview, content, rule): each rule by a token or by keys, tests of their own both ways, and names that several rules would take.
+PROBES = [
+    ("in", "ChatGPT.json", "", "{}", "chatgpt_export"), ("in", "a.json", "", '{"conversations": [{"turns": [], "model": "m"}]}', "chatgpt_export"), ("in", "Claude.json", "", "{}", "claude_export"), ("in", "b.json", "", '[{"chat_messages": []}]', "claude_export"),
+    ("in", "Gemini.json", "", '{"conversations": [{"turns": []}]}', "gemini_chat_export"), ("in", "c.json", "", '{"messages": []}', "llm_json_transcript"), ("in", "Transcript.bin", "", "{}", "llm_json_transcript"), ("in", "perplexity.json", "", "{}", "perplexity_export"),
+    ("in", "x.bin", "a notebooklm page", "{}", "notebooklm_artifacts"), ("my Prompts", "x.bin", "", "{}", "prompt_bundle"), ("in", "page.html", "", "{}", "llm_html_export"), ("in", "llm-markdown.bin", "", "{}", "llm_markdown_bundle"), ("in", "d.bin", "", '{"installed_apps": []}', "google_play_installs"),
+    ("in", "display.bin", "", "{}", "google_play_installs"), ("in", "subscription.bin", "", "{}", "google_play_subscriptions"), ("in", "purchase.bin", "", "{}", "google_play_purchases"), ("in", "order.bin", "", "{}", "google_play_orders"), ("in", "device.bin", "", "{}", "google_play_devices"),
+    ("in", "library.bin", "", "{}", "google_play_library"), ("My Activity", "x.bin", "", "{}", "google_my_activity"), ("in", "e.bin", "", '{"activity": []}', "google_my_activity"), ("in", "maps.bin", "", "{}", "google_maps_places"), ("in", "f.bin", "", '{"timeline_objects": []}', "google_timeline"),
+    ("in", "x.ics", "", "{}", "google_calendar"), ("in", "tasks.bin", "", "{}", "google_tasks"), ("in", "contacts.bin", "", "{}", "google_contacts"), ("in", "keep.bin", "", "{}", "google_keep"), ("in", "mail.mbox", "", "{}", "gmail_export"), ("in", "docs.bin", "", "{}", "google_drive_export"),
+    ("in", "gemini_export.bin", "", "{}", "gemini_exports"), ("in", "instagram.bin", "", '{"participants": []}', "instagram_export"), ("in", "facebook.bin", "", "{}", "facebook_export"), ("in", "messenger.bin", "", "{}", "messenger_export"), ("in", "threads.bin", "", "{}", "threads_export"),
+    ("WhatsApp", "x.bin", "", "{}", "whatsapp_export"), ("in", "g.bin", "1/2/24, 9:05 AM - A: hi", "{}", "whatsapp_export"), ("telegram", "x.bin", "", '{"chats": {}}', "telegram_export"), ("in", "Signal.bin", "", "{}", "signal_export"), ("in", "h.json", "", "{}", "generic_json_export"),
+    ("in", "table.csv", "", "{}", "generic_csv_export"), ("in", "x.txt", "", "{}", "generic_txt_export"), ("in", "x.zip", "", "{}", "generic_zip_bundle"), ("Takeout", "x.bin", "", "{}", "generic_zip_bundle"), ("in", "plain.bin", "", "{}", "generic_txt_export"), ("in", "telegram.bin", "", "{}", "generic_txt_export"),
+]
+_quoted = lambda x: "'" + x.replace("'", "''") + "'"
+
+
+@query(f"""WITH probes AS (SELECT * FROM (VALUES {', '.join(f"({k}, {_quoted(p[4])})" for k, p in enumerate(PROBES))}) t(k, parser_name)), facts AS (SELECT * FROM (VALUES {', '.join(f"({', '.join(map(_quoted, (r.name, r.version, r.system, r.record_type)))})" for r in rules.RULES)}) t(parser_name, version, system, record_type))
+  SELECT doc_id, parser_name, version, system, record_type FROM documents JOIN probes ON k = doc_id % {len(PROBES)} JOIN facts USING (parser_name)""")
 def resolve_parser(spark, sf_dir):
-    names = ["mail.mbox", "Signal.bin", "table.csv", "page.html", "keep.bin", "perplexity.json", "plain.bin", "display.bin"]
-    d = F.col("doc_id")
-    rows = read(spark, sf_dir, "documents").select("doc_id", F.element_at(F.array(*map(F.lit, names)), (d % 8 + 1).cast("int")).alias("original_filename"))
-    return rules.resolve_parser(rows.withColumns({"source_path": F.concat(F.lit("a/"), "original_filename"), "text_preview": F.lit(""), "content": F.lit("{}")})).select("doc_id", "parser_name")
+    """Sources that between them meet the rules of all jobs, by tokens, keys and previews."""
+    at = (F.col("doc_id") % len(PROBES)).cast("int")
+    columns = {c: F.get(F.array(*[F.lit(p[i]) for p in PROBES]), at) for i, c in enumerate(("folder", "original_filename", "text_preview", "content"))}
+    rows = read(spark, sf_dir, "documents").select("doc_id", *[v.alias(k) for k, v in columns.items()]).withColumn("source_path", F.concat_ws("/", "folder", "original_filename"))
+    return rules.resolve_parser(rows).select("doc_id", "parser_name", F.col("parser_version").alias("version"), F.col("source_system").alias("system"), F.col("default_record_type").alias("record_type"))
 
 
 # --- text, paths, ids
