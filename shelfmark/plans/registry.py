@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from shelfmark.plans import feeds, stores  # noqa: F401  they register their queries too
+from shelfmark.plans import feeds, jobs, stores  # noqa: F401  they register their queries too
 from shelfmark.plans.catalog import QUERIES, SQL
 
 FLAGSHIP = "daily_memory"

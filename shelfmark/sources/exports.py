@@ -384,10 +384,11 @@ def parse_sources(sources: DataFrame, ingested_at: str, jobs: list[str] | None =
     ``jobs`` names those that can occur, if that is known, which makes for a smaller plan.
     """
     found = None
-    for name in jobs or JOBS:
+    for name in [j for j in jobs or JOBS if j in JOBS]:
         made = JOBS[name](F.col("content"), F.col("raw_text"))
         found = F.when(F.col("parser_name") == name, made) if found is None else found.when(F.col("parser_name") == name, made)
-    records = _or_else(found, lambda: F.array(default_record(F.col("content"))))
+    plain = lambda: F.array(default_record(F.col("content")))
+    records = plain() if found is None else _or_else(found, plain)
     rows = sources.withColumn("__records", records).select(*[c for c in sources.columns if c not in RECORD_FIELDS], F.posexplode("__records").alias("pos", "r"))
     return latest_by_key(build_records(rows, ingested_at), "record_id", "pos")
 
