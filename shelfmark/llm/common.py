@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import contextlib
 import ctypes
 import tempfile
+import time
 import uuid
 
 import pyarrow as pa
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,11 +36,35 @@ def shared_dir(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+_TRIM_SECONDS, _trimmed = 5.0, [0.0]
+
+
+def trim_driver(spark: SparkSession) -> None:
+    """Have the driver's JVM return what its native code has freed to the machine.
+
+    Jobs run on hundreds of short-lived threads (exchanges, broadcasts, compilers), whose allocations the C library keeps
+    in arenas by thread; over a few hundred jobs these grow beyond the heap. JVMs without the command keep them.
+    """
+    if time.monotonic() - _trimmed[0] < _TRIM_SECONDS:
+        return
+    _trimmed[0] = time.monotonic()
+    sc = spark.sparkContext
+    jvm, array = sc._jvm, sc._gateway.new_array
+    kinds, values = array(jvm.java.lang.Class, 4), array(jvm.java.lang.Object, 4)
+    for k, name in enumerate(("javax.management.ObjectName", "java.lang.String", "[Ljava.lang.Object;", "[Ljava.lang.String;")):
+        kinds[k] = jvm.java.lang.Class.forName(name)
+    values[0], values[1] = jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand"), "systemTrimNativeHeap"
+    with contextlib.suppress(Py4JJavaError):
+        call = jvm.java.lang.Class.forName("javax.management.MBeanServer").getMethod("invoke", kinds)
+        call.invoke(jvm.java.lang.management.ManagementFactory.getPlatformMBeanServer(), values)
+
+
 def table(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` into the shared folder and read it back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    trim_driver(spark)
     out = spark.read.schema(df.schema).parquet(path)
     out.table_path = path
     return out
@@ -53,7 +80,9 @@ def drop_table(df: DataFrame) -> None:
 
 def checkpoint(df: DataFrame) -> DataFrame:
     shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    out = df.checkpoint(eager=True)
+    trim_driver(df.sparkSession)
+    return out
 
 
 def give_back_memory() -> None:
