@@ -11,9 +11,9 @@ import pytest
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.operators import inventory, rollups, textindex
+from shelfmark.operators import inventory, rollups, segments, textindex
 from shelfmark.plans import bindings
-from shelfmark.sources import archives, feeds, files
+from shelfmark.sources import archives, exports, feeds, files, rules
 from shelfmark.sources.snapshots import Change, Conflict, SnapshotStore
 from shelfmark.streaming import inventory as stream
 
@@ -318,3 +318,53 @@ def test_scope_of_graphs_against_a_search(spark):
     named = df.withColumn("name", F.upper("folder_id"))
     paths = {r["folder_id"]: (r["root_id"], r["path"]) for r in inventory.folder_paths(named).collect()}
     assert paths["r"] == ("r", "R") and paths["x"] == ("x", "X") and paths["p"] == (None, None) == paths["q"] == paths["a"] == paths["m"]
+
+
+def test_segments_of_a_hot_list(spark, monkeypatch):
+    rows = spark.range(30_000).select(F.lit("hot").alias("k"), (F.col("id") * 7919 % 30_000).alias("o"), F.concat(F.lit("v"), F.col("id") * 7919 % 30_000).alias("v")).repartition(5)
+    rows = rows.unionByName(spark.createDataFrame([("b", 2, "y"), ("b", 1, "x"), (None, 1, "n"), ("c", None, None)], "k string, o long, v string"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = segments.list_segments(rows, ["k"], ["o"], "v", size=1000).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    hot = sorted((r for r in got if r["k"] == "hot"), key=lambda r: r["segment"])
+    assert [r["segment"] for r in hot] == list(range(30)) and all(r["first"] == 1000 * r["segment"] for r in hot)
+    assert [v for r in hot for v in r["values"]] == [f"v{k}" for k in range(30_000)]
+    assert sorted([(r["k"], r["segment"], r["values"]) for r in got if r["k"] != "hot"], key=repr) == sorted([("b", 0, ["x", "y"]), (None, 0, ["n"]), ("c", 0, [None])], key=repr)
+    assert segments.list_segments(rows.limit(0), ["k"], ["o"], "v").count() == 0
+
+
+def test_segments_say_what_the_daily_lists_say(spark, sf):
+    rows = bindings.event_records(spark.read.parquet(sf + "/events.parquet"))
+    daily = rollups.daily_memory(rows, "2024-01-31")
+    want = {(r["date"], name): r[name] for r in daily.collect() for name in ("people", "places", "apps", *rollups.FAMILIES, "llm_activity", "media_refs", "source_ids", "record_ids") if r[name]}
+    got = {}
+    for r in sorted(segments.daily_segments(rows, size=7).collect(), key=lambda r: r["segment"]):
+        assert len(r["values"]) <= 7
+        got.setdefault((r["date"], r["list"]), []).extend(r["values"])
+    assert got == want
+
+
+def test_days_come_out_once_and_state_goes(spark, tmp_path):
+    schema = "event_id long, ts timestamp, event_type string, value decimal(18,6)"
+    batches = [[(1, "2024-01-01 10:00:00"), (2, "2024-01-01 11:00:00"), (1, "2024-01-01 10:00:00")], [(3, "2024-01-04 01:00:00"), (2, "2024-01-01 11:00:00")], [(4, "2024-01-01 12:00:00"), (5, "2024-01-05 00:00:00")], [(6, "2024-01-01 12:00:00"), (7, "2024-01-09 00:00:00")]]
+    for rows in batches:
+        df = spark.createDataFrame([(k, t, "x", 1) for k, t in rows], "event_id long, ts string, event_type string, value int")
+        df.select("event_id", F.to_timestamp("ts").alias("ts"), "event_type", F.col("value").cast("decimal(18,6)").alias("value")).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    counts = stream.stream_expiring_counts(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in"))
+    query = counts.writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/ck").trigger(availableNow=True).start()
+    query.awaitTermination()
+    got = sorted((r["window"]["start"].day, r["n"]) for r in spark.read.parquet(f"{tmp_path}/out").collect())
+    assert got == [(1, 3), (4, 1), (5, 1)]  # event 4 met the mark of the batch before, event 6 was too late
+    assert stream.late_rows(query) == 1
+    assert query.recentProgress[-1]["stateOperators"][0]["numRowsTotal"] <= 1
+
+
+def test_a_job_without_logic_gives_the_default_record(spark):
+    sources = spark.createDataFrame([("a", "in/facebook-a.json", "facebook-a.json", '{"title": "T", "people": ["P"], "event_time_start": "2024-02-03T10:00:00Z"}', "raw"), ("b", "in/facebook-b.json", "facebook-b.json", None, "only text")], "file_id string, source_path string, original_filename string, content string, raw_text string").withColumn("text_preview", F.lit(""))
+    built = exports.build_sources(rules.resolve_parser(sources), "p", "2024")
+    got = {r["file_id"]: r for r in exports.parse_sources(built, "2024", ["facebook_export"]).collect()}
+    assert (got["a"]["record_type"], got["a"]["title"], got["a"]["event_date"], got["a"]["people"]) == ("social_event", "T", "2024-02-03", ["P"])
+    assert (got["b"]["title"], got["b"]["raw_text"], got["b"]["normalized_text"]) == ("facebook-b.json", "only text", "only text")
+    assert {r["file_id"] for r in exports.parse_sources(built, "2024").collect()} == {"a", "b"}
