@@ -18,6 +18,7 @@ want of room, and a link lacks room at both its ends, so no other components nee
 from __future__ import annotations
 
 import math
+from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
@@ -434,28 +435,39 @@ def neighbours(nodes: DataFrame, vectors: DataFrame, dim: int, kind: str, thresh
     return links, comp, dense, audit
 
 
+def _joint(audits: list[Audit]) -> Audit:
+    """The audits of several lengths as one: the share found of all true links that they saw."""
+    told = [a for a in audits if a.recall is not None]
+    seen = sum(a.links for a in told)
+    recall = sum(a.recall * a.links for a in told) / seen if seen else None
+    return Audit(recall, sum(a.links for a in audits), sum(a.nodes for a in audits), all(a.whole for a in audits))
+
+
 def near_duplicates(vectors: DataFrame, *, vec_id: str = "vec_id", vector: str = "embedding", threshold: float = THRESHOLD) -> DataFrame:
     """Per row: ``vec_id, n_links, component_id, kept, valid``, and the audit: ``recall`` (null: no true
     link seen) on ``audited_links`` true links.
 
     Vectors that are null, empty, zero, too large or small to have a norm, or hold a null or
-    non-finite component link with nothing, nor do those whose length is not the table's most
-    common one (of equally common ones, the smallest). Rows with equal vectors are linked with
-    each other and share all links. Repeated ids are rows of their own; a null id never names
+    non-finite component link with nothing. Vectors of different lengths have no cosine; those of
+    each length are searched among themselves, one length after the other, and the audit is that of all
+    lengths. Rows with equal vectors are linked with each other and share all links. Repeated ids are rows of their own; a null id never names
     a component that has another id and is never kept. An empty table stays empty. Raises a
     RuntimeError where the audit finds too few of the true links after all graphs.
     """
     kind = "<f8" if "double" in vectors.schema[vector].dataType.simpleString() else "<f4"
     raw = vectors.select(F.monotonically_increasing_id().alias("row_id"), vectors[f"`{vec_id}`"].alias("vec_id"), vectors[f"`{vector}`"].alias("vector"))
     rows = table(raw.mapInArrow(_binary(kind), f"row_id long, vec_id {raw.schema['vec_id'].dataType.simpleString()}, vec binary, code binary, off double"), "vectors")
-    common = rows.where("vec is not null").groupBy(F.length("vec").alias("size")).count().orderBy(F.desc("count"), "size").first()
-    size = common["size"] if common else 0
-    valid = F.coalesce(F.length("vec") == size, F.lit(False))
-    keyed = rows.withColumn("key", F.when(valid, F.md5("vec")))
-    classes = checkpoint(keyed.where("key is not null").groupBy("key").agg(F.min("row_id").alias("node"), F.min("vec_id").alias("first_id"), F.count("*").alias("n")))
-    nodes = table(rows.select(F.col("row_id").alias("node"), "code", "off").join(classes.select("node", "n"), "node"), "sketches")
+    keyed = rows.withColumn("key", F.when(F.length("vec") > 0, F.md5("vec")))
+    classes = checkpoint(keyed.where("key is not null").groupBy("key").agg(F.min("row_id").alias("node"), F.min("vec_id").alias("first_id"), F.count("*").alias("n"), F.first(F.length("vec")).alias("size")))
+    nodes = table(rows.select(F.col("row_id").alias("node"), "code", "off").join(classes.select("node", "n", "size"), "node"), "sketches")
     known = rows.select(F.col("row_id").alias("node"), "vec")
-    links, comp, dense, audit = neighbours(nodes, known, size // int(kind[-1]), kind, threshold)
+    sizes = [r["size"] for r in classes.groupBy("size").count().where("count > 1").orderBy("size").collect()] or [0]
+    found = []
+    for size in sizes:
+        own = (nodes, known) if len(sizes) == 1 else (nodes.where(F.col("size") == size), known.where(F.length("vec") == size))
+        found.append(neighbours(own[0].where(F.col("size") == size).drop("size"), own[1], size // int(kind[-1]), kind, threshold))
+    links, comp, dense = (reduce(DataFrame.unionByName, [f[k] for f in found]) for k in range(3))
+    audit = _joint([f[3] for f in found])
     if audit.recall is not None and audit.recall < AUDIT_RECALL:
         raise RuntimeError(f"of the true links of {audit.nodes} nodes, {audit.links}, a share of only {audit.recall:.4f} was found; {AUDIT_RECALL} is needed")
 

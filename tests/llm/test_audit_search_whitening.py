@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from shelfmark.llm import divergence, eigen, topk, whitening
+from shelfmark.llm import divergence, eigen, embedding_dedup, topk, whitening
 
 from .docs import SCHEMA, awkward, empty
 
@@ -166,3 +166,17 @@ def test_whitening_without_variance_and_without_rows(spark):
     assert len(flat) == 9 and flat["whitened"].isna().sum() == 6 and flat["identity_error"].max() < 1e-12
     alone = whitening.whiten(_vectors(spark, [(1, [0.5, 0.5])])).toPandas()
     assert alone["whitened"].isna().all() and set(alone["explained"]) == {0.0} and set(alone["deviation"]) == {0}
+
+
+def test_vectors_of_each_length_are_compared(spark):
+    rng = np.random.default_rng(4)
+    base = rng.normal(size=(6, 5)).tolist()
+    rows = [(k, rng.normal(size=8).tolist()) for k in range(20)] + [(20, None), (21, [1.0]), (22, [-2.0]), (23, [3.0])]
+    rows += [(30, base[0]), (31, base[0]), (32, [2 * c for c in base[0]]), (33, [c + 0.01 for c in base[1]]), (34, base[1]), (35, base[2]), (40, rows[3][1]), (41, [c * 0.5 for c in rows[4][1]])]
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embedding_dedup.near_duplicates(_vectors(spark, rows)).collect()}
+    vectors = {k: np.array(v) for k, v in rows if v is not None}
+    near = lambda a, b: len(a) == len(b) and a @ b / np.linalg.norm(a) / np.linalg.norm(b) >= 0.95
+    for k, v in vectors.items():
+        linked = [o for o, w in vectors.items() if o != k and near(v, w)]
+        assert got[k] == (len(linked), min([k, *linked])), k
+    assert got[20] == (0, 20) and got[30] == (2, 30) and got[21] == (1, 21)
