@@ -48,6 +48,10 @@ def _one_or_none(value: Column) -> Column:
     return F.when(text(value) != "", F.array(value)).otherwise(F.array().cast("array<string>"))
 
 
+# The titles, record types, subtypes, apps, topics, confidences and scores that the jobs below give are those
+# of the record format, and so are the names of the export's own fields.
+
+
 def _chat(convs: Column, *, conv, turn, turns) -> Column:
     """Conversation records, each followed by its turns' records."""
     return F.flatten(F.transform(convs, lambda c: F.concat(F.array(conv(c, turns(c))), F.transform(turns(c), lambda t, i: turn(c, t, i)))))

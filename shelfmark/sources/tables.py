@@ -86,7 +86,8 @@ def read_published(spark: SparkSession, root: str, name: str, schema: StructType
 
 
 def publish_all(sections: dict[str, DataFrame], root: str, version: str) -> dict[str, str]:
-    """All index sections under one version, one dataset each."""
+    """All index sections under one version, one dataset and one pointer each. Sections that readers must see at one version
+    together go to a ``snapshots.SnapshotStore``."""
     return {name: publish(df, root, name, version) for name, df in sections.items()}
 
 
