@@ -63,7 +63,8 @@ def format_conversations(rows: DataFrame, template: dict = TEMPLATE) -> DataFram
     are empty strings; a null role is thus an unknown role. Turns are ordered by turn (nulls
     first), then role, then text, so that repeated turn numbers and repeated rows (which all
     stay) have one order. Null ``conv_id`` is a conversation of its own. Invalid turn orders
-    are formatted all the same and have ``valid`` false. No rows give no rows.
+    are formatted all the same and have ``valid`` false. Very long texts are formatted whole; a conversation
+    is one row. No rows give no rows.
     """
     role, text = F.coalesce(rows["role"].cast("string"), F.lit("")), F.coalesce(rows["text"].cast("string"), F.lit(""))
     turns = rows.select("conv_id", F.struct(rows["turn"].alias("turn"), role.alias("role"), text.alias("text")).alias("t"))

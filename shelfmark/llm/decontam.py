@@ -249,7 +249,7 @@ def find_contamination(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_
     """Per document: ``n_words``, ``n_hit`` (words inside matched phrases), the ``items``, ``contaminated``.
 
     Null and empty texts have no words; repeated rows each get a row; without items nothing
-    is contaminated; an empty table stays empty. Only the named columns are read, so others
+    is contaminated; an empty table stays empty; very long texts are indexed and searched whole. Only the named columns are read, so others
     may have any name.
     """
     wanted = checkpoint(phrases(items, item_id, "text", width))

@@ -390,7 +390,9 @@ def jaccard_join(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
 
     ``links``: each pair of linked different sets once, as ``a, b`` (the smallest id of the documents
     with either set) and ``n_a, n_b`` (documents with it). ``counts``, per document: ``doc_id, n_links``,
-    the other documents that it is linked with, those with the same set included.
+    the other documents that it is linked with, those with the same set included. Null, empty and blank texts link with
+    nothing; repeated rows are documents of their own; very long texts are compared whole; an empty table gives no rows;
+    columns of other names do not matter.
     """
     sets, classes, reps = _distinct(docs, doc_id, text, width, percent)
     found = link_pairs(reps, percent)

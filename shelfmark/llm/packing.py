@@ -53,7 +53,8 @@ def tokenize(docs: DataFrame, doc_id: str, text: str, *, piece_tokens: int = MAX
     Only longer documents are cut, and then the first piece may be the shorter one. Columns:
     ``doc_id, piece, start, length, ids_crc32`` and, on demand, ``ids``. Null and empty texts
     are the id 0 alone; repeated rows each have their pieces; special tokens' strings in a
-    text are ordinary text.
+    text are ordinary text. Very long texts are tokenized whole; no documents give no pieces; columns of
+    other names do not matter.
     """
     rows = docs.select(docs[f"`{doc_id}`"].alias("doc_id"), text_column(docs, text).alias("text"))
     path = vocabulary or vocabulary_path()
@@ -86,7 +87,8 @@ def tokenize(docs: DataFrame, doc_id: str, text: str, *, piece_tokens: int = MAX
 
 
 def best_fit(lengths: np.ndarray, capacity: np.ndarray, weights: np.ndarray | None = None, rule: str = "norm") -> tuple[np.ndarray, np.ndarray]:
-    """(bin, offset) of each piece; pieces are placed from the longest to the shortest."""
+    """(bin, offset) of each piece; pieces are placed from the longest to the shortest, equal ones in their order, in the
+    first of equally good bins. No pieces need no bin."""
     size = np.stack([lengths, np.ones_like(lengths), lengths**2], axis=1).astype(np.float64)
     if weights is None:
         weights = (size / capacity).mean(axis=0) if len(lengths) else np.ones(3)

@@ -129,7 +129,7 @@ def filter_urls(df: DataFrame, model: UrlModel, rules: Sequence[tuple[str, str,
     """Add ``host, path, rule, block_score, verdict`` to every row.
 
     The longest fitting rule decides, else the model: ``block`` from ``threshold`` up. A null
-    URL, or one without ``://``, has an empty host and path; repeated rows get equal verdicts;
+    URL, or one without ``://``, has an empty host and path; repeated rows get equal verdicts; very long URLs are judged whole;
     an empty table stays empty. Columns of ``df`` with the five names added here are replaced, all others stay.
     """
     df = df.drop(*[c for c in ("host", "path", "rule", "block_score", "verdict") if c in df.columns])

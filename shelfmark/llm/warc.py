@@ -190,7 +190,8 @@ def write_archives(pages: DataFrame, folder: str, *, key: str = "page_id", url:
     Of the rows with equal payloads of at least ``min_bytes``, those with the smallest key are
     responses and the others revisits of it; repeated rows of that key are all responses. A null
     payload is empty; a null URL is the empty string; a null key never is the smallest, and
-    rows that only have null keys are responses. An empty table writes no archive.
+    rows that only have null keys are responses. Very long payloads are one record; members are stored as ZIP64
+    where they need it. An empty table writes no archive. Columns of other names do not matter.
     """
     body = F.coalesce(text_column(pages, payload), F.lit(""))
     rows = pages.select(pages[f"`{key}`"].alias("key"), F.coalesce(text_column(pages, url), F.lit("")).alias("url"), F.encode(body, "UTF-8").alias("payload"))
