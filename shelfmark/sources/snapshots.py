@@ -115,7 +115,7 @@ class Snapshot:
             schema = schema.add(StructField(_GONE, BooleanType()))
         root = self.store.root
         if not chosen:
-            return self.store.spark.createDataFrame([], schema.add(_ORDER, "long").add(_BUCKET, "int"))
+            return self.store.spark.createDataFrame([], schema.add(_ORDER, "long").add(_BUCKET, "integer"))
         return self.store.spark.read.schema(schema).option("basePath", f"{root}/data/{section}").parquet(*[f"{root}/{f}" for f in chosen])
 
     def read(self, section: str, schema: StructType | str | None = None, buckets: set[int] | None = None) -> DataFrame:

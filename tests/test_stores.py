@@ -368,3 +368,27 @@ def test_a_job_without_logic_gives_the_default_record(spark):
     assert (got["a"]["record_type"], got["a"]["title"], got["a"]["event_date"], got["a"]["people"]) == ("social_event", "T", "2024-02-03", ["P"])
     assert (got["b"]["title"], got["b"]["raw_text"], got["b"]["normalized_text"]) == ("facebook-b.json", "only text", "only text")
     assert {r["file_id"] for r in exports.parse_sources(built, "2024").collect()} == {"a", "b"}
+
+
+def test_an_inventory_of_a_feed(spark, tmp_path):
+    feeds.register(spark)
+    pages = tmp_path / "pages"
+    pages.mkdir()
+
+    def page(phase, cursor, ids, following):
+        (pages / f"{phase}-{cursor}.json").write_text(json.dumps({"rows": [{"doc_id": i, "text": f"text {i % 4}", "n_chars": 6} for i in ids], "next": following}))
+
+    plain = lambda df: bindings.files_of(df).withColumns({c: F.lit(False) for c in ("removed", "explicitly_deleted", "trashed", "scope_exit")})
+
+    def go():
+        rows = spark.readStream.format("change_feed").schema("doc_id long, text string, n_chars long").option("path", f"file://{pages}").option("pagesPerTrigger", 1).load()
+        stream.run_inventory(rows, f"{tmp_path}/out", f"{tmp_path}/ck", prepare=plain, buckets=2, available_now=False)
+
+    page("listing", "0", [1, 2], "1")
+    page("listing", "1", [3, 5], None)
+    go()
+    page("changes", "0", [4, 6], "1")
+    go()
+    got = {r["file_id"]: (r["batch"], r["status"], r["duplicate_of"]) for r in stream.read_reports(spark, f"{tmp_path}/out").collect()}
+    assert got == {"f1": (0, "ORIGINAL", ""), "f2": (0, "ORIGINAL", ""), "f3": (1, "ORIGINAL", ""), "f5": (1, "DUPLICATE", "f1"), "f4": (2, "ORIGINAL", ""), "f6": (2, "DUPLICATE", "f2")}
+    assert {r["file_id"] for r in stream.read_known(spark, f"{tmp_path}/out").collect()} == {"f1", "f2", "f3", "f4"}
