@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import checkpoint, compact, drop_table, table, text_column
+from .common import checkpoint, compact, drop_table, give_back_memory, table, text_column
 from .components import connected_components
 from .words import NON_SPACE, chunks, hash_words, mix, text_bytes
 
@@ -121,6 +121,7 @@ class _Layout:
             at = np.concatenate([[0], cuts]) if len(keys) else np.zeros(0, int)
             end = np.append(cuts, len(keys))[: len(at)]
             seen = np.minimum(counts, 65535).astype("<u2")
+            give_back_memory()
             return pa.table(
                 {"shard": pa.array(shard[at], pa.int32()), "block": pa.array(np.full(len(at), key[0].as_py()), pa.int32()),
                  "keys": pa.array([low[a:b].tobytes() for a, b in zip(at, end, strict=True)], pa.binary()), "counts": pa.array([seen[a:b].tobytes() for a, b in zip(at, end, strict=True)], pa.binary())}
@@ -137,6 +138,8 @@ class _Layout:
             _, inverse = np.unique(wide.view("<u8").ravel(), return_inverse=True)
             code = _rank_code(np.bincount(inverse, counts).astype(np.int64))[inverse]
             at = np.cumsum([0, *map(len, raw)])
+            del wide, inverse
+            give_back_memory()
             return pa.table({"block": rows.column("block"), "shard": rows.column("shard"), "codes": pa.array([code[a:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)], pa.binary())})
 
         return run
@@ -164,6 +167,9 @@ class _Layout:
             at = np.cumsum([0, *map(len, out["tokens"])]).astype(np.int32)
             flat = np.concatenate([np.zeros(0, np.int64), *out["tokens"]])
             sig = [pa.array(np.array(out[k], np.uint64).view(np.int64)) for k in ("sig1", "sig2")]
+            del sets, keys, codes
+            out["tokens"] = []
+            give_back_memory()
             return pa.table(
                 {"row_id": ids, "doc_id": docs, "n": pa.array(out["n"], pa.int64()), "sig1": sig[0], "sig2": sig[1], "n_single": pa.array(out["n_single"], pa.int32()),
                  "n_prefix": pa.array(out["n_prefix"], pa.int32()), "tokens": pa.ListArray.from_arrays(pa.array(at), pa.array(flat))}
@@ -324,6 +330,8 @@ def _count_links(percent: int):
             out, links = ids[a], linked @ copies[b]
         else:
             out, links = np.concatenate([ids[a], ids[b]]), np.concatenate([linked @ copies[b], copies[a] @ linked])
+        del both, linked
+        give_back_memory()
         return pa.table({"row_id": pa.array(out, pa.int64()), "links": pa.array(links, pa.int64())})
 
     return run
