@@ -7,8 +7,12 @@ other writers; all other ids agree.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, SparkSession
+import json
+
+import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 
 def text(col: Column | str) -> Column:
@@ -61,72 +65,18 @@ def flat_hash(fields: Column) -> Column:
     return F.sha2(F.array_join(pairs, "|"), 256)
 
 
-#: Stand for what must not be touched while a JSON text is taken apart; free texts do not hold these.
-_BACKSLASH, _QUOTE, _NUMBER = "\ue0f0\ue0f1", "\ue0f0\ue0f2", "\ue0f0\ue0f3"
-#: Control characters that are written with hex letters, which are small here and large in what Spark writes.
-_CONTROLS = ("000B", "000E", "000F", "001A", "001B", "001C", "001D", "001E", "001F")
-
-
-def _float_text(number: Column) -> Column:
-    """The shortest text of a float: positional from 1e-4 up to below 1e16, with an exponent of two digits and more beyond."""
-    value = number.try_cast("double")
-    own = F.regexp_replace(F.regexp_replace(F.regexp_extract(number, r"^-?([0-9.]+)", 1), "[.]", ""), "^0+|0+$", "")
-    by = lambda digits: F.format_string(f"%.{digits - 1}e", F.abs(value))
-    cut = F.concat(F.substring(by(17), 1, 17), F.regexp_extract(by(17), "e.*$", 0))  # 16 digits too, where rounding goes the wrong way
-    # floats from 2**53 up are integers; what the JVM prints of them may be off in the 17th digit
-    large, wide = F.abs(value), "decimal(38,0)"
-    whole_number = F.when(large < 2.0**63, large.try_cast("bigint").cast(wide)).when(large < 2.0**74, (large / 2048).try_cast("bigint").cast("decimal(20,0)") * F.lit(2048).cast("decimal(5,0)"))
-    ten = lambda n: F.concat(F.lit("1"), F.repeat(F.lit("0"), n)).try_cast("decimal(10,0)")
-    beyond = lambda digits: F.length(whole_number.cast("string")) - digits
-    near = lambda digits: F.concat(F.call_function("div", whole_number + ten(beyond(digits)) / 2, ten(beyond(digits))).cast("string"), F.lit("e"), beyond(digits).cast("string"))
-    back = lambda shown: shown.try_cast("double") == F.abs(value)
-    shown = F.when(back(by(15)), by(15)).when((large >= 1e16) & back(near(16)), near(16)).when((large >= 1e16) & back(near(17)), near(17)).when(back(by(16)), by(16)).when(back(cut), cut).otherwise(by(17))  # more than 15 digits of the text may not be the shortest ones
-    source = F.when(F.length(own) <= 15, F.regexp_replace(number, "^-", "")).otherwise(shown)
-    mantissa, power = F.regexp_extract(source, "^([0-9.]+)", 1), F.coalesce(F.regexp_extract(source, "[eE]([+-]?[0-9]+)$", 1).try_cast("int"), F.lit(0))
-    whole, part = F.substring_index(mantissa, ".", 1), F.when(F.instr(mantissa, ".") > 0, F.substring_index(mantissa, ".", -1)).otherwise("")
-    all_digits = F.concat(whole, part)
-    digits = F.regexp_replace(all_digits, "^0+|0+$", "")
-    first = F.length(whole) - 1 + power - (F.length(all_digits) - F.length(F.regexp_replace(all_digits, "^0+", "")))  # power of ten of the first digit
-    zeros = lambda n: F.repeat(F.lit("0"), n.cast("int"))
-    n = F.length(digits)
-    positional = (
-        F.when(first < 0, F.concat(F.lit("0."), zeros(-first - 1), digits))
-        .when(n <= first + 1, F.concat(digits, zeros(first + 1 - n), F.lit(".0")))
-        .otherwise(F.concat(F.substring(digits, F.lit(1), (first + 1).cast("int")), F.lit("."), F.substring(digits, (first + 2).cast("int"), n)))
-    )
-    exponent = F.concat(F.when(first < 0, "e-").otherwise("e+"), F.lpad(F.abs(first).cast("string"), F.greatest(F.lit(2), F.length(F.abs(first).cast("string"))), F.lit("0")))
-    scientific = F.concat(F.substring(digits, 1, 1), F.when(n > 1, F.concat(F.lit("."), F.substring(digits, F.lit(2), n))).otherwise(""), exponent)
-    size = F.when(F.abs(value) == float("inf"), "Infinity").when(value == 0, "0.0").when((first >= -4) & (first < 16), positional).otherwise(scientific)
-    return F.concat(F.when(number.startswith("-"), "-").otherwise(""), size)
-
-
-def _number_text(number: Column) -> Column:
-    plain = F.when(number == "-0", "0").otherwise(number)
-    return F.when(number.rlike("[.eE]") & ~number.contains("Infinity"), _float_text(number)).otherwise(plain)
-
-
-def canonical_json(raw: Column) -> Column:
-    """Nested JSON with sorted keys and no spaces; text that is no JSON, and null, count as an empty object.
-
-    Of a key that comes twice the last value counts, which a setting of the session must allow; it is made here. Numbers keep
-    their kind, and floats have their shortest text; NaN and infinities are read. Keys are sorted by UTF-16 units. Texts beyond the
-    size of a variant count as no JSON.
-    """
-    SparkSession.active().conf.set("spark.sql.variant.allowDuplicateKeys", "true")
-    safe = F.replace(F.replace(text(raw), F.lit("\\\\"), F.lit(_BACKSLASH)), F.lit('\\"'), F.lit(_QUOTE))
-    # between quotes lies text, so that every second piece holds the numbers
-    pieces = F.transform(F.split(safe, '"', -1), lambda p, i: F.when(i % 2 == 0, F.regexp_replace(p, r"-?Infinity|NaN|-?(?:0|[1-9][0-9]*)(?:[.][0-9]+)?(?:[eE][+-]?[0-9]+)?(?![0-9.eE])", f'"{_NUMBER}$0"')).otherwise(p))
-    marked = F.replace(F.replace(F.array_join(pieces, '"'), F.lit(_QUOTE), F.lit('\\"')), F.lit(_BACKSLASH), F.lit("\\\\"))
-    # as the only element of a list, so that nothing may follow it
-    parsed = F.try_parse_json(F.concat(F.lit("["), marked, F.lit("]")))
-    one = F.when(F.try_variant_get(parsed, "$[1]", "variant").isNull(), F.to_json(F.try_variant_get(parsed, "$[0]", "variant")))
-    out = F.replace(one, F.lit("\\\\"), F.lit(_BACKSLASH))
-    for c in _CONTROLS:
-        out = F.replace(out, F.lit("\\u" + c), F.lit("\\u" + c.lower()))
-    out = F.replace(out, F.lit(_BACKSLASH), F.lit("\\\\"))
-    parts = F.split(out, f'"{_NUMBER}', -1)
-    rest = F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), lambda p: F.concat(_number_text(F.substring_index(p, '"', 1)), F.substring(p, F.length(F.substring_index(p, '"', 1)) + 2, F.length(p))))
-    return F.coalesce(F.concat(parts[0], F.array_join(rest, "")), F.lit("{}"))
+@F.pandas_udf(StringType())
+def canonical_json(raw: pd.Series) -> pd.Series:
+    """Nested JSON with sorted keys and no spaces; text that is no JSON, and null, count as an empty object."""
+
+    def one(value) -> str:
+        try:
+            parsed = json.loads(value) if value is not None else {}
+        except ValueError:
+            parsed = {}
+        return json.dumps(parsed, sort_keys=True, ensure_ascii=False, separators=(",", ":"))
+
+    return raw.map(one)
 
 
 def content_hash(raw: Column) -> Column:
