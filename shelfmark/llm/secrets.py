@@ -5,8 +5,8 @@ token's shape, its neighbouring words and features of its file, decoded by Viter
 trained here, on lines of a bounded sample of texts: with the values that the patterns find, with
 planted secrets of many forms that no pattern matches, and with planted lines that only look like them.
 
-Only lines that hold a pattern's match or a candidate are tagged: a token of at least CANDIDATE bytes with
-a digit, or of ASCII letters in both cases that change at least twice. All others are outside.
+Every line of every text is tagged, whatever it holds. Candidates (tokens of at least CANDIDATE bytes with a digit, or of
+ASCII letters in both cases that change at least twice) only weigh in the choice of training lines.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ import base64
 import re
 import string
 import uuid
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-from .common import text_column
+from .common import give_back_memory, text_column
 from .words import chunks, mix, text_bytes
 
 #: Fixed patterns; the kinds' order decides ties. Matches that are too short are dropped.
@@ -110,15 +111,18 @@ def tokenize(texts: list[str], file: np.ndarray | None = None) -> Tokens:
 
     size = end - start
     lower, upper, digit, symbol, wide = (per_token(kind == k) for k in (1, 2, 3, 4, 5))
-    turns = per_token(np.concatenate([[False], kind[1:] != kind[:-1]]))  # changes of class, the first counts one
-    # the gap before each token
+    turns = per_token(np.concatenate([[True], kind[1:] != kind[:-1]]))  # changes of class, the first counts one
+    # the gap before each token, from the token before it or the line's begin: what other lines and texts hold does not count
     marks = _GAP[low]
     gap = np.zeros(n, dtype=np.int64)
-    for bit in (1, 2, 4, 8):
+    behind = np.concatenate([[0], np.flatnonzero(marks == 8) + 1])
+    behind = behind[np.searchsorted(behind, start, "right") - 1]
+    ended = np.concatenate([[-1], end[:-1]])
+    breaks = behind > ended
+    since = np.maximum(behind, ended)
+    for bit in (1, 2, 4):
         total = np.concatenate([[0], np.cumsum((marks & bit) > 0, dtype=np.int32)])
-        gap += bit * (total[start] > total[np.concatenate([[0], end[:-1]])])
-    breaks = (gap & 8) > 0
-    breaks[0] = True
+        gap += bit * (total[start] > total[since])
     line = np.cumsum(breaks) - 1
     # word hashes: of the first and last 32 characters at most, as identity of a neighbour
     at = np.flatnonzero(body)
@@ -135,7 +139,6 @@ def tokenize(texts: list[str], file: np.ndarray | None = None) -> Tokens:
     bucket = np.digitize(size, [2, 4, 8, 12, 16, 24, 32])
     shape = bucket * 32 + (lower > 0) * 1 + (upper > 0) * 2 + (digit > 0) * 4 + (symbol > 0) * 8 + (wide > 0) * 16
     mixture = bucket * 64 + np.digitize(digit / size, [0.001, 0.15, 0.3, 0.5, 0.9]) * 8 + np.digitize(turns / size, [0.05, 0.15, 0.25, 0.35, 0.5])
-    gap &= 7
     features = np.stack([shape, mixture, gap, file[text_of] * 4 + np.minimum(bucket // 2, 3), before, after, (before * 8 + gap) % _WORDS], axis=1)
     return Tokens(start, end, line, features + _AT[:7])
 
@@ -368,6 +371,10 @@ _SPANS = ArrayType(StructType([StructField("kind", StringType()), StructField("s
 _SPANS_ARROW = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 
 
+_TOKEN = re.compile(rb"[A-Za-z0-9+/_.\x80-\xff-]+")
+#: Characters that are tagged at once: so many, or a longer line.
+TAG_CHARS = 1 << 18
+_BREAK = re.compile("[\r\n]")
 _HEX = np.isin(np.arange(256), list(b"0123456789abcdef"))
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -385,74 +392,77 @@ def _hinted(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.unique(np.searchsorted(offsets, np.concatenate(at).astype(np.int64), "right") - 1)
 
 
-def _candidates(data: np.ndarray, offsets: np.ndarray, more: tuple[int, ...] = ()) -> tuple[np.ndarray, np.ndarray]:
-    """(first byte, end) of the lines that hold a candidate, or one of the bytes of ``more``."""
-    kind = _KIND[data]
-    body = kind > 0
-    edge = np.zeros(len(data) + 1, dtype=bool)
-    edge[1:-1] = body[1:] != body[:-1]
-    edge[0], edge[-1] = body[:1].any(), body[-1:].any()
-    inner = offsets[(offsets > 0) & (offsets < len(data))]
-    split = inner[body[inner] & body[inner - 1]]  # a token ends where its text does
-    cuts = np.sort(np.concatenate([np.flatnonzero(edge), split, split]))
-    start, end = cuts[::2], cuts[1::2]
-    long = end - start >= CANDIDATE
-    start, end = start[long], end[long]
-    within = lambda flags: (t := np.concatenate([[0], np.cumsum(flags, dtype=np.int32)]))[end] - t[start]
-    turns = np.zeros(len(data), dtype=bool)
-    turns[1:] = kind[1:] != kind[:-1]
-    changes = within(turns) - (turns[start] if len(start) else 0)
-    mixed = (changes >= 2) & (within(kind == 1) > 0) & (within(kind == 2) > 0) & (within(kind == 5) == 0)
-    start = start[(within(kind == 3) > 0) | mixed]
-    breaks = np.unique(np.concatenate([offsets, np.flatnonzero((data == 10) | (data == 13)) + 1]))
-    line = np.unique(np.searchsorted(breaks, np.concatenate([start, np.array(more, np.int64)]), "right") - 1)
-    return breaks[line], np.append(breaks, len(data))[line + 1]
-
-
 def has_candidate(line: str) -> bool:
-    data = np.frombuffer(line.encode(), np.uint8)
-    return len(_candidates(data, np.array([0, len(data)]))[0]) > 0
+    """Whether a line holds a candidate: such lines are half of the plain ones that training sees."""
+    return any(len(t) >= CANDIDATE and (re.search(b"[0-9]", t) or _mixed(t)) for t in _TOKEN.findall(line.encode()))
+
+
+def _mixed(token: bytes) -> bool:
+    kind = _KIND[np.frombuffer(token, np.uint8)]
+    return bool((kind == 1).any() and (kind == 2).any() and not (kind == 5).any() and np.count_nonzero(kind[1:] != kind[:-1]) >= 2)
+
+
+def _groups(texts: list[str]) -> Iterator[list[tuple[int, int, str]]]:
+    """All of the texts as groups of (text's number, place, part); long texts are cut behind line breaks, and lines never."""
+    group, size = [], 0
+    for k, text in enumerate(texts):
+        at = 0
+        while at < len(text):
+            cut = len(text)
+            if cut - at > TAG_CHARS:
+                cut = max(text.rfind("\n", at, at + TAG_CHARS), text.rfind("\r", at, at + TAG_CHARS)) + 1
+                if not cut:
+                    after = _BREAK.search(text, at + TAG_CHARS)
+                    cut = after.end() if after else len(text)
+            group.append((k, at, text[at:cut]))
+            size, at = size + cut - at, cut
+            if size >= TAG_CHARS:
+                yield group
+                group, size = [], 0
+    if group:
+        yield group
+
+
+def all_spans(texts: list[str], model: Crf, everywhere: bool = False) -> list[list[tuple[str, int, int]]]:
+    """Per text (kind, start, end): the patterns' spans, and of the field's spans the parts outside these.
+
+    The field's spans are those of lines with a match's begin or a candidate; ``everywhere``: those of all lines, as ``scan`` gives them.
+    """
+    found = spans_of(*text_bytes(pa.array(texts, pa.string())), model)
+    return found if everywhere else [[s for s in spans if s[0] != "crf" or _tells(text, s[1], spans)] for text, spans in zip(texts, found, strict=True)]
 
 
-def all_spans(texts: list[str], model: Crf) -> list[list[tuple[str, int, int]]]:
-    """Per text (kind, start, end): the patterns' spans, and of the field's spans the parts outside these."""
-    return spans_of(*text_bytes(pa.array(texts, pa.string())), model)
+def _tells(text: str, at: int, spans: list[tuple[str, int, int]]) -> bool:
+    begin = max(text.rfind("\n", 0, at), text.rfind("\r", 0, at)) + 1
+    after = _BREAK.search(text, at)
+    end = after.start() if after else len(text)
+    return any(begin <= a < end for kind, a, _ in spans if kind != "crf") or has_candidate(text[begin:end])
 
 
 def spans_of(data: np.ndarray, offsets: np.ndarray, model: Crf) -> list[list[tuple[str, int, int]]]:
-    """``all_spans`` of texts that lie one after the other in UTF-8 bytes."""
+    """``all_spans`` everywhere in texts that lie one after the other in UTF-8 bytes: every line is tagged."""
     n = len(offsets) - 1
     fixed: list[list] = [[] for _ in range(n)]
     field: list[list] = [[] for _ in range(n)]
     if not len(data):
         return fixed
-    decode = lambda a, b: data[a:b].tobytes().decode()
-    points = lambda a, b: int(np.count_nonzero((data[a:b] & 0xC0) != 0x80))
-    matches = []
+    texts = [data[a:b].tobytes().decode() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
     for t in _hinted(data, offsets).tolist():
-        text = decode(offsets[t], offsets[t + 1])
-        fixed[t] = [(kind, a, b) for a, b, kind, _ in base_spans(text)]
-        at, last = int(offsets[t]), 0  # the byte of each match, counted on from match to match
-        for _, a, _ in fixed[t]:
-            at, last = at + len(text[last:a].encode()), a
-            matches.append(at)
-    begins, stops = _candidates(data, offsets, tuple(matches))
-    if len(begins):
-        lines = [decode(a, b).rstrip("\r\n") for a, b in zip(begins.tolist(), stops.tolist(), strict=True)]
-        owner = np.searchsorted(offsets, begins, "right") - 1
-        tokens = tokenize(lines, file_features(data, offsets)[owner])
+        fixed[t] = [(kind, a, b) for a, b, kind, _ in base_spans(texts[t])]
+    file = file_features(data, offsets)
+    for group in _groups(texts):
+        owner, at, parts = zip(*group, strict=True)
+        tokens = tokenize(list(parts), file[list(owner)])
         tags = model.tag(tokens)
         hot = np.flatnonzero(tags)
-        opens = (tags[hot] == B) | np.concatenate([[True], (np.diff(hot) > 1) | (np.diff(tokens.line[hot]) > 0)])[: len(hot)]
-        heads = np.flatnonzero(opens)
-        starts = tokens.start[hot[heads]]
-        ends = tokens.end[hot[np.append(heads[1:], len(hot)) - 1]] if len(heads) else starts
-        first = np.concatenate([[0], np.cumsum([len(x) + 1 for x in lines])])
-        for s, e in zip(starts.tolist(), ends.tolist(), strict=True):
-            k = int(np.searchsorted(first, s, "right")) - 1
-            t = owner[k]
-            base = points(offsets[t], begins[k]) - int(first[k])
-            field[t].append((base + s, base + e, lines[k][s - int(first[k]) : e - int(first[k])]))
+        if not len(hot):
+            continue
+        heads = np.flatnonzero((tags[hot] == B) | np.concatenate([[True], (np.diff(hot) > 1) | (np.diff(tokens.line[hot]) > 0)]))
+        starts, ends = tokens.start[hot[heads]], tokens.end[hot[np.append(heads[1:], len(hot)) - 1]]
+        first = np.concatenate([[0], np.cumsum([len(x) + 1 for x in parts])])
+        part = np.searchsorted(first, starts, "right") - 1
+        for k, s, e in zip(part.tolist(), (starts - first[part]).tolist(), (ends - first[part]).tolist(), strict=True):
+            field[owner[k]].append((at[k] + s, at[k] + e, parts[k][s:e]))
     out = []
     for spans, more in zip(fixed, field, strict=True):
         known = sorted((a, b) for _, a, b in spans)
@@ -479,6 +489,7 @@ def _scanned(docs: DataFrame, model: Crf, text: str, into: str) -> DataFrame:
                 spans += [[{"kind": k, "start": a, "end": b} for k, a, b in s] for s in spans_of(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], model.value)]
             kept = batch.drop_columns(["__text"])
             yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(spans, _SPANS_ARROW)], [*kept.schema.names, into])
+        give_back_memory()
 
     return rows.mapInArrow(run, StructType([*docs.schema.fields, StructField(into, _SPANS)]))
 

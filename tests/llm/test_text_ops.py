@@ -324,6 +324,23 @@ def test_the_field_adds_what_lies_beyond_a_pattern():
     assert spans == [("crf", 0, 3), ("hex", 3, 35), ("crf", 35, 38)]
 
 
+def test_every_line_is_tagged_and_by_itself(monkeypatch):
+    seen = []
+
+    class Words:
+        def tag(self, tokens):
+            seen.append(len(tokens.start))
+            return np.where(tokens.end - tokens.start == 7, secrets.B, secrets.O)
+
+    texts = ["plain\nhunters\r\nwords", "", "of the\rsummers é"]  # no line holds a digit, letters in both cases or a match
+    assert secrets.all_spans(texts, Words(), everywhere=True) == [[("crf", 6, 13)], [], [("crf", 7, 14)]] and sum(seen) == 7
+    monkeypatch.setattr(secrets, "TAG_CHARS", 8)
+    assert secrets.all_spans(texts, Words(), everywhere=True) == [[("crf", 6, 13)], [], [("crf", 7, 14)]]
+    assert ["".join(p for k, _, p in sum(secrets._groups(texts), []) if k == i) for i in range(3)] == texts
+    alone = secrets.tokenize(["key value"], np.array([0])).features
+    assert np.array_equal(secrets.tokenize(["end=", "key value"], np.array([3, 0])).features[1:], alone)  # what stands before a text does not count
+
+
 def test_secret_scan_edges(spark):
     docs = awkward(spark).unionByName(spark.createDataFrame([(50, f"日本 token = \"{'ab1' * 14}\" 😀 {LONG}", "en", "s", 1, "x", 1, "r", 7, None, "h")], awkward(spark).schema))
     model = secrets.train_on(docs)
