@@ -7,9 +7,10 @@ other writers; all other ids agree.
 
 from __future__ import annotations
 
+import hashlib
 import json
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -65,20 +66,26 @@ def flat_hash(fields: Column) -> Column:
     return F.sha2(F.array_join(pairs, "|"), 256)
 
 
-@F.pandas_udf(StringType())
-def canonical_json(raw: pd.Series) -> pd.Series:
-    """Nested JSON with sorted keys and no spaces; text that is no JSON, and null, count as an empty object."""
+@F.arrow_udf(StringType())
+def canonical_hash(raw: pa.Array) -> pa.Array:
+    """SHA-256 of nested JSON with sorted keys and no spaces; text that is no JSON, and null, count as an empty object.
 
-    def one(value) -> str:
+    One text is taken apart at a time, and only its hash goes back.
+    """
+
+    def one(value: str) -> str:
         try:
-            parsed = json.loads(value) if value is not None else {}
-        except ValueError:
+            parsed = json.loads(value)
+        except (ValueError, RecursionError):
             parsed = {}
-        return json.dumps(parsed, sort_keys=True, ensure_ascii=False, separators=(",", ":"))
+        return hashlib.sha256(json.dumps(parsed, sort_keys=True, ensure_ascii=False, separators=(",", ":")).encode(errors="surrogatepass")).hexdigest()
 
-    return raw.map(one)
+    empty = one("{}")
+    if raw.null_count == len(raw):
+        return pa.repeat(pa.scalar(empty, pa.string()), len(raw))
+    return pa.array((one(x.as_py()) if x.is_valid else empty for x in raw), pa.string())
 
 
 def content_hash(raw: Column) -> Column:
     """Hash of free JSON content that does not depend on key order."""
-    return F.sha2(canonical_json(raw), 256)
+    return canonical_hash(raw)

@@ -359,7 +359,8 @@ def build_sources(resolved: DataFrame, project: str, scanned_at: str) -> DataFra
     have = set(resolved.columns)
     given = lambda c, default="": text(c) if c in have else F.lit(default)
     flag = lambda c, default=False: F.coalesce(F.col(c), F.lit(default)) if c in have else F.lit(default)
-    stable = first_set(given("file_id"), given("checksum_sha256"), whole)
+    named = first_set(given("file_id"), given("checksum_sha256"))
+    stable = first_set(named, ids.content_hash(F.when(named == "", content)))  # contents of named sources do not leave the JVM for their keys
     rows = resolved.withColumn("source_key", F.concat_ws(":", F.lit(project), stable, "parser_name", "parser_version"))
     return rows.select(
         F.lit(project).alias("project_id"), ids.source_id(F.lit(project), F.col("source_key")).alias("source_id"), "source_key", text("file_id").alias("file_id"),

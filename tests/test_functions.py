@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.functions import ids
 from shelfmark.functions import text as T
+from shelfmark.sources.exports import build_sources
 
 
 def _key(prefix, **fields):
@@ -57,3 +58,17 @@ def test_rich_text_and_formats(spark):
     assert one(spark, T.rich_text(F.lit('["a ",{"type":"bold","text":"b"}]'))) == "a b" and one(spark, T.rich_text(F.lit("plain"))) == "plain"
     assert one(spark, T.canonical_format(F.lit("application/octet-stream"), True)) == "binary" and one(spark, T.canonical_format(F.lit("application/octet-stream"), False)) == "unknown"
     assert one(spark, T.e7_degrees(F.lit(0))) is None and one(spark, T.e7_degrees(F.lit(525000000))) == 52.5
+
+
+def test_content_hashes_come_from_the_contents_that_need_them(spark):
+    deep = "[" * 100_000 + "]" * 100_000  # too deep to be read, which counts as no JSON
+    nothing = hashlib.sha256(b"{}").hexdigest()
+    rows = spark.createDataFrame([(deep,), (None,), ("{} x",), ('{"b":1,"a":2}',)], "c string")
+    assert [r[0] for r in rows.select(ids.content_hash(F.col("c"))).collect()] == [nothing, nothing, nothing, hashlib.sha256(b'{"a":2,"b":1}').hexdigest()]
+    columns = ("parser_name", "parser_version", "source_system", "source_service", "source_app", "source_format", "source_path", "original_filename", "default_record_type")
+    files = spark.createDataFrame([("f1", '{"b":1,"a":2}'), ("", '{"b":1,"a":2}'), ("", '{"a":2,"b":1}')], "file_id string, content string").select("*", *[F.lit("x").alias(c) for c in columns])
+    keys = build_sources(files, "p", "now").select("source_key", "semantic_hash")
+    want = hashlib.sha256(b'{"a":2,"b":1}').hexdigest()
+    assert sorted(map(tuple, keys.collect())) == sorted([("p:f1:x:x", want), (f"p:{want}:x:x", want), (f"p:{want}:x:x", want)])
+    plan = keys.select("source_key")._jdf.queryExecution().optimizedPlan().toString()
+    assert "canonical_hash(CASE WHEN" in plan and "canonical_hash(coalesce" not in plan  # contents of named files stay
