@@ -8,6 +8,7 @@ from __future__ import annotations
 import io
 import uuid
 import zipfile
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -367,11 +368,15 @@ def ingest_archives(spark, sf_dir):
 # --- streams
 
 
-def _in_steps(rows: DataFrame, root: str, by: str, steps: int = 4) -> str:
-    """A folder that grew in steps: a file for each, in order."""
+#: More files than a step has: all that has come since the last start is one batch.
+ALL_FILES = 1 << 30
+
+
+def _grow(rows: DataFrame, root: str, by: str, steps: int = 4) -> Iterator[str]:
+    """A folder that grows in steps, each told once its files are there: as many as its rows call for, none made by one task alone."""
     for k in range(steps):
-        rows.where(F.pmod(F.col(by), F.lit(steps)) == k).coalesce(1).write.mode("append").parquet(f"{root}/changes")
-    return f"{root}/changes"
+        rows.where(F.pmod(F.col(by), F.lit(steps)) == k).write.mode("append").parquet(f"{root}/changes")
+        yield f"{root}/changes"
 
 
 @query(_DAILY_SQL)
@@ -379,7 +384,8 @@ def stream_daily(spark, sf_dir):
     """Daily rollups kept up to date by micro-batches of records; equal to one rollup of all."""
     root = _folder(spark, "stream-daily")
     rows = event_records(read(spark, sf_dir, "events"))
-    stream.stream_daily(spark, _in_steps(rows, root, "seq"), rows.schema, root, f"{root}/checkpoint", AS_OF, buckets=4)
+    for source in _grow(rows, root, "seq"):
+        stream.stream_daily(spark, source, rows.schema, root, f"{root}/checkpoint", AS_OF, max_files=ALL_FILES, buckets=4)
     return _shown_daily(stream.read_daily(spark, root))
 
 
@@ -390,23 +396,23 @@ def stream_inventory_in_steps(spark, sf_dir):
     """New files in four micro-batches: each finds duplicates of what the ones before it have left as known, once more after a restart."""
     root, docs = _folder(spark, "stream-steps"), read(spark, sf_dir, "documents")
     plain = lambda df: files_of(df).withColumns({c: F.lit(False) for c in ("removed", "explicitly_deleted", "trashed", "scope_exit")}).withColumn("size", F.lit(1).cast("long"))
-    source = _in_steps(docs, root, "doc_id")
-    for _ in range(2):  # the second start finds nothing new
-        stream.stream_inventory(spark, source, docs.schema, root, f"{root}/checkpoint", max_files=1, prepare=plain, buckets=4)
+    for source in _grow(docs, root, "doc_id"):
+        for _ in range(2):  # the second start finds nothing new
+            stream.stream_inventory(spark, source, docs.schema, root, f"{root}/checkpoint", max_files=ALL_FILES, prepare=plain, buckets=4)
     return stream.read_reports(spark, root).select("file_id", F.col("batch").cast("long").alias("batch"), "status", "duplicate_of")
 
 
 @query("SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, count(*) AS n, sum(value) AS total FROM events GROUP BY ALL")
 def stream_daily_counts(spark, sf_dir):
     root, events = _folder(spark, "stream-counts"), read(spark, sf_dir, "events").select(F.col("ts").cast("timestamp").alias("ts"), "event_type", F.col("value").cast("decimal(18,6)").alias("value"))
-    source = _in_steps(events.withColumn("part", F.day("ts")), root, "part")
-    rows = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(source)
-    counts = stream.stream_daily_counts(rows, "400 days").select("window.start", "event_type", "n", "total")
 
     def keep(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{root}/counts/batch={number}")
 
-    counts.writeStream.outputMode("complete").foreachBatch(keep).option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    for source in _grow(events.withColumn("part", F.day("ts")), root, "part"):
+        rows = spark.readStream.schema(events.schema).parquet(source)
+        counts = stream.stream_daily_counts(rows, "400 days").select("window.start", "event_type", "n", "total")
+        counts.writeStream.outputMode("complete").foreachBatch(keep).option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start().awaitTermination()
     told = spark.read.option("basePath", f"{root}/counts").parquet(f"{root}/counts")
     last = told.agg(F.max("batch")).first()[0]
     return told.where(F.col("batch") == last).select(F.date_format("start", "yyyy-MM-dd").alias("day"), "event_type", "n", F.col("total").cast("double").alias("total"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import uuid
 import zipfile
+from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.fs as pafs
@@ -15,6 +16,7 @@ from shelfmark.functions.session import shared_dir
 from shelfmark.operators import graph, inventory, rollups, segments, textindex, views
 from shelfmark.plans.bindings import AS_OF, FILES, event_records, files_of, read
 from shelfmark.plans.catalog import _DAILY, _DEDUPED, _MENTIONS, _RECORDS, _RELATIONS, SQL, _deduped, query
+from shelfmark.plans.feeds import ALL_FILES, _grow
 from shelfmark.sources import archives, feeds
 from shelfmark.sources.snapshots import SnapshotStore
 from shelfmark.streaming import inventory as stream
@@ -79,14 +81,14 @@ def snapshot_sections(spark, sf_dir):
 # --- the stream's known files
 
 
-def _steps(docs: DataFrame, root: str) -> str:
-    """Eight files of changes: all documents in four, then a third of them once more, some of these removed and the others renamed."""
+def _steps(docs: DataFrame, root: str) -> Iterator[str]:
+    """A folder of changes that grows in eight steps: all documents in four, then a third of them once more, some of these removed and the others renamed."""
     d = F.col("doc_id")
     for k in range(8):
         part = docs.where(F.pmod(d, F.lit(4)) == k % 4)
         part = part if k < 4 else part.where(d % 3 == 0)
-        part.withColumn("again", F.lit(k >= 4)).coalesce(1).write.mode("append").parquet(f"{root}/changes")
-    return f"{root}/changes"
+        part.withColumn("again", F.lit(k >= 4)).write.mode("append").parquet(f"{root}/changes")
+        yield f"{root}/changes"
 
 
 def _as_files(rows: DataFrame) -> DataFrame:
@@ -106,8 +108,7 @@ _KNOWN_AFTER = f"""f AS (SELECT * EXCLUDE (text), sha256(text) AS sha, seq % 4 A
 def stream_known_deltas(spark, sf_dir):
     """The known files after eight micro-batches that each write a delta, with a stop inside the sixth and a restart."""
     root, docs = _folder(spark, "stream-deltas"), read(spark, sf_dir, "documents")
-    source, batches = _steps(docs, root), []
-    schema = spark.read.parquet(source).schema
+    schema, batches = docs.withColumn("again", F.lit(False)).schema, []
 
     def prepare(batch: DataFrame) -> DataFrame:
         batches.append(1)
@@ -115,12 +116,13 @@ def stream_known_deltas(spark, sf_dir):
             raise InterruptedError("stopped inside a batch")
         return _as_files(batch)
 
-    for _ in range(2):
-        try:
-            stream.stream_inventory(spark, source, schema, root, f"{root}/checkpoint", max_files=1, limit_mb=1 << 20, prepare=prepare, buckets=4)
-        except Exception as e:
-            if len(batches) != 6:
-                raise e
+    for source in _steps(docs, root):
+        for _ in range(2):  # the second start goes on after a stop, or finds nothing new
+            try:
+                stream.stream_inventory(spark, source, schema, root, f"{root}/checkpoint", max_files=ALL_FILES, limit_mb=1 << 20, prepare=prepare, buckets=4)
+            except Exception as e:
+                if len(batches) != 6:
+                    raise e
     return stream.read_known(spark, root).select("file_id", "name", "sha256")
 
 
@@ -295,9 +297,8 @@ def stream_weekly(spark, sf_dir):
     """Weekly rollups kept up to date by micro-batches of records; equal to one rollup of all."""
     root = _folder(spark, "stream-weekly")
     rows = event_records(read(spark, sf_dir, "events"))
-    for k in range(3):
-        rows.where(F.pmod("seq", F.lit(3)) == k).coalesce(1).write.mode("append").parquet(f"{root}/changes")
-    stream.stream_daily(spark, f"{root}/changes", rows.schema, root, f"{root}/checkpoint", AS_OF, buckets=4)
+    for source in _grow(rows, root, "seq", 3):
+        stream.stream_daily(spark, source, rows.schema, root, f"{root}/checkpoint", AS_OF, max_files=ALL_FILES, buckets=4)
     w = stream.read_weekly(spark, root)
     return w.select("week", *[F.array_join(c, ",").alias(c) for c in ("days_covered",)], "day_count", "total_records", "total_importance", *[F.array_join(c, ",").alias(c) for c in ("top_people", "top_apps", "weekly_highlights")])
 

@@ -392,3 +392,17 @@ def test_an_inventory_of_a_feed(spark, tmp_path):
     got = {r["file_id"]: (r["batch"], r["status"], r["duplicate_of"]) for r in stream.read_reports(spark, f"{tmp_path}/out").collect()}
     assert got == {"f1": (0, "ORIGINAL", ""), "f2": (0, "ORIGINAL", ""), "f3": (1, "ORIGINAL", ""), "f5": (1, "DUPLICATE", "f1"), "f4": (2, "ORIGINAL", ""), "f6": (2, "DUPLICATE", "f2")}
     assert {r["file_id"] for r in stream.read_known(spark, f"{tmp_path}/out").collect()} == {"f1", "f2", "f3", "f4"}
+
+
+def test_steps_of_a_stream_are_written_by_many_tasks(spark, sf, tmp_path):
+    from shelfmark.plans import feeds, stores
+
+    docs = spark.read.parquet(f"{sf}/documents.parquet").repartition(3)
+    for name, steps, rows in (("grow", feeds._grow(docs, f"{tmp_path}/grow", "doc_id"), lambda k: docs.where(F.col("doc_id") % 4 == k)), ("steps", stores._steps(docs, f"{tmp_path}/steps"), lambda k: docs.where(F.col("doc_id") % 4 == k % 4).where(f"{k} < 4 or doc_id % 3 = 0"))):
+        seen = set()
+        for k, folder in enumerate(steps):
+            new = {str(f) for f in (tmp_path / name / "changes").glob("part-*")} - seen
+            seen |= new
+            assert folder == f"{tmp_path}/{name}/changes" and len(new) == 3  # one for each task that has rows
+            assert sorted(r[0] for r in spark.read.parquet(*new).select("doc_id").collect()) == sorted(r[0] for r in rows(k).select("doc_id").collect())
+        assert k == (3 if name == "grow" else 7)
