@@ -166,7 +166,7 @@ def _write_pages(docs: DataFrame, root: str) -> None:
   SELECT doc_id, CAST(round * pages + doc_id // {PAGE_ROWS} AS INTEGER) AS page, CASE WHEN round * pages + doc_id // {PAGE_ROWS} < {LISTED_PAGES} THEN 'listing' ELSE 'changes' END AS phase, round = 1 AS again, md5(text) AS text_md5
   FROM f JOIN documents USING (doc_id), m""")
 def change_feed_stream(spark, sf_dir):
-    """A feed of pages read as a stream, two pages a batch, stopped inside a batch and begun again from the cursors of its checkpoint."""
+    """A feed of pages read as a stream, two pages a batch and more as it goes on, stopped inside a batch and begun again from the cursors of its checkpoint."""
     root = _folder(spark, "feed")
     _write_pages(read(spark, sf_dir, "documents").select("doc_id", "text", "n_chars"), f"{root}/pages")
     feeds.register(spark)
@@ -179,7 +179,7 @@ def change_feed_stream(spark, sf_dir):
         batch.write.mode("overwrite").parquet(f"{root}/seen/batch={number}")
 
     for _ in range(2):
-        feed = spark.readStream.format("change_feed").schema("doc_id long, text string, n_chars long, again boolean, page int, phase string").option("path", f"{root}/pages").option("pagesPerTrigger", 2).load()
+        feed = spark.readStream.format("change_feed").schema("doc_id long, text string, n_chars long, again boolean, page int, phase string").option("path", f"{root}/pages").option("pagesPerTrigger", 2).option("growth", 0.5).load()
         running = feed.writeStream.foreachBatch(keep).option("checkpointLocation", f"{root}/checkpoint").start()
         try:
             running.processAllAvailable()

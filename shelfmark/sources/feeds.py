@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import importlib
 import json
+import re
 from collections.abc import Iterator
 
 import pyarrow.fs as pafs
@@ -17,6 +18,11 @@ from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPart
 from pyspark.sql.types import StructType
 
 
+#: A page's end in which its cursor is looked for: a quote in a string is escaped, so these are the last field's name and value.
+TAIL_BYTES = 4096
+_NEXT = re.compile(rb'"next"\s*:\s*(null|"(?:[^"\\]|\\.)*")\s*\}\s*\Z')
+
+
 class PagesInFolder:
     """A feed kept as files: ``<phase>-<cursor>.json`` is {"rows": [...], "next": cursor or null}.
 
@@ -38,9 +44,18 @@ class PagesInFolder:
             return json.loads(f.read())
 
     def following(self, phase: str, cursor: str) -> tuple[bool, str | None]:
-        """(whether the page exists, the cursor after it or None if it is the phase's last)."""
-        page = self._page(phase, cursor)
-        return (False, None) if page is None else (True, page["next"])
+        """(whether the page exists, the cursor after it or None if it is the phase's last).
+
+        Where ``next`` is a page's last field, its end is all that is read.
+        """
+        name = f"{self.folder}/{phase}-{cursor}.json"
+        info = self.fs.get_file_info(name)
+        if info.type != pafs.FileType.File:
+            return False, None
+        with self.fs.open_input_file(name) as f:
+            f.seek(max(0, info.size - TAIL_BYTES))
+            end = _NEXT.search(f.read())
+        return True, json.loads(end[1]) if end else self._page(phase, cursor)["next"]
 
     def rows(self, phase: str, cursor: str) -> Iterator[dict]:
         yield from self._page(phase, cursor)["rows"]
@@ -57,11 +72,16 @@ class _Page(InputPartition):
 
 
 class _Reader(DataSourceStreamReader):
-    """Offsets: {"phase", "cursor", "pages"}: the page to read next, and how many have been read."""
+    """Offsets: {"phase", "cursor", "pages"}: the page to read next, and how many have been read.
+
+    A batch has ``pagesPerTrigger`` pages; with ``growth``, as many more as that share of the pages that have been read, so that
+    a long feed takes batches by the logarithm of its length. Each page is a task's, however many a batch has.
+    """
 
     def __init__(self, options, schema: StructType):
         self.options, self.names = options, schema.fieldNames()
         self.pages = int(options.get("pagesPerTrigger", "1000000"))
+        self.growth = float(options.get("growth", "0"))
         self.reached: dict | None = None
 
     def initialOffset(self) -> dict:
@@ -77,7 +97,7 @@ class _Reader(DataSourceStreamReader):
 
     def latestOffset(self) -> dict:
         client, at = _client(self.options), self.reached or self.initialOffset()
-        for _ in range(self.pages):
+        for _ in range(self.pages + int(self.growth * at["pages"])):
             after = self._after(client, at)
             if after is None:
                 break
@@ -106,7 +126,7 @@ class _Reader(DataSourceStreamReader):
 
 
 class ChangeFeed(DataSource):
-    """``spark.readStream.format("change_feed")``; options: path, client, pagesPerTrigger; a schema of the rows' fields is needed.
+    """``spark.readStream.format("change_feed")``; options: path, client, pagesPerTrigger, growth; a schema of the rows' fields is needed.
 
     Columns named ``page``, ``phase`` and ``place`` tell where in the feed a row stood, if the schema has them.
     """

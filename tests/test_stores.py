@@ -406,3 +406,22 @@ def test_steps_of_a_stream_are_written_by_many_tasks(spark, sf, tmp_path):
             assert folder == f"{tmp_path}/{name}/changes" and len(new) == 3  # one for each task that has rows
             assert sorted(r[0] for r in spark.read.parquet(*new).select("doc_id").collect()) == sorted(r[0] for r in rows(k).select("doc_id").collect())
         assert k == (3 if name == "grow" else 7)
+
+
+def test_a_long_feed_takes_few_batches_and_is_followed_by_the_ends_of_its_pages(tmp_path, monkeypatch):
+    for k in range(200):
+        (tmp_path / f"listing-{k}.json").write_text(json.dumps({"rows": [{"x": '"next": "9"}'}], "next": str(k + 1) if k < 199 else None}))
+    (tmp_path / "changes-0.json").write_text(json.dumps({"next": "a\"}b", "rows": [{"next": "7"}]}))
+    pages = feeds.PagesInFolder(str(tmp_path))
+    assert pages.following("changes", "0") == (True, 'a"}b') and pages.following("listing", "199") == (True, None) and pages.following("listing", "200") == (False, None)
+    monkeypatch.setattr(feeds.PagesInFolder, "_page", lambda self, *a: 1 / 0 if a[0] == "listing" else {"next": None, "rows": []})
+    counts = []
+    for growth in ("0", "0.5"):
+        reader = feeds._Reader({"path": str(tmp_path), "pagesPerTrigger": "2", "growth": growth}, type("S", (), {"fieldNames": lambda self: ["x"]})())
+        start, seen, batches = reader.initialOffset(), [], 0
+        while (end := reader.latestOffset()) != start:
+            seen += [p.cursor for p in reader.partitions(start, end) if p.phase == "listing"]
+            start, batches = end, batches + 1
+        assert seen == [str(k) for k in range(200)]
+        counts.append(batches)
+    assert counts[0] >= 100 and counts[1] <= 12
