@@ -77,21 +77,34 @@ def iso_week(day: Column) -> Column:
     return F.when(d.isNotNull(), F.concat(F.date_part(F.lit("YEAROFWEEK"), d).cast("string"), F.lit("-W"), F.lpad(F.weekofyear(d).cast("string"), 2, "0")))
 
 
-def ics_time(raw: Column) -> Column:
-    """``YYYYMMDD``, ``YYYYMMDDTHHMMSS`` and the latter with ``Z`` as ISO text; others unchanged."""
-    v = F.trim(F.regexp_replace(text(raw), "^.*:", ""))
+def ics_value(raw: Column) -> Column:
+    """The time itself of a line's value, without parameters before it."""
+    return F.trim(F.regexp_replace(text(raw), "^.*:", ""))
+
+
+def shown_ics_time(v: Column) -> Column:
     day = F.concat_ws("-", F.substring(v, 1, 4), F.substring(v, 5, 2), F.substring(v, 7, 2))
     clock = F.concat_ws(":", F.substring(v, 10, 2), F.substring(v, 12, 2), F.substring(v, 14, 2))
     return F.when(v.rlike("^[0-9]{8}$"), day).when(v.rlike("^[0-9]{8}T[0-9]{6}Z?$"), F.concat(day, F.lit("T"), clock, F.when(v.endswith("Z"), "Z").otherwise(""))).otherwise(v)
 
 
+def ics_time(raw: Column) -> Column:
+    """``YYYYMMDD``, ``YYYYMMDDTHHMMSS`` and the latter with ``Z`` as ISO text; others unchanged."""
+    return shown_ics_time(ics_value(raw))
+
+
 def unfold_ics(block: Column) -> Column:
     return F.regexp_replace(block, "\r?\n[ \t]", "")
 
 
-def ics_field(block: Column, name: str) -> Column:
+def ics_line(unfolded: Column, name: str) -> Column:
     """The value of the first line of that name, parameters allowed; empty if there is none."""
-    return F.trim(F.regexp_extract(unfold_ics(block), rf"(?im)^{name}(?:;[^:\r\n]*)?:([^\r\n]*)", 1))
+    return F.trim(F.regexp_extract(unfolded, rf"(?im)^{name}(?:;[^:\r\n]*)?:([^\r\n]*)", 1))
+
+
+def ics_field(block: Column, name: str) -> Column:
+    """``ics_line`` of a block that is still folded."""
+    return ics_line(unfold_ics(block), name)
 
 
 # A line of a chat: when, who, what. ``{stamp}`` is the part before the sender, with or without its brackets.

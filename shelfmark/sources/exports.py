@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.functions import ids
 from shelfmark.functions.ids import first_set, text
-from shelfmark.functions.text import CHAT_EU, CHAT_SENDER, CHAT_US, chat_time_eu, chat_time_us, e7_degrees, epoch_ms_iso, event_date, ics_field, ics_time, normalized_filename, rich_text, unfold_ics
+from shelfmark.functions.text import CHAT_EU, CHAT_SENDER, CHAT_US, chat_time_eu, chat_time_us, e7_degrees, epoch_ms_iso, event_date, ics_line, ics_value, normalized_filename, rich_text, shown_ics_time, unfold_ics
 from shelfmark.operators.inventory import latest_by_key
 
 LISTS = ("people", "places", "apps", "devices", "accounts", "topics", "tags")
@@ -231,11 +231,19 @@ def _calendar_record(**given) -> Column:
 
 
 def calendar(content: Column, raw_text: Column) -> Column:
-    def from_block(b):
-        start, end, title, note, place = ics_time(ics_field(b, "DTSTART")), ics_time(ics_field(b, "DTEND")), ics_field(b, "SUMMARY"), ics_field(b, "DESCRIPTION"), ics_field(b, "LOCATION")
+    # each step's values are worked out once and named: an expression inside a lambda is evaluated wherever it stands
+    def fields(u):
+        lines = {"start": "DTSTART", "end": "DTEND", "title": "SUMMARY", "note": "DESCRIPTION", "place": "LOCATION", "uid": "UID"}
+        of = lambda k, name: ics_value(ics_line(u, name)) if k in ("start", "end") else ics_line(u, name)
+        return F.struct(*[of(k, name).alias(k) for k, name in lines.items()], F.trim(u).alias("whole"))
+
+    def with_times(f):
+        return F.struct(*[(shown_ics_time(f[k]) if k in ("start", "end") else f[k]).alias(k) for k in ("start", "end", "title", "note", "place", "uid", "whole")])
+
+    def from_block(f):
         return _calendar_record(
-            subtype="icalendar", event_time_start=start, event_time_end=end, title=first_set(title, F.lit("Calendar event")), summary=F.substring(first_set(note, title), 1, 200), raw_text=F.trim(unfold_ics(b)),
-            normalized_text=F.trim(F.concat_ws(" ", title, note, place)), place=place, external_id=ics_field(b, "UID"),
+            subtype="icalendar", event_time_start=f["start"], event_time_end=f["end"], title=first_set(f["title"], F.lit("Calendar event")), summary=F.substring(first_set(f["note"], f["title"]), 1, 200), raw_text=f["whole"],
+            normalized_text=F.trim(F.concat_ws(" ", f["title"], f["note"], f["place"])), place=f["place"], external_id=f["uid"],
         )
 
     def from_event(e):
@@ -245,7 +253,8 @@ def calendar(content: Column, raw_text: Column) -> Column:
             normalized_text=F.trim(F.concat_ws(" ", text(e["summary"]), text(e["description"]), text(e["location"]))), place=text(e["location"]), external_id=F.coalesce(e["id"], e["iCalUID"]),
         )
 
-    blocks = F.transform(F.regexp_extract_all(text(raw_text), F.lit("(?is)BEGIN:VEVENT(.*?)END:VEVENT"), F.lit(1)), from_block)
+    found = F.regexp_extract_all(text(raw_text), F.lit("(?is)BEGIN:VEVENT(.*?)END:VEVENT"), F.lit(1))
+    blocks = F.transform(F.transform(F.transform(F.transform(found, unfold_ics), fields), with_times), from_block)
     when = "struct<dateTime:string,date:string>"
     events = _items(content, "events", f"id:string,iCalUID:string,summary:string,description:string,location:string,start:{when},end:{when}", from_event)
     return _or_else(blocks, lambda: events)

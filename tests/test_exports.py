@@ -163,3 +163,11 @@ def test_topics_and_senders_must_be_known(spark):
     edges = spark.createDataFrame([("s", "a", "mentions"), ("s", "b", "mentions"), ("s", "c", "sent_message"), ("s", "d", "visited")], "source_id string, subject string, predicate string")
     child = spark.createDataFrame([("s", "a"), ("s", "a"), ("t", "b"), ("s", "c")], "source_id string, canonical_name string")
     assert sorted(r["subject"] for r in graph.known_edges(edges, child).collect()) == ["a", "c", "d"]
+
+
+def test_a_calendar_block_is_taken_apart_once(spark):
+    raw = "BEGIN:VEVENT\r\nDTSTART;TZID=X:20240305T101112\r\nSUMMARY:A\r\n B\r\nUID:u\r\nEND:VEVENT"
+    row = spark.createDataFrame([("{}", raw)], "content string, raw_text string").select(F.explode(exports.calendar(F.col("content"), F.col("raw_text"))).alias("r"))
+    assert row.select("r.title", "r.event_time_start", "r.external_id").collect() == [("AB", "2024-03-05T10:11:12", "u")]
+    plan = row._jdf.queryExecution().analyzed().toString()
+    assert [plan.count(f"^{name}(") for name in ("DTSTART", "DTEND", "SUMMARY", "DESCRIPTION", "LOCATION", "UID")] == [1] * 6
