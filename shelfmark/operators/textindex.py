@@ -8,8 +8,12 @@ records are a new segment, and records that come again supersede what earlier se
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from math import log
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -17,11 +21,16 @@ from shelfmark.sources import tables
 
 #: Records of a block; buckets of a segment. The usual constants of the ranking.
 BLOCK_RECORDS, BUCKETS = 4096, 64
+#: Bytes of text that a task inverts at once (a longer text alone), and records that share a file of a bucket.
+CUT_BYTES, FILE_RECORDS = 4 << 20, 1 << 16
 K1, B = 1.2, 0.75
 #: Up to so many superseded records go to every task of a lookup; more are joined by a shuffle.
 BROADCAST_RECORDS = 1_000_000
 NAME = "segments"
 DELTA_CODED = {"parquet.writer.version": "PARQUET_2_0", "parquet.enable.dictionary": "false"}
+_INTS = pa.list_(pa.int32())
+_INVERTED = {"number": pa.int64(), "record_id": pa.string(), "length": pa.int64(), "term": pa.string(), "block": pa.int64(), "at": _INTS, "ends": _INTS, "places": _INTS}
+_INVERTED_DDL = "number long, record_id string, length long, term string, block long, at array<int>, ends array<int>, places array<int>"
 
 
 def words(text: Column) -> Column:
@@ -29,6 +38,59 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
 
 
+def _spaced(text: Column) -> Column:
+    """The words of ``words`` with one space between them, and perhaps one before and after."""
+    return F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " ")
+
+
+def _rows(n: int, **given) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([given[c] if c in given else pa.nulls(n, t) for c, t in _INVERTED.items()], list(_INVERTED))
+
+
+def _cuts(numbers: np.ndarray, size: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Runs of records of one block each, of CUT_BYTES of text if they are more than one."""
+    first, held = 0, 0
+    for k, (block, n) in enumerate(zip((numbers // BLOCK_RECORDS).tolist(), size.tolist(), strict=True)):
+        if k > first and (block != numbers[first] // BLOCK_RECORDS or held + n > CUT_BYTES):
+            yield first, k
+            first, held = k, 0
+        held += n
+    if first < len(numbers):
+        yield first, len(numbers)
+
+
+def _lists(numbers: np.ndarray, texts: pa.Array) -> pa.RecordBatch:
+    """A row for each term of records of one block, none of them without words: the records and, up to each one's end, its places."""
+    held = pc.split_pattern(texts, " ")
+    lengths, flat = pc.list_value_length(held).to_numpy(), held.flatten().dictionary_encode()
+    codes, total = flat.indices.to_numpy(), len(flat)
+    order = np.argsort(codes, kind="stable")  # by term, within it by record and place
+    record = np.repeat(np.arange(len(lengths)), lengths)
+    place = (np.arange(total) - np.repeat(np.cumsum(lengths) - lengths, lengths))[order]
+    code, record = codes[order], record[order]
+    pair = np.flatnonzero(np.r_[True, (code[1:] != code[:-1]) | (record[1:] != record[:-1])])
+    term = np.flatnonzero(np.r_[True, code[pair][1:] != code[pair][:-1]])
+    firsts, block = pair[term], int(numbers[0]) // BLOCK_RECORDS
+    ends = np.r_[pair[1:], total] - np.repeat(firsts, np.diff(np.r_[term, len(pair)]))
+    ints = lambda offsets, end, values: pa.ListArray.from_arrays(pa.array(np.r_[offsets, end], pa.int32()), pa.array(values, pa.int32()))
+    at = ints(term, len(pair), numbers[record[pair]] - block * BLOCK_RECORDS)
+    return _rows(len(term), term=flat.dictionary, block=pa.repeat(pa.scalar(block, pa.int64()), len(term)), at=at, ends=ints(term, len(pair), ends), places=ints(firsts, total, place))
+
+
+def _invert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(number, record_id, spaced words) as rows of records with their lengths, and rows of terms."""
+    for batch in batches:
+        numbers = batch.column("number").to_numpy()
+        size = pc.binary_length(batch.column("t")).to_numpy()
+        for first, last in _cuts(numbers, size):
+            texts = pc.utf8_trim(batch.column("t").slice(first, last - first), characters=" ")
+            some = pc.not_equal(texts, "")
+            length = pc.if_else(some, pc.add(pc.count_substring(texts, " "), 1), 0).cast(pa.int64())
+            yield _rows(last - first, number=batch.column("number").slice(first, last - first), record_id=batch.column("record_id").slice(first, last - first), length=length)
+            if pc.any(some).as_py():
+                yield _lists(numbers[first:last][some.to_numpy(zero_copy_only=False)], texts.filter(some))
+
+
 def _back(places: Column, by: int) -> Column:
     return F.transform(places, lambda x: x - by)
 
@@ -54,16 +116,15 @@ class TextIndex:
         n = self.segments()
         base = f"{self.root}/{NAME}/s={n}"
         one = texts.where("record_id is not null").groupBy("record_id").agg(F.max(F.coalesce("searchable_text", F.lit(""))).alias("t"))
-        one.select(F.monotonically_increasing_id().alias("number"), "record_id", F.size(words(F.col("t"))).cast("long").alias("length"), "t").write.mode("overwrite").parquet(f"{base}/kind=texts")
-        stored = self.spark.read.parquet(f"{base}/kind=texts")
+        numbered = one.select(F.monotonically_increasing_id().alias("number"), "record_id", _spaced(F.col("t")).alias("t"))
+        numbered.mapInArrow(_invert, _INVERTED_DDL).write.mode("overwrite").parquet(f"{base}/kind=inverted")
+        inverted = self.spark.read.schema(_INVERTED_DDL).parquet(f"{base}/kind=inverted")
+        stored, lists = inverted.where("record_id is not null"), inverted.where("term is not null")
         stored.select("number", "record_id", "length").write.mode("overwrite").parquet(f"{base}/kind=records")
-        each = stored.select("number", F.posexplode(words(F.col("t"))).alias("place", "term"))
-        lists = each.groupBy("term", "number").agg(F.array_sort(F.collect_list("place")).alias("places"))
-        block = F.floor(F.col("number") / BLOCK_RECORDS)
-        lists = lists.select("term", block.alias("block"), F.struct((F.col("number") - block * BLOCK_RECORDS).cast("int").alias("at"), "places").alias("p"))
-        blocks = lists.groupBy("term", "block").agg(F.array_sort(F.collect_list("p")).alias("p"))
-        rows = blocks.select("term", "block", F.size("p").alias("n_records"), F.col("p.at").alias("at"), F.col("p.places").alias("places"), self._bucket(F.col("term")).alias("bucket"))
-        rows.repartition("bucket").sortWithinPartitions("bucket", "term", "block").write.mode("overwrite").options(**DELTA_CODED).partitionBy("bucket").parquet(f"{base}/kind=postings")
+        rows = lists.select("term", "block", F.size("at").alias("n_records"), "at", "ends", "places", self._bucket(F.col("term")).alias("bucket"))
+        files = stored.count() // FILE_RECORDS + 1  # a bucket's files, and with them the tasks, follow the records
+        dealt = rows.repartition("bucket", F.pmod(F.xxhash64("block"), F.lit(files)))
+        dealt.sortWithinPartitions("bucket", "term", "block").write.mode("overwrite").options(**DELTA_CODED).partitionBy("bucket").parquet(f"{base}/kind=postings")
         old = self._records(n)
         again = old.join(stored.select("record_id"), "record_id", "left_semi").select(F.col("s").alias("of"), "number") if old is not None else self.spark.createDataFrame([], "of int, number long")
         again.write.mode("overwrite").parquet(f"{base}/kind=superseded")
@@ -89,7 +150,9 @@ class TextIndex:
         asked = self.spark.createDataFrame([(t,) for t in wanted], "term string")
         buckets = [r[0] for r in asked.select(self._bucket(F.col("term"))).distinct().collect()]
         rows = self._part("postings", n).where(F.col("bucket").isin(buckets) & F.col("term").isin(wanted))
-        each = rows.select("term", "s", "block", F.explode(F.arrays_zip("at", "places")).alias("x"))
+        since = lambda i: F.coalesce(F.get("ends", i - 1), F.lit(0))
+        own = F.transform("at", lambda at, i: F.struct(at.alias("at"), F.slice("places", since(i) + 1, F.get("ends", i) - since(i)).alias("places")))
+        each = rows.select("term", "s", "block", F.explode(own).alias("x"))
         return self._live(each.select("term", "s", (F.col("block") * BLOCK_RECORDS + F.col("x.at")).alias("number"), F.col("x.places").alias("places")), n)
 
     def search(self, terms: list[str]) -> DataFrame:
@@ -104,11 +167,12 @@ class TextIndex:
         held = {r["term"]: r["df"] for r in found.groupBy("term").agg(F.count("*").alias("df")).collect()}  # a row for each asked term
         if len(held) < len(wanted):
             return none
-        per = found.groupBy("s", "number").agg(F.map_from_entries(F.collect_list(F.struct("term", "tf"))).alias("tf")).where(F.size("tf") == len(wanted))
+        tf = {t: f"tf{k}" for k, t in enumerate(wanted)}
+        per = found.groupBy("s", "number").agg(*[F.max(F.when(F.col("term") == t, F.col("tf"))).alias(c) for t, c in tf.items()]).dropna(subset=list(tf.values()))
         norm = K1 * (1 - B + B * F.col("length") / F.lit(total["mean"]))
         score = F.lit(0.0)
         for t in wanted:
-            score = score + log(1 + (total["n"] - held[t] + 0.5) / (held[t] + 0.5)) * F.col("tf")[t] * (K1 + 1) / (F.col("tf")[t] + norm)
+            score = score + log(1 + (total["n"] - held[t] + 0.5) / (held[t] + 0.5)) * F.col(tf[t]) * (K1 + 1) / (F.col(tf[t]) + norm)
         return per.join(records, ["s", "number"]).select("record_id", F.round(score, 6).alias("score"))
 
     def phrase(self, phrase: str) -> DataFrame:

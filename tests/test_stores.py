@@ -6,6 +6,7 @@ import re
 import zipfile
 from math import log
 
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import DataFrame
@@ -292,6 +293,33 @@ def test_a_lookup_reads_the_buckets_of_its_terms(spark, tmp_path):
     assert any("DELTA" in e for e in coded["at"]) and any("DELTA" in e for e in coded["places"]) and any("DELTA" in e for e in coded["term"])
 
 
+def test_a_bucket_has_more_files_as_records_grow_and_each_word_moves_once(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(textindex, "FILE_RECORDS", 1000, raising=False)
+    moved, frame = [], type(spark.range(0))
+    repartition = frame.repartition
+    monkeypatch.setattr(frame, "repartition", lambda self, *a: (moved.append(self._jdf.queryExecution().executedPlan().toString().count("Exchange")), repartition(self, *a))[1])
+    index = textindex.TextIndex(spark, f"file://{tmp_path}/index", buckets=1)
+    texts = spark.range(8000).repartition(4).select(F.concat(F.lit("r"), "id").alias("record_id"), F.concat(F.lit(" -Common, W"), F.col("id") % 50, F.lit(" common ")).alias("searchable_text"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    moved.clear()
+    try:
+        index.add(texts.unionByName(spark.createDataFrame([("none", None), ("blank", " - ")], "record_id string, searchable_text string")))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(list((tmp_path / "index/segments/s=0/kind=postings").rglob("part-*.parquet"))) > 1
+    assert moved == [0]  # no exchange between the texts as they are numbered and the lists' way to their buckets
+    lists = spark.read.parquet(f"file://{tmp_path}/index/segments/s=0/kind=postings")
+    assert lists.where("term = 'common'").agg(F.sum("n_records")).first()[0] == 8000
+    assert {tuple(r[0]) for r in index.postings(["common"]).select("places").distinct().collect()} == {(0, 2)} and index.postings(["w7"]).count() == 160
+    assert {r["record_id"]: r["length"] for r in index._records(1).collect()} == {f"r{k}": 3 for k in range(8000)} | {"none": 0, "blank": 0}
+    # cuts of a few bytes say the same
+    monkeypatch.setattr(textindex, "CUT_BYTES", 9)
+    batch = pa.RecordBatch.from_pydict({"number": [4094, 4095, 4096, 4097, 4098], "record_id": list("abcde"), "t": [" a b a", "b", " ", "", "a b b "]}, pa.schema([("number", pa.int64()), ("record_id", pa.string()), ("t", pa.string())]))
+    rows = [r for b in textindex._invert(iter([batch])) for r in b.to_pylist()]
+    assert [(r["number"], r["record_id"], r["length"]) for r in rows if r["record_id"]] == [(4094, "a", 3), (4095, "b", 1), (4096, "c", 0), (4097, "d", 0), (4098, "e", 3)]
+    assert [(r["term"], r["block"], r["at"], r["ends"], r["places"]) for r in rows if r["term"]] == [("a", 0, [4094], [2], [0, 2]), ("b", 0, [4094, 4095], [1, 2], [1, 0]), ("a", 1, [2], [1], [0]), ("b", 1, [2], [2], [1, 2])]
+
+
 def test_a_chain_of_5000_folders_in_few_rounds(spark, monkeypatch):
     edges = spark.range(1, 5001).select(F.concat(F.lit("f"), "id").alias("folder_id"), F.concat(F.lit("f"), F.col("id") - 1).alias("parent_id"), F.concat(F.lit("n"), "id").alias("name"))
     rounds, checkpoint = [], DataFrame.checkpoint
