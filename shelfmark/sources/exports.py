@@ -350,12 +350,15 @@ _DEFAULTS = "struct<title:string,summary:string,raw_text:string,normalized_text:
 
 
 def default_record(content: Column) -> Column:
-    """One record from the content's own fields, for sources whose job finds nothing."""
-    c = F.from_json(content, _DEFAULTS)
-    fields = {f: c[f] for f in RECORD_FIELDS if f not in ("record_type", "title", "event_date", "normalized_text", "raw_text")}
-    raw = F.coalesce(c["raw_text"], F.col("raw_text"))
-    day = first_set(c["event_date"], F.substring(text(c["event_time_start"]), 1, 10), F.substring(text("coverage_start"), 1, 10))
-    return record(record_type=F.col("default_record_type"), title=F.coalesce(c["title"], F.col("original_filename")), event_date=day, raw_text=raw, normalized_text=F.coalesce(c["normalized_text"], raw), **fields)
+    """An array of one record from the content's own fields, for sources whose job finds nothing."""
+
+    def make(c):
+        fields = {f: c[f] for f in RECORD_FIELDS if f not in ("record_type", "title", "event_date", "normalized_text", "raw_text")}
+        raw = F.coalesce(c["raw_text"], F.col("raw_text"))
+        day = first_set(c["event_date"], F.substring(text(c["event_time_start"]), 1, 10), F.substring(text("coverage_start"), 1, 10))
+        return record(record_type=F.col("default_record_type"), title=F.coalesce(c["title"], F.col("original_filename")), event_date=day, raw_text=raw, normalized_text=F.coalesce(c["normalized_text"], raw), **fields)
+
+    return F.transform(F.array(F.from_json(content, _DEFAULTS)), make)  # the content is taken apart once, not for each field
 
 
 def build_sources(resolved: DataFrame, project: str, scanned_at: str) -> DataFrame:
@@ -401,7 +404,7 @@ def parse_sources(sources: DataFrame, ingested_at: str, jobs: list[str] | None =
     for name in [j for j in jobs or JOBS if j in JOBS]:
         made = JOBS[name](F.col("content"), F.col("raw_text"))
         found = F.when(F.col("parser_name") == name, made) if found is None else found.when(F.col("parser_name") == name, made)
-    plain = lambda: F.array(default_record(F.col("content")))
+    plain = lambda: default_record(F.col("content"))
     records = plain() if found is None else _or_else(found, plain)
     rows = sources.withColumn("__records", records).select(*[c for c in sources.columns if c not in RECORD_FIELDS], F.posexplode("__records").alias("pos", "r"))
     return latest_by_key(build_records(rows, ingested_at), "record_id", "pos")

@@ -171,3 +171,9 @@ def test_a_calendar_block_is_taken_apart_once(spark):
     assert row.select("r.title", "r.event_time_start", "r.external_id").collect() == [("AB", "2024-03-05T10:11:12", "u")]
     plan = row._jdf.queryExecution().analyzed().toString()
     assert [plan.count(f"^{name}(") for name in ("DTSTART", "DTEND", "SUMMARY", "DESCRIPTION", "LOCATION", "UID")] == [1] * 6
+
+
+def test_a_default_record_takes_its_content_apart_once(spark):
+    row = spark.createDataFrame([('{"title": "A", "summary": "S", "people": ["P"], "url": "u", "amount": 2}', "x", "n", "2024-03-05", "kind")], "content string, raw_text string, original_filename string, coverage_start string, default_record_type string").select(F.explode(exports.default_record(F.col("content"))).alias("r"))
+    assert row.select("r.title", "r.summary", "r.people", "r.url", "r.amount", "r.event_date", "r.record_type", "r.raw_text").collect() == [("A", "S", ["P"], "u", 2.0, "2024-03-05", "kind", "x")]
+    assert row._jdf.queryExecution().analyzed().toString().count("from_json(") == 1
