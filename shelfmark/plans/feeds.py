@@ -18,7 +18,7 @@ from shelfmark.functions.session import shared_dir
 from shelfmark.operators import graph, inventory, rollups, stats
 from shelfmark.plans.bindings import AS_OF, event_records, files_of, read
 from shelfmark.plans.catalog import _DAILY_SQL, _MENTIONS, _RECORDS, _RELATIONS, _REPORTED, _reported, _shown_daily, query
-from shelfmark.sources import files, rules, tables
+from shelfmark.sources import archives, files, rules, tables
 from shelfmark.streaming import inventory as stream
 
 
@@ -328,19 +328,30 @@ def ingest_exports(spark, sf_dir):
 
 
 def _zip(batches):
-    """One archive per row: a member for each turn, a folder, a kind that is not read; every ninth archive is broken."""
+    """One archive per row: a member for each turn, a folder, a kind that is not read; every ninth archive is broken. One is held at a time, and a bounded batch."""
+
+    def one(r):
+        raw = io.BytesIO()
+        with zipfile.ZipFile(raw, "w") as z:
+            z.writestr("a/", "")
+            z.writestr("a/skip.exe", "x")
+            for turn in r["turns"]:
+                z.writestr(f"a/../b/t{turn['turn']}.txt", turn["text"] or "")
+        return f"z{r['conv_id']}", "", raw.getvalue() if r["conv_id"] % 9 else b"no archive", "ORIGINAL"
+
+    def shown(held):
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held, strict=True), (pa.string(), pa.string(), pa.binary(), pa.string()), strict=True)], ["file_id", "checksum_sha256", "content", "status"])
+
+    held, size = [], 0
     for batch in batches:
-        out = []
-        for r in batch.to_pylist():
-            raw = io.BytesIO()
-            with zipfile.ZipFile(raw, "w") as z:
-                z.writestr("a/", "")
-                z.writestr("a/skip.exe", "x")
-                for turn in r["turns"]:
-                    z.writestr(f"a/../b/t{turn['turn']}.txt", turn["text"] or "")
-            data = raw.getvalue() if r["conv_id"] % 9 else b"no archive"
-            out.append((f"z{r['conv_id']}", "", data, "ORIGINAL"))
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else [[]] * 4, (pa.string(), pa.string(), pa.binary(), pa.string()), strict=True)], ["file_id", "checksum_sha256", "content", "status"])
+        for k in range(len(batch)):
+            held.append(one(batch.slice(k, 1).to_pylist()[0]))
+            size += len(held[-1][2])
+            if size >= archives.BATCH_BYTES:
+                yield shown(held)
+                held, size = [], 0
+    if held:
+        yield shown(held)
 
 
 def _archives(spark, sf_dir) -> DataFrame:

@@ -66,8 +66,8 @@ def _members(member_limit: int):
     def run(batches):
         for batch in batches:
             ids, sums, contents, states = (batch.column(c) for c in ("file_id", "checksum_sha256", "content", "status"))
-            for i in range(len(batch)):  # the content is read where it lies in the batch
-                yield from in_batches(one(ids[i].as_py(), sums[i].as_py(), contents[i].as_buffer() or pa.py_buffer(b""), states[i].as_py()))
+            # the content is read where it lies in the batch, and members of small archives share one
+            yield from in_batches(row for i in range(len(batch)) for row in one(ids[i].as_py(), sums[i].as_py(), contents[i].as_buffer() or pa.py_buffer(b""), states[i].as_py()))
 
     return run
 

@@ -2,12 +2,13 @@ import io
 import json
 import zipfile
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from shelfmark.operators import graph, rollups, stats, views
-from shelfmark.plans import bindings, registry
-from shelfmark.sources import exports, files, rules, tables
+from shelfmark.plans import bindings, feeds, registry
+from shelfmark.sources import archives, exports, files, rules, tables
 
 SOURCE = "file_id string, source_path string, original_filename string, content string, raw_text string, text_preview string"
 
@@ -177,3 +178,13 @@ def test_a_default_record_takes_its_content_apart_once(spark):
     row = spark.createDataFrame([('{"title": "A", "summary": "S", "people": ["P"], "url": "u", "amount": 2}', "x", "n", "2024-03-05", "kind")], "content string, raw_text string, original_filename string, coverage_start string, default_record_type string").select(F.explode(exports.default_record(F.col("content"))).alias("r"))
     assert row.select("r.title", "r.summary", "r.people", "r.url", "r.amount", "r.event_date", "r.record_type", "r.raw_text").collect() == [("A", "S", ["P"], "u", 2.0, "2024-03-05", "kind", "x")]
     assert row._jdf.queryExecution().analyzed().toString().count("from_json(") == 1
+
+
+def test_archives_are_made_and_read_in_bounded_batches(monkeypatch):
+    monkeypatch.setattr(archives, "BATCH_BYTES", 5000)
+    kind = pa.schema([("conv_id", pa.int64()), ("turns", pa.list_(pa.struct([("turn", pa.int64()), ("text", pa.string())])))])
+    made = list(feeds._zip(iter([pa.RecordBatch.from_pylist([{"conv_id": k, "turns": [{"turn": 1, "text": "x" * 1000}, {"turn": 2, "text": None}]} for k in range(40)], kind)])))
+    assert sum(map(len, made)) == 40 and len(made) > 5 and all(b.nbytes < 9000 for b in made)
+    whole = pa.Table.from_batches(made).combine_chunks().to_batches()[0]
+    read = list(files._members(1 << 20)(iter([whole])))
+    assert sum(map(len, read)) == 2 * 35 + 5 and 5 < len(read) < 40  # members of small archives share a batch
