@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import uuid
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -194,30 +195,57 @@ def change_feed_stream(spark, sf_dir):
 # --- archives by ranges
 
 
+#: Pages that are deflated as one batch.
+PACK_ROWS = 256
+
+
+def _deflated(data: bytes) -> bytes:
+    made = zlib.compressobj(wbits=-15)
+    return made.compress(data) + made.flush()
+
+
+def _append(z: zipfile.ZipFile, name: str, crc: int, size: int, body: bytes) -> None:
+    """A member whose bytes come deflated, as ``writestr`` would have written it."""
+    info = zipfile.ZipInfo(name)
+    info.compress_type, info.external_attr, info.CRC, info.file_size, info.compress_size, info.header_offset = zipfile.ZIP_DEFLATED, 0o600 << 16, crc, size, len(body), z.fp.tell()
+    z.fp.write(info.FileHeader())
+    z.fp.write(body)
+    z.filelist.append(info)
+    z.NameToInfo[info.filename] = info
+    z.start_dir, z._didModify = z.fp.tell(), True
+
+
 def _write_archives(spark, sf_dir, root: str) -> None:
     """A few archives of pages: a folder, kinds that are not read, an archive that is none, and a member whose bytes are damaged."""
     pages = read(spark, sf_dir, "pages").select("page_id", F.coalesce("html", F.lit("")).alias("html"), (F.col("page_id") % 5).alias("part"))
     fs, folder = pafs.FileSystem.from_uri(root)
     fs.create_dir(folder, recursive=True)
 
+    def pack(batches):
+        """Members are deflated by as many tasks as the pages call for; what joins them to one archive copies bytes."""
+        for b in batches:
+            for at in range(0, len(b), PACK_ROWS):
+                some = b.slice(at, PACK_ROWS)
+                html = [x.encode() for x in some.column("html").to_pylist()]
+                columns = [some.column("part"), some.column("page_id"), pa.array([zlib.crc32(x) for x in html], pa.int64()), pa.array([len(x) for x in html], pa.int64()), pa.array(map(_deflated, html), pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["part", "page_id", "crc", "size", "body"])
+
     def write(key: tuple, batches):
         part = key[0].as_py()
         own, where = pafs.FileSystem.from_uri(root)
-        with own.open_output_stream(f"{where}/a{part}.zip") as f, zipfile.ZipFile(f, "w", zipfile.ZIP_DEFLATED) as z:
+        with own.open_output_stream(f"{where}/a{part}.zip", buffer_size=1 << 20) as f, zipfile.ZipFile(f, "w", zipfile.ZIP_DEFLATED) as z:
             z.writestr("in/", "")
             z.writestr("in/skip.exe", "x")
             n = 0
             for b in batches:
-                for page, html in zip(b.column("page_id").to_pylist(), b.column("html").to_pylist(), strict=True):
-                    z.writestr(f"in/../p/{page:09d}.html", html)
+                for row in zip(*(b.column(c).to_pylist() for c in ("page_id", "crc", "size", "body")), strict=True):
+                    _append(z, f"in/../p/{row[0]:09d}.html", *row[1:])
                     n += 1
         yield pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([n], pa.int64())], ["part", "n"])
 
-    write.__annotations__ = {}
-    from collections.abc import Iterator
-
     write.__annotations__ = {"key": tuple[pa.Scalar, ...], "batches": Iterator[pa.RecordBatch], "return": Iterator[pa.RecordBatch]}
-    pages.repartition("part").sortWithinPartitions("part", "page_id").groupBy("part").applyInArrow(write, "part long, n long").collect()
+    packed = pages.mapInArrow(pack, "part long, page_id long, crc long, size long, body binary")
+    packed.repartition("part").sortWithinPartitions("part", "page_id").groupBy("part").applyInArrow(write, "part long, n long").collect()
     with fs.open_output_stream(f"{folder}/broken.zip") as f:
         f.write(b"no archive")
 

@@ -8,7 +8,9 @@ large the archive is.
 from __future__ import annotations
 
 import hashlib
+import io
 import posixpath
+import struct
 import zipfile
 from collections.abc import Iterator
 from itertools import islice
@@ -92,10 +94,29 @@ def told_by(archive: zipfile.ZipFile, limit: int) -> tuple[int, list[str], str |
 
 
 class _Run(InputPartition):
-    """Whole archives, or the members from ``first`` to ``last`` of one."""
+    """Whole archives, or members of one: where their part of its directory lies, and where the first member begins and the last one may end."""
 
-    def __init__(self, paths: list[str], first: int = 0, last: int | None = None):
-        self.paths, self.first, self.last = paths, first, last
+    def __init__(self, paths: list[str], part: tuple[int, int, int, int] | None = None):
+        self.paths, self.part = paths, part
+
+
+def _entry_bytes(info: zipfile.ZipInfo) -> int:
+    name = info.orig_filename.encode("utf-8" if info.flag_bits & 0x800 else "cp437")
+    return zipfile.sizeCentralDir + len(name) + len(info.extra) + len(info.comment)
+
+
+def _opened(f, part: tuple[int, int, int, int]) -> zipfile.ZipFile:
+    """An archive that knows the members of a part of its directory only, so that no task reads the whole of it."""
+    at, size, first, end = part
+    f.seek(at)
+    archive = zipfile.ZipFile(io.BytesIO(f.read(size) + struct.pack(zipfile.structEndArchive, zipfile.stringEndArchive, 0, 0, 0, 0, size, 0, 0)))
+    infos = archive.infolist()
+    shift, last = first - infos[0].header_offset, max(infos, key=lambda i: i.header_offset)
+    for i in infos:
+        i.header_offset += shift
+        i._end_offset = end if i is last else i._end_offset + shift
+    archive.fp = f
+    return archive
 
 
 class _Reader(DataSourceReader):
@@ -126,16 +147,18 @@ class _Reader(DataSourceReader):
         """Runs of members of about the split size, packed and unpacked bytes weighed alike."""
         try:
             with fs.open_input_file(path) as f, zipfile.ZipFile(f) as archive:
-                weights = [i.compress_size + (i.file_size if i.file_size <= self.limit else 0) for i in archive.infolist()]
+                infos, at = archive.infolist(), archive.start_dir
         except _BROKEN:
             return [_Run([path])]  # the task tells what is wrong
-        runs, first, size = [], 0, 0
-        for k, w in enumerate(weights):
-            size += w
-            if size >= self.split:
-                runs.append(_Run([path], first, k + 1))
-                first, size = k + 1, 0
-        return [*runs, _Run([path], first, len(weights))] if first < len(weights) or not runs else runs
+        runs, first, size, bytes_ = [], 0, 0, 0
+        for k, i in enumerate(infos):
+            size += i.compress_size + (i.file_size if i.file_size <= self.limit else 0)
+            bytes_ += _entry_bytes(i)
+            if size >= self.split or k + 1 == len(infos):
+                last = max(infos[first : k + 1], key=lambda i: i.header_offset)
+                runs.append(_Run([path], (at, bytes_, infos[first].header_offset, last._end_offset)))
+                first, at, size, bytes_ = k + 1, at + bytes_, 0, 0
+        return runs or [_Run([path])]
 
     def read(self, partition: _Run) -> Iterator[pa.RecordBatch]:
         fs, _ = pafs.FileSystem.from_uri(self.options["path"])
@@ -147,8 +170,8 @@ class _Reader(DataSourceReader):
         def rows() -> Iterator[tuple]:
             for path in partition.paths:
                 try:
-                    with fs.open_input_file(path) as f, zipfile.ZipFile(f) as archive:
-                        yield from member_rows(archive, path, None, None, self.limit, archive.infolist()[partition.first : partition.last])
+                    with fs.open_input_file(path) as f, zipfile.ZipFile(f) if partition.part is None else _opened(f, partition.part) as archive:
+                        yield from member_rows(archive, path, None, None, self.limit)
                 except _BROKEN as e:
                     yield broken_archive(path, None, e)
 

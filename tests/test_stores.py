@@ -1,6 +1,7 @@
 """Snapshots, deltas, feeds, archives by ranges, the stored text index and folder trees."""
 
 import hashlib
+import io
 import json
 import re
 import zipfile
@@ -13,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.operators import inventory, rollups, segments, textindex
-from shelfmark.plans import bindings
+from shelfmark.plans import bindings, stores
 from shelfmark.sources import archives, exports, feeds, files, rules
 from shelfmark.sources.snapshots import Change, Conflict, SnapshotStore
 from shelfmark.streaming import inventory as stream
@@ -235,6 +236,36 @@ def test_a_large_archive_is_read_by_many_tasks(spark, tmp_path):
     assert whole.count() == 20_002 and whole.where("problem is not null").count() == 2 and whole.where("status = 'ORIGINAL'").count() == 20_001
 
 
+def test_a_task_reads_its_part_of_an_archive_directory(spark, tmp_path, monkeypatch):
+    raw = io.BytesIO(b"something before")
+    with zipfile.ZipFile(raw, "a", zipfile.ZIP_DEFLATED) as z:
+        for k in range(500):
+            z.writestr(f"d/\u00e4 {k}.txt" if k % 3 else f"d/{k}.txt", f"text {k} " * 50)
+        z.writestr("skip.exe", "x")
+    (tmp_path / "a.zip").write_bytes(raw.getvalue())
+    reader = archives._Reader({"path": f"file://{tmp_path}", "splitBytes": "10000"}, summary=False)
+    parts, known = reader.partitions(), []
+    monkeypatch.setattr(archives, "member_rows", lambda archive, *a, own=archives.member_rows: (known.append(len(archive.infolist())), own(archive, *a))[1])
+    rows = [r for p in parts for b in reader.read(p) for r in b.to_pylist()]
+    assert len(parts) > 10 and sum(known) == 501 and len(rows) == 500 and not any(r["problem"] for r in rows)
+    assert {r["source_path"]: r["content"] for r in rows} == {(f"d/\u00e4 {k}.txt" if k % 3 else f"d/{k}.txt"): (f"text {k} " * 50).encode() for k in range(500)}
+
+
+def test_members_are_deflated_before_they_come_to_their_archive(spark, sf, tmp_path, monkeypatch):
+    frame, plans = type(spark.range(0)), []
+    repartition = frame.repartition
+    monkeypatch.setattr(frame, "repartition", lambda self, *a: (plans.append(self._jdf.queryExecution().executedPlan().toString()), repartition(self, *a))[1])
+    stores._write_archives(spark, sf, f"file://{tmp_path}/z")
+    assert "MapInArrow" in plans[0]
+    want = {f"in/../p/{r['page_id']:09d}.html": (r["html"] or "").encode() for r in spark.read.parquet(sf + "/pages.parquet").collect()}
+    got = {}
+    for k in range(5):
+        with zipfile.ZipFile(tmp_path / f"z/a{k}.zip") as z:
+            assert z.testzip() is None and z.namelist()[:2] == ["in/", "in/skip.exe"] and z.namelist()[2:] == sorted(z.namelist()[2:])
+            got |= {n: z.read(n) for n in z.namelist()[2:]}
+    assert got == want
+
+
 def test_flags_and_own_values_of_contents(spark):
     rows = spark.createDataFrame([("a/Takeout/x.txt", b""), ("My Exports/x.7z", b""), ("x.zip", b""), ("x.tar", b""), ("x.txt", b"")], "path string, content binary")
     got = {r["source_path"]: (r["is_archive"], r["is_bundle"], r["is_export"]) for r in files.ingest_exports(rows).collect()}
