@@ -2,7 +2,8 @@
 
 Every list of a day is made distinct before it is gathered, and the top titles are ranked
 before they are, so that a day with very many records gathers only what it shows, except for
-the lists that by contract name all its records.
+the lists that by contract name all its records. What is kept and read in parts has them apart: ``day_totals``
+are a day's short columns, ``segments.with_lists`` adds its lists, and weeks need the former and ``day_names``.
 """
 
 from __future__ import annotations
@@ -17,6 +18,10 @@ from shelfmark.functions.text import is_day, iso_week, review_due
 TOP_TITLES, TOP_NAMES, HIGHLIGHTS = 15, 5, 10
 #: List of a day: how its record types are told.
 FAMILIES = {"purchases": "purchase", "subscriptions": "subscription", "tasks": "task", "calendar_events": "calendar", "messages": "message"}
+#: Lists of a day's distinct names, and the columns that hold them.
+NAMED = {"people": "people", "places": "places", "apps": "apps", "source_ids": "source_id"}
+#: Those that a week ranks.
+RANKED = {"people": "people", "apps": "apps"}
 
 
 def _decimal(score: Column, missing: float) -> Column:
@@ -39,54 +44,80 @@ def _names(records: DataFrame, column: str) -> Column:
     return F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.array_compact(column)))))
 
 
+def _totals() -> list[Column]:
+    return [F.count("*").alias("n"), F.round(F.sum(_decimal(F.col("importance_score"), 0.0)), 3).cast("double").alias("importance_score")]
+
+
+def _heading(day: Column) -> list[Column]:
+    return [day.alias("date"), F.concat(F.lit("Daily Memory "), day).alias("title"), F.concat(F.col("n").cast("string"), F.lit(" records on "), day).alias("summary")]
+
+
+def day_totals(records: DataFrame, as_of: str) -> DataFrame:
+    """The columns of ``daily_memory`` that do not grow with a day's records, and the number ``n`` of these."""
+    rows = records.where(is_set("event_date"))
+    day = F.col("event_date")
+    main = rows.groupBy("event_date").agg(*_totals()).join(top_titles(rows), "event_date", "left")
+    return main.select(*_heading(day), "n", F.coalesce("key_events", F.array().cast("array<string>")).alias("key_events"), "importance_score", review_due(day, as_of).alias("review_due"))
+
+
+def day_names(records: DataFrame, lists: dict[str, str]) -> DataFrame:
+    """(date, list, value): the distinct names of each day; ``lists`` tells the column that a list is made of."""
+    named = lambda name, column: F.transform(column if records.schema[lists[name]].dataType.typeName() == "array" else F.array(column), lambda x: F.struct(F.lit(name).alias("list"), x.cast("string").alias("value")))
+    told = F.concat(*[F.coalesce(named(name, F.col(column)), F.array().cast("array<struct<list:string,value:string>>")) for name, column in lists.items()])
+    return records.where(is_set("event_date")).select(F.col("event_date").alias("date"), F.explode(told).alias("t")).select("date", "t.list", "t.value").where("value is not null").distinct()
+
+
 def daily_memory(records: DataFrame, as_of: str) -> DataFrame:
     """One row per event date; records without a date are left out. ``seq`` orders the lists of records."""
     rows = records.where(is_set("event_date"))
     in_order = lambda test: F.transform(F.array_sort(F.collect_list(F.when(test, F.struct("seq", "record_id")))), lambda x: x["record_id"])
     kind = text("record_type")
     main = rows.groupBy("event_date").agg(
-        F.count("*").alias("n"),
+        *_totals(),
         *[in_order(kind.contains(word)).alias(name) for name, word in FAMILIES.items()],
         in_order(kind.startswith("llm_")).alias("llm_activity"),
         F.transform(F.array_sort(F.collect_list(F.when(is_set("url"), F.struct("seq", "url")))), lambda x: x["url"]).alias("media_refs"),
         in_order(F.lit(True)).alias("record_ids"),
-        F.round(F.sum(_decimal(F.col("importance_score"), 0.0)), 3).cast("double").alias("importance_score"),
-        *[_names(rows, column).alias(name) for column, name in (("people", "people"), ("places", "places"), ("apps", "apps"), ("source_id", "source_ids"))],
+        *[_names(rows, column).alias(name) for name, column in NAMED.items()],
     )
     main = main.join(top_titles(rows), "event_date", "left")
     empty = F.array().cast("array<string>")
     day = F.col("event_date")
     return main.select(
-        day.alias("date"),
-        F.concat(F.lit("Daily Memory "), day).alias("title"),
-        F.concat(F.col("n").cast("string"), F.lit(" records on "), day).alias("summary"),
+        *_heading(day),
         *[F.coalesce(c, empty).alias(c) for c in ("key_events", "people", "places", "apps", *FAMILIES, "llm_activity", "media_refs", "source_ids", "record_ids")],
         "importance_score",
         review_due(day, as_of).alias("review_due"),
     )
 
 
-def _top_names(days: DataFrame, column: str, name: str) -> DataFrame:
-    """The names that most days mention; ties go to the one met first, by day and then by place."""
-    flat = days.select("week", "date", F.posexplode(column).alias("pos", "x"))
+def _top_names(flat: DataFrame, name: str) -> DataFrame:
+    """The names x that most days mention; ties go to the one met first, by day and then by place."""
     per = flat.groupBy("week", "x").agg(F.count("*").alias("n"), F.min(F.struct("date", "pos")).alias("first"))
     ranked = per.withColumn("k", F.row_number().over(Window.partitionBy("week").orderBy(F.desc("n"), "first"))).where(F.col("k") <= TOP_NAMES)
     return ranked.groupBy("week").agg(F.transform(F.array_sort(F.collect_list(F.struct("k", "x"))), lambda v: v["x"]).alias(name))
 
 
-def weekly_memory(daily: DataFrame) -> DataFrame:
-    """One row per ISO week of the daily rows; dates that are no days are left out."""
+def weekly_memory(daily: DataFrame, names: DataFrame | None = None) -> DataFrame:
+    """One row per ISO week of the daily rows; dates that are no days are left out.
+
+    With ``names``, the ``day_names`` of the same days, ``daily`` need only have the columns of ``day_totals``.
+    """
     days = daily.where(is_day(F.col("date"))).withColumn("week", iso_week(F.col("date")))
     listed = F.array_sort(F.collect_list(F.struct("date", "key_events")))
     main = days.groupBy("week").agg(
         F.array_sort(F.collect_list("date")).alias("days_covered"),
         F.count("*").alias("day_count"),
-        F.sum(F.size("record_ids")).alias("total_records"),
+        F.sum(F.size("record_ids") if names is None else "n").alias("total_records"),
         F.round(F.sum(F.col("importance_score").cast("decimal(18,6)")), 2).cast("double").alias("total_importance"),
         F.slice(F.array_distinct(F.flatten(F.transform(listed, lambda x: x["key_events"]))), 1, HIGHLIGHTS).alias("weekly_highlights"),
     )
-    for column, name in (("people", "top_people"), ("apps", "top_apps")):
-        main = main.join(_top_names(days, column, name), "week", "left")
+    for column in RANKED:
+        if names is None:
+            flat = days.select("week", "date", F.posexplode(column).alias("pos", "x"))
+        else:  # a day's names are sorted, so that a name is its own place
+            flat = names.where((F.col("list") == column) & is_day(F.col("date"))).select(iso_week(F.col("date")).alias("week"), "date", F.col("value").alias("pos"), F.col("value").alias("x"))
+        main = main.join(_top_names(flat, f"top_{column}"), "week", "left")
     empty = F.array().cast("array<string>")
     return main.select("week", "days_covered", "day_count", "total_records", "total_importance", F.coalesce("top_people", empty).alias("top_people"), F.coalesce("top_apps", empty).alias("top_apps"), "weekly_highlights", F.col("days_covered").alias("daily_memory_ids"))
 

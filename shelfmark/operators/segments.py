@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from shelfmark.functions.ids import first_set, is_set, text
 from shelfmark.functions.session import shared_dir
 
-from .rollups import FAMILIES
+from .rollups import FAMILIES, NAMED, day_names
 
 SEGMENT = 10_000
+#: So many values of a list are gathered at once before a day's row is put together.
+RUN = 1_024
 
 
 def list_segments(rows: DataFrame, keys: list[str], order: list[str], value: str, size: int = SEGMENT) -> DataFrame:
@@ -35,23 +37,47 @@ def list_segments(rows: DataFrame, keys: list[str], order: list[str], value: str
     return cut.select(*keys, "segment", (F.col("segment") * size).alias("first"), F.transform("x", lambda e: e["v"]).alias("values"))
 
 
-def daily_segments(records: DataFrame, size: int = SEGMENT) -> DataFrame:
-    """(date, list, segment, first, values): the lists of ``daily_memory`` as segments, for days with more records than a row should hold.
+def list_runs(rows: DataFrame, keys: list[str], order: list[str], value: str) -> DataFrame:
+    """(keys, run, values): each key's values in the order of ``order`` as lists of at most ``RUN``; ``run`` grows in that order, with gaps.
 
-    Lists of records and links are in record order, lists of names are distinct and sorted.
+    As ``list_segments``, but without places, which need all ranges to be counted first.
     """
+    columns = list(dict.fromkeys([*keys, *order, value]))
+    ranged = rows.select(*columns).repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order).withColumn("__at", F.monotonically_increasing_id())
+    cut = ranged.groupBy(*keys, F.expr(f"__at div {RUN}").alias("run")).agg(F.array_sort(F.collect_list(F.struct("__at", F.col(f"`{value}`").alias("v")))).alias("x"))
+    return cut.select(*keys, "run", F.transform("x", lambda e: e["v"]).alias("values"))
+
+
+def daily_entries(records: DataFrame) -> DataFrame:
+    """(date, list, seq, value): what the lists of ``daily_memory`` hold; names are distinct and have no ``seq``."""
     rows = records.where(is_set("event_date"))
     kind = text("record_type")
     tests = {**{name: kind.contains(word) for name, word in FAMILIES.items()}, "llm_activity": kind.startswith("llm_"), "record_ids": F.lit(True), "media_refs": is_set("url")}
     told = F.explode(F.array_compact(F.array(*[F.when(test, F.struct(F.lit(name).alias("list"), F.col("url" if name == "media_refs" else "record_id").alias("value"))) for name, test in tests.items()])))
-    in_order = rows.select(F.col("event_date").alias("date"), F.col("seq").cast("long").alias("seq"), told.alias("t")).select("date", "t.list", "seq", "t.value")
-    names = F.concat(*[F.transform(F.coalesce(c, F.array().cast("array<string>")), _named(c)) for c in ("people", "places", "apps")], F.array(F.struct(F.lit("source_ids").alias("list"), F.col("source_id").alias("value"))))
-    distinct = rows.select(F.col("event_date").alias("date"), F.explode(names).alias("t")).select("date", "t.list", F.lit(0).cast("long").alias("seq"), "t.value").where("value is not null").distinct()
-    return list_segments(in_order.unionByName(distinct), ["date", "list"], ["seq", "value"], "value", size)
+    in_order = rows.select(F.col("event_date").alias("date"), "seq", told.alias("t")).select("date", "t.list", "seq", "t.value")
+    return in_order.unionByName(day_names(records, NAMED).select("date", "list", F.lit(None).cast(rows.schema["seq"].dataType).alias("seq"), "value"))
 
 
-def _named(column: str):
-    return lambda x: F.struct(F.lit(column).alias("list"), x.alias("value"))
+def daily_segments(records: DataFrame, size: int = SEGMENT) -> DataFrame:
+    """(date, list, segment, first, values): the lists of ``daily_memory`` as segments, for days with more records than a row should hold.
+
+    Lists of records and links are in record order, lists of names are distinct and sorted.
+    """
+    return list_segments(daily_entries(records), ["date", "list"], ["seq", "value"], "value", size)
+
+
+def with_lists(days: DataFrame, records: DataFrame) -> DataFrame:
+    """The rows of ``daily_memory`` from those of ``day_totals`` and the days' records.
+
+    Values are sorted by ranges and gathered into runs, so that a task has the single values of few runs in memory; the task that
+    makes a day's row gets its runs. Each row is as large as the day's lists, which only readers who want them whole should ask for.
+    """
+    runs = list_runs(daily_entries(records), ["date", "list"], ["seq", "value"], "value")
+    rows = runs.unionByName(days, allowMissingColumns=True)
+    whole = lambda name: F.flatten(F.transform(F.array_sort(F.collect_list(F.when(F.col("list") == name, F.struct("run", "values")))), lambda x: x["values"])).alias(name)
+    lists = ["people", "places", "apps", *FAMILIES, "llm_activity", "media_refs", "source_ids", "record_ids"]
+    told = lambda *names: [F.first(c, True).alias(c) for c in names]
+    return rows.groupBy("date").agg(*told("title", "summary", "key_events"), *map(whole, lists), *told("importance_score", "review_due"))
 
 
 def entity_segments(child: DataFrame, size: int = SEGMENT) -> DataFrame:

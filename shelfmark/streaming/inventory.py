@@ -15,7 +15,7 @@ from pyspark.sql.types import StructType
 
 from shelfmark.functions.ids import is_set
 from shelfmark.functions.text import is_day, iso_week
-from shelfmark.operators import inventory, rollups
+from shelfmark.operators import inventory, rollups, segments
 from shelfmark.sources.snapshots import BUCKETS, Change, SnapshotStore
 
 KNOWN_SCHEMA = "seq long, file_id string, name string, parent_ids_sorted string, md5 string, size long, modified_time string, sha256 string"
@@ -123,8 +123,9 @@ def stream_daily(spark: SparkSession, source: str, schema: StructType, root: str
     """Keep daily and weekly rollups of all records that are there, in micro-batches, and stop.
 
     Records lie in ``root/records`` by day and batch; rollups are sections of the store ``root/rollups``. A batch reads
-    the records of the days that it touches and the days of their weeks, and writes its records and the rows of these
-    days and weeks; days and weeks come to one version together. A batch that is run again writes its records
+    the records of the days that it touches and the names in those of their weeks, and writes its records and the rows of these
+    days and weeks; days and weeks come to one version together. A day's row has what does not grow with its records; the lists
+    that name them are the records themselves, to which a reader goes for them, up to the batch of its version. A batch that is run again writes its records
     over and commits once, so nothing counts twice. A batch's days are told to the driver: as many as it has folders.
     """
 
@@ -139,15 +140,15 @@ def stream_daily(spark: SparkSession, source: str, schema: StructType, root: str
         touched = [r[0] for r in dated.select("__day").distinct().collect()]
         change = Change(before)
         if touched:
-            kept = StructType(batch.schema.fields).add("__day", "string").add("__batch", "long")
-            records = session.read.schema(kept).parquet(f"{root}/records").where(F.col("__day").isin(touched) & (F.col("__batch") <= number)).select(batch.columns)
-            _upsert(change, DAYS, rollups.daily_memory(records, as_of), "date", buckets)
+            records = _records(session, root, batch.schema, number)
+            _upsert(change, DAYS, rollups.day_totals(records.where(F.col("__day").isin(touched)), as_of), "date", buckets)
             days = change.after.read(DAYS, buckets=change.after.buckets_of(DAYS, session.createDataFrame([(d,) for d in touched], "date string")))
             weeks = [r[0] for r in days.where(F.col("date").isin(touched) & is_day(F.col("date"))).select(iso_week(F.col("date"))).distinct().collect()]
             if weeks:
                 dates = _dates_of(weeks)
                 whole = change.after.read(DAYS, buckets=change.after.buckets_of(DAYS, session.createDataFrame([(d,) for d in dates], "date string")))
-                _upsert(change, WEEKS, rollups.weekly_memory(whole.where(F.col("date").isin(dates))), "week", buckets)
+                names = rollups.day_names(records.where(F.col("__day").isin(dates)), rollups.RANKED)
+                _upsert(change, WEEKS, rollups.weekly_memory(whole.where(F.col("date").isin(dates)), names), "week", buckets)
         change.mark(ROLLED, number)
         change.commit()
 
@@ -157,6 +158,12 @@ def stream_daily(spark: SparkSession, source: str, schema: StructType, root: str
     return query
 
 
+def _records(spark: SparkSession, root: str, schema: StructType, number: int) -> DataFrame:
+    """The records of the batches up to ``number``, with the day that their folder tells."""
+    kept = StructType(schema.fields).add("__day", "string").add("__batch", "long")
+    return spark.read.schema(kept).parquet(f"{root}/records").where(F.col("__batch") <= number)
+
+
 def _upsert(change: Change, section: str, rows: DataFrame, key: str, buckets: int) -> None:
     if section in change.after.sections:
         change.upsert(section, rows)
@@ -165,7 +172,10 @@ def _upsert(change: Change, section: str, rows: DataFrame, key: str, buckets: in
 
 
 def read_daily(spark: SparkSession, root: str) -> DataFrame:
-    return SnapshotStore(spark, f"{root}/rollups").snapshot().read(DAYS)
+    """The daily rows with their lists, as ``rollups.daily_memory`` has them."""
+    now = SnapshotStore(spark, f"{root}/rollups").snapshot()
+    schema = spark.read.parquet(f"{root}/records").drop("__day", "__batch").schema
+    return segments.with_lists(now.read(DAYS), _records(spark, root, schema, now.applied(ROLLED)))
 
 
 def read_weekly(spark: SparkSession, root: str) -> DataFrame:

@@ -160,6 +160,34 @@ def test_untouched_days_and_weeks_keep_their_files(spark, sf, tmp_path):
     assert stream.read_weekly(spark, f"{tmp_path}/out").exceptAll(weekly).isEmpty() and stream.read_weekly(spark, f"{tmp_path}/out").count() == weekly.count()
 
 
+def _day_records(spark):
+    """Records of three days that come in mixed order, some without names, links, ids or a day."""
+    e = F.col("id")
+    events = spark.range(900).select(e.alias("event_id"), F.timestamp_seconds(1_704_500_000 + e * 7919 % 900 * 288).alias("ts"), (e % 50).alias("user_id"), F.concat(F.lit("kind"), e % 3).alias("event_type"), (e % 13 / 8).alias("value"))
+    odd = {"record_id": F.when(e % 97 > 0, F.col("record_id")), "url": F.when(e % 5 > 0, F.col("url")), "people": F.when(e % 11 > 0, F.array(F.col("people")[0], F.when(e % 3 > 0, F.lit("B")))), "source_id": F.when(e % 7 > 0, F.col("source_id")), "event_date": F.when(e % 83 > 0, F.col("event_date")).otherwise("")}
+    return bindings.event_records(events).withColumn("id", F.col("seq")).withColumns(odd).drop("id")
+
+
+def test_a_day_in_the_store_does_not_grow_with_its_records(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(segments, "RUN", 7, raising=False)
+    rows = _day_records(spark)
+    for k in range(3):
+        rows.where(F.col("seq") % 3 == k).write.mode("append").parquet(f"{tmp_path}/in")
+        stream.stream_daily(spark, f"{tmp_path}/in", rows.schema, f"{tmp_path}/out", f"{tmp_path}/ck", "2024-01-31", max_files=1000, buckets=2)
+    # a batch that has written its records and then stopped
+    rows.withColumns({"__day": F.col("event_date"), "__batch": F.lit(3)}).where("event_date <> ''").write.mode("append").partitionBy("__day", "__batch").parquet(f"{tmp_path}/out/records")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {r["date"]: r for r in stream.read_daily(spark, f"{tmp_path}/out").collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    daily = rollups.daily_memory(rows, "2024-01-31")
+    want = {r["date"]: r for r in daily.collect()}
+    assert len(want) >= 3 and all(r["record_ids"] for r in want.values()) and got == want
+    kept = SnapshotStore(spark, f"{tmp_path}/out/rollups").snapshot().read(stream.DAYS)
+    assert max(len(r["record_ids"]) for r in want.values()) > 200 and kept.agg(F.max(F.length(F.to_json(F.struct("*"))))).first()[0] < 1000
+
+
 def _page(folder, phase, cursor, ids, following):
     (folder / f"{phase}-{cursor}.json").write_text(json.dumps({"rows": [{"id": i} for i in ids], "next": following}))
 
