@@ -20,8 +20,6 @@ TOP_TITLES, TOP_NAMES, HIGHLIGHTS = 15, 5, 10
 FAMILIES = {"purchases": "purchase", "subscriptions": "subscription", "tasks": "task", "calendar_events": "calendar", "messages": "message"}
 #: Lists of a day's distinct names, and the columns that hold them.
 NAMED = {"people": "people", "places": "places", "apps": "apps", "source_ids": "source_id"}
-#: Those that a week ranks.
-RANKED = {"people": "people", "apps": "apps"}
 
 
 def _decimal(score: Column, missing: float) -> Column:
@@ -62,9 +60,12 @@ def day_totals(records: DataFrame, as_of: str) -> DataFrame:
 
 def day_names(records: DataFrame, lists: dict[str, str]) -> DataFrame:
     """(date, list, value): the distinct names of each day; ``lists`` tells the column that a list is made of."""
-    named = lambda name, column: F.transform(column if records.schema[lists[name]].dataType.typeName() == "array" else F.array(column), lambda x: F.struct(F.lit(name).alias("list"), x.cast("string").alias("value")))
-    told = F.concat(*[F.coalesce(named(name, F.col(column)), F.array().cast("array<struct<list:string,value:string>>")) for name, column in lists.items()])
-    return records.where(is_set("event_date")).select(F.col("event_date").alias("date"), F.explode(told).alias("t")).select("date", "t.list", "t.value").where("value is not null").distinct()
+    rows, out = records.where(is_set("event_date")), None
+    for name, column in lists.items():
+        value = F.explode(column) if records.schema[column].dataType.typeName() == "array" else F.col(column)
+        told = rows.select(F.col("event_date").alias("date"), value.alias("value")).select("date", F.lit(name).alias("list"), F.col("value").cast("string").alias("value"))
+        out = told if out is None else out.unionByName(told)
+    return out.where("value is not null").distinct()
 
 
 def daily_memory(records: DataFrame, as_of: str) -> DataFrame:
@@ -98,25 +99,25 @@ def _top_names(flat: DataFrame, name: str) -> DataFrame:
     return ranked.groupBy("week").agg(F.transform(F.array_sort(F.collect_list(F.struct("k", "x"))), lambda v: v["x"]).alias(name))
 
 
-def weekly_memory(daily: DataFrame, names: DataFrame | None = None) -> DataFrame:
+def weekly_memory(daily: DataFrame, records: DataFrame | None = None) -> DataFrame:
     """One row per ISO week of the daily rows; dates that are no days are left out.
 
-    With ``names``, the ``day_names`` of the same days, ``daily`` need only have the columns of ``day_totals``.
+    With the ``records`` of the same days, ``daily`` need only have the columns of ``day_totals``.
     """
     days = daily.where(is_day(F.col("date"))).withColumn("week", iso_week(F.col("date")))
     listed = F.array_sort(F.collect_list(F.struct("date", "key_events")))
     main = days.groupBy("week").agg(
         F.array_sort(F.collect_list("date")).alias("days_covered"),
         F.count("*").alias("day_count"),
-        F.sum(F.size("record_ids") if names is None else "n").alias("total_records"),
+        F.sum(F.size("record_ids") if records is None else "n").alias("total_records"),
         F.round(F.sum(F.col("importance_score").cast("decimal(18,6)")), 2).cast("double").alias("total_importance"),
         F.slice(F.array_distinct(F.flatten(F.transform(listed, lambda x: x["key_events"]))), 1, HIGHLIGHTS).alias("weekly_highlights"),
     )
-    for column in RANKED:
-        if names is None:
+    for column in ("people", "apps"):
+        if records is None:
             flat = days.select("week", "date", F.posexplode(column).alias("pos", "x"))
         else:  # a day's names are sorted, so that a name is its own place
-            flat = names.where((F.col("list") == column) & is_day(F.col("date"))).select(iso_week(F.col("date")).alias("week"), "date", F.col("value").alias("pos"), F.col("value").alias("x"))
+            flat = day_names(records, {column: NAMED[column]}).where(is_day(F.col("date"))).select(iso_week(F.col("date")).alias("week"), "date", F.col("value").alias("pos"), F.col("value").alias("x"))
         main = main.join(_top_names(flat, f"top_{column}"), "week", "left")
     empty = F.array().cast("array<string>")
     return main.select("week", "days_covered", "day_count", "total_records", "total_importance", F.coalesce("top_people", empty).alias("top_people"), F.coalesce("top_apps", empty).alias("top_apps"), "weekly_highlights", F.col("days_covered").alias("daily_memory_ids"))

@@ -147,8 +147,7 @@ def stream_daily(spark: SparkSession, source: str, schema: StructType, root: str
             if weeks:
                 dates = _dates_of(weeks)
                 whole = change.after.read(DAYS, buckets=change.after.buckets_of(DAYS, session.createDataFrame([(d,) for d in dates], "date string")))
-                names = rollups.day_names(records.where(F.col("__day").isin(dates)), rollups.RANKED)
-                _upsert(change, WEEKS, rollups.weekly_memory(whole.where(F.col("date").isin(dates)), names), "week", buckets)
+                _upsert(change, WEEKS, rollups.weekly_memory(whole.where(F.col("date").isin(dates)), records.where(F.col("__day").isin(dates))), "week", buckets)
         change.mark(ROLLED, number)
         change.commit()
 

@@ -188,6 +188,19 @@ def test_a_day_in_the_store_does_not_grow_with_its_records(spark, tmp_path, monk
     assert max(len(r["record_ids"]) for r in want.values()) > 200 and kept.agg(F.max(F.length(F.to_json(F.struct("*"))))).first()[0] < 1000
 
 
+def test_weeks_come_from_totals_and_names_without_the_days_lists(spark, tmp_path, monkeypatch):
+    rows, plans, upsert = _day_records(spark), {}, stream._upsert
+    monkeypatch.setattr(stream, "_upsert", lambda change, section, df, *a: (plans.setdefault(section, []).append(df._jdf.queryExecution().executedPlan().toString()), upsert(change, section, df, *a))[1])
+    for k in range(2):
+        part = rows.where(F.col("seq") % 2 == k)
+        (part if k else part.unionByName(part.limit(1).withColumn("event_date", F.lit("some day")))).write.mode("append").parquet(f"{tmp_path}/in")
+        stream.stream_daily(spark, f"{tmp_path}/in", rows.schema, f"{tmp_path}/out", f"{tmp_path}/ck", "2024-01-31", max_files=1000, buckets=2)
+    want = {r["week"]: r for r in rollups.weekly_memory(rollups.daily_memory(rows, "2024-01-31")).collect()}
+    assert len(want) == 2 and all(len(r["top_people"]) == 5 and len(r["top_apps"]) == 3 for r in want.values())
+    assert {r["week"]: r for r in stream.read_weekly(spark, f"{tmp_path}/out").collect()} == want
+    assert len(plans[stream.WEEKS]) == 2 and not any("record_id" in p for p in plans[stream.WEEKS] + plans[stream.DAYS])
+
+
 def _page(folder, phase, cursor, ids, following):
     (folder / f"{phase}-{cursor}.json").write_text(json.dumps({"rows": [{"id": i} for i in ids], "next": following}))
 
